@@ -26,7 +26,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TableSchema
@@ -54,7 +54,7 @@ class TableStore:
         return f"`{self.database}`.`{name}`"
 
     def table_exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(name, self.database)
+        return self.spark.catalog.tableExists(f"{self.database}.{name}")
 
     def _new_version(self, name: str) -> str:
         return f"{self.root}/{name}/v-{uuid.uuid4().hex[:12]}"
@@ -91,7 +91,7 @@ class TableStore:
             raise ValueError(f"{schema.name}: batch lacks columns {missing}")
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.struct.fields])
 
-    def check_batch_keys(self, df: DataFrame, keys: tuple[str, ...]) -> None:
+    def check_batch_keys(self, df: DataFrame, keys: tuple[str, ...], allow_repeats: bool = False) -> None:
         any_null = F.lit(False)
         for k in keys:
             any_null = any_null | F.col(k).isNull()
@@ -101,12 +101,20 @@ class TableStore:
         n, d, nulls = row["n"], row["d"], row["nulls"] or 0
         if nulls:
             raise KeyViolation(f"{nulls} row(s) with a NULL key in {keys}")
-        if n != d:
+        if n != d + nulls and not allow_repeats:
             raise KeyViolation(f"{n - d} repeated key(s) in the batch on {keys}")
 
     def _keep_latest(self, df: DataFrame, keys: tuple[str, ...], order_by: str) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(F.col(order_by).desc_nulls_last())
-        return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+        """One row per key: greatest ``order_by`` (NULL lowest), then greatest row as a tie-break.
+
+        A hash aggregate with ``max_by``: repeats of a hot key are combined
+        map-side instead of sorted together in one task.
+        """
+        cols = df.columns
+        row = F.struct(*cols)
+        rank = F.struct(F.col(order_by).isNotNull(), F.col(order_by), row)
+        best = df.groupBy(*keys).agg(F.max_by(row, rank).alias("__row"))
+        return best.select("__row.*").select(*cols)
 
     # -- loads -----------------------------------------------------------
     def _switch(self, name: str, df: DataFrame) -> None:
@@ -140,14 +148,14 @@ class TableStore:
         self.create_tables([s])
         keys = list(s.primary_key)
         df = self._conform(df, s)
-        if on_duplicate == "keep_latest":
-            if order_by is None:
-                raise ValueError("keep_latest needs order_by")
-            df = self._keep_latest(df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)), s.primary_key, order_by)
-        elif on_duplicate != "error":
+        if on_duplicate not in ("error", "keep_latest"):
             raise ValueError(f"unknown on_duplicate policy {on_duplicate!r}")
-        else:
-            self.check_batch_keys(df, s.primary_key)
+        latest = on_duplicate == "keep_latest"
+        if latest and order_by is None:
+            raise ValueError("keep_latest needs order_by")
+        self.check_batch_keys(df, s.primary_key, allow_repeats=latest)
+        if latest:
+            df = self._keep_latest(df, s.primary_key, order_by)
         kept = self.select_all(name).join(df.select(*keys), keys, "left_anti")
         self._switch(name, kept.unionByName(df))
 

@@ -127,6 +127,118 @@ artist as (
 }
 
 
+ARTIST_DOCS_CTE = """
+artist_docs as (
+  select cast(s.s_suppkey as varchar) as id, s.s_name as name,
+         case when s.s_suppkey % 11 = 0 then []::varchar[] else [n.n_name, r.r_name] end as genres,
+         case when s.s_suppkey % 37 = 0 then null
+              else cast(floor(s.s_acctbal / 100) as integer) end as popularity
+  from supplier s join nation n on s.s_nationkey = n.n_nationkey
+                  join region r on n.n_regionkey = r.r_regionkey
+),
+track_artist_ids as (
+  select distinct unnest(string_to_array(artist_id, ', ')) as artist_id from tracks where artist_id is not null
+)"""
+
+# Array text: quote an element that is empty, spells NULL, or holds { } , " \ or white space.
+ARRAY_TEXT = (r"""'{' || array_to_string(list_transform(d.genres, lambda g: case when g is null then 'NULL' """
+              r"""when g = '' or upper(g) = 'NULL' or regexp_matches(g, '[{},"\\\s]') """
+              r"""then '"' || regexp_replace(g, '(["\\])', '\\\1', 'g') || '"' else g end), ',') || '}'""")
+
+ENRICHED_ARTISTS = with_catalog(f"""
+select d.id as artist_id, d.name as artist_name, {ARRAY_TEXT} as artist_genres, d.popularity as artist_popularity
+from track_artist_ids i join artist_docs d on i.artist_id = d.id""", ARTIST_DOCS_CTE)
+
+RUN_HISTORY_CTE = """
+history as (
+  select event_type as pipeline_name, cast(user_id + 1 as integer) as run_id,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') as timestamp,
+         (['start', 'success', 'fail'])[event_id % 3 + 1] as status,
+         props as config, concat('event ', cast(event_id as varchar)) as logs
+  from events
+)"""
+
+TRACK_COLS = ("track_id, track_name, track_popularity, track_duration_ms, track_added_at, album_id, "
+              "artist_id, playlist_id, playlist_name, snapshot_id")
+
+OTHERS = {
+    "read_playlist_pages": with_catalog("""
+select playlist_id as id, playlist_name as name, snapshot_id, count(*) as n_items,
+       case when page_no < max(page_no) over (partition by playlist_id)
+            then concat('playlists/', playlist_id, '/tracks?after=', cast(page_no as varchar)) end as next_page
+from (select *, cast(track_id as bigint) // 100 as page_no from tracks) p
+group by playlist_id, playlist_name, snapshot_id, page_no"""),
+
+    "flatten_items": with_catalog("""
+select t.playlist_id, t.playlist_name, t.snapshot_id, t.track_added_at as added_at,
+       t.track_id, t.track_name, t.track_popularity, t.track_duration_ms,
+       a.album_id as track_album_id, a.album_name as track_album_name,
+       a.album_release_date as track_album_release_date, a.album_total_tracks as track_album_total_tracks
+from tracks t left join albums a on t.album_id = a.album_id"""),
+
+    "collect_artist_ids": with_catalog("select track_id, artist_id from tracks"),
+
+    "distinct_artist_ids": with_catalog(
+        "select distinct artist_id from (select unnest(string_to_array(artist_id, ', ')) as artist_id "
+        "from tracks where artist_id is not null) x"),
+
+    "artist_enrichment": ENRICHED_ARTISTS,
+    "catalog_artists": ENRICHED_ARTISTS,
+
+    "catalog_tracks": with_catalog(f"select {TRACK_COLS} from tracks"),
+
+    "catalog_albums": with_catalog("""
+select distinct a.album_id, a.album_name, a.album_release_date, a.album_total_tracks
+from tracks t join albums a on t.album_id = a.album_id"""),
+
+    "unnest_track_artists": with_catalog(
+        "select track_id, unnest(string_to_array(nullif(artist_id, ''), ', ')) as artist_id from tracks"),
+
+    "unnest_artist_genres": with_catalog(
+        """select artist_id, unnest(string_to_array(nullif(regexp_replace(artist_genres, '[{}"]', '', 'g'), ''), ','))
+ as genre from artists"""),
+
+    "format_duration": with_catalog(f"select track_id, track_duration_ms, {DURATION} as track_duration_min from tracks"),
+
+    "top_k_with_ties": with_catalog("""
+select * from (
+  select artist_id, artist_name, artist_popularity,
+         dense_rank() over (order by artist_popularity desc nulls first) as artist_popularity_rnk
+  from artists) r
+where artist_popularity_rnk <= 5"""),
+
+    "dense_rank_global": with_catalog("""
+select track_id, track_popularity,
+       dense_rank() over (order by track_popularity desc nulls first) as popularity_rnk
+from tracks"""),
+
+    "load_insert": with_catalog(f"select {TRACK_COLS} from tracks"),
+
+    "load_overwrite": with_catalog(f"select {TRACK_COLS} from tracks where cast(track_id as bigint) % 2 = 0"),
+
+    "load_upsert": with_catalog(f"""
+select {TRACK_COLS} from tracks
+where cast(track_id as bigint) % 3 <> 0 and cast(track_id as bigint) % 2 <> 0
+union all
+select track_id, track_name, track_popularity + 1 as track_popularity, track_duration_ms, track_added_at,
+       album_id, artist_id, playlist_id, playlist_name, snapshot_id
+from tracks where cast(track_id as bigint) % 2 = 0"""),
+
+    "stream_upsert": with_catalog(f"select {TRACK_COLS} from tracks"),
+
+    "select_all": with_catalog(f"select {TRACK_COLS} from tracks"),
+
+    "run_log_next_id": f"""with {RUN_HISTORY_CTE}
+select pipeline_name, cast(max(run_id) + 1 as integer) as next_run_id from history group by pipeline_name""",
+
+    "run_log_append": f"""with {RUN_HISTORY_CTE}
+select * from history
+union all
+select pipeline_name, cast(max(run_id) + 1 as integer) as run_id, '2024-02-01 00:00:00' as timestamp,
+       'start' as status, '{{"source": "events"}}' as config, cast(null as varchar) as logs
+from history group by pipeline_name""",
+}
+
+
 def oracle_statements() -> dict[str, str]:
-    out = dict(VIEWS)
-    return out
+    return {**OTHERS, **VIEWS}

@@ -1,43 +1,246 @@
 """Registry of query keys: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Every query reads the driver's tables (or what Spark derives from them) in
-full; the catalogue tables are derived once per application and kept in the
-shared folder, as the warehouse keeps its loaded tables.
+Every query reads the driver's tables in full, or what Spark derives from
+them: the catalogue tables are derived once per application and written to
+the shared folder (as the warehouse keeps its loaded tables), and the page and
+artist-document landings are written from them the same way. Load and stream
+keys write to a fresh store under the shared folder and return what a reader
+of the table sees afterwards.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.fixtures import materialized_catalog
+from ..functions.text import format_duration, int_div
+from ..operators.catalog import build_catalog, enrich_artists
+from ..operators.load import TableStore
+from ..operators.nested import collect_artist_ids, distinct_artist_ids, flatten_items
+from ..operators.ranking import dense_rank_global, top_k_with_ties
+from ..operators.runlog import RUN_START, RunLog, next_run_ids
+from ..schemas import CATALOG_SCHEMAS, RUN_LOG, TRACKS
+from ..session import scratch_path, shared_dir
+from ..sources.fixtures import derive_artist_docs, derive_run_history, materialized_catalog
+from ..sources.pages import land_artist_docs, land_pages, read_artist_docs, read_playlist_pages
+from ..streaming.upsert_stream import stream_upsert
 from . import views as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+# Fixed values of the load cases (FIXTURES.md §2 "Load cases").
+APPEND_TIMESTAMP = "2024-02-01 00:00:00"
+APPEND_CONFIG = '{"source": "events"}'
+STREAM_FILES = 5
 
-def _view(name: str) -> QueryFn:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        c = materialized_catalog(spark, sf_dir)
-        if name == "most_popular_tracks_with_duration":
-            return V.most_popular_tracks_with_duration(c.tracks)
-        if name == "top_5_most_popular_artists_contribution":
-            return V.top_5_most_popular_artists_contribution(c.tracks, c.artists)
-        if name == "track_popularity_trend_by_release_year_month":
-            return V.track_popularity_trend_by_release_year_month(c.tracks, c.albums)
-        if name == "album_track_popularity_comparison":
-            return V.album_track_popularity_comparison(c.tracks, c.albums)
-        if name == "genre_track_and_artist_details":
-            return V.genre_track_and_artist_details(c.tracks, c.artists)
-        raise KeyError(name)
+_LANDED: dict[tuple[str, str], tuple[str, str]] = {}
 
-    run.__name__ = name
-    return run
+
+def _cat(spark: SparkSession, sf_dir: str):
+    return materialized_catalog(spark, sf_dir)
+
+
+def landing(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Page and artist-document landings derived from the catalogue, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LANDED:
+        c = _cat(spark, sf_dir)
+        tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
+        base = f"{shared_dir(spark)}/tunefold-landing/{key[0]}/{tag}"
+        files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        pages = land_pages(c.tracks, c.albums, f"{base}/pages", files=files)
+        docs = land_artist_docs(derive_artist_docs(spark, sf_dir), f"{base}/artist_docs")
+        _LANDED[key] = (pages, docs)
+    return _LANDED[key]
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_playlist_pages(spark, landing(spark, sf_dir)[0])
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_artist_docs(spark, landing(spark, sf_dir)[1])
+
+
+def _store(spark: SparkSession) -> TableStore:
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.create_tables(CATALOG_SCHEMAS)
+    return store
+
+
+def _key_num() -> F.Column:
+    return F.col("track_id").cast("bigint")
+
+
+# -- sources and nested data -------------------------------------------------
+
+def q_read_playlist_pages(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    return p.select("id", "name", "snapshot_id", F.size("tracks.items").cast("bigint").alias("n_items"),
+                    F.col("tracks.next").alias("next_page"))
+
+
+def q_flatten_items(spark, sf_dir):
+    return flatten_items(_pages(spark, sf_dir)).drop("track_artists")
+
+
+def q_collect_artist_ids(spark, sf_dir):
+    items = flatten_items(_pages(spark, sf_dir))
+    return items.select("track_id", collect_artist_ids("track_artists").alias("artist_id"))
+
+
+def q_distinct_artist_ids(spark, sf_dir):
+    return distinct_artist_ids(flatten_items(_pages(spark, sf_dir)))
+
+
+def q_artist_enrichment(spark, sf_dir):
+    ids = distinct_artist_ids(flatten_items(_pages(spark, sf_dir)))
+    return enrich_artists(ids, _docs(spark, sf_dir))
+
+
+def q_catalog_tracks(spark, sf_dir):
+    return build_catalog(_pages(spark, sf_dir), _docs(spark, sf_dir), check_artists=False).tracks
+
+
+def q_catalog_albums(spark, sf_dir):
+    return build_catalog(_pages(spark, sf_dir), _docs(spark, sf_dir), check_artists=False).albums
+
+
+def q_catalog_artists(spark, sf_dir):
+    return build_catalog(_pages(spark, sf_dir), _docs(spark, sf_dir)).artists
+
+
+def q_unnest_track_artists(spark, sf_dir):
+    return V.track_artists(_cat(spark, sf_dir).tracks)
+
+
+def q_unnest_artist_genres(spark, sf_dir):
+    return V.artist_genres(_cat(spark, sf_dir).artists)
+
+
+def q_format_duration(spark, sf_dir):
+    t = _cat(spark, sf_dir).tracks
+    return t.select("track_id", "track_duration_ms", format_duration("track_duration_ms").alias("track_duration_min"))
+
+
+def q_top_k_with_ties(spark, sf_dir):
+    a = _cat(spark, sf_dir).artists.select("artist_id", "artist_name", "artist_popularity")
+    return top_k_with_ties(a, "artist_popularity", V.TOP_ARTISTS, "artist_popularity_rnk")
+
+
+def q_dense_rank_global(spark, sf_dir):
+    t = _cat(spark, sf_dir).tracks.select("track_id", "track_popularity")
+    return dense_rank_global(t, "track_popularity", "popularity_rnk")
+
+
+# -- loads ---------------------------------------------------------------------
+
+def q_load_insert(spark, sf_dir):
+    t = _cat(spark, sf_dir).tracks
+    store = _store(spark)
+    store.insert(t.where(_key_num() % 2 == 0), "tracks")
+    store.insert(t.where(_key_num() % 2 == 1), "tracks")
+    return store.select_all("tracks")
+
+
+def q_load_overwrite(spark, sf_dir):
+    t = _cat(spark, sf_dir).tracks
+    store = _store(spark)
+    store.overwrite(t, "tracks")
+    store.overwrite(t.where(_key_num() % 2 == 0), "tracks")
+    return store.select_all("tracks")
+
+
+def q_load_upsert(spark, sf_dir):
+    t = _cat(spark, sf_dir).tracks
+    store = _store(spark)
+    store.overwrite(t.where(_key_num() % 3 != 0), "tracks")
+    batch = t.where(_key_num() % 2 == 0).withColumn("track_popularity", F.col("track_popularity") + 1)
+    store.upsert(batch, "tracks")
+    store.upsert(batch, "tracks")  # a second application changes nothing
+    return store.select_all("tracks")
+
+
+def q_stream_upsert(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    landing_dir = scratch_path(spark, "stream-landing")
+    land_pages(c.tracks, c.albums, landing_dir, files=STREAM_FILES)
+    store = _store(spark)
+    q = stream_upsert(spark, landing_dir, store, scratch_path(spark, "stream-checkpoint"),
+                      max_files_per_trigger=1)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return store.select_all("tracks")
+
+
+def q_select_all(spark, sf_dir):
+    store = _store(spark)
+    store.load({"tracks": _cat(spark, sf_dir).tracks}, method="overwrite")
+    return store.select_all("tracks")
+
+
+# -- run log ---------------------------------------------------------------------
+
+def q_run_log_next_id(spark, sf_dir):
+    return next_run_ids(derive_run_history(spark, sf_dir))
+
+
+def q_run_log_append(spark, sf_dir):
+    store = TableStore(spark, scratch_path(spark, "runlog"))
+    log = RunLog(store)
+    store.overwrite(derive_run_history(spark, sf_dir), RUN_LOG.name)
+    starts = log.next_run_ids().select(
+        "pipeline_name", F.col("next_run_id").alias("run_id"), F.lit(APPEND_TIMESTAMP).alias("timestamp"),
+        F.lit(RUN_START).alias("status"), F.lit(APPEND_CONFIG).alias("config"),
+        F.lit(None).cast("string").alias("logs"))
+    log.append(starts)
+    return log.rows()
+
+
+# -- views -------------------------------------------------------------------------
+
+def q_most_popular_tracks_with_duration(spark, sf_dir):
+    return V.most_popular_tracks_with_duration(_cat(spark, sf_dir).tracks)
+
+
+def q_top_5_most_popular_artists_contribution(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    return V.top_5_most_popular_artists_contribution(c.tracks, c.artists)
+
+
+def q_track_popularity_trend_by_release_year_month(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    return V.track_popularity_trend_by_release_year_month(c.tracks, c.albums)
+
+
+def q_album_track_popularity_comparison(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    return V.album_track_popularity_comparison(c.tracks, c.albums)
+
+
+def q_genre_track_and_artist_details(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    return V.genre_track_and_artist_details(c.tracks, c.artists)
+
+
+QUERY_KEYS = (
+    "read_playlist_pages", "flatten_items", "collect_artist_ids", "distinct_artist_ids",
+    "artist_enrichment", "unnest_track_artists", "unnest_artist_genres", "format_duration",
+    "top_k_with_ties", "catalog_tracks", "catalog_albums", "catalog_artists", "load_insert",
+    "load_overwrite", "load_upsert", "stream_upsert", "select_all", "run_log_next_id", "run_log_append",
+    "most_popular_tracks_with_duration", "top_5_most_popular_artists_contribution",
+    "track_popularity_trend_by_release_year_month", "album_track_popularity_comparison",
+    "genre_track_and_artist_details", "dense_rank_global",
+)
 
 
 def all_queries() -> dict[str, QueryFn]:
-    q: dict[str, QueryFn] = {}
-    for name in V.VIEW_NAMES:
-        q[name] = _view(name)
-    return q
+    g = globals()
+    return {k: g[f"q_{k}"] for k in QUERY_KEYS}
+
+
+__all__ = ["all_queries", "QUERY_KEYS", "landing", "TRACKS", "int_div"]

@@ -175,7 +175,10 @@ def materialized_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
         tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
         base = f"{shared_dir(spark)}/tunefold-catalog/{app}/{tag}"
         cat = derive_catalog(spark, sf_dir)
-        for name, df in (("tracks", cat.tracks), ("albums", cat.albums), ("artists", cat.artists)):
-            df.write.mode("overwrite").parquet(f"{base}/{name}")
+        n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for name, df, pk in (("tracks", cat.tracks, "track_id"), ("albums", cat.albums, "album_id"),
+                             ("artists", cat.artists, "artist_id")):
+            # Hash-spread on the primary key: even files, and the layout a keyed upsert reads.
+            df.repartition(n_files, pk).write.mode("overwrite").parquet(f"{base}/{name}")
         _MATERIALIZED[key] = Catalog(*(spark.read.parquet(f"{base}/{n}") for n in ("tracks", "albums", "artists")))
     return _MATERIALIZED[key]
