@@ -32,3 +32,18 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, persist
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = row_count_at_most(df, max_rows)
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition ``df`` on ``keys`` when its scan has fewer splits than the cluster has cores.
+
+    A large input already arrives in many splits, and then this is a no-op: the
+    aggregate or join that follows shuffles on the same keys anyway. A small
+    input in one or two splits (a single row group) would otherwise run its
+    whole map-side aggregate in one task.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TableSchema
+from .joins import checked_broadcast
 from ..session import scratch_path
 
 LOAD_METHODS = ("insert", "upsert", "overwrite")
@@ -143,7 +144,9 @@ class TableStore:
             self.check_batch_keys(df, s.primary_key)
         self._switch(name, df)
 
-    def upsert(self, df: DataFrame, name: str, on_duplicate: str = "error", order_by: str | None = None) -> None:
+    def upsert(self, df: DataFrame, name: str, on_duplicate: str = "error", order_by: str | None = None,
+               check_keys: bool = True) -> None:
+        """``check_keys=False`` only where the caller guarantees non-NULL keys."""
         s = self._schema(name)
         self.create_tables([s])
         keys = list(s.primary_key)
@@ -153,10 +156,14 @@ class TableStore:
         latest = on_duplicate == "keep_latest"
         if latest and order_by is None:
             raise ValueError("keep_latest needs order_by")
-        self.check_batch_keys(df, s.primary_key, allow_repeats=latest)
+        if check_keys or not latest:
+            self.check_batch_keys(df, s.primary_key, allow_repeats=latest)
         if latest:
             df = self._keep_latest(df, s.primary_key, order_by)
-        kept = self.select_all(name).join(df.select(*keys), keys, "left_anti")
+        # A batch is usually far smaller than the table: broadcast its keys when
+        # they are few (counted), so the target is filtered where it is read.
+        batch_keys = checked_broadcast(df.select(*keys))
+        kept = self.select_all(name).join(batch_keys, keys, "left_anti")
         self._switch(name, kept.unionByName(df))
 
     def load(self, tables: Mapping[str, DataFrame], schemas: Mapping[str, TableSchema] | None = None,

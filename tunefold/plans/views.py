@@ -117,15 +117,19 @@ def album_track_popularity_comparison(tracks: DataFrame, albums: DataFrame, orde
 
 def genre_track_and_artist_details(tracks: DataFrame, artists: DataFrame, ordered: bool = True) -> DataFrame:
     ta = track_artists(tracks, "track_name")
-    ag = artist_genres(artists, "artist_name")
-    # The left join's NULL genres are filtered, so it is an inner join.
-    j = ta.join(ag, "artist_id").where(F.col("genre").isNotNull())
-    counts = j.groupBy("genre").agg(
-        F.count_distinct("track_id").alias("num_tracks"),
-        F.count_distinct("artist_id").alias("num_artists"))
-    tnames = sorted_distinct_join(j, ["genre"], "track_name", "track_names")
-    anames = sorted_distinct_join(j, ["genre"], "artist_name", "artist_names")
-    out = (counts.join(tnames, "genre", "left").join(anames, "genre", "left")
+    ag = artist_genres(artists, "artist_name").where(F.col("genre").isNotNull())
+    # The left join's NULL genres are filtered, so it is an inner join. Artist
+    # outputs need only the artists that have a track: a semi join against the
+    # distinct artist ids (map-side combined), never the (track x genre) rows.
+    used = ag.join(ta.select("artist_id").distinct(), "artist_id", "left_semi")
+    tg = ta.join(ag.select("artist_id", "genre"), "artist_id").select("genre", "track_id", "track_name")
+    n_tracks = tg.select("genre", "track_id").distinct().groupBy("genre").agg(
+        F.count(F.lit(1)).alias("num_tracks"))
+    n_artists = used.select("genre", "artist_id").distinct().groupBy("genre").agg(
+        F.count(F.lit(1)).alias("num_artists"))
+    tnames = sorted_distinct_join(tg, ["genre"], "track_name", "track_names")
+    anames = sorted_distinct_join(used, ["genre"], "artist_name", "artist_names")
+    out = (n_tracks.join(n_artists, "genre").join(tnames, "genre", "left").join(anames, "genre", "left")
            .select("genre", "num_tracks", "num_artists", "track_names", "artist_names"))
     if ordered:
         out = out.orderBy(F.col("num_tracks").desc(), F.col("num_artists").desc(), "genre")
