@@ -26,6 +26,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,44 +128,62 @@ class TableStore:
     def insert(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
         s = self._schema(name)
         self.create_tables([s])
-        df = self._conform(df, s)
-        if check_keys:
-            self.check_batch_keys(df, s.primary_key)
-            clash = df.select(*s.primary_key).join(self.select_all(name).select(*s.primary_key),
-                                                   list(s.primary_key), "left_semi")
-            if clash.limit(1).count():
-                raise KeyViolation(f"{name}: batch repeats keys already in the table")
-        df.write.insertInto(self.qualified(name))
+        # The batch feeds the key checks and the write: compute it once.
+        df = self._conform(df, s).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if check_keys:
+                self.check_batch_keys(df, s.primary_key)
+                clash = df.select(*s.primary_key).join(self.select_all(name).select(*s.primary_key),
+                                                       list(s.primary_key), "left_semi")
+                if clash.limit(1).count():
+                    raise KeyViolation(f"{name}: batch repeats keys already in the table")
+            df.write.insertInto(self.qualified(name))
+        finally:
+            df.unpersist()
 
     def overwrite(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
         s = self._schema(name)
         self.create_tables([s])
         df = self._conform(df, s)
         if check_keys:
-            self.check_batch_keys(df, s.primary_key)
-        self._switch(name, df)
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if check_keys:
+                self.check_batch_keys(df, s.primary_key)
+            self._switch(name, df)
+        finally:
+            df.unpersist()
 
     def upsert(self, df: DataFrame, name: str, on_duplicate: str = "error", order_by: str | None = None,
                check_keys: bool = True) -> None:
-        """``check_keys=False`` only where the caller guarantees non-NULL keys."""
+        """Target rows whose key is not in the batch, plus the batch.
+
+        ``check_keys=False`` skips the NULL-key check where the caller guarantees it.
+        """
         s = self._schema(name)
         self.create_tables([s])
         keys = list(s.primary_key)
-        df = self._conform(df, s)
         if on_duplicate not in ("error", "keep_latest"):
             raise ValueError(f"unknown on_duplicate policy {on_duplicate!r}")
         latest = on_duplicate == "keep_latest"
         if latest and order_by is None:
             raise ValueError("keep_latest needs order_by")
-        if check_keys or not latest:
-            self.check_batch_keys(df, s.primary_key, allow_repeats=latest)
+        df = self._conform(df, s)
         if latest:
+            # NULL keys survive as their own group, so the check below still sees them.
             df = self._keep_latest(df, s.primary_key, order_by)
-        # A batch is usually far smaller than the table: broadcast its keys when
-        # they are few (counted), so the target is filtered where it is read.
-        batch_keys = checked_broadcast(df.select(*keys))
-        kept = self.select_all(name).join(batch_keys, keys, "left_anti")
-        self._switch(name, kept.unionByName(df))
+        # The batch feeds the checks, the anti-join keys and the union: compute it once.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if check_keys or not latest:
+                self.check_batch_keys(df, s.primary_key)
+            # A batch is usually far smaller than the table: broadcast its keys when
+            # they are few (counted), so the target is filtered where it is read.
+            batch_keys = checked_broadcast(df.select(*keys))
+            kept = self.select_all(name).join(batch_keys, keys, "left_anti")
+            self._switch(name, kept.unionByName(df))
+        finally:
+            df.unpersist()
 
     def load(self, tables: Mapping[str, DataFrame], schemas: Mapping[str, TableSchema] | None = None,
              method: str = "overwrite", **kwargs) -> None:

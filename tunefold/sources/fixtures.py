@@ -22,6 +22,7 @@ broadcast.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -179,9 +180,16 @@ def materialized_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
         base = f"{shared_dir(spark)}/tunefold-catalog/{app}/{tag}"
         cat = derive_catalog(spark, sf_dir)
         n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        for name, df, pk in (("tracks", cat.tracks, "track_id"), ("albums", cat.albums, "album_id"),
-                             ("artists", cat.artists, "artist_id")):
+
+        def write(job):
+            name, df, pk = job
             # Hash-spread on the primary key: even files, and the layout a keyed upsert reads.
             df.repartition(n_files, pk).write.mode("overwrite").parquet(f"{base}/{name}")
+
+        jobs = [("tracks", cat.tracks, "track_id"), ("albums", cat.albums, "album_id"),
+                ("artists", cat.artists, "artist_id")]
+        # Three independent jobs: submitted together, they share the cluster's cores.
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            list(pool.map(write, jobs))
         _MATERIALIZED[key] = Catalog(*(spark.read.parquet(f"{base}/{n}") for n in ("tracks", "albums", "artists")))
     return _MATERIALIZED[key]

@@ -43,14 +43,10 @@ def stream_upsert(spark: SparkSession, landing: str, store: TableStore, checkpoi
     tracks = catalog_tracks(flatten_items(page_stream(spark, landing, max_files_per_trigger)))
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        # The batch feeds both the anti-join keys and the union: read its files once.
-        batch = batch.persist()
-        try:
-            # catalog_tracks drops NULL track ids, so keys are non-NULL by construction.
-            store.upsert(batch, table, on_duplicate=on_duplicate, order_by="track_added_at",
-                         check_keys=on_duplicate != "keep_latest")
-        finally:
-            batch.unpersist()
+        # catalog_tracks drops NULL track ids, so keys are non-NULL by construction;
+        # the upsert computes the batch once (persisted) for its checks and write.
+        store.upsert(batch, table, on_duplicate=on_duplicate, order_by="track_added_at",
+                     check_keys=on_duplicate != "keep_latest")
 
     writer = tracks.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     if query_name:
