@@ -122,14 +122,20 @@ def genre_track_and_artist_details(tracks: DataFrame, artists: DataFrame, ordere
     # outputs need only the artists that have a track: a semi join against the
     # distinct artist ids (map-side combined), never the (track x genre) rows.
     used = ag.join(ta.select("artist_id").distinct(), "artist_id", "left_semi")
-    tg = ta.join(ag.select("artist_id", "genre"), "artist_id").select("genre", "track_id", "track_name")
-    n_tracks = tg.select("genre", "track_id").distinct().groupBy("genre").agg(
-        F.count(F.lit(1)).alias("num_tracks"))
-    n_artists = used.select("genre", "artist_id").distinct().groupBy("genre").agg(
-        F.count(F.lit(1)).alias("num_artists"))
-    tnames = sorted_distinct_join(tg, ["genre"], "track_name", "track_names")
-    anames = sorted_distinct_join(used, ["genre"], "artist_name", "artist_names")
-    out = (n_tracks.join(n_artists, "genre").join(tnames, "genre", "left").join(anames, "genre", "left")
+    tg = ta.join(ag.select("artist_id", "genre"), "artist_id")
+    # Track-side and artist-side rows travel together, tagged by kind, so both
+    # distinct counts take one pass and both name lists one chunked aggregation.
+    rows = (tg.select("genre", F.lit("t").alias("kind"), F.col("track_id").alias("id"),
+                      F.col("track_name").alias("name"))
+            .unionByName(used.select("genre", F.lit("a").alias("kind"), F.col("artist_id").alias("id"),
+                                     F.col("artist_name").alias("name"))))
+    counts = rows.select("genre", "kind", "id").distinct().groupBy("genre").agg(
+        F.count_if(F.col("kind") == "t").alias("num_tracks"),
+        F.count_if(F.col("kind") == "a").alias("num_artists"))
+    lists = sorted_distinct_join(rows, ["genre", "kind"], "name", "names").groupBy("genre").agg(
+        F.max(F.when(F.col("kind") == "t", F.col("names"))).alias("track_names"),
+        F.max(F.when(F.col("kind") == "a", F.col("names"))).alias("artist_names"))
+    out = (counts.join(lists, "genre", "left")
            .select("genre", "num_tracks", "num_artists", "track_names", "artist_names"))
     if ordered:
         out = out.orderBy(F.col("num_tracks").desc(), F.col("num_artists").desc(), "genre")
