@@ -22,12 +22,13 @@ def row_count_at_most(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, persist: bool = False) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int | None = None, persist: bool = False) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
     ``persist`` keeps the measured rows (memory, then disk) so a side derived
     from a large table is not computed twice.
     """
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = row_count_at_most(df, max_rows)
@@ -47,3 +48,22 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str, salt: str) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` USING ``key``, with NULL left keys spread over all tasks.
+
+    A NULL key never matches, but a shuffle join still hashes every NULL-key row
+    to the same reducer: with a tenth of all tracks lacking an album, that is one
+    hot task. The join runs on ``(coalesce(key, salt), key IS NULL)`` instead:
+    ``salt`` (a unique column of ``left``) spreads the NULL rows, and the flag
+    keeps them from ever matching a right row. Deterministic, so a recomputed
+    task routes every row the same way. The result has ``left``'s columns plus
+    ``right``'s non-key columns.
+    """
+    lk = left.withColumns({
+        "__jk": F.coalesce(F.col(key).cast("string"), F.col(salt).cast("string")),
+        "__jn": F.col(key).isNull(),
+    })
+    rk = right.withColumns({"__jk": F.col(key).cast("string"), "__jn": F.lit(False)}).drop(key)
+    return lk.join(rk, ["__jk", "__jn"], "left").drop("__jk", "__jn")

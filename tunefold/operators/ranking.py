@@ -39,9 +39,11 @@ def _order(col: Column, descending: bool) -> Column:
 
 
 def ranked_keys(df: DataFrame, key: str, out: str, descending: bool = True,
-                single_task_keys: int = SINGLE_TASK_KEYS,
-                keys_per_bucket: int = KEYS_PER_BUCKET) -> tuple[DataFrame, int]:
+                single_task_keys: int | None = None,
+                keys_per_bucket: int | None = None) -> tuple[DataFrame, int]:
     """``(distinct key, dense rank)`` table and its row count."""
+    single_task_keys = SINGLE_TASK_KEYS if single_task_keys is None else single_task_keys
+    keys_per_bucket = KEYS_PER_BUCKET if keys_per_bucket is None else keys_per_bucket
     keys = df.select(F.col(key).alias(_K)).distinct()
     stats = keys.agg(F.count(F.lit(1)).alias("n"), F.count(_K).alias("n_values")).first()
     n, n_values = int(stats["n"]), int(stats["n_values"])
@@ -77,9 +79,10 @@ def ranked_keys(df: DataFrame, key: str, out: str, descending: bool = True,
 
 
 def dense_rank_global(df: DataFrame, key: str, out: str, descending: bool = True,
-                      single_task_keys: int = SINGLE_TASK_KEYS,
-                      keys_per_bucket: int = KEYS_PER_BUCKET) -> DataFrame:
+                      single_task_keys: int | None = None,
+                      keys_per_bucket: int | None = None) -> DataFrame:
     """Append ``out = dense_rank() over (order by key [desc nulls first])`` to every row of ``df``."""
+    single_task_keys = SINGLE_TASK_KEYS if single_task_keys is None else single_task_keys
     ranked, n = ranked_keys(df, key, out, descending, single_task_keys, keys_per_bucket)
     if n <= single_task_keys:
         ranked = F.broadcast(ranked)

@@ -28,7 +28,7 @@ from ..functions.text import (
     round_half_away_int,
     year_month,
 )
-from ..operators.joins import checked_broadcast
+from ..operators.joins import checked_broadcast, left_join_spread_nulls
 from ..operators.ranking import dense_rank_global, top_k_with_ties
 
 TOP_ARTISTS = 5
@@ -81,7 +81,8 @@ def track_popularity_trend_by_release_year_month(tracks: DataFrame, albums: Data
                          round_half_away_int(F.try_divide(F.col("s"), F.col("c")))
                          .alias("avg_release_year_month_track_popularity"),
                          F.col("n").cast("bigint").alias("num_tracks_per_release_year_month")))
-    rows = t.join(a, "album_id", "left").select("track_id", "album_name", "album_release_year_month")
+    rows = left_join_spread_nulls(t, a, "album_id", "track_id").select(
+        "track_id", "album_name", "album_release_year_month")
     m = checked_broadcast(per_month, persist=True)
     j = rows.join(m, rows["album_release_year_month"].eqNullSafe(m["__ym"]), "left").drop("__ym")
     if ordered:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import int_div, split_list
-from ..operators.joins import checked_broadcast
+from ..operators.joins import checked_broadcast, left_join_spread_nulls
 from ..schemas import ARTIST_DOC, PAGE
 
 PAGE_SIZE = 100
@@ -54,7 +54,7 @@ def read_artist_docs(spark: SparkSession, path: str) -> DataFrame:
 def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Page rows (``PAGE`` layout plus ``page_no``) from flat catalogue tables."""
     a = albums.select("album_id", "album_name", "album_release_date", "album_total_tracks")
-    t = tracks.join(a, "album_id", "left")
+    t = left_join_spread_nulls(tracks, a, "album_id", "track_id")
     album = F.when(F.col("album_id").isNotNull(), F.struct(
         F.col("album_id").alias("id"), F.col("album_name").alias("name"),
         F.col("album_release_date").alias("release_date"), F.col("album_total_tracks").alias("total_tracks")))
