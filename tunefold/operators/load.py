@@ -24,7 +24,8 @@ are distributed jobs, nothing is collected but three numbers.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from contextlib import contextmanager
+from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -49,8 +50,42 @@ class TableStore:
         self.root = (root or scratch_path(spark, "store")).rstrip("/")
         self.database = database or f"tunefold_{uuid.uuid4().hex[:10]}"
         self.schemas: dict[str, TableSchema] = {}
+        self._listeners: list[Callable[[set[str]], None]] = []
+        self._pending: set[str] | None = None
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}/_db'")
 
+    def on_change(self, listener: Callable[[set[str]], None]) -> None:
+        """Call ``listener(tables)`` after committed loads or drops.
+
+        DataFrame-defined temp views keep the file listing they were built on, so
+        whatever publishes views over these tables rebuilds them here.
+        """
+        self._listeners.append(listener)
+
+    @contextmanager
+    def batch_changes(self):
+        """Collect change notices inside the block and send them once at its end."""
+        outer = self._pending is not None
+        if not outer:
+            self._pending = set()
+        try:
+            yield self
+        finally:
+            if not outer:
+                pending, self._pending = self._pending, None
+                if pending:
+                    self._notify(pending)
+
+    def _changed(self, name: str) -> None:
+        if self._pending is not None:
+            self._pending.add(name)
+        else:
+            self._notify({name})
+
+    def _notify(self, tables: set[str]) -> None:
+        for listener in list(self._listeners):
+            listener(tables)
+
     # -- catalog ---------------------------------------------------------
     def qualified(self, name: str) -> str:
         return f"`{self.database}`.`{name}`"
@@ -77,6 +112,7 @@ class TableStore:
     def drop_table(self, name: str) -> None:
         """Drop the table from the catalog; its version folders are left for readers still on them."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
+        self._changed(name)
 
     def select_all(self, name: str) -> DataFrame:
         return self.spark.table(self.qualified(name))
@@ -124,6 +160,7 @@ class TableStore:
         df.write.mode("errorifexists").parquet(location)
         self.spark.sql(f"ALTER TABLE {self.qualified(name)} SET LOCATION '{location}'")
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
+        self._changed(name)
 
     def insert(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
         s = self._schema(name)
@@ -140,6 +177,7 @@ class TableStore:
             df.write.insertInto(self.qualified(name))
         finally:
             df.unpersist()
+        self._changed(name)
 
     def overwrite(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
         s = self._schema(name)

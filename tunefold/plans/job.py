@@ -19,7 +19,7 @@ from ..operators.load import TableStore
 from ..operators.runlog import RunLog, run_job
 from ..schemas import CATALOG_SCHEMAS
 from ..sources.pages import check_pages_complete, read_artist_docs, read_playlist_pages
-from .views import register_views
+from .views import publish_views
 
 
 @dataclass
@@ -39,12 +39,12 @@ def load_catalog(spark: SparkSession, store: TableStore, cfg: JobConfig) -> dict
     built = build_catalog(pages, read_artist_docs(spark, cfg.artist_docs_path))
     store.create_tables(CATALOG_SCHEMAS)
     kwargs = {"on_duplicate": "keep_latest", "order_by": "track_added_at"} if cfg.load_method == "upsert" else {}
-    store.load({"tracks": built.tracks}, CATALOG_SCHEMAS, cfg.load_method, **kwargs)
     other = {"on_duplicate": "error"} if cfg.load_method == "upsert" else {}
-    store.load({"albums": built.albums, "artists": built.artists}, CATALOG_SCHEMAS, cfg.load_method, **other)
+    with store.batch_changes():  # published views are rebuilt once, after all three loads
+        store.load({"tracks": built.tracks}, CATALOG_SCHEMAS, cfg.load_method, **kwargs)
+        store.load({"albums": built.albums, "artists": built.artists}, CATALOG_SCHEMAS, cfg.load_method, **other)
     if cfg.publish_views:
-        register_views(spark, store.select_all("tracks"), store.select_all("albums"),
-                       store.select_all("artists"), replace=cfg.replace_views)
+        publish_views(spark, store, replace=cfg.replace_views)
     return {r["reason"]: r["n"] for r in built.rejected.groupBy("reason").count().withColumnRenamed(
         "count", "n").collect()}
 

@@ -17,6 +17,8 @@ aggregate that gathers a whole group into one task.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,3 +179,34 @@ def register_views(spark: SparkSession, tracks: DataFrame, albums: DataFrame, ar
             df.createTempView(name)
             created.append(name)
     return created
+
+
+CATALOG_TABLES = ("tracks", "albums", "artists")
+_PUBLISHED: "weakref.WeakSet" = weakref.WeakSet()
+
+
+def publish_views(spark: SparkSession, store, replace: bool = False) -> list[str]:
+    """Register the views over ``store``'s tables and keep them current.
+
+    Views are created if missing (``replace`` re-creates them). A temp view
+    built from a DataFrame keeps the table version it was built on, so after
+    every committed load of ``tracks``/``albums``/``artists`` in ``store`` the
+    views published here are rebuilt over the new version (once per batch of
+    changes, see ``TableStore.batch_changes``).
+    """
+    if not all(store.table_exists(t) for t in CATALOG_TABLES):
+        return []
+    created = register_views(spark, *(store.select_all(t) for t in CATALOG_TABLES), replace=replace)
+    if store in _PUBLISHED:
+        return created
+    _PUBLISHED.add(store)
+    owned = set(created)
+
+    def refresh(tables: set[str]) -> None:
+        if owned and tables & set(CATALOG_TABLES) and all(store.table_exists(t) for t in CATALOG_TABLES):
+            for name, df in build_views(*(store.select_all(t) for t in CATALOG_TABLES)).items():
+                if name in owned:
+                    df.createOrReplaceTempView(name)
+
+    store.on_change(refresh)
+    return created
