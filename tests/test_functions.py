@@ -64,3 +64,12 @@ def test_sorted_distinct_join_many_chunks_matches_single_sort(spark):
     want = {r["k"]: r["out"] for r in df.groupBy("k").agg(
         F.array_join(F.array_sort(F.collect_set("v")), ", ").alias("out")).collect()}
     assert got == want
+
+
+def test_cluster_conf_scales_partitions():
+    from tunefold.session import cluster_conf
+
+    big = cluster_conf(100 << 40, 8000)  # 100 TiB on 8000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    small = cluster_conf(1 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

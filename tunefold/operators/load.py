@@ -170,8 +170,11 @@ class TableStore:
         try:
             if check_keys:
                 self.check_batch_keys(df, s.primary_key)
-                clash = df.select(*s.primary_key).join(self.select_all(name).select(*s.primary_key),
-                                                       list(s.primary_key), "left_semi")
+                # Probe the table with the batch keys; broadcast them when few (counted),
+                # so the target is filtered as it is scanned instead of shuffled.
+                batch_keys = checked_broadcast(df.select(*s.primary_key))
+                clash = self.select_all(name).select(*s.primary_key).join(
+                    batch_keys, list(s.primary_key), "left_semi")
                 if clash.limit(1).count():
                     raise KeyViolation(f"{name}: batch repeats keys already in the table")
             df.write.insertInto(self.qualified(name))

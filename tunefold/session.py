@@ -73,3 +73,27 @@ def ensure_local_dir(path: str) -> None:
         path = path[len("file:"):]
     if path.startswith("/"):
         os.makedirs(path, exist_ok=True)
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """SQL settings for a run over ``input_bytes`` of parquet on ``cores`` executor cores.
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input (at
+    least two waves of tasks); AQE then coalesces small ones and splits skewed
+    join partitions. Scans use the same split size. Apply with
+    ``spark.conf.set`` for each pair (all are runtime SQL settings).
+    """
+    waves = 2 * max(1, cores)
+    shuffle = max(waves, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        # Derived tables are broadcast only through checked_broadcast; keep Spark's
+        # own estimate-based broadcast for small scans at its default bound.
+        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+    }
