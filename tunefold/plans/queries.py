@@ -16,13 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import format_duration, int_div
+from ..functions.text import format_duration
 from ..operators.catalog import build_catalog, enrich_artists
 from ..operators.load import TableStore
 from ..operators.nested import collect_artist_ids, distinct_artist_ids, flatten_items
 from ..operators.ranking import dense_rank_global, top_k_with_ties
 from ..operators.runlog import RUN_START, RunLog, next_run_ids
-from ..schemas import CATALOG_SCHEMAS, RUN_LOG, TRACKS
+from ..schemas import CATALOG_SCHEMAS, RUN_LOG
 from ..session import scratch_path, shared_dir
 from ..sources.fixtures import derive_artist_docs, derive_run_history, materialized_catalog
 from ..sources.pages import land_artist_docs, land_pages, read_artist_docs, read_playlist_pages
@@ -242,5 +242,3 @@ def all_queries() -> dict[str, QueryFn]:
     g = globals()
     return {k: g[f"q_{k}"] for k in QUERY_KEYS}
 
-
-__all__ = ["all_queries", "QUERY_KEYS", "landing", "TRACKS", "int_div"]

@@ -97,7 +97,7 @@ def derive_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("album_name"),
         _day("first_order").alias("album_release_date"),
         F.coalesce(F.col("n_orders"), F.lit(0)).cast("int").alias("album_total_tracks"),
-    )
+    ).select(*ALBUMS.columns)
 
 
 def _supplier_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
