@@ -69,3 +69,12 @@ def test_track_without_artists_keeps_null_id(spark):
     assert [(r["track_id"], r["artist_id"]) for r in built.tracks.collect()] == [("t9", None)]
     assert built.albums.count() == 0
     assert [r["reason"] for r in built.rejected.collect()] == ["null album"]
+
+
+def test_malformed_page_fails_the_read(spark):
+    path = scratch_path(spark, "bad-json")
+    spark.createDataFrame([(json.dumps({**HEADER, "tracks": {"items": [ITEM1], "next": None}}),),
+                           ('{"id": "p", "tracks": {"items": [ {"added_at": ',)], "value string"
+                          ).coalesce(1).write.text(path)
+    with pytest.raises(Exception):
+        read_playlist_pages(spark, path).select("id", "tracks.items").collect()

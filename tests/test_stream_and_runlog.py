@@ -56,3 +56,25 @@ def test_run_job_logs_success_and_failure(spark):
     assert run_job(log, "j", boom, raise_on_error=False) is None
     got = sorted((r["run_id"], r["status"]) for r in log.rows().collect())
     assert got == [(1, RUN_START), (1, RUN_SUCCESS), (2, RUN_FAILURE), (2, RUN_START), (3, RUN_FAILURE), (3, RUN_START)]
+
+
+def test_stream_picks_up_only_new_files(spark):
+    from pyspark.sql import functions as F
+
+    c = materialized_catalog(spark, SF_SMALL)
+    first = c.tracks.where(F.col("playlist_id") <= "3")
+    later = c.tracks.where(F.col("playlist_id") > "3")
+    assert first.count() and later.count()
+    landing = scratch_path(spark, "landing-inc")
+    land_pages(first, c.albums, landing, files=2)
+    store = TableStore(spark)
+    ckpt = scratch_path(spark, "ckpt-inc")
+    q = stream_upsert(spark, landing, store, ckpt)
+    q.awaitTermination()
+    assert rows(store.select_all("tracks")) == rows(first)
+    land_pages(later, c.albums, landing, files=2, append=True)
+    q = stream_upsert(spark, landing, store, ckpt)
+    q.awaitTermination()
+    assert q.recentProgress and sum(p["numInputRows"] for p in q.recentProgress) == \
+        spark.read.json(landing).count() - spark.read.json(landing).where("id <= '3'").count()
+    assert rows(store.select_all("tracks")) == rows(c.tracks)

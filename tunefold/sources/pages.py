@@ -83,12 +83,15 @@ def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE)
 
 
 def land_pages(tracks: DataFrame, albums: DataFrame, path: str, files: int | None = None,
-               page_size: int = PAGE_SIZE) -> str:
-    """Write page rows as JSON lines under ``path`` (``files`` output files, hashed by page)."""
+               page_size: int = PAGE_SIZE, append: bool = False) -> str:
+    """Write page rows as JSON lines under ``path`` (``files`` output files, hashed by page).
+
+    ``append`` adds files to an existing landing (new pages for a running stream).
+    """
     pages = page_rows(tracks, albums, page_size)
     if files:
         pages = pages.repartition(files, "id", "page_no")
-    pages.drop("page_no").write.mode("errorifexists").json(path)
+    pages.drop("page_no").write.mode("append" if append else "errorifexists").json(path)
     return path
 
 
