@@ -75,3 +75,48 @@ def test_drop_and_recreate(spark, store):
     assert not store.table_exists("albums")
     store.create_tables([ALBUMS])
     assert store.select_all("albums").where(F.col("album_id") == "a").count() == 0
+
+
+def _tracks(spark, rows):
+    from tunefold.schemas import TRACKS
+
+    full = [(k, f"n{k}", pop, 1000, "2024-01-01", None, None, pl, pl, "s") for k, pop, pl in rows]
+    return spark.createDataFrame(full, TRACKS.struct)
+
+
+def _bucket(spark, playlist):
+    from tunefold.schemas import TRACK_PARTITION_BUCKETS
+
+    return spark.range(1).select(F.pmod(F.xxhash64(F.lit(playlist)), F.lit(TRACK_PARTITION_BUCKETS))).first()[0]
+
+
+def _files_of(spark, store, playlist):
+    raw = spark.table(store.qualified("tracks"))
+    return sorted(raw.where(F.col("playlist_bucket") == _bucket(spark, playlist)).inputFiles())
+
+
+def test_partitioned_upsert_rewrites_only_touched_buckets(spark, store):
+    assert len({_bucket(spark, p) for p in ("P1", "P2", "P3")}) == 3
+    store.overwrite(_tracks(spark, [("a", 1, "P1"), ("b", 1, "P1"), ("c", 1, "P2"), ("d", 1, "P3")]), "tracks")
+    p3_files = _files_of(spark, store, "P3")
+    # "c" moves from P2 to P1; "e" is new in P1; P3's bucket is not touched.
+    store.upsert(_tracks(spark, [("a", 2, "P1"), ("c", 2, "P1"), ("e", 2, "P1")]), "tracks")
+    got = sorted((r["track_id"], r["track_popularity"], r["playlist_id"]) for r in store.select_all("tracks").collect())
+    assert got == [("a", 2, "P1"), ("b", 1, "P1"), ("c", 2, "P1"), ("d", 1, "P3"), ("e", 2, "P1")]
+    assert _files_of(spark, store, "P3") == p3_files  # untouched bucket: same files
+    assert store.select_all("tracks").columns == store.schemas["tracks"].columns
+
+
+def test_partitioned_overwrite_drops_emptied_partitions(spark, store):
+    store.overwrite(_tracks(spark, [("a", 1, "P1"), ("b", 1, "P2")]), "tracks")
+    store.overwrite(_tracks(spark, [("z", 1, "P9")]), "tracks")
+    assert [(r["track_id"], r["playlist_id"]) for r in store.select_all("tracks").collect()] == [("z", "P9")]
+    partitions = [r[0] for r in spark.sql(f"SHOW PARTITIONS {store.qualified('tracks')}").collect()]
+    assert partitions == [f"playlist_bucket={_bucket(spark, 'P9')}"]
+
+
+def test_partitioned_insert_upsert_and_null_playlist(spark, store):
+    store.insert(_tracks(spark, [("a", 1, "it's"), ("n", 1, None)]), "tracks")
+    store.upsert(_tracks(spark, [("a", 5, "it's"), ("b", 1, "x"), ("n", 2, None)]), "tracks")
+    got = sorted((r["track_id"], r["track_popularity"], r["playlist_id"]) for r in store.select_all("tracks").collect())
+    assert got == [("a", 5, "it's"), ("b", 1, "x"), ("n", 2, None)]

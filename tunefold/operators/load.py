@@ -1,39 +1,52 @@
 """Keyed loads into catalog tables: insert, overwrite, upsert, plus select_all.
 
 Tables are ordinary Spark catalog tables (``USING parquet``) in one database
-whose files live in the shared folder. Every full rewrite goes to a fresh
-version folder and then ``ALTER TABLE ... SET LOCATION`` points the table at
-it. The switch is one catalog call, so readers see the old version or the new
+whose files live in the shared folder. A rewrite never touches files in
+place: it writes a fresh version folder and then points the catalog at it
+(``ALTER TABLE ... SET LOCATION``), so readers see the old version or the new
 one, never a half-written table. Spark also refuses to overwrite a path that
 the same plan reads, which an upsert always does.
 
 * ``insert``: plain append through the table's committer; fails on a NULL or
   repeated key in the batch or a key already in the table (primary key).
-* ``overwrite``: full replace (new version, then switch).
+* ``overwrite``: full replace.
 * ``upsert``: rows of the target whose key is not in the batch, plus the
-  batch (the batch row replaces the target row whole). One ``left_anti`` join
-  (a shuffle on the key) and one write. A key twice in one batch is an error
-  by default (as ``ON CONFLICT DO UPDATE`` refuses it); ``on_duplicate=
-  "keep_latest"`` keeps the row with the greatest ``order_by`` value instead.
-
-Primary-key checks are one aggregate over the batch keys (count vs distinct
-count vs NULL count) and one ``left_semi`` probe against the target; both
-are distributed jobs, nothing is collected but three numbers.
+  batch (the batch row replaces the target row whole). A key twice in one
+  batch is an error by default (as ``ON CONFLICT DO UPDATE`` refuses it);
+  ``on_duplicate="keep_latest"`` keeps the row with the greatest ``order_by``.
+
+Partitioned tables. A table declared with ``partition_by`` (``tracks`` by a
+hash bucket of its playlist, 1024 buckets) is a partitioned catalog table, and its loads rewrite only the
+partitions they touch: the batch's own partitions plus those that now hold one
+of the batch's keys (found by a semi join that reads only key and partition
+columns). The rows of those partitions are written once into a fresh version
+folder, one sub-folder per partition, and each partition's location is
+switched (``ALTER TABLE ... PARTITION ... SET LOCATION``); a partition left
+without rows is dropped from the catalog. Each switch is atomic; a key that
+moves between two partitions can be seen in both for the moment between their
+two switches. Upserting one playlist then costs its bucket, not the table.
+
+The batch is computed once (persisted) and checked by one aggregate: row
+count, distinct keys, NULL keys and the batch's partition values, i.e. a few
+numbers and at most one row per partition on the driver. The batch keys are
+broadcast to the target scan when that exact count is small, so the target is
+filtered where it is read instead of shuffled.
 """
 
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 from collections.abc import Callable, Mapping
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TableSchema
-from .joins import checked_broadcast
 from ..session import scratch_path
+from . import joins
 
 LOAD_METHODS = ("insert", "upsert", "overwrite")
 
@@ -42,6 +55,14 @@ class KeyViolation(ValueError):
     pass
 
 
+@dataclass(frozen=True)
+class BatchStats:
+    rows: int
+    distinct_keys: int
+    null_keys: int
+    partitions: tuple[tuple, ...]  # distinct partition values (empty for unpartitioned tables)
+
+
 class TableStore:
     """A database of keyed parquet tables under one root folder."""
 
@@ -54,6 +75,7 @@ class TableStore:
         self._pending: set[str] | None = None
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}/_db'")
 
+    # -- change notices ----------------------------------------------------
     def on_change(self, listener: Callable[[set[str]], None]) -> None:
         """Call ``listener(tables)`` after committed loads or drops.
 
@@ -86,7 +108,7 @@ class TableStore:
         for listener in list(self._listeners):
             listener(tables)
 
-    # -- catalog ---------------------------------------------------------
+    # -- catalog -----------------------------------------------------------
     def qualified(self, name: str) -> str:
         return f"`{self.database}`.`{name}`"
 
@@ -106,8 +128,9 @@ class TableStore:
             location = self._new_version(s.name)
             # An empty, schema-bearing version folder, so readers never miss a path.
             self.spark.createDataFrame([], s.struct).write.mode("errorifexists").parquet(location)
+            parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in s.partition_by)}) " if s.partition_by else ""
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.qualified(s.name)} ({s.ddl()}) "
-                           f"USING parquet LOCATION '{location}'")
+                           f"USING parquet {parts}LOCATION '{location}'")
 
     def drop_table(self, name: str) -> None:
         """Drop the table from the catalog; its version folders are left for readers still on them."""
@@ -115,32 +138,50 @@ class TableStore:
         self._changed(name)
 
     def select_all(self, name: str) -> DataFrame:
-        return self.spark.table(self.qualified(name))
+        """The whole table, declared columns in declared order (derived ones hidden)."""
+        df = self.spark.table(self.qualified(name))
+        return df.select(*self.schemas[name].columns) if name in self.schemas else df
+
+    def _stored(self, name: str) -> DataFrame:
+        """The table with its derived (partition) columns, for rewrites."""
+        return self.spark.table(self.qualified(name)).select(*self._schema(name).stored_columns)
 
     def _schema(self, name: str) -> TableSchema:
         if name not in self.schemas:
             raise ValueError(f"Table schema for {name} not found.")
         return self.schemas[name]
 
-    # -- checks ----------------------------------------------------------
+    # -- checks ------------------------------------------------------------
     def _conform(self, df: DataFrame, schema: TableSchema) -> DataFrame:
         missing = [c for c in schema.columns if c not in df.columns]
         if missing:
             raise ValueError(f"{schema.name}: batch lacks columns {missing}")
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.struct.fields])
+        cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.struct.fields]
+        cols += [F.expr(expr).cast("int").alias(name) for name, expr in schema.derived]
+        return df.select(*cols)
 
-    def check_batch_keys(self, df: DataFrame, keys: tuple[str, ...], allow_repeats: bool = False) -> None:
+    def batch_stats(self, df: DataFrame, s: TableSchema) -> BatchStats:
+        """Rows, distinct keys, NULL keys and partition values of a batch: one aggregate job."""
         any_null = F.lit(False)
-        for k in keys:
+        for k in s.primary_key:
             any_null = any_null | F.col(k).isNull()
-        row = df.agg(F.count(F.lit(1)).alias("n"),
-                     F.count_distinct(*[F.col(k) for k in keys]).alias("d"),
-                     F.sum(any_null.cast("long")).alias("nulls")).first()
-        n, d, nulls = row["n"], row["d"], row["nulls"] or 0
-        if nulls:
-            raise KeyViolation(f"{nulls} row(s) with a NULL key in {keys}")
-        if n != d + nulls and not allow_repeats:
-            raise KeyViolation(f"{n - d} repeated key(s) in the batch on {keys}")
+        aggs = [F.count(F.lit(1)).alias("n"),
+                F.count_distinct(*[F.col(k) for k in s.primary_key]).alias("d"),
+                F.sum(any_null.cast("long")).alias("nulls")]
+        if s.partition_by:
+            # At most one entry per partition of the table.
+            aggs.append(F.collect_set(F.struct(*[F.col(c) for c in s.partition_by])).alias("parts"))
+        row = df.agg(*aggs).first()
+        parts = tuple(sorted((tuple(p) for p in row["parts"]), key=repr)) if s.partition_by else ()
+        return BatchStats(row["n"], row["d"], row["nulls"] or 0, parts)
+
+    def check_batch_keys(self, stats: BatchStats, s: TableSchema, allow_repeats: bool = False) -> None:
+        if stats.null_keys:
+            raise KeyViolation(f"{stats.null_keys} row(s) with a NULL key in {s.primary_key}")
+        if stats.rows != stats.distinct_keys and not allow_repeats:
+            raise KeyViolation(f"{stats.rows - stats.distinct_keys} repeated key(s) in the batch on {s.primary_key}")
+        if any(v is None for t in stats.partitions for v in t):
+            raise KeyViolation(f"{s.name}: NULL in partition column(s) {s.partition_by}")
 
     def _keep_latest(self, df: DataFrame, keys: tuple[str, ...], order_by: str) -> DataFrame:
         """One row per key: greatest ``order_by`` (NULL lowest), then greatest row as a tie-break.
@@ -154,7 +195,13 @@ class TableStore:
         best = df.groupBy(*keys).agg(F.max_by(row, rank).alias("__row"))
         return best.select("__row.*").select(*cols)
 
-    # -- loads -----------------------------------------------------------
+    @staticmethod
+    def _keys_for_probe(df: DataFrame, keys: list[str], stats: BatchStats) -> DataFrame:
+        """Batch keys, broadcast when their exact count is within the broadcast bound."""
+        k = df.select(*keys)
+        return F.broadcast(k) if stats.rows <= joins.BROADCAST_MAX_ROWS else k
+
+    # -- writes --------------------------------------------------------------
     def _switch(self, name: str, df: DataFrame) -> None:
         location = self._new_version(name)
         df.write.mode("errorifexists").parquet(location)
@@ -162,22 +209,65 @@ class TableStore:
         self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
         self._changed(name)
 
+    def _table_partitions(self, name: str, s: TableSchema) -> set[tuple]:
+        """Partition values present in the table (reads only the partition columns)."""
+        return {tuple(r) for r in self._stored(name).select(*s.partition_by).distinct().collect()}
+
+    def _switch_partitions(self, s: TableSchema, touched: list[tuple], rows: DataFrame,
+                           present: set[tuple] | None = None) -> None:
+        """Make ``rows`` the whole content of the ``touched`` partitions; others stay as they are.
+
+        ``present``: the touched partitions known to receive rows (computed when not given).
+        """
+        if not touched:
+            return
+        part = list(s.partition_by)
+        types = s.types()
+        specs = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(part, t)]) for t in touched]
+        # Folder index of each row's partition (1-based): plain integers, no path escaping.
+        index = F.array_position(F.array(*specs), F.struct(*[F.col(c) for c in part]))
+        rows = rows.withColumn("__part", index).drop(*part)
+        version = self._new_version(s.name)
+        if present is None:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if present is None:
+                filled = {r["__part"] for r in rows.select("__part").distinct().collect()}
+            else:
+                filled = {i for i, t in enumerate(touched, start=1) if t in present}
+            rows.write.mode("errorifexists").partitionBy("__part").parquet(version)
+        finally:
+            rows.unpersist()
+        q = self.qualified(s.name)
+        for i, t in enumerate(touched, start=1):
+            spec = ", ".join(f"`{c}` = {_sql_literal(v)}" for c, v in zip(part, t))
+            if i in filled:
+                location = f"{version}/__part={i}"
+                self.spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}'")
+                self.spark.sql(f"ALTER TABLE {q} PARTITION ({spec}) SET LOCATION '{location}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {q} DROP IF EXISTS PARTITION ({spec})")
+        self.spark.sql(f"REFRESH TABLE {q}")
+        self._changed(s.name)
+
+    # -- loads ---------------------------------------------------------------
     def insert(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
         s = self._schema(name)
         self.create_tables([s])
-        # The batch feeds the key checks and the write: compute it once.
+        # The batch feeds the checks and the write: compute it once.
         df = self._conform(df, s).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            stats = self.batch_stats(df, s)
             if check_keys:
-                self.check_batch_keys(df, s.primary_key)
-                # Probe the table with the batch keys; broadcast them when few (counted),
-                # so the target is filtered as it is scanned instead of shuffled.
-                batch_keys = checked_broadcast(df.select(*s.primary_key))
-                clash = self.select_all(name).select(*s.primary_key).join(
-                    batch_keys, list(s.primary_key), "left_semi")
+                self.check_batch_keys(stats, s)
+                keys = list(s.primary_key)
+                clash = self.select_all(name).select(*keys).join(
+                    self._keys_for_probe(df, keys, stats), keys, "left_semi")
                 if clash.limit(1).count():
                     raise KeyViolation(f"{name}: batch repeats keys already in the table")
-            df.write.insertInto(self.qualified(name))
+            elif any(v is None for t in stats.partitions for v in t):
+                raise KeyViolation(f"{name}: NULL in partition column(s) {s.partition_by}")
+            df.select(*s.table_order).write.insertInto(self.qualified(name))
         finally:
             df.unpersist()
         self._changed(name)
@@ -185,13 +275,19 @@ class TableStore:
     def overwrite(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
         s = self._schema(name)
         self.create_tables([s])
-        df = self._conform(df, s)
-        if check_keys:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = self._conform(df, s).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            stats = self.batch_stats(df, s)
             if check_keys:
-                self.check_batch_keys(df, s.primary_key)
-            self._switch(name, df)
+                self.check_batch_keys(stats, s)
+            elif any(v is None for t in stats.partitions for v in t):
+                raise KeyViolation(f"{name}: NULL in partition column(s) {s.partition_by}")
+            if s.partition_by:
+                # Every current partition is replaced; those without new rows are dropped.
+                touched = sorted(self._table_partitions(name, s) | set(stats.partitions), key=repr)
+                self._switch_partitions(s, touched, df, present=set(stats.partitions))
+            else:
+                self._switch(name, df)
         finally:
             df.unpersist()
 
@@ -213,16 +309,29 @@ class TableStore:
         if latest:
             # NULL keys survive as their own group, so the check below still sees them.
             df = self._keep_latest(df, s.primary_key, order_by)
-        # The batch feeds the checks, the anti-join keys and the union: compute it once.
+        # The batch feeds the checks, the probe keys and the union: compute it once.
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            stats = self.batch_stats(df, s)
             if check_keys or not latest:
-                self.check_batch_keys(df, s.primary_key)
-            # A batch is usually far smaller than the table: broadcast its keys when
-            # they are few (counted), so the target is filtered where it is read.
-            batch_keys = checked_broadcast(df.select(*keys))
-            kept = self.select_all(name).join(batch_keys, keys, "left_anti")
-            self._switch(name, kept.unionByName(df))
+                self.check_batch_keys(stats, s, allow_repeats=latest)
+            elif any(v is None for t in stats.partitions for v in t):
+                raise KeyViolation(f"{name}: NULL in partition column(s) {s.partition_by}")
+            batch_keys = self._keys_for_probe(df, keys, stats)
+            target = self._stored(name)
+            if not s.partition_by:
+                self._switch(name, target.join(batch_keys, keys, "left_anti").unionByName(df))
+                return
+            part = list(s.partition_by)
+            # Partitions now holding a batch key lose that row (it moves to the batch's partition).
+            holding = {tuple(r) for r in target.select(*keys, *part).join(batch_keys, keys, "left_semi")
+                       .select(*part).distinct().collect()}
+            batch_parts = set(stats.partitions)
+            touched = sorted(batch_parts | holding, key=repr)
+            kept = target.where(_in_partitions(s, touched)).join(batch_keys, keys, "left_anti")
+            # Without moves every touched partition is a batch partition, so all get rows.
+            present = batch_parts if holding <= batch_parts else None
+            self._switch_partitions(s, touched, kept.unionByName(df), present=present)
         finally:
             df.unpersist()
 
@@ -237,3 +346,23 @@ class TableStore:
         for name, df in tables.items():
             self._schema(name)  # raises for a table without schema
             getattr(self, method)(df, name, **kwargs)
+
+
+def _in_partitions(s: TableSchema, touched: list[tuple]) -> Column:
+    """Predicate on the partition columns only, so the scan is pruned to ``touched``."""
+    part = list(s.partition_by)
+    if len(part) == 1:
+        return F.col(part[0]).isin([t[0] for t in touched])
+    types = s.types()
+    return F.struct(*[F.col(c) for c in part]).isin(
+        *[F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(part, t)]) for t in touched])
+
+
+def _sql_literal(v) -> str:
+    """A SQL literal for a partition value in DDL (strings quoted and escaped)."""
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"

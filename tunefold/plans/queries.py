@@ -167,7 +167,9 @@ def q_load_upsert(spark, sf_dir):
 def q_stream_upsert(spark, sf_dir):
     c = _cat(spark, sf_dir)
     landing_dir = scratch_path(spark, "stream-landing")
-    land_pages(c.tracks, c.albums, landing_dir, files=STREAM_FILES)
+    # One playlist per file, as a pull of one playlist lands: each micro-batch
+    # then upserts whole playlists and rewrites only their partition buckets.
+    land_pages(c.tracks, c.albums, landing_dir, files=STREAM_FILES, by="playlist")
     store = _store(spark)
     q = stream_upsert(spark, landing_dir, store, scratch_path(spark, "stream-checkpoint"),
                       max_files_per_trigger=1)

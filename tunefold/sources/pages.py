@@ -83,14 +83,17 @@ def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE)
 
 
 def land_pages(tracks: DataFrame, albums: DataFrame, path: str, files: int | None = None,
-               page_size: int = PAGE_SIZE, append: bool = False) -> str:
-    """Write page rows as JSON lines under ``path`` (``files`` output files, hashed by page).
+               page_size: int = PAGE_SIZE, append: bool = False, by: str = "page") -> str:
+    """Write page rows as JSON lines under ``path``.
 
-    ``append`` adds files to an existing landing (new pages for a running stream).
+    ``files`` output files, pages hashed to them by page (``by="page"``) or by
+    playlist (``by="playlist"``: every file holds whole playlists, as one pull of
+    one playlist would land). ``append`` adds files to an existing landing.
     """
     pages = page_rows(tracks, albums, page_size)
     if files:
-        pages = pages.repartition(files, "id", "page_no")
+        keys = ("id", "page_no") if by == "page" else ("id",)
+        pages = pages.repartition(files, *keys)
     pages.drop("page_no").write.mode("append" if append else "errorifexists").json(path)
     return path
 
