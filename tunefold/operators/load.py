@@ -36,6 +36,7 @@ filtered where it is read instead of shuffled.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 from collections.abc import Callable, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -43,6 +44,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..schemas import TableSchema
 from ..session import scratch_path
@@ -210,8 +212,13 @@ class TableStore:
         self._changed(name)
 
     def _table_partitions(self, name: str, s: TableSchema) -> set[tuple]:
-        """Partition values present in the table (reads only the partition columns)."""
-        return {tuple(r) for r in self._stored(name).select(*s.partition_by).distinct().collect()}
+        """Partition values registered in the catalog (``SHOW PARTITIONS``: metadata, no scan)."""
+        types = s.types()
+        out = set()
+        for row in self.spark.sql(f"SHOW PARTITIONS {self.qualified(name)}").collect():
+            spec = dict(part.split("=", 1) for part in row[0].split("/"))
+            out.add(tuple(_from_partition_text(unquote(spec[c]), types[c]) for c in s.partition_by))
+        return out
 
     def _switch_partitions(self, s: TableSchema, touched: list[tuple], rows: DataFrame,
                            present: set[tuple] | None = None) -> None:
@@ -366,3 +373,10 @@ def _sql_literal(v) -> str:
         return repr(v)
     text = str(v).replace("\\", "\\\\").replace("'", "\\'")
     return f"'{text}'"
+
+
+def _from_partition_text(text: str, dtype) -> object:
+    """A partition value as listed by ``SHOW PARTITIONS`` back to its Python value."""
+    if text == "__HIVE_DEFAULT_PARTITION__":
+        return None
+    return int(text) if isinstance(dtype, IntegralType) else text
