@@ -1,16 +1,22 @@
 """The five analytic views over ``tracks`` / ``albums`` / ``artists``.
 
 Each view is a function ``DataFrame... -> DataFrame``; ``register_views``
-publishes them by name (create-if-missing, like the warehouse setup step).
+publishes them by name (create-if-missing, like the warehouse setup step), and
+``publish_views`` also rebuilds them after every load of the store's tables.
 
-Shape of every plan (see ``.explain``): no window without a partition, no
-aggregate that gathers a whole group into one task.
+Shape of every plan (see ``.explain`` / PLANS.md): no window without a
+partition, and no aggregate gathers a whole group into one task. The one
+exception is the finished name list of a genre, which is itself the output value.
 
 * Global dense ranks go through ``dense_rank_global`` (rank the distinct key
   values, broadcast back under a checked size).
 * Window averages/counts per album or month are partial aggregates joined
   back: a hot album or month is combined map-side instead of sorted in one task.
 * The whole-relation average is a one-row scalar subquery.
+* Tracks without an album are spread over all tasks in the tracks-albums
+  left join instead of hashing to one reducer.
+* The genre rollup tags track-side and artist-side rows and runs one distinct
+  pass for both counts and one chunked, range-partitioned pass for both name lists.
 * Final ``ORDER BY`` keys get a unique tie-breaker, so a range partition is
   never one giant tie.
 """
@@ -154,29 +160,37 @@ VIEW_NAMES = (
 )
 
 
-def build_views(tracks: DataFrame, albums: DataFrame, artists: DataFrame) -> dict[str, DataFrame]:
+def view_builders(tracks: DataFrame, albums: DataFrame, artists: DataFrame) -> dict:
+    """``name -> () -> DataFrame``; building a view runs its small planning jobs (rank sizes)."""
     return {
-        "top_5_most_popular_artists_contribution": top_5_most_popular_artists_contribution(tracks, artists),
-        "most_popular_tracks_with_duration": most_popular_tracks_with_duration(tracks),
-        "track_popularity_trend_by_release_year_month": track_popularity_trend_by_release_year_month(tracks, albums),
-        "album_track_popularity_comparison": album_track_popularity_comparison(tracks, albums),
-        "genre_track_and_artist_details": genre_track_and_artist_details(tracks, artists),
+        "top_5_most_popular_artists_contribution": lambda: top_5_most_popular_artists_contribution(tracks, artists),
+        "most_popular_tracks_with_duration": lambda: most_popular_tracks_with_duration(tracks),
+        "track_popularity_trend_by_release_year_month":
+            lambda: track_popularity_trend_by_release_year_month(tracks, albums),
+        "album_track_popularity_comparison": lambda: album_track_popularity_comparison(tracks, albums),
+        "genre_track_and_artist_details": lambda: genre_track_and_artist_details(tracks, artists),
     }
 
 
+def build_views(tracks: DataFrame, albums: DataFrame, artists: DataFrame) -> dict[str, DataFrame]:
+    return {name: build() for name, build in view_builders(tracks, albums, artists).items()}
+
+
 def register_views(spark: SparkSession, tracks: DataFrame, albums: DataFrame, artists: DataFrame,
-                   replace: bool = False) -> list[str]:
+                   replace: bool = False, only: set[str] | None = None) -> list[str]:
     """Publish each view as a temp view; an existing view is kept unless ``replace``.
 
-    Returns the names that were (re)created.
+    Only the views that get (re)registered are built. Returns their names.
     """
     created = []
-    for name, df in build_views(tracks, albums, artists).items():
+    for name, build in view_builders(tracks, albums, artists).items():
+        if only is not None and name not in only:
+            continue
         if replace:
-            df.createOrReplaceTempView(name)
+            build().createOrReplaceTempView(name)
             created.append(name)
         elif not spark.catalog.tableExists(name):
-            df.createTempView(name)
+            build().createTempView(name)
             created.append(name)
     return created
 
@@ -204,9 +218,7 @@ def publish_views(spark: SparkSession, store, replace: bool = False) -> list[str
 
     def refresh(tables: set[str]) -> None:
         if owned and tables & set(CATALOG_TABLES) and all(store.table_exists(t) for t in CATALOG_TABLES):
-            for name, df in build_views(*(store.select_all(t) for t in CATALOG_TABLES)).items():
-                if name in owned:
-                    df.createOrReplaceTempView(name)
+            register_views(spark, *(store.select_all(t) for t in CATALOG_TABLES), replace=True, only=owned)
 
     store.on_change(refresh)
     return created
