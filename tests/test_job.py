@@ -33,3 +33,18 @@ def test_job_runs_twice_and_views_follow_the_tables(spark):
     log = RunLog(store).rows()
     assert sorted((r["run_id"], r["status"]) for r in log.collect()) == [
         (1, "start"), (1, "success"), (2, "start"), (2, "success")]
+
+
+def test_command_line_one_shot(spark):
+    import uuid
+
+    from tunefold.__main__ import main
+
+    c = materialized_catalog(spark, SF_SMALL)
+    docs = land_artist_docs(derive_artist_docs(spark, SF_SMALL), scratch_path(spark, "cli-docs"))
+    pages = land_pages(c.tracks, c.albums, scratch_path(spark, "cli-pages"), files=2)
+    db = f"cli_{uuid.uuid4().hex[:8]}"
+    main(["--pages", pages, "--artists", docs, "--database", db, "--method", "overwrite"], spark=spark)
+    assert spark.table(f"{db}.tracks").count() == c.tracks.count()
+    assert [r["status"] for r in spark.table(f"{db}.pipeline_logs").orderBy("status").collect()] == \
+        ["start", "success"]
