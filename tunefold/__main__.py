@@ -1,6 +1,6 @@
 """Command line: run the catalogue job once, or keep a stream running.
 
-    spark-submit -m tunefold --pages PATH --artists PATH [--method upsert]
+    python -m tunefold --pages PATH --artists PATH [--method upsert]
     python -m tunefold --pages PATH --artists PATH --poll-seconds 86400
 
 One-shot mode reads the landed pages, builds and loads the catalogue, publishes
