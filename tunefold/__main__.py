@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 
 from .operators.load import TableStore
 from .plans.job import JobConfig, run_catalog_job
-from .session import scratch_path, shared_dir
+from .session import shared_dir
 from .streaming.upsert_stream import stream_upsert
 
 
@@ -48,7 +48,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     rejected = run_catalog_job(spark, store, cfg, raise_on_error=not args.no_raise)
     print(json.dumps({"database": args.database, "rejected": rejected}))
     if args.poll_seconds:
-        q = stream_upsert(spark, args.pages, store, scratch_path(spark, f"{args.database}-stream"),
+        # A stable checkpoint beside the tables: a restarted command resumes after
+        # the last committed micro-batch instead of re-reading every landed file.
+        q = stream_upsert(spark, args.pages, store, f"{root}/_stream_checkpoint",
                           processing_time=f"{args.poll_seconds} seconds", query_name=f"{args.database}_tracks")
         q.awaitTermination()
     return rejected or {}
