@@ -214,15 +214,12 @@ from tracks"""),
 
     "load_insert": with_catalog(f"select {TRACK_COLS} from tracks"),
 
-    "load_overwrite": with_catalog(f"select {TRACK_COLS} from tracks where cast(track_id as bigint) % 2 = 0"),
+    "load_overwrite": with_catalog(f"select {TRACK_COLS} from tracks where album_id is not null"),
 
-    "load_upsert": with_catalog(f"""
-select {TRACK_COLS} from tracks
-where cast(track_id as bigint) % 3 <> 0 and cast(track_id as bigint) % 2 <> 0
-union all
+    "load_upsert": with_catalog("""
 select track_id, track_name, track_popularity + 1 as track_popularity, track_duration_ms, track_added_at,
        album_id, artist_id, playlist_id, playlist_name, snapshot_id
-from tracks where cast(track_id as bigint) % 2 = 0"""),
+from tracks"""),
 
     "stream_upsert": with_catalog(f"select {TRACK_COLS} from tracks"),
 

@@ -31,7 +31,7 @@ from . import views as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-# Fixed values of the load cases (FIXTURES.md §2 "Load cases").
+# Fixed values of the run-log append case.
 APPEND_TIMESTAMP = "2024-02-01 00:00:00"
 APPEND_CONFIG = '{"source": "events"}'
 STREAM_FILES = 5
@@ -71,10 +71,6 @@ def _store(spark: SparkSession) -> TableStore:
     return store
 
 
-def _key_num() -> F.Column:
-    return F.col("track_id").cast("bigint")
-
-
 # -- sources and nested data -------------------------------------------------
 
 def q_read_playlist_pages(spark, sf_dir):
@@ -139,26 +135,30 @@ def q_dense_rank_global(spark, sf_dir):
 # -- loads ---------------------------------------------------------------------
 
 def q_load_insert(spark, sf_dir):
+    # Two inserts with disjoint keys that together hold every track.
     t = _cat(spark, sf_dir).tracks
     store = _store(spark)
-    store.insert(t.where(_key_num() % 2 == 0), "tracks")
-    store.insert(t.where(_key_num() % 2 == 1), "tracks")
+    store.insert(t.where(F.col("track_popularity").isNotNull()), "tracks")
+    store.insert(t.where(F.col("track_popularity").isNull()), "tracks")
     return store.select_all("tracks")
 
 
 def q_load_overwrite(spark, sf_dir):
+    # Every track, then replaced by the tracks that are on an album.
     t = _cat(spark, sf_dir).tracks
     store = _store(spark)
     store.overwrite(t, "tracks")
-    store.overwrite(t.where(_key_num() % 2 == 0), "tracks")
+    store.overwrite(t.where(F.col("album_id").isNotNull()), "tracks")
     return store.select_all("tracks")
 
 
 def q_load_upsert(spark, sf_dir):
+    # Target: tracks on an album. Batch: every track, popularity + 1, so existing
+    # keys are updated and the tracks without an album are inserted.
     t = _cat(spark, sf_dir).tracks
     store = _store(spark)
-    store.overwrite(t.where(_key_num() % 3 != 0), "tracks")
-    batch = t.where(_key_num() % 2 == 0).withColumn("track_popularity", F.col("track_popularity") + 1)
+    store.overwrite(t.where(F.col("album_id").isNotNull()), "tracks")
+    batch = t.withColumn("track_popularity", F.col("track_popularity") + 1)
     store.upsert(batch, "tracks")
     store.upsert(batch, "tracks")  # a second application changes nothing
     return store.select_all("tracks")
