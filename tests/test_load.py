@@ -63,9 +63,9 @@ def test_overwrite_replaces_and_old_readers_keep_their_version(spark, store):
 
 def test_load_dispatch_errors(spark, store):
     df = _albums(spark, [("a", "A", "2020", 1)])
-    with pytest.raises(ValueError, match="Invalid load method"):
+    with pytest.raises(ValueError, match="unknown load method"):
         store.load({"albums": df}, method="merge")
-    with pytest.raises(ValueError, match="schema for nope"):
+    with pytest.raises(ValueError, match="no schema declared for table 'nope'"):
         store.load({"nope": df}, method="insert")
 
 

@@ -150,7 +150,7 @@ class TableStore:
 
     def _schema(self, name: str) -> TableSchema:
         if name not in self.schemas:
-            raise ValueError(f"Table schema for {name} not found.")
+            raise ValueError(f"no schema declared for table {name!r}")
         return self.schemas[name]
 
     # -- checks ------------------------------------------------------------
@@ -346,7 +346,7 @@ class TableStore:
              method: str = "overwrite", **kwargs) -> None:
         """Load each named frame with one method; each table is its own atomic step."""
         if method not in LOAD_METHODS:
-            raise ValueError("Invalid load method. Please specify one of: [insert, upsert, overwrite]")
+            raise ValueError(f"unknown load method {method!r}: use one of {', '.join(LOAD_METHODS)}")
         if schemas:
             for s in schemas.values():
                 self.schemas.setdefault(s.name, s)
