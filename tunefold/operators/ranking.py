@@ -10,8 +10,8 @@ rank is computed over the distinct keys and joined back:
    * Up to ``single_task_keys`` keys: one window over the distinct keys (a task
      holding at most that many rows), broadcast back (size now checked).
    * Above: range buckets from ``percentile_approx`` cut points (bounded list
-     on the driver), a per-bucket dense rank, and per-bucket offsets from a
-     table of at most ``n_buckets`` rows. The join back is then a
+     on the driver; each key finds its bucket by binary search), a per-bucket
+     dense rank, and per-bucket offsets from a table of at most ``n_buckets`` rows. The join back is then a
      shuffle join on ``k``; AQE's skew-join split handles a hot key.
 3. Desc order puts NULL first (rank 1), asc puts it last, as the warehouse does.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,13 +56,18 @@ def ranked_keys(df: DataFrame, key: str, out: str, descending: bool = True,
     n_buckets = max(2, math.ceil(n_values / keys_per_bucket))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = keys.agg(F.percentile_approx(_K, probs, 10_000).alias("c")).first()["c"]
-    cuts = sorted(set(cuts))
-    # Bucket = number of cut points below the key; equal keys share a bucket.
-    cut_arr = F.array(*[F.lit(c) for c in cuts])
-    bucket = F.size(F.filter(cut_arr, lambda c: c < F.col(_K)))
+    cuts = sorted({float(c) for c in cuts})
+    # Bucket by binary search over the cut points (JVM-side Bucketizer). The
+    # double cast never reverses the order and maps equal keys alike, so equal
+    # keys share a bucket and buckets are ordered ranges; the exact key orders
+    # rows inside a bucket.
+    splits = [-math.inf] + cuts + [math.inf]
+    keyed = keys.where(F.col(_K).isNotNull()).withColumn("__kd", F.col(_K).cast("double"))
+    keyed = Bucketizer(splits=splits, inputCol="__kd", outputCol="__b").transform(keyed)
+    bucket = F.col("__b").cast("int")
     if descending:
         bucket = F.lit(len(cuts)) - bucket
-    keyed = keys.where(F.col(_K).isNotNull()).withColumn(_B, bucket)
+    keyed = keyed.withColumn(_B, bucket).drop("__kd", "__b")
     # One row per bucket: exact sizes; offsets by a running sum over <= n_buckets rows.
     sizes = keyed.groupBy(_B).agg(F.count(F.lit(1)).alias("__size"))
     offsets = sizes.select(
