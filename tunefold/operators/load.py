@@ -230,9 +230,15 @@ class TableStore:
             return
         part = list(s.partition_by)
         types = s.types()
-        specs = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(part, t)]) for t in touched]
-        # Folder index of each row's partition (1-based): plain integers, no path escaping.
-        index = F.array_position(F.array(*specs), F.struct(*[F.col(c) for c in part]))
+        if len(part) == 1 and isinstance(types[part[0]], IntegralType):
+            # An integer partition value (a hash bucket) names its own folder: no lookup, no escaping.
+            folder = {t: int(t[0]) for t in touched}
+            index = F.col(part[0]).cast("long")
+        else:
+            # Otherwise the folder is the partition's position in ``touched`` (bounded list).
+            folder = {t: i for i, t in enumerate(touched, start=1)}
+            specs = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(part, t)]) for t in touched]
+            index = F.array_position(F.array(*specs), F.struct(*[F.col(c) for c in part]))
         rows = rows.withColumn("__part", index).drop(*part)
         version = self._new_version(s.name)
         if present is None:
@@ -241,15 +247,15 @@ class TableStore:
             if present is None:
                 filled = {r["__part"] for r in rows.select("__part").distinct().collect()}
             else:
-                filled = {i for i, t in enumerate(touched, start=1) if t in present}
+                filled = {folder[t] for t in touched if t in present}
             rows.write.mode("errorifexists").partitionBy("__part").parquet(version)
         finally:
             rows.unpersist()
         q = self.qualified(s.name)
-        for i, t in enumerate(touched, start=1):
+        for t in touched:
             spec = ", ".join(f"`{c}` = {_sql_literal(v)}" for c, v in zip(part, t))
-            if i in filled:
-                location = f"{version}/__part={i}"
+            if folder[t] in filled:
+                location = f"{version}/__part={folder[t]}"
                 self.spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}'")
                 self.spark.sql(f"ALTER TABLE {q} PARTITION ({spec}) SET LOCATION '{location}'")
             else:
