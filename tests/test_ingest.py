@@ -78,3 +78,14 @@ def test_malformed_page_fails_the_read(spark):
                           ).coalesce(1).write.text(path)
     with pytest.raises(Exception):
         read_playlist_pages(spark, path).select("id", "tracks.items").collect()
+
+
+def test_flatten_struct_keeps_arrays_and_names_paths(spark):
+    from tunefold.operators.nested import flatten_struct
+
+    df = spark.createDataFrame(
+        [(1, (2, (3, "x")), [1, 2])],
+        "id int, a struct<b:int, c:struct<d:int, e:string>>, arr array<int>")
+    flat = flatten_struct(df)
+    assert flat.columns == ["id", "a_b", "a_c_d", "a_c_e", "arr"]
+    assert tuple(flat.first()) == (1, 2, 3, "x", [1, 2])

@@ -57,3 +57,18 @@ def test_month_trend_keeps_one_row_per_track(spark):
     assert got == [("A", "2023-01", 13, 2), ("B", "2023-01", 13, 2)]
     nulls = [tuple(r) for r in V.track_popularity_trend_by_release_year_month(tracks, albums).collect() if r[0] is None]
     assert nulls == [(None, None, 7, 1)]
+
+
+def test_register_views_keeps_existing_unless_replace(spark):
+    tracks = spark.createDataFrame([("t1", "x", 50, 1000, None, None)], TRACK)
+    albums = spark.createDataFrame([], "album_id string, album_name string, album_release_date string, "
+                                       "album_total_tracks int")
+    artists = spark.createDataFrame([], "artist_id string, artist_name string, artist_genres string, "
+                                        "artist_popularity int")
+    spark.range(3).createOrReplaceTempView("most_popular_tracks_with_duration")
+    created = V.register_views(spark, tracks, albums, artists)
+    assert "most_popular_tracks_with_duration" not in created
+    assert spark.table("most_popular_tracks_with_duration").columns == ["id"]  # left alone
+    created = V.register_views(spark, tracks, albums, artists, replace=True)
+    assert set(created) == set(V.VIEW_NAMES)
+    assert spark.table("most_popular_tracks_with_duration").count() == 1
