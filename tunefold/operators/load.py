@@ -336,14 +336,17 @@ class TableStore:
                 self._switch(name, target.join(batch_keys, keys, "left_anti").unionByName(df))
                 return
             part = list(s.partition_by)
-            # Partitions now holding a batch key lose that row (it moves to the batch's partition).
-            holding = {tuple(r) for r in target.select(*keys, *part).join(batch_keys, keys, "left_semi")
-                       .select(*part).distinct().collect()}
             batch_parts = set(stats.partitions)
+            # Other partitions holding a batch key lose that row (it moves into the
+            # batch's partition). The batch's own partitions are rewritten anyway,
+            # so only the others are probed (pruned to key + partition columns).
+            others = target.where(~_in_partitions(s, sorted(batch_parts, key=repr))) if batch_parts else target
+            holding = {tuple(r) for r in others.select(*keys, *part).join(batch_keys, keys, "left_semi")
+                       .select(*part).distinct().collect()}
             touched = sorted(batch_parts | holding, key=repr)
             kept = target.where(_in_partitions(s, touched)).join(batch_keys, keys, "left_anti")
             # Without moves every touched partition is a batch partition, so all get rows.
-            present = batch_parts if holding <= batch_parts else None
+            present = batch_parts if not holding else None
             self._switch_partitions(s, touched, kept.unionByName(df), present=present)
         finally:
             df.unpersist()
