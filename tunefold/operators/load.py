@@ -162,14 +162,17 @@ class TableStore:
         cols += [F.expr(expr).cast("int").alias(name) for name, expr in schema.derived]
         return df.select(*cols)
 
-    def batch_stats(self, df: DataFrame, s: TableSchema) -> BatchStats:
-        """Rows, distinct keys, NULL keys and partition values of a batch: one aggregate job."""
+    def batch_stats(self, df: DataFrame, s: TableSchema, keys_unique: bool = False) -> BatchStats:
+        """Rows, distinct keys, NULL keys and partition values of a batch: one aggregate job.
+
+        ``keys_unique``: the batch was just grouped by key, so the distinct count
+        (an extra shuffle) is the row count minus nothing and is skipped.
+        """
         any_null = F.lit(False)
         for k in s.primary_key:
             any_null = any_null | F.col(k).isNull()
-        aggs = [F.count(F.lit(1)).alias("n"),
-                F.count_distinct(*[F.col(k) for k in s.primary_key]).alias("d"),
-                F.sum(any_null.cast("long")).alias("nulls")]
+        distinct = F.count(F.lit(1)) if keys_unique else F.count_distinct(*[F.col(k) for k in s.primary_key])
+        aggs = [F.count(F.lit(1)).alias("n"), distinct.alias("d"), F.sum(any_null.cast("long")).alias("nulls")]
         if s.partition_by:
             # At most one entry per partition of the table.
             aggs.append(F.collect_set(F.struct(*[F.col(c) for c in s.partition_by])).alias("parts"))
@@ -325,7 +328,7 @@ class TableStore:
         # The batch feeds the checks, the probe keys and the union: compute it once.
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            stats = self.batch_stats(df, s)
+            stats = self.batch_stats(df, s, keys_unique=latest)
             if check_keys or not latest:
                 self.check_batch_keys(stats, s, allow_repeats=latest)
             elif any(v is None for t in stats.partitions for v in t):
