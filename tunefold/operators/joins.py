@@ -1,11 +1,14 @@
-"""Joins whose broadcast side has a checked size.
+"""Join helpers: size-checked broadcasts, NULL-key spreading, input spreading.
 
-Spark broadcasts on its own when a side's *estimated* size is under
-``spark.sql.autoBroadcastJoinThreshold``; for derived tables (aggregates, rank
-tables) the estimate is often unknown or far off. ``checked_broadcast``
-measures instead: it counts at most ``max_rows + 1`` rows (a limit, so a big
-side is not counted in full) and broadcasts only below the bound. Above it the
-side is left to a shuffle join, where AQE's skew-join split handles hot keys.
+* ``checked_broadcast``: Spark broadcasts on its own when a side's *estimated*
+  size is under ``spark.sql.autoBroadcastJoinThreshold``; for derived tables
+  (aggregates, rank tables) the estimate is often unknown or far off. This
+  measures instead: it counts at most ``max_rows + 1`` rows (a limit, so a big
+  side is not counted in full) and broadcasts only below the bound. Above it
+  the side is left to a shuffle join, where AQE's skew-join split handles hot keys.
+* ``left_join_spread_nulls``: a left join whose NULL keys are spread over all
+  tasks instead of hashing to one reducer.
+* ``spread``: hash-partition a scan that arrives in fewer splits than cores.
 """
 
 from __future__ import annotations
