@@ -9,7 +9,6 @@ executor sees it; only when that setting is absent (unit tests) do we pick one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,18 +62,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tunefold-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path
-
-
-def ensure_local_dir(path: str) -> None:
-    """Hadoop writers create folders themselves; this is only for local streaming sources."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-    if path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-
-
 def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """SQL settings for a run over ``input_bytes`` of parquet on ``cores`` executor cores.
 
