@@ -91,7 +91,9 @@ def track_popularity_trend_by_release_year_month(tracks: DataFrame, albums: Data
                          F.col("n").cast("bigint").alias("num_tracks_per_release_year_month")))
     rows = left_join_spread_nulls(t, a, "album_id", "track_id").select(
         "track_id", "album_name", "album_release_year_month")
-    m = checked_broadcast(per_month, persist=True)
+    # Not persisted: views are rebuilt after every load, and a cache per rebuild
+    # would pile up; the month totals are a light aggregate to compute twice.
+    m = checked_broadcast(per_month)
     j = rows.join(m, rows["album_release_year_month"].eqNullSafe(m["__ym"]), "left").drop("__ym")
     if ordered:
         j = j.orderBy(F.col("album_release_year_month").desc_nulls_first(), "track_id")
