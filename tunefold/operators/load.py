@@ -163,22 +163,40 @@ class TableStore:
         return df.select(*cols)
 
     def batch_stats(self, df: DataFrame, s: TableSchema, keys_unique: bool = False) -> BatchStats:
-        """Rows, distinct keys, NULL keys and partition values of a batch: one aggregate job.
-
-        ``keys_unique``: the batch was just grouped by key, so the distinct count
-        (an extra shuffle) is the row count minus nothing and is skipped.
+        """Rows, distinct keys, NULL keys and partition values of a batch.
+
+        Grouped by key first (a hash aggregate, map-side combined), then the
+        groups are summed: cheaper than a distinct count next to other
+        aggregates, which Spark expands. Per key the lowest and highest
+        partition value are kept; they are all of its partitions whenever the
+        key is not repeated, and a repeated key is an error (or was resolved by
+        keep-latest) before partitions are used. ``keys_unique``: the batch was
+        just grouped by key, so one plain aggregate suffices.
         """
         any_null = F.lit(False)
         for k in s.primary_key:
             any_null = any_null | F.col(k).isNull()
-        distinct = F.count(F.lit(1)) if keys_unique else F.count_distinct(*[F.col(k) for k in s.primary_key])
-        aggs = [F.count(F.lit(1)).alias("n"), distinct.alias("d"), F.sum(any_null.cast("long")).alias("nulls")]
-        if s.partition_by:
-            # At most one entry per partition of the table.
-            aggs.append(F.collect_set(F.struct(*[F.col(c) for c in s.partition_by])).alias("parts"))
-        row = df.agg(*aggs).first()
-        parts = tuple(sorted((tuple(p) for p in row["parts"]), key=repr)) if s.partition_by else ()
-        return BatchStats(row["n"], row["d"], row["nulls"] or 0, parts)
+        part = F.struct(*[F.col(c) for c in s.partition_by]) if s.partition_by else None
+        if keys_unique:
+            aggs = [F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("d"),
+                    F.sum(any_null.cast("long")).alias("nulls")]
+            if part is not None:
+                aggs.append(F.collect_set(part).alias("parts"))
+            row = df.agg(*aggs).first()
+            parts = row["parts"] if part is not None else []
+        else:
+            per_key = [F.count(F.lit(1)).alias("c"), F.max(any_null).alias("k_null")]
+            if part is not None:
+                per_key += [F.min(part).alias("p_lo"), F.max(part).alias("p_hi")]
+            groups = df.groupBy(*s.primary_key).agg(*per_key)
+            aggs = [F.sum("c").alias("n"), F.count(F.when(~F.col("k_null"), 1)).alias("d"),
+                    F.sum(F.when(F.col("k_null"), F.col("c")).otherwise(0)).alias("nulls")]
+            if part is not None:
+                aggs += [F.collect_set("p_lo").alias("lo"), F.collect_set("p_hi").alias("hi")]
+            row = groups.agg(*aggs).first()
+            parts = (row["lo"] or []) + (row["hi"] or []) if part is not None else []
+        uniq = sorted({tuple(p) for p in parts}, key=repr)
+        return BatchStats(int(row["n"] or 0), int(row["d"] or 0), int(row["nulls"] or 0), tuple(uniq))
 
     def check_batch_keys(self, stats: BatchStats, s: TableSchema, allow_repeats: bool = False) -> None:
         if stats.null_keys:
