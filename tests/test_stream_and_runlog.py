@@ -78,3 +78,23 @@ def test_stream_picks_up_only_new_files(spark):
     assert q.recentProgress and sum(p["numInputRows"] for p in q.recentProgress) == \
         spark.read.json(landing).count() - spark.read.json(landing).where("id <= '3'").count()
     assert rows(store.select_all("tracks")) == rows(c.tracks)
+
+
+def test_polling_stream_follows_new_landings(spark):
+    from pyspark.sql import functions as F
+
+    c = materialized_catalog(spark, SF_SMALL)
+    first = c.tracks.where(F.col("playlist_id") <= "3")
+    landing = scratch_path(spark, "landing-poll")
+    land_pages(first, c.albums, landing, files=1, by="playlist")
+    store = TableStore(spark)
+    q = stream_upsert(spark, landing, store, scratch_path(spark, "ckpt-poll"), processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        assert rows(store.select_all("tracks")) == rows(first)
+        land_pages(c.tracks.where(F.col("playlist_id") > "3"), c.albums, landing, files=1, by="playlist",
+                   append=True)
+        q.processAllAvailable()
+        assert rows(store.select_all("tracks")) == rows(c.tracks)
+    finally:
+        q.stop()
