@@ -33,6 +33,8 @@ def test_job_runs_twice_and_views_follow_the_tables(spark):
     log = RunLog(store).rows()
     assert sorted((r["run_id"], r["status"]) for r in log.collect()) == [
         (1, "start"), (1, "success"), (2, "start"), (2, "success")]
+    texts = [r["logs"] for r in log.where("status = 'success'").collect()]
+    assert all("building the catalogue" in t and "rejected items" in t for t in texts)
 
 
 def test_command_line_one_shot(spark):

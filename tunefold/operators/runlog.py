@@ -15,6 +15,7 @@ did (``max + 1`` without a lock).
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Callable
 from typing import Any
 
@@ -75,18 +76,50 @@ class RunLog:
         self.append(row)
 
 
+class _Capture(logging.Handler):
+    """Collects the ``tunefold`` log records of one run as text."""
+
+    def __init__(self):
+        super().__init__(logging.INFO)
+        self.lines: list[str] = []
+        self.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(name)s: %(message)s"))
+
+    def emit(self, record: logging.LogRecord) -> None:
+        self.lines.append(self.format(record))
+
+
 def run_job(run_log: RunLog, pipeline_name: str, work: Callable[[], Any], config: dict | None = None,
             raise_on_error: bool = True, logs: Callable[[], str] | None = None) -> Any:
-    """Log start, run ``work()``, log success or fail (then re-raise unless ``raise_on_error=False``)."""
+    """Log start, run ``work()``, log success or fail (then re-raise unless ``raise_on_error=False``).
+
+    Messages sent to the ``tunefold`` logger during the run are stored in the
+    ``logs`` column of the success / fail row (``logs()`` overrides them).
+    """
     run_id = run_log.next_run_id(pipeline_name)
     run_log.log(pipeline_name, run_id, RUN_START, config=config)
+    logger = logging.getLogger("tunefold")
+    capture = _Capture()
+    logger.addHandler(capture)
+    old_level = logger.level
+    if logger.getEffectiveLevel() > logging.INFO:
+        logger.setLevel(logging.INFO)
+
+    def text() -> str | None:
+        if logs:
+            return logs()
+        return "\n".join(capture.lines) or None
+
     try:
-        result = work()
-    except BaseException as e:  # noqa: BLE001 - the failure is logged first
-        run_log.log(pipeline_name, run_id, RUN_FAILURE, config=config,
-                    logs=(logs() if logs else "") + f"failed: {type(e).__name__}: {e}")
-        if raise_on_error:
-            raise
-        return None
-    run_log.log(pipeline_name, run_id, RUN_SUCCESS, config=config, logs=logs() if logs else None)
-    return result
+        try:
+            result = work()
+        except BaseException as e:  # noqa: BLE001 - the failure is logged first
+            logger.error("run %s of %s failed: %s: %s", run_id, pipeline_name, type(e).__name__, e)
+            run_log.log(pipeline_name, run_id, RUN_FAILURE, config=config, logs=text())
+            if raise_on_error:
+                raise
+            return None
+        run_log.log(pipeline_name, run_id, RUN_SUCCESS, config=config, logs=text())
+        return result
+    finally:
+        logger.removeHandler(capture)
+        logger.setLevel(old_level)

@@ -10,6 +10,7 @@ wrapped in the run log (start / success / fail).
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,8 @@ from ..schemas import CATALOG_SCHEMAS
 from ..sources.pages import check_pages_complete, read_artist_docs, read_playlist_pages
 from .views import publish_views
 
+log = logging.getLogger("tunefold.job")
+
 
 @dataclass
 class JobConfig:
@@ -34,19 +37,25 @@ class JobConfig:
 
 def load_catalog(spark: SparkSession, store: TableStore, cfg: JobConfig) -> dict[str, int]:
     """One run without the log: returns the rejected-item count per reason."""
+    log.info("reading pages from %s", cfg.pages_path)
     pages = read_playlist_pages(spark, cfg.pages_path)
     check_pages_complete(pages)
+    log.info("building the catalogue")
     built = build_catalog(pages, read_artist_docs(spark, cfg.artist_docs_path))
     store.create_tables(CATALOG_SCHEMAS)
+    log.info("loading tracks, albums, artists by %s into %s", cfg.load_method, store.database)
     kwargs = {"on_duplicate": "keep_latest", "order_by": "track_added_at"} if cfg.load_method == "upsert" else {}
     other = {"on_duplicate": "error"} if cfg.load_method == "upsert" else {}
     with store.batch_changes():  # published views are rebuilt once, after all three loads
         store.load({"tracks": built.tracks}, CATALOG_SCHEMAS, cfg.load_method, **kwargs)
         store.load({"albums": built.albums, "artists": built.artists}, CATALOG_SCHEMAS, cfg.load_method, **other)
     if cfg.publish_views:
-        publish_views(spark, store, replace=cfg.replace_views)
-    return {r["reason"]: r["n"] for r in built.rejected.groupBy("reason").count().withColumnRenamed(
+        created = publish_views(spark, store, replace=cfg.replace_views)
+        log.info("views created: %s", ", ".join(created) or "none (already present)")
+    rejected = {r["reason"]: r["n"] for r in built.rejected.groupBy("reason").count().withColumnRenamed(
         "count", "n").collect()}
+    log.info("rejected items: %s", rejected or "none")
+    return rejected
 
 
 def run_catalog_job(spark: SparkSession, store: TableStore, cfg: JobConfig, raise_on_error: bool = True):
