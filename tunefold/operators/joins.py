@@ -46,11 +46,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     input in one or two splits (a single row group) would otherwise run its
     whole map-side aggregate in one task.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    # A small input: one partition per core is enough (more would be empty tasks).
+    return df.repartition(cores, *keys)
 
 
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str, salt: str) -> DataFrame:
