@@ -120,3 +120,10 @@ def test_partitioned_insert_upsert_and_null_playlist(spark, store):
     store.upsert(_tracks(spark, [("a", 5, "it's"), ("b", 1, "x"), ("n", 2, None)]), "tracks")
     got = sorted((r["track_id"], r["track_popularity"], r["playlist_id"]) for r in store.select_all("tracks").collect())
     assert got == [("a", 5, "it's"), ("b", 1, "x"), ("n", 2, None)]
+
+
+def test_insert_after_upsert_lands_in_the_switched_partition(spark, store):
+    store.upsert(_tracks(spark, [("a", 1, "P1")]), "tracks")  # P1's bucket now lives in a version folder
+    store.insert(_tracks(spark, [("b", 1, "P1"), ("c", 1, "P7")]), "tracks")
+    got = sorted((r["track_id"], r["playlist_id"]) for r in store.select_all("tracks").collect())
+    assert got == [("a", "P1"), ("b", "P1"), ("c", "P7")]
