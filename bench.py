@@ -3,7 +3,7 @@
 Each query is built and run to completion through Spark's ``noop`` sink (the
 whole plan executes; no rows travel to Python). ``catalog_build`` derives the
 catalogue from the raw tables and writes it (the load step every view reads);
-every other key is timed as the best of ``$BENCH_REPEAT`` runs (default 3). The JVM is
+every other key is timed as the best of ``$BENCH_REPEAT`` runs (default 2). The JVM is
 warmed up first by running every step once on the smallest tables (JIT and
 code generation), so the timings are steady-state.
 Prints one JSON line on stdout.
@@ -47,7 +47,7 @@ def _run(fn, spark, sf_dir) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     only = [a for a in sys.argv[1:]]
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
                           app="tunefold-bench")
