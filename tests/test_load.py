@@ -127,3 +127,10 @@ def test_insert_after_upsert_lands_in_the_switched_partition(spark, store):
     store.insert(_tracks(spark, [("b", 1, "P1"), ("c", 1, "P7")]), "tracks")
     got = sorted((r["track_id"], r["playlist_id"]) for r in store.select_all("tracks").collect())
     assert got == [("a", "P1"), ("b", "P1"), ("c", "P7")]
+
+
+def test_keys_stay_in_partition_skips_the_probe(spark, store):
+    store.overwrite(_tracks(spark, [("a", 1, "P1"), ("b", 1, "P2")]), "tracks")
+    store.upsert(_tracks(spark, [("a", 2, "P1"), ("d", 2, "P1")]), "tracks", keys_stay_in_partition=True)
+    got = sorted((r["track_id"], r["track_popularity"], r["playlist_id"]) for r in store.select_all("tracks").collect())
+    assert got == [("a", 2, "P1"), ("b", 1, "P2"), ("d", 2, "P1")]

@@ -326,10 +326,13 @@ class TableStore:
             df.unpersist()
 
     def upsert(self, df: DataFrame, name: str, on_duplicate: str = "error", order_by: str | None = None,
-               check_keys: bool = True) -> None:
+               check_keys: bool = True, keys_stay_in_partition: bool = False) -> None:
         """Target rows whose key is not in the batch, plus the batch.
 
         ``check_keys=False`` skips the NULL-key check where the caller guarantees it.
+        ``keys_stay_in_partition=True`` (partitioned tables) skips the probe of the
+        other partitions for keys that moved; only for callers whose keys never
+        change partition, since a moved key would then exist twice.
         """
         s = self._schema(name)
         self.create_tables([s])
@@ -362,8 +365,9 @@ class TableStore:
             # batch's partition). The batch's own partitions are rewritten anyway,
             # so only the others are probed (pruned to key + partition columns).
             others = target.where(~_in_partitions(s, sorted(batch_parts, key=repr))) if batch_parts else target
-            holding = {tuple(r) for r in others.select(*keys, *part).join(batch_keys, keys, "left_semi")
-                       .select(*part).distinct().collect()}
+            holding = set() if keys_stay_in_partition else {
+                tuple(r) for r in others.select(*keys, *part).join(batch_keys, keys, "left_semi")
+                .select(*part).distinct().collect()}
             touched = sorted(batch_parts | holding, key=repr)
             kept = target.where(_in_partitions(s, touched)).join(batch_keys, keys, "left_anti")
             # Without moves every touched partition is a batch partition, so all get rows.
