@@ -18,7 +18,8 @@ from .conftest import SF_SMALL
 KEYS = ["most_popular_tracks_with_duration", "top_5_most_popular_artists_contribution",
         "track_popularity_trend_by_release_year_month", "album_track_popularity_comparison",
         "genre_track_and_artist_details", "dense_rank_global", "top_k_with_ties", "load_upsert",
-        "catalog_artists", "read_playlist_pages"]
+        "catalog_artists", "read_playlist_pages", "load_insert", "artist_enrichment", "catalog_albums",
+        "distinct_artist_ids"]
 
 
 @pytest.fixture()
