@@ -25,7 +25,13 @@ from ..operators.runlog import RUN_START, RunLog, next_run_ids
 from ..schemas import CATALOG_SCHEMAS, RUN_LOG
 from ..session import scratch_path, shared_dir
 from ..sources.fixtures import derive_artist_docs, derive_run_history, materialized_catalog
-from ..sources.pages import land_artist_docs, land_pages, read_artist_docs, read_playlist_pages
+from ..sources.pages import (
+    check_pages_complete,
+    land_artist_docs,
+    land_pages,
+    read_artist_docs,
+    read_playlist_pages,
+)
 from ..streaming.upsert_stream import stream_upsert
 from . import views as V
 
@@ -75,6 +81,7 @@ def _store(spark: SparkSession) -> TableStore:
 
 def q_read_playlist_pages(spark, sf_dir):
     p = _pages(spark, sf_dir)
+    check_pages_complete(p)  # one last page per playlist, as following `next` to the end would find
     return p.select("id", "name", "snapshot_id", F.size("tracks.items").cast("bigint").alias("n_items"),
                     F.col("tracks.next").alias("next_page"))
 
