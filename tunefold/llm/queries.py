@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunefold.llm import neardup, packing, tokenfile
+from tunefold.llm import ann, mainhtml, neardup, packing, quality, tokenfile, toxicity
 from tunefold.llm.common import table
 
 
@@ -17,6 +17,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    rated = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").withColumn("rating", quality.rating())
+    return quality.rate(docs, quality.train(docs, rated))
+
+
+def op4_max_subsequence_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return mainhtml.extract(pages, mainhtml.learned(pages))
+
+
+def op5_nonnegative_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
 def op6_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
@@ -31,7 +47,19 @@ def op9_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, percent=85)
 
 
+def op10_kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
-    found = (op6_karmarkar_karp_packing, op8_arrow_token_files, op9_minhash_near_duplicates)
+    found = (
+        op3_ordinal_quality,
+        op4_max_subsequence_html,
+        op5_nonnegative_pu_toxicity,
+        op6_karmarkar_karp_packing,
+        op8_arrow_token_files,
+        op9_minhash_near_duplicates,
+        op10_kmeans_tree_neighbours,
+    )
     return {f.__name__: f for f in found}
