@@ -48,6 +48,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: ASCII bytes other than letters and digits; what cuts words of running text.
+SIGNS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _VALUE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _STEP = np.array([pow(_BASE, 1, 2**64)], np.uint64), np.array([pow(_BASE, -1, 2**64)], np.uint64)
@@ -68,10 +70,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _hash_block(texts: list[bytes], gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     a = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
-    space = _SPACE[a]
-    edge = np.diff(space.view(np.int8))
+    edge = np.diff(gaps[a].view(np.int8))
     starts, ends = np.flatnonzero(edge < 0) + 1, np.flatnonzero(edge > 0) + 1
     up, down = _powers(len(a) + 1)
     sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_VALUE[_LOWER[a]] * up[: len(a)])]
@@ -80,22 +81,22 @@ def _hash_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return hashes, np.searchsorted(starts, bounds), starts, ends
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the ASCII-lower-cased words of UTF-8 texts, one after another, and where each text's begin.
 
-    A word is a run of bytes other than ASCII white space. The second array has one entry more than there are texts.
+    A word is a run of bytes that are no gaps (ASCII white space, unless told otherwise). The second array has one entry more than there are texts.
     A text longer than a block is hashed in blocks that end at white space.
     """
     if sum(map(len, texts)) <= 2 * BLOCK_BYTES:
-        return _hash_block(texts)[:2]
+        return _hash_block(texts, gaps)[:2]
     found, bounds = [], [0]
     for t in texts:
         at, n = 0, 0
         while at < len(t):
             end = min(len(t), at + BLOCK_BYTES)
-            while end < len(t) and not _SPACE[t[end]]:
+            while end < len(t) and not gaps[t[end]]:
                 end += 1
-            h = _hash_block([t[at:end]])[0]
+            h = _hash_block([t[at:end]], gaps)[0]
             found.append(h)
             n += len(h)
             at = end

@@ -3,7 +3,8 @@
 A token is a run of bytes that are no separators. Its features are hashes of the
 whole token and of its first bytes (3 to 6), and, if asked for, of its last
 three bytes together with how often the text has them (so a mark on one word
-differs from a mark on every word). A text's features are the distinct ones.
+differs from a mark on every word), and the share of words that repeat the one
+before. A text's features are the distinct ones.
 """
 
 from __future__ import annotations
@@ -62,7 +63,9 @@ class Features:
         if self.marks and len(last):
             kind, count = np.unique(last, return_counts=True)
             share = np.clip(-np.log2(count / len(last)), 0, 6).astype(np.uint64)
-            found = [found[0], mix(kind * np.uint64(8) + share)]
+            again = (found[0][1:] == found[0][:-1]).mean() if len(last) > 1 else 0.0
+            often = np.array([900 + int(np.ceil(10 * again))], np.uint64)  # words that repeat the one before, in tenths
+            found = [found[0], mix(kind * np.uint64(8) + share), mix(often)]
         idx = (np.concatenate(found) & np.uint64(BUCKETS - 1)).astype(np.int64)
         order = np.arange(len(idx))
         self.slot[idx] = order  # one of equal buckets stays

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tunefold.llm.training import back, dots, full_weights, held_out, matrix, sampled, scored, screened
 
 #: Sample bound, steps, step size, weight decay.
-RATED, STEPS, RATE, DECAY = 12_000, 400, 0.05, 1e-4
+RATED, STEPS, RATE, DECAY = 12_000, 400, 0.05, 3e-4
 
 
 def rating() -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunefold.llm import ann, mainhtml, neardup, packing, quality, tokenfile, toxicity
+from tunefold.llm import ann, decontam, mainhtml, neardup, packing, quality, tokenfile, toxicity
 from tunefold.llm.common import table
 
 
@@ -17,6 +17,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_bm25_block_max_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.matches(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     rated = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").withColumn("rating", quality.rating())
@@ -54,6 +59,7 @@ def op10_kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
     found = (
+        op1_bm25_block_max_decontamination,
         op3_ordinal_quality,
         op4_max_subsequence_html,
         op5_nonnegative_pu_toxicity,

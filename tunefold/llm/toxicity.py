@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tunefold.llm.training import back, dots, full_weights, held_out, matrix, sampled, scored, screened
 
 #: Sample bounds, steps, step size and weight decay.
-POSITIVES, UNLABELLED, STEPS, RATE, DECAY = 4000, 12_000, 400, 0.05, 1e-4
+POSITIVES, UNLABELLED, STEPS, RATE, DECAY = 4000, 12_000, 400, 0.05, 3e-4
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

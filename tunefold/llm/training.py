@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from tunefold.llm.common import batches, utf8, written
 from tunefold.llm.features import BUCKETS, Features
 
-#: Partitions of a sample, features that are kept.
-PARTS, TOP = 8, 4096
+#: Partitions of a sample, features that are kept, their least difference in standard errors (of 262,144
+#: buckets) and as a ratio of shares (a text's length alone moves the shares of all words a little).
+PARTS, TOP, LEAST_Z, RATIO = 8, 4096, 5.0, 3.0
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -53,9 +54,10 @@ def screened(sample: DataFrame, style: str, top: int = TOP) -> np.ndarray:
     n0, n1 = np.maximum(rows, 1)
     p = (count.sum(axis=0) + 1) / (n0 + n1 + 2)
     z = np.abs(count[1] / n1 - count[0] / n0) / np.sqrt(p * (1 - p) * (1 / n0 + 1 / n1))
-    z[count.sum(axis=0) < 4] = 0
+    ratio = np.abs(np.log((count[1] + 0.5) / n1) - np.log((count[0] + 0.5) / n0))
+    z[(count.sum(axis=0) < 4) | (ratio < np.log(RATIO))] = 0
     best = np.argsort(-z, kind="stable")[:top]
-    return np.sort(best[z[best] > 3])
+    return np.sort(best[z[best] > LEAST_Z])
 
 
 def matrix(sample: DataFrame, style: str, kept: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
