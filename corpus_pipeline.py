@@ -1,21 +1,70 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input.
+
+1. quality: the ordinal classifier is trained on the rated documents of this
+   input; documents whose probability of grade 1 or better is under a half go.
+2. near_duplicates: of every group (five-word shingles, similarity 0.8 or more,
+   transitively) the document of least id stays.
+3. decontamination: documents that hold a benchmark item go.
+4. surrogates: personal data is replaced in the texts.
+5. packing: the remaining texts as sequences of at most 2048 tokens.
+
+Null texts, empty tables, repeated rows and extra columns: as the operators'
+docstrings say. A row without doc_id is kept by the second stage; rows that
+repeat a doc_id are one document there and one of them stays.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tunefold.llm import packing
-from tunefold.llm.common import written
+from tunefold.llm import decontam, neardup, packing, quality, surrogates
+from tunefold.llm.common import table, written
 from tunefold.llm.queries import tokenizer_path
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier selects."""
+    rated = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").withColumn("rating", quality.rating())
+    return quality.select(docs, quality.train(docs, rated))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near duplicates."""
+    judged = written(neardup.near_duplicates(docs, k=5, percent=80), "stage-near")
+    gone = judged.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    out = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    ids = judged.where("kept and doc_id is not null").groupBy("doc_id").count()
+    if ids.where("count > 1").isEmpty():
+        return out
+    once = out.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return once.unionByName(out.where("doc_id is null"))
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with surrogates for personal data."""
+    return surrogates.replaced(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens, one row per piece."""
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("quality", good),
+    ("near_duplicates", distinct),
+    ("decontamination", uncontaminated),
+    ("surrogates", private),
+    ("packing", packed),
+]
 
+#: No SQL: a trained model, MinHash, a tokenizer. tests/llm holds the stages against brute-force versions.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunefold.llm import ann, decontam, mainhtml, neardup, packing, quality, tokenfile, toxicity
+from tunefold.llm import ann, decontam, mainhtml, neardup, packing, quality, spans, surrogates, tokenfile, toxicity
 from tunefold.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op1_bm25_block_max_decontamination(spark: SparkSession, sf_dir: str) -> Data
     return decontam.matches(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op2_keyed_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     rated = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").withColumn("rating", quality.rating())
@@ -43,6 +47,10 @@ def op6_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_sentence_span_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return tokenfile.token_files(spark, docs, tokenizer_path("word_bpe_49k.json"))
@@ -60,10 +68,12 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
     found = (
         op1_bm25_block_max_decontamination,
+        op2_keyed_surrogates,
         op3_ordinal_quality,
         op4_max_subsequence_html,
         op5_nonnegative_pu_toxicity,
         op6_karmarkar_karp_packing,
+        op7_sentence_span_deduplication,
         op8_arrow_token_files,
         op9_minhash_near_duplicates,
         op10_kmeans_tree_neighbours,
