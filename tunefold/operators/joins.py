@@ -1,57 +1,15 @@
-"""Join helpers: size-checked broadcasts, NULL-key spreading, input spreading.
+"""Join helper: a left join whose NULL keys are spread over all tasks.
 
-* ``checked_broadcast``: Spark broadcasts on its own when a side's *estimated*
-  size is under ``spark.sql.autoBroadcastJoinThreshold``; for derived tables
-  (aggregates, rank tables) the estimate is often unknown or far off. This
-  measures instead: it counts at most ``max_rows + 1`` rows (a limit, so a big
-  side is not counted in full) and broadcasts only below the bound. Above it
-  the side is left to a shuffle join, where AQE's skew-join split handles hot keys.
-* ``left_join_spread_nulls``: a left join whose NULL keys are spread over all
-  tasks instead of hashing to one reducer.
-* ``spread``: hash-partition a scan that arrives in fewer splits than cores.
+Which side of a join is broadcast is left to Spark: AQE decides by the bytes
+that a stage has really written. Only tables that are small by construction
+(k ranks, one row per range partition, fixed dimensions) carry a broadcast hint.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, bound: int) -> int:
-    """``min(count(df), bound + 1)``: stops reading once the bound is passed."""
-    return df.limit(bound + 1).count()
-
-
-def checked_broadcast(df: DataFrame, max_rows: int | None = None, persist: bool = False) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    ``persist`` keeps the measured rows (memory, then disk) so a side derived
-    from a large table is not computed twice.
-    """
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = row_count_at_most(df, max_rows)
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition ``df`` on ``keys`` when its scan has fewer splits than the cluster has cores.
-
-    A large input already arrives in many splits, and then this is a no-op: the
-    aggregate or join that follows shuffles on the same keys anyway. A small
-    input in one or two splits (a single row group) would otherwise run its
-    whole map-side aggregate in one task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    # A small input: one partition per core is enough (more would be empty tasks).
-    return df.repartition(cores, *keys)
-
 
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str, salt: str) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING ``key``, with NULL left keys spread over all tasks.

@@ -2,18 +2,23 @@
 
 ``dense_rank() OVER (ORDER BY k DESC)`` with no partition moves every row into
 one task. A dense rank depends only on the *distinct* values of ``k``, so the
-rank is computed over the distinct keys and joined back:
+rank is computed over the distinct keys and joined back, by one plan for every
+size and every orderable type:
 
 1. ``keys = df.select(k).distinct()``: partial aggregation per map task, so a
    value held by a third of all rows costs one row per task in the shuffle.
-2. Count the distinct keys (one small job).
-   * Up to ``single_task_keys`` keys: one window over the distinct keys (a task
-     holding at most that many rows), broadcast back (size now checked).
-   * Above: range buckets from ``percentile_approx`` cut points (bounded list
-     on the driver; each key finds its bucket by binary search), a per-bucket
-     dense rank, and per-bucket offsets from a table of at most ``n_buckets`` rows. The join back is then a
-     shuffle join on ``k``; AQE's skew-join split handles a hot key.
-3. Desc order puts NULL first (rank 1), asc puts it last, as the warehouse does.
+2. The distinct keys are range-partitioned in rank order and ranked inside
+   their partition; a partition's offset is the number of keys before it (a
+   running sum over one row per partition, broadcast).
+3. The ranked keys are joined back on ``k``; Spark picks the join by measured
+   size, and AQE's skew-join split handles a hot key.
+
+Desc order puts NULL first (rank 1), asc puts it last, as the warehouse does.
+Building the plan runs no job: the offsets are part of it. Both uses of the
+ranges (ranks inside them, their sizes) come from one exchange, which Spark
+reuses. Should a session have turned that reuse off, the ranges could be cut
+twice and differently; every row therefore compares its range's size with the
+one that its offset was made from, and a difference fails the query.
 
 Top-k with ties is the same idea cut short: the k best distinct values come
 from ``orderBy().limit(k)`` (per-task top-k, then a merge of k x tasks rows),
@@ -22,16 +27,11 @@ and that k-row table is broadcast.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SINGLE_TASK_KEYS = 2_000_000
-KEYS_PER_BUCKET = 1_000_000
 _K = "__rank_key"
-_B = "__rank_bucket"
+_P = "__rank_part"
 
 
 def _order(col: Column, descending: bool) -> Column:
@@ -39,61 +39,30 @@ def _order(col: Column, descending: bool) -> Column:
     return col.desc_nulls_first() if descending else col.asc_nulls_last()
 
 
-def ranked_keys(df: DataFrame, key: str, out: str, descending: bool = True,
-                single_task_keys: int | None = None,
-                keys_per_bucket: int | None = None) -> tuple[DataFrame, int]:
-    """``(distinct key, dense rank)`` table and its row count."""
-    single_task_keys = SINGLE_TASK_KEYS if single_task_keys is None else single_task_keys
-    keys_per_bucket = KEYS_PER_BUCKET if keys_per_bucket is None else keys_per_bucket
+def ranked_keys(df: DataFrame, key: str, out: str, descending: bool = True) -> DataFrame:
+    """``(distinct key, dense rank)``; NaN is one value, greater than all numbers, as Spark orders it."""
+    order = _order(F.col(_K), descending)
     keys = df.select(F.col(key).alias(_K)).distinct()
-    stats = keys.agg(F.count(F.lit(1)).alias("n"), F.count(_K).alias("n_values")).first()
-    n, n_values = int(stats["n"]), int(stats["n_values"])
-    if n <= single_task_keys:
-        w = Window.orderBy(_order(F.col(_K), descending))
-        return keys.select(_K, F.dense_rank().over(w).cast("bigint").alias(out)), n
-
-    has_null = n > n_values
-    n_buckets = max(2, math.ceil(n_values / keys_per_bucket))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = keys.agg(F.percentile_approx(_K, probs, 10_000).alias("c")).first()["c"]
-    cuts = sorted({float(c) for c in cuts})
-    # Bucket by binary search over the cut points (JVM-side Bucketizer). The
-    # double cast never reverses the order and maps equal keys alike, so equal
-    # keys share a bucket and buckets are ordered ranges; the exact key orders
-    # rows inside a bucket.
-    splits = [-math.inf] + cuts + [math.inf]
-    keyed = keys.where(F.col(_K).isNotNull()).withColumn("__kd", F.col(_K).cast("double"))
-    keyed = Bucketizer(splits=splits, inputCol="__kd", outputCol="__b").transform(keyed)
-    bucket = F.col("__b").cast("int")
-    if descending:
-        bucket = F.lit(len(cuts)) - bucket
-    keyed = keyed.withColumn(_B, bucket).drop("__kd", "__b")
-    # One row per bucket: exact sizes; offsets by a running sum over <= n_buckets rows.
-    sizes = keyed.groupBy(_B).agg(F.count(F.lit(1)).alias("__size"))
-    offsets = sizes.select(
-        _B, (F.sum("__size").over(Window.orderBy(_B)) - F.col("__size")).alias("__offset"))
-    local = Window.partitionBy(_B).orderBy(_order(F.col(_K), descending))
-    null_shift = 1 if (has_null and descending) else 0
-    ranked = (keyed.withColumn("__local", F.dense_rank().over(local))
-              .join(F.broadcast(offsets), _B)
-              .select(_K, (F.col("__offset") + F.col("__local") + F.lit(null_shift)).cast("bigint").alias(out)))
-    if has_null:
-        null_rank = F.lit(1) if descending else F.lit(n_values + 1)
-        null_row = keys.where(F.col(_K).isNull()).select(_K, null_rank.cast("bigint").alias(out))
-        ranked = ranked.unionByName(null_row)
-    return ranked, n
-
-
-def dense_rank_global(df: DataFrame, key: str, out: str, descending: bool = True,
-                      single_task_keys: int | None = None,
-                      keys_per_bucket: int | None = None) -> DataFrame:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = keys.repartitionByRange(parts, order).withColumn(_P, F.spark_partition_id())
+    # Exact sizes of the ranges, one row each; the running sum is over those rows only.
+    sizes = placed.groupBy(_P).agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col(_P), F.col("__size"), F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
+    inside = Window.partitionBy(_P)
+    local = placed.withColumns({
+        "__local": F.row_number().over(inside.orderBy(order)),
+        "__here": F.count(F.lit(1)).over(inside),
+    })
+    rank = F.when(F.col("__here") == F.col("__size"), F.col("__offset") + F.col("__local")).otherwise(
+        F.raise_error(F.lit("ranges of rank keys were cut twice")))
+    return local.join(F.broadcast(offsets), _P, "left").select(_K, rank.cast("bigint").alias(out))
+
+
+def dense_rank_global(df: DataFrame, key: str, out: str, descending: bool = True) -> DataFrame:
     """Append ``out = dense_rank() over (order by key [desc nulls first])`` to every row of ``df``."""
-    single_task_keys = SINGLE_TASK_KEYS if single_task_keys is None else single_task_keys
-    ranked, n = ranked_keys(df, key, out, descending, single_task_keys, keys_per_bucket)
-    if n <= single_task_keys:
-        ranked = F.broadcast(ranked)
-    joined = df.join(ranked, df[key].eqNullSafe(ranked[_K]), "inner")
-    return joined.drop(_K)
+    ranked = ranked_keys(df, key, out, descending)
+    return df.join(ranked, df[key].eqNullSafe(ranked[_K]), "inner").drop(_K)
 
 
 def top_k_values(df: DataFrame, key: str, k: int, out: str, descending: bool = True) -> DataFrame:

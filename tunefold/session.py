@@ -52,6 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tunefold-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
@@ -62,6 +64,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tunefold-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, name: str):
+    """``df`` written to a scratch folder and read again: what several steps read is computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """SQL settings for a run over ``input_bytes`` of parquet on ``cores`` executor cores.
 
@@ -80,7 +89,5 @@ def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20)
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        # Derived tables are broadcast only through checked_broadcast; keep Spark's
-        # own estimate-based broadcast for small scans at its default bound.
         "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
     }

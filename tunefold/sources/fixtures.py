@@ -28,7 +28,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import spread
 from ..schemas import ALBUMS, ARTISTS, TRACKS
 from .testdata import read_table
 
@@ -56,16 +55,16 @@ def _day(ts) -> F.Column:
 
 def order_artist_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: its distinct supplier keys as sorted, ``', '``-joined text."""
-    li = spread(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey"), "l_orderkey")
-    # distinct (a codegen'd hash aggregate on two longs) before the per-order list.
-    return li.distinct().groupBy("l_orderkey").agg(
-        F.array_join(F.array_sort(F.collect_list(F.col("l_suppkey").cast("string"))), ", ").alias("artist_id")
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey")
+    # An order has a handful of lines: one aggregate, one shuffle.
+    return li.groupBy("l_orderkey").agg(
+        F.array_join(F.array_sort(F.collect_set(F.col("l_suppkey").cast("string"))), ", ").alias("artist_id")
     )
 
 
 def derive_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
-                          "o_orderpriority"), "o_orderkey")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
+                          "o_orderpriority")
     ids = order_artist_ids(spark, sf_dir)
     j = o.join(ids, o.o_orderkey == ids.l_orderkey, "left")
     key = F.col("o_orderkey")
@@ -88,7 +87,7 @@ def derive_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derive_albums(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
-    o = spread(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate"), "o_custkey")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     per_cust = o.groupBy("o_custkey").agg(
         F.min("o_orderdate").alias("first_order"), F.count("o_orderkey").alias("n_orders"))
     j = c.join(per_cust, c.c_custkey == per_cust.o_custkey, "left")
