@@ -6,17 +6,17 @@ from tunefold.operators.catalog import MissingArtist, build_catalog
 from tunefold.session import scratch_path
 from tunefold.sources.pages import IncompleteLanding, check_pages_complete, read_artist_docs, read_playlist_pages
 
-HEADER = {"id": "playlist123", "name": "Test Playlist", "snapshot_id": "snapshot123"}
-ITEM1 = {"added_at": "2023-10-01T12:00:00Z", "track": {
-    "id": "track1", "name": "Track 1", "popularity": 85, "duration_ms": 180000,
-    "album": {"id": "album1", "name": "Album 1", "release_date": "2023-01-01", "total_tracks": 10},
-    "artists": [{"id": "artist1"}]}}
-ITEM2 = {"added_at": "2023-10-02T12:00:00Z", "track": {
-    "id": "track2", "name": "Track 2", "popularity": 90, "duration_ms": 240000,
-    "album": {"id": "album2", "name": "Album 2", "release_date": "2023-02-01", "total_tracks": 12},
-    "artists": [{"id": "artist2"}, {"id": "artist1"}]}}
-DOCS = [{"id": "artist1", "name": "Artist 1", "genres": ["pop", "rock"], "popularity": 80},
-        {"id": "artist2", "name": "Artist 2", "genres": ["jazz", "lo-fi beats"], "popularity": 70}]
+HEADER = {"id": "pl-evening", "name": "Evening walk", "snapshot_id": "rev-4"}
+ITEM1 = {"added_at": "2019-02-11T07:30:00Z", "track": {
+    "id": "k31", "name": "Harbour", "popularity": 12, "duration_ms": 61_500,
+    "album": {"id": "al3", "name": "Low Water", "release_date": "1998-11-20", "total_tracks": 9},
+    "artists": [{"id": "p4"}]}}
+ITEM2 = {"added_at": "2019-03-02T18:05:00Z", "track": {
+    "id": "k32", "name": "Dune", "popularity": 44, "duration_ms": 305_250,
+    "album": {"id": "al5", "name": "Marram", "release_date": "2007-06", "total_tracks": 2},
+    "artists": [{"id": "p9"}, {"id": "p4"}]}}
+DOCS = [{"id": "p4", "name": "Quartet Nord", "genres": ["dub", "folk"], "popularity": 33},
+        {"id": "p9", "name": "Ilse", "genres": ["deep house", "dub"], "popularity": 51}]
 
 
 def _land(spark, lines, name):
@@ -25,55 +25,70 @@ def _land(spark, lines, name):
     return path
 
 
+def _page(items, total, nxt=None):
+    return {**HEADER, "tracks": {"total": total, "items": items, "next": nxt}}
+
+
 def _pages(spark, items_per_page):
-    lines = []
-    for i, items in enumerate(items_per_page):
-        nxt = None if i == len(items_per_page) - 1 else f"next-{i + 1}"
-        lines.append({**HEADER, "tracks": {"items": items, "next": nxt}})
+    total = sum(map(len, items_per_page))
+    lines = [_page(items, total, None if i == len(items_per_page) - 1 else f"next-{i + 1}") for i, items in enumerate(items_per_page)]
     return read_playlist_pages(spark, _land(spark, lines, "pages"))
 
 
-def test_two_pages_flatten_to_the_reference_sample(spark):
-    pages = _pages(spark, [[ITEM1], [ITEM2, {"added_at": "2023-10-03T00:00:00Z", "track": None}]])
+def test_two_pages_flatten_to_tables(spark):
+    pages = _pages(spark, [[ITEM1], [ITEM2, {"added_at": "2019-04-01T00:00:00Z", "track": None}]])
     check_pages_complete(pages)
     built = build_catalog(pages, read_artist_docs(spark, _land(spark, DOCS, "docs")))
+    head = ("pl-evening", "Evening walk", "rev-4")
     tracks = sorted(tuple(r) for r in built.tracks.collect())
     assert tracks == [
-        ("track1", "Track 1", 85, 180000, "2023-10-01T12:00:00Z", "album1", "artist1",
-         "playlist123", "Test Playlist", "snapshot123"),
-        ("track2", "Track 2", 90, 240000, "2023-10-02T12:00:00Z", "album2", "artist2, artist1",
-         "playlist123", "Test Playlist", "snapshot123")]
+        ("k31", "Harbour", 12, 61_500, "2019-02-11T07:30:00Z", "al3", "p4", *head),
+        ("k32", "Dune", 44, 305_250, "2019-03-02T18:05:00Z", "al5", "p9, p4", *head)]
     assert sorted(tuple(r) for r in built.albums.collect()) == [
-        ("album1", "Album 1", "2023-01-01", 10), ("album2", "Album 2", "2023-02-01", 12)]
+        ("al3", "Low Water", "1998-11-20", 9), ("al5", "Marram", "2007-06", 2)]
     assert sorted(tuple(r) for r in built.artists.collect()) == [
-        ("artist1", "Artist 1", "{pop,rock}", 80), ("artist2", "Artist 2", '{jazz,"lo-fi beats"}', 70)]
+        ("p4", "Quartet Nord", "{dub,folk}", 33), ("p9", "Ilse", '{"deep house",dub}', 51)]
     assert [tuple(r) for r in built.rejected.select("reason").collect()] == [("null track",)]
 
 
-def test_incomplete_landing_is_refused(spark):
-    lines = [{**HEADER, "tracks": {"items": [ITEM1], "next": None}},
-             {**HEADER, "tracks": {"items": [ITEM2], "next": None}}]
+FIRST, MIDDLE, LAST = _page([ITEM1], 3, "n1"), _page([ITEM2], 3, "n2"), _page([ITEM1], 3, "")
+
+
+@pytest.mark.parametrize("lines", [
+    [MIDDLE, LAST], [FIRST, LAST], [FIRST, MIDDLE], [FIRST, MIDDLE, LAST, LAST], [_page([ITEM1], None)],
+    [_page([ITEM1], 1), _page([ITEM2], 2)],
+], ids=["no first", "no middle", "no last", "one twice", "no total", "another total"])
+def test_incomplete_landing_is_refused(spark, lines):
     with pytest.raises(IncompleteLanding):
         check_pages_complete(read_playlist_pages(spark, _land(spark, lines, "bad-pages")))
 
 
+def test_complete_landings(spark):
+    """An empty ``next`` ends a pull as NULL does; a playlist may have been pulled several times."""
+    other = {**_page([ITEM1], 1), "snapshot_id": "rev-5"}
+    for lines in ([FIRST, MIDDLE, LAST], [FIRST, MIDDLE, LAST] * 2, [FIRST, MIDDLE, LAST, other], [_page([], 0)]):
+        check_pages_complete(read_playlist_pages(spark, _land(spark, lines, "good-pages")))
+
+
 def test_missing_artist_document_fails(spark):
     pages = _pages(spark, [[ITEM1, ITEM2]])
-    with pytest.raises(MissingArtist):
-        build_catalog(pages, read_artist_docs(spark, _land(spark, DOCS[:1], "docs-short")))
+    built = build_catalog(pages, read_artist_docs(spark, _land(spark, DOCS[:1], "docs-short")))
+    for df in (built.artists, built.artists.select("artist_id")):
+        with pytest.raises(Exception, match=f"{MissingArtist.__name__}.*p9"):
+            df.collect()
 
 
 def test_track_without_artists_keeps_null_id(spark):
-    item = {"added_at": "x", "track": {"id": "t9", "name": "N", "popularity": 1, "duration_ms": 1, "album": None}}
+    item = {"added_at": "x", "track": {"id": "k90", "name": "N", "popularity": 1, "duration_ms": 1, "album": None}}
     built = build_catalog(_pages(spark, [[item]]), read_artist_docs(spark, _land(spark, DOCS, "docs2")))
-    assert [(r["track_id"], r["artist_id"]) for r in built.tracks.collect()] == [("t9", None)]
+    assert [(r["track_id"], r["artist_id"]) for r in built.tracks.collect()] == [("k90", None)]
     assert built.albums.count() == 0
     assert [r["reason"] for r in built.rejected.collect()] == ["null album"]
 
 
 def test_malformed_page_fails_the_read(spark):
     path = scratch_path(spark, "bad-json")
-    spark.createDataFrame([(json.dumps({**HEADER, "tracks": {"items": [ITEM1], "next": None}}),),
+    spark.createDataFrame([(json.dumps(_page([ITEM1], 1)),),
                            ('{"id": "p", "tracks": {"items": [ {"added_at": ',)], "value string"
                           ).coalesce(1).write.text(path)
     with pytest.raises(Exception):

@@ -84,53 +84,131 @@ def _tracks(spark, rows):
     return spark.createDataFrame(full, TRACKS.struct)
 
 
-def _bucket(spark, playlist):
-    from tunefold.schemas import TRACK_PARTITION_BUCKETS
-
-    return spark.range(1).select(F.pmod(F.xxhash64(F.lit(playlist)), F.lit(TRACK_PARTITION_BUCKETS))).first()[0]
-
-
-def _files_of(spark, store, playlist):
-    raw = spark.table(store.qualified("tracks"))
-    return sorted(raw.where(F.col("playlist_bucket") == _bucket(spark, playlist)).inputFiles())
-
-
-def test_partitioned_upsert_rewrites_only_touched_buckets(spark, store):
-    assert len({_bucket(spark, p) for p in ("P1", "P2", "P3")}) == 3
-    store.overwrite(_tracks(spark, [("a", 1, "P1"), ("b", 1, "P1"), ("c", 1, "P2"), ("d", 1, "P3")]), "tracks")
-    p3_files = _files_of(spark, store, "P3")
-    # "c" moves from P2 to P1; "e" is new in P1; P3's bucket is not touched.
-    store.upsert(_tracks(spark, [("a", 2, "P1"), ("c", 2, "P1"), ("e", 2, "P1")]), "tracks")
-    got = sorted((r["track_id"], r["track_popularity"], r["playlist_id"]) for r in store.select_all("tracks").collect())
-    assert got == [("a", 2, "P1"), ("b", 1, "P1"), ("c", 2, "P1"), ("d", 1, "P3"), ("e", 2, "P1")]
-    assert _files_of(spark, store, "P3") == p3_files  # untouched bucket: same files
+def _got(store):
+    return sorted((r["track_id"], r["track_popularity"], r["playlist_id"]) for r in store.select_all("tracks").collect())
+
+
+def test_upsert_reads_and_rewrites_only_the_batchs_buckets(spark, store):
+    store.overwrite(_tracks(spark, [(f"k{i}", 1, "P1") for i in range(500)]), "tracks")
+    m = store.manifests("tracks")
+    before = m.current()
+    batch = _tracks(spark, [("k3", 2, "P2"), ("new", 2, "P1")])  # k3 moves to another playlist
+    store.upsert(batch, "tracks")
+    after = m.current()
+    (old, buckets), = before.parts.items()
+    touched = set(buckets) - set(after.parts[old])
+    assert 1 <= len(touched) <= 2 and len(buckets) > 50
+    assert _got(store) == sorted([(f"k{i}", 1, "P1") for i in range(500) if i != 3] + [("k3", 2, "P2"), ("new", 2, "P1")])
     assert store.select_all("tracks").columns == store.schemas["tracks"].columns
 
 
-def test_partitioned_overwrite_drops_emptied_partitions(spark, store):
-    store.overwrite(_tracks(spark, [("a", 1, "P1"), ("b", 1, "P2")]), "tracks")
-    store.overwrite(_tracks(spark, [("z", 1, "P9")]), "tracks")
-    assert [(r["track_id"], r["playlist_id"]) for r in store.select_all("tracks").collect()] == [("z", "P9")]
-    partitions = [r[0] for r in spark.sql(f"SHOW PARTITIONS {store.qualified('tracks')}").collect()]
-    assert partitions == [f"playlist_bucket={_bucket(spark, 'P9')}"]
-
-
-def test_partitioned_insert_upsert_and_null_playlist(spark, store):
+def test_insert_after_upsert_and_null_playlist(spark, store):
     store.insert(_tracks(spark, [("a", 1, "it's"), ("n", 1, None)]), "tracks")
     store.upsert(_tracks(spark, [("a", 5, "it's"), ("b", 1, "x"), ("n", 2, None)]), "tracks")
-    got = sorted((r["track_id"], r["track_popularity"], r["playlist_id"]) for r in store.select_all("tracks").collect())
-    assert got == [("a", 5, "it's"), ("b", 1, "x"), ("n", 2, None)]
-
-
-def test_insert_after_upsert_lands_in_the_switched_partition(spark, store):
-    store.upsert(_tracks(spark, [("a", 1, "P1")]), "tracks")  # P1's bucket now lives in a version folder
-    store.insert(_tracks(spark, [("b", 1, "P1"), ("c", 1, "P7")]), "tracks")
-    got = sorted((r["track_id"], r["playlist_id"]) for r in store.select_all("tracks").collect())
-    assert got == [("a", "P1"), ("b", "P1"), ("c", "P7")]
-
-
-def test_keys_stay_in_partition_skips_the_probe(spark, store):
-    store.overwrite(_tracks(spark, [("a", 1, "P1"), ("b", 1, "P2")]), "tracks")
-    store.upsert(_tracks(spark, [("a", 2, "P1"), ("d", 2, "P1")]), "tracks", keys_stay_in_partition=True)
-    got = sorted((r["track_id"], r["track_popularity"], r["playlist_id"]) for r in store.select_all("tracks").collect())
-    assert got == [("a", 2, "P1"), ("b", 1, "P2"), ("d", 2, "P1")]
+    store.insert(_tracks(spark, [("c", 1, "P7")]), "tracks")
+    assert sorted(_got(store), key=repr) == sorted([("a", 5, "it's"), ("b", 1, "x"), ("c", 1, "P7"), ("n", 2, None)], key=repr)
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("method", ["overwrite", "upsert"])
+def test_a_load_stopped_anywhere_leaves_the_old_table_or_the_new_one(spark, monkeypatch, method):
+    """The load is stopped before every file operation in turn, and after the last."""
+    from tunefold.operators import manifest
+
+    old = [("x", 1, "P1"), ("y", 1, "P2")]
+    batch = {"overwrite": [("z", 2, "P1")], "upsert": [("x", 2, "P9"), ("z", 2, "P1")]}[method]
+    new = {"overwrite": batch, "upsert": [("x", 2, "P9"), ("y", 1, "P2"), ("z", 2, "P1")]}[method]
+    real = {n: getattr(manifest.Files, n) for n in ("create", "names")}
+    outcomes = set()
+    for stop in range(40):
+        store = TableStore(spark)
+        store.create_tables(CATALOG_SCHEMAS)
+        store.overwrite(_tracks(spark, old), "tracks")
+        steps = iter(range(1000))
+
+        def step(name):
+            def f(self, *a):
+                if next(steps) == stop:
+                    raise Stopped
+                return real[name](self, *a)
+            return f
+
+        for n in real:
+            monkeypatch.setattr(manifest.Files, n, step(n))
+        try:
+            getattr(store, method)(_tracks(spark, batch), "tracks")
+            done = True
+        except Stopped:
+            done = False
+        monkeypatch.undo()
+        got = _got(store)
+        assert got in (sorted(old), sorted(new))
+        outcomes.add(tuple(got))
+        if done:
+            break
+    assert done and outcomes == {tuple(sorted(old)), tuple(sorted(new))}
+
+
+def test_of_two_loads_from_one_state_one_is_refused(spark, store):
+    from tunefold.operators.manifest import ConcurrentLoad
+
+    m = store.manifests("tracks")
+    now = m.current()
+    store.insert(_tracks(spark, [("a", 1, "P1")]), "tracks")
+    with pytest.raises(ConcurrentLoad):
+        m.commit(now, now)
+    assert _got(store) == [("a", 1, "P1")]
+
+
+def test_many_playlists_load_as_few_files(spark, store):
+    rows = spark.range(15_000).selectExpr(
+        "cast(id as string) track_id", "'n' track_name", "1 track_popularity", "1 track_duration_ms", "'2024' track_added_at",
+        "'a' album_id", "'r' artist_id", "cast(id % 3000 as string) playlist_id", "'p' playlist_name", "'s' snapshot_id")
+    store.overwrite(rows, "tracks")
+    assert len(store.select_all("tracks").inputFiles()) <= 2 * store.schemas["tracks"].buckets
+    store.upsert(rows.where("playlist_id = '7'"), "tracks")
+    assert store.select_all("tracks").count() == 15_000
+
+
+def test_vacuum_and_compact_keep_the_table(spark, store):
+    for i in range(4):
+        store.upsert(_tracks(spark, [(f"k{j}", i, "P") for j in range(i, 30)]), "tracks")
+    want = _got(store)
+    store.compact("tracks")
+    assert _got(store) == want and len(store.manifests("tracks").current().parts) == 1
+    assert store.vacuum("tracks", keep=1) >= 3 and _got(store) == want
+
+
+def test_another_process_sees_tables_views_and_run_ids(spark, tmp_path):
+    """Two processes after another on one folder, with nothing shared but the files."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import sys
+from tunefold.operators.load import TableStore
+from tunefold.operators.runlog import RunLog
+from tunefold.plans.views import create_views, read_view
+from tunefold.schemas import CATALOG_SCHEMAS, TRACKS
+from tunefold.session import local_session
+spark = local_session(2, shuffle_partitions=2)
+store = TableStore(spark, sys.argv[1])
+store.create_tables(CATALOG_SCHEMAS)
+store.upsert(spark.createDataFrame([(sys.argv[2], 'n', 1, 61000, 'd', None, None, 'p', 'p', 's')], TRACKS.struct), 'tracks')
+create_views(store)
+log = RunLog(store)
+run = log.next_run_id('job')
+log.log('job', run)
+print('SAW', run, sorted(r.track_id for r in store.select_all('tracks').collect()),
+      sorted(r.track_duration_min for r in read_view(store, 'most_popular_tracks_with_duration').collect()))
+"""
+    env = os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    said = []
+    for key in ("t1", "t2"):
+        out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "store"), key], env=env, capture_output=True, text=True)
+        said += [line for line in out.stdout.splitlines() if line.startswith("SAW")] or [out.stderr[-500:]]
+    assert said == ["SAW 1 ['t1'] ['1:01']", "SAW 2 ['t1', 't2'] ['1:01', '1:01']"]

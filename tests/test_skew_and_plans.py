@@ -39,8 +39,7 @@ def _albums(spark):
 
 def test_rank_with_hot_value_matches_window(spark):
     t = _skewed_tracks(spark).select("track_id", "track_popularity")
-    got = {r["track_id"]: r["r"] for r in dense_rank_global(t, "track_popularity", "r", single_task_keys=10,
-                                                            keys_per_bucket=7).collect()}
+    got = {r["track_id"]: r["r"] for r in dense_rank_global(t, "track_popularity", "r").collect()}
     want = {r["track_id"]: r["r"] for r in t.select(
         "track_id", F.dense_rank().over(Window.orderBy(F.col("track_popularity").desc_nulls_first())).alias("r")
     ).collect()}
@@ -96,9 +95,22 @@ def test_big_side_never_in_a_single_partition(spark):
                V.album_track_popularity_comparison(c.tracks, c.albums, ordered=False)):
         plan = df._jdf.queryExecution().executedPlan()
         # A SinglePartition exchange may only take a partial aggregate (one row per
-        # task) or the distinct rank keys (their count is checked first).
+        # task) or the sizes of the rank ranges (one row each).
         text = plan.toString()
         for block in text.split("Exchange SinglePartition")[1:]:
             lines = block.split("\n")
             child = lines[1] if len(lines) > 1 else ""
-            assert "partial_" in child or "__rank_key" in child, child
+            assert "partial_" in child or "__rank_part" in child, child
+
+
+def test_key_check_and_fixture_plans(spark):
+    """The key check hashes, and deriving the tracks shuffles lineitem once."""
+    from tunefold.operators.load import TableStore as Store
+    from tunefold.sources.fixtures import derive_tracks
+
+    tracks = derive_tracks(spark, SF_SMALL)
+    per_key = tracks.groupBy("track_id").agg(F.count(F.lit(1)).alias("n"))
+    assert "SortAggregate" not in _plan(per_key)
+    Store.check_keys(tracks.select("track_id"), TRACKS)
+    plan = _plan(tracks)
+    assert plan.count("hashpartitioning(l_orderkey") == 1

@@ -34,17 +34,33 @@ def test_top_artists_merge_by_name_and_rank_before_join(spark):
     assert got == [("Same", 90, 2, 2)]
 
 
-def test_reference_sample_genres(spark):
-    tracks = spark.createDataFrame([("track1", "Track 1", 85, 180000, "album1", "artist1"),
-                                    ("track2", "Track 2", 90, 240000, "album2", "artist2")], TRACK)
-    artists = spark.createDataFrame([("artist1", "Artist 1", "{pop,rock}", 80), ("artist2", "Artist 2", "{jazz}", 70)],
-                                     "artist_id string, artist_name string, artist_genres string, artist_popularity int")
-    got = sorted(tuple(r) for r in V.genre_track_and_artist_details(tracks, artists).collect())
-    assert got == [("jazz", 1, 1, "Track 2", "Artist 2"), ("pop", 1, 1, "Track 1", "Artist 1"),
-                   ("rock", 1, 1, "Track 1", "Artist 1")]
-    dur = {r["track_id"]: (r["track_duration_min"], r["popularity_rnk"])
-           for r in V.most_popular_tracks_with_duration(tracks).collect()}
-    assert dur == {"track1": ("3:00", 2), "track2": ("4:00", 1)}
+def test_genres_and_durations(spark):
+    tracks = spark.createDataFrame([("k7", "Harbour", 12, 61_500, "al3", "p4, p9"), ("k8", "Dune", 44, 3_599_000, "al3", "p9")], TRACK)
+    artists = spark.createDataFrame([("p4", "Quartet Nord", '{"deep house",dub}', 33), ("p9", "Ilse", "{dub}", 51)],
+                                    "artist_id string, artist_name string, artist_genres string, artist_popularity int")
+    got = [tuple(r) for r in V.genre_track_and_artist_details(tracks, artists).collect()]
+    assert got == [("dub", 2, 2, "Dune, Harbour", "Ilse, Quartet Nord"), ("deep house", 1, 1, "Harbour", "Quartet Nord")]
+    dur = [(r["track_id"], r["track_duration_min"], r["popularity_rnk"]) for r in V.most_popular_tracks_with_duration(tracks).collect()]
+    assert dur == [("k8", "59:59", 1), ("k7", "1:01", 2)]
+
+
+def test_view_orderings(spark):
+    """Rows come in each view's own order."""
+    from tunefold.sources.fixtures import materialized_catalog
+
+    from .conftest import SF_SMALL
+
+    c = materialized_catalog(spark, SF_SMALL)
+    built = V.build_views(c.tracks, c.albums, c.artists)
+    ranks = {"most_popular_tracks_with_duration": "popularity_rnk", "top_5_most_popular_artists_contribution": "artist_popularity_rnk",
+             "album_track_popularity_comparison": "album_track_popularity_rnk"}
+    for name, column in ranks.items():
+        found = [r[column] for r in built[name].collect()]
+        assert found == sorted(found) and len(set(found)) > 1, name
+    months = [r["album_release_year_month"] for r in built["track_popularity_trend_by_release_year_month"].collect()]
+    assert months == sorted(months, key=lambda m: m or "9999", reverse=True) and None in months  # latest first, none before all
+    genres = [(r["num_tracks"], r["num_artists"]) for r in built["genre_track_and_artist_details"].collect()]
+    assert genres == sorted(genres, reverse=True) and len(set(genres)) > 1
 
 
 def test_month_trend_keeps_one_row_per_track(spark):

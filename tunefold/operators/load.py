@@ -1,380 +1,219 @@
-"""Keyed loads into catalog tables: insert, overwrite, upsert, plus select_all.
-
-Tables are ordinary Spark catalog tables (``USING parquet``) in one database
-whose files live in the shared folder. A rewrite never touches files in
-place: it writes a fresh version folder and then points the catalog at it
-(``ALTER TABLE ... SET LOCATION``), so readers see the old version or the new
-one, never a half-written table. Spark also refuses to overwrite a path that
-the same plan reads, which an upsert always does.
-
-* ``insert``: plain append through the table's committer; fails on a NULL or
-  repeated key in the batch or a key already in the table (primary key).
-* ``overwrite``: full replace.
-* ``upsert``: rows of the target whose key is not in the batch, plus the
-  batch (the batch row replaces the target row whole). A key twice in one
-  batch is an error by default (as ``ON CONFLICT DO UPDATE`` refuses it);
+"""Keyed loads into tables that last: insert, overwrite, upsert, plus select_all.
+
+Tables are parquet version folders named by a manifest (``manifest.py``). A
+load is one switch of it: readers and other processes see the table before the
+load or after it, whatever stops the load in between.
+
+Rows lie in buckets by a hash of the primary key, so a key never changes its
+bucket and only the buckets of a batch's keys are ever read or rewritten. Every
+version is written by a rebalance on the bucket: small buckets share a task,
+and a big bucket is split over several, whoever holds its rows.
+
+* ``insert``: adds the batch as a new version; fails on a NULL or repeated key in
+  the batch or a key already in the table.
+* ``overwrite``: the batch becomes the table.
+* ``upsert``: the batch, plus the rows of its buckets whose key is not in it,
+  rewritten as a second version; other buckets stay as they are. A key twice in
+  one batch is an error by default (as ``ON CONFLICT DO UPDATE`` refuses it);
   ``on_duplicate="keep_latest"`` keeps the row with the greatest ``order_by``.
 
-Partitioned tables. A table declared with ``partition_by`` (``tracks`` by a
-hash bucket of its playlist, 1024 buckets) is a partitioned catalog table, and its loads rewrite only the
-partitions they touch: the batch's own partitions plus those that now hold one
-of the batch's keys (found by a semi join that reads only key and partition
-columns). The rows of those partitions are written once into a fresh version
-folder, one sub-folder per partition, and each partition's location is
-switched (``ALTER TABLE ... PARTITION ... SET LOCATION``); a partition left
-without rows is dropped from the catalog. Each switch is atomic; a key that
-moves between two partitions can be seen in both for the moment between their
-two switches. Upserting one playlist then costs its bucket, not the table.
-
-The batch is computed once (persisted) and checked by one aggregate: row
-count, distinct keys, NULL keys and the batch's partition values, i.e. a few
-numbers and at most one row per partition on the driver. The batch keys are
-broadcast to the target scan when that exact count is small, so the target is
-filtered where it is read instead of shuffled.
+The batch is written once and its keys are checked on the written key columns
+(one hash aggregate over them), so nothing is persisted. What comes to the
+driver are counts and the names of bucket folders (at most ``buckets`` of them).
 """
 
 from __future__ import annotations
 
 import uuid
-from urllib.parse import unquote
-from collections.abc import Callable, Mapping
-from contextlib import contextmanager
-from dataclasses import dataclass
+from collections.abc import Mapping
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import StructField, StructType
 
 from ..schemas import TableSchema
 from ..session import scratch_path
-from . import joins
+from .manifest import Files, Manifest, Manifests
 
 LOAD_METHODS = ("insert", "upsert", "overwrite")
+_BUCKET = "__bucket"
 
 
 class KeyViolation(ValueError):
     pass
 
 
-@dataclass(frozen=True)
-class BatchStats:
-    rows: int
-    distinct_keys: int
-    null_keys: int
-    partitions: tuple[tuple, ...]  # distinct partition values (empty for unpartitioned tables)
-
-
 class TableStore:
-    """A database of keyed parquet tables under one root folder."""
+    """Keyed tables under one root folder; another store on the same folder sees the same tables."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or scratch_path(spark, "store")).rstrip("/")
-        self.database = database or f"tunefold_{uuid.uuid4().hex[:10]}"
+        self.files = Files(spark, self.root)
         self.schemas: dict[str, TableSchema] = {}
-        self._listeners: list[Callable[[set[str]], None]] = []
-        self._pending: set[str] | None = None
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}/_db'")
 
-    # -- change notices ----------------------------------------------------
-    def on_change(self, listener: Callable[[set[str]], None]) -> None:
-        """Call ``listener(tables)`` after committed loads or drops.
-
-        DataFrame-defined temp views keep the file listing they were built on, so
-        whatever publishes views over these tables rebuilds them here.
-        """
-        self._listeners.append(listener)
-
-    @contextmanager
-    def batch_changes(self):
-        """Collect change notices inside the block and send them once at its end."""
-        outer = self._pending is not None
-        if not outer:
-            self._pending = set()
-        try:
-            yield self
-        finally:
-            if not outer:
-                pending, self._pending = self._pending, None
-                if pending:
-                    self._notify(pending)
-
-    def _changed(self, name: str) -> None:
-        if self._pending is not None:
-            self._pending.add(name)
-        else:
-            self._notify({name})
-
-    def _notify(self, tables: set[str]) -> None:
-        for listener in list(self._listeners):
-            listener(tables)
-
-    # -- catalog -----------------------------------------------------------
-    def qualified(self, name: str) -> str:
-        return f"`{self.database}`.`{name}`"
+    # -- tables --------------------------------------------------------------
+    def manifests(self, name: str) -> Manifests:
+        return Manifests(self.files, f"{self.root}/{name}")
 
     def table_exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(f"{self.database}.{name}")
-
-    def _new_version(self, name: str) -> str:
-        return f"{self.root}/{name}/v-{uuid.uuid4().hex[:12]}"
+        return self.manifests(name).current().exists
 
     def create_tables(self, schemas: Mapping[str, TableSchema] | list[TableSchema]) -> None:
         """Create each table unless it exists (its schema is remembered either way)."""
-        items = schemas.values() if isinstance(schemas, Mapping) else schemas
-        for s in items:
+        for s in schemas.values() if isinstance(schemas, Mapping) else schemas:
             self.schemas[s.name] = s
-            if self.table_exists(s.name):
-                continue
-            location = self._new_version(s.name)
-            # An empty, schema-bearing version folder, so readers never miss a path.
-            self.spark.createDataFrame([], s.struct).write.mode("errorifexists").parquet(location)
-            parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in s.partition_by)}) " if s.partition_by else ""
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.qualified(s.name)} ({s.ddl()}) "
-                           f"USING parquet {parts}LOCATION '{location}'")
+            m = self.manifests(s.name)
+            now = m.current()
+            if not now.exists:
+                m.commit(now, Manifest(now.number, {}, {}))
 
     def drop_table(self, name: str) -> None:
-        """Drop the table from the catalog; its version folders are left for readers still on them."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
-        self._changed(name)
+        """The table is gone; its version folders stay for readers still on them (see ``vacuum``)."""
+        m = self.manifests(name)
+        now = m.current()
+        if now.exists:
+            m.commit(now, Manifest(now.number, {}, {}, exists=False))
 
     def select_all(self, name: str) -> DataFrame:
-        """The whole table, declared columns in declared order (derived ones hidden)."""
-        df = self.spark.table(self.qualified(name))
-        return df.select(*self.schemas[name].columns) if name in self.schemas else df
+        """The whole table as it is now, declared columns in declared order."""
+        return self._read(self._schema(name), self.manifests(name).current())
 
-    def _stored(self, name: str) -> DataFrame:
-        """The table with its derived (partition) columns, for rewrites."""
-        return self.spark.table(self.qualified(name)).select(*self._schema(name).stored_columns)
+    def vacuum(self, name: str, keep: int = 2) -> int:
+        """Deletes version folders that none of the last ``keep`` manifests names; returns how many.
+
+        Not while a load is under way: its folders aren't named yet.
+        """
+        m = self.manifests(name)
+        live = {v for n in m.numbers()[-keep:] for v in m.read(n).parts}
+        dead = [v for v in self.files.names(f"{self.root}/{name}") if v.startswith("v-") and v not in live]
+        for v in dead:
+            self.files.delete(f"{self.root}/{name}/{v}")
+        return len(dead)
+
+    def compact(self, name: str) -> None:
+        """Rewrites the table as one version (many small inserts leave many small files)."""
+        s, m = self._schema(name), self.manifests(name)
+        now = m.current()
+        version, buckets = self._write(self._read(s, now), s)
+        m.commit(now, Manifest(now.number, {}, {}).plus(version, buckets))
 
     def _schema(self, name: str) -> TableSchema:
         if name not in self.schemas:
             raise ValueError(f"no schema declared for table {name!r}")
         return self.schemas[name]
 
-    # -- checks ------------------------------------------------------------
-    def _conform(self, df: DataFrame, schema: TableSchema) -> DataFrame:
-        missing = [c for c in schema.columns if c not in df.columns]
+    def _read(self, s: TableSchema, m: Manifest) -> DataFrame:
+        """The rows that a manifest names; a version of which every bucket is live is read by its folder."""
+        struct = StructType([StructField(f.name, f.dataType) for f in s.struct.fields])
+        base = f"{self.root}/{s.name}"
+        whole = [f"{base}/{v}" for v, bs in sorted(m.parts.items()) if bs == m.whole[v]]
+        some = [f"{base}/{v}/{_BUCKET}={b}" for v, bs in sorted(m.parts.items()) if bs != m.whole[v] for b in bs]
+        if not m.parts:
+            return self.spark.createDataFrame([], struct)
+        # The bucket is no column of the table: folders are looked through, not parsed.
+        return self.spark.read.schema(struct).option("recursiveFileLookup", "true").parquet(*whole, *some)
+
+    # -- writing ---------------------------------------------------------------
+    def _conform(self, df: DataFrame, s: TableSchema) -> DataFrame:
+        missing = [c for c in s.columns if c not in df.columns]
         if missing:
-            raise ValueError(f"{schema.name}: batch lacks columns {missing}")
-        cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.struct.fields]
-        cols += [F.expr(expr).cast("int").alias(name) for name, expr in schema.derived]
-        return df.select(*cols)
-
-    def batch_stats(self, df: DataFrame, s: TableSchema, keys_unique: bool = False) -> BatchStats:
-        """Rows, distinct keys, NULL keys and partition values of a batch.
-
-        Grouped by key first (a hash aggregate, map-side combined), then the
-        groups are summed: cheaper than a distinct count next to other
-        aggregates, which Spark expands. Per key the lowest and highest
-        partition value are kept; they are all of its partitions whenever the
-        key is not repeated, and a repeated key is an error (or was resolved by
-        keep-latest) before partitions are used. ``keys_unique``: the batch was
-        just grouped by key, so one plain aggregate suffices.
-        """
-        any_null = F.lit(False)
-        for k in s.primary_key:
-            any_null = any_null | F.col(k).isNull()
-        part = F.struct(*[F.col(c) for c in s.partition_by]) if s.partition_by else None
-        if keys_unique:
-            aggs = [F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("d"),
-                    F.sum(any_null.cast("long")).alias("nulls")]
-            if part is not None:
-                aggs.append(F.collect_set(part).alias("parts"))
-            row = df.agg(*aggs).first()
-            parts = row["parts"] if part is not None else []
-        else:
-            per_key = [F.count(F.lit(1)).alias("c"), F.max(any_null).alias("k_null")]
-            if part is not None:
-                per_key += [F.min(part).alias("p_lo"), F.max(part).alias("p_hi")]
-            groups = df.groupBy(*s.primary_key).agg(*per_key)
-            aggs = [F.sum("c").alias("n"), F.count(F.when(~F.col("k_null"), 1)).alias("d"),
-                    F.sum(F.when(F.col("k_null"), F.col("c")).otherwise(0)).alias("nulls")]
-            if part is not None:
-                aggs += [F.collect_set("p_lo").alias("lo"), F.collect_set("p_hi").alias("hi")]
-            row = groups.agg(*aggs).first()
-            parts = (row["lo"] or []) + (row["hi"] or []) if part is not None else []
-        uniq = sorted({tuple(p) for p in parts}, key=repr)
-        return BatchStats(int(row["n"] or 0), int(row["d"] or 0), int(row["nulls"] or 0), tuple(uniq))
-
-    def check_batch_keys(self, stats: BatchStats, s: TableSchema, allow_repeats: bool = False) -> None:
-        if stats.null_keys:
-            raise KeyViolation(f"{stats.null_keys} row(s) with a NULL key in {s.primary_key}")
-        if stats.rows != stats.distinct_keys and not allow_repeats:
-            raise KeyViolation(f"{stats.rows - stats.distinct_keys} repeated key(s) in the batch on {s.primary_key}")
-        if any(v is None for t in stats.partitions for v in t):
-            raise KeyViolation(f"{s.name}: NULL in partition column(s) {s.partition_by}")
-
-    def _keep_latest(self, df: DataFrame, keys: tuple[str, ...], order_by: str) -> DataFrame:
+            raise ValueError(f"{s.name}: batch lacks columns {missing}")
+        return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in s.struct.fields))
+
+    def _write(self, df: DataFrame, s: TableSchema) -> tuple[str, list[int]]:
+        """``df`` as a version folder that no manifest names yet, and the buckets it has."""
+        version = f"v-{uuid.uuid4().hex[:12]}"
+        folder = f"{self.root}/{s.name}/{version}"
+        bucket = F.pmod(F.xxhash64(*s.primary_key), F.lit(s.buckets)).cast("int")
+        rows = df.withColumn(_BUCKET, bucket).hint("rebalance", _BUCKET)
+        rows.write.mode("errorifexists").partitionBy(_BUCKET).parquet(folder)
+        found = [int(n.split("=")[1]) for n in self.files.names(folder) if n.startswith(f"{_BUCKET}=")]
+        return version, sorted(found)
+
+    def _staged(self, df: DataFrame, s: TableSchema, check_keys: bool) -> tuple[Manifest, DataFrame]:
+        """The batch as a version of its own, checked; nobody sees it yet."""
+        version, buckets = self._write(self._conform(df, s), s)
+        staged = Manifest(0, {}, {}).plus(version, buckets)
+        keys = self._read(s, staged).select(*s.primary_key)
+        try:
+            if check_keys:
+                self.check_keys(keys, s)
+        except KeyViolation:
+            self.files.delete(f"{self.root}/{s.name}/{version}")
+            raise
+        return staged, keys
+
+    @staticmethod
+    def check_keys(keys: DataFrame, s: TableSchema) -> None:
+        """No NULL and no repeated key: one hash aggregate over the key columns, then two sums."""
+        null = F.greatest(*(F.col(k).isNull() for k in s.primary_key), F.lit(False))
+        per_key = keys.groupBy(*s.primary_key).agg(F.count(F.lit(1)).alias("__n"))
+        row = per_key.agg(F.sum(F.when(null, F.col("__n"))).alias("nulls"), F.sum(F.col("__n") - 1).alias("again")).first()
+        if row["nulls"]:
+            raise KeyViolation(f"{row['nulls']} row(s) with a NULL key in {s.primary_key}")
+        if row["again"]:
+            raise KeyViolation(f"{row['again']} repeated key(s) in the batch on {s.primary_key}")
+
+    def _keep_latest(self, df: DataFrame, s: TableSchema, order_by: str) -> DataFrame:
         """One row per key: greatest ``order_by`` (NULL lowest), then greatest row as a tie-break.
 
-        A hash aggregate with ``max_by``: repeats of a hot key are combined
-        map-side instead of sorted together in one task.
+        The aggregate holds a row per key, so Spark sorts by key instead of
+        hashing; repeats of a hot key are still combined before the shuffle.
         """
-        cols = df.columns
-        row = F.struct(*cols)
+        row = F.struct(*df.columns)
         rank = F.struct(F.col(order_by).isNotNull(), F.col(order_by), row)
-        best = df.groupBy(*keys).agg(F.max_by(row, rank).alias("__row"))
-        return best.select("__row.*").select(*cols)
+        return df.groupBy(*s.primary_key).agg(F.max_by(row, rank).alias("__row")).select("__row.*")
 
-    @staticmethod
-    def _keys_for_probe(df: DataFrame, keys: list[str], stats: BatchStats) -> DataFrame:
-        """Batch keys, broadcast when their exact count is within the broadcast bound."""
-        k = df.select(*keys)
-        return F.broadcast(k) if stats.rows <= joins.BROADCAST_MAX_ROWS else k
-
-    # -- writes --------------------------------------------------------------
-    def _switch(self, name: str, df: DataFrame) -> None:
-        location = self._new_version(name)
-        df.write.mode("errorifexists").parquet(location)
-        self.spark.sql(f"ALTER TABLE {self.qualified(name)} SET LOCATION '{location}'")
-        self.spark.sql(f"REFRESH TABLE {self.qualified(name)}")
-        self._changed(name)
-
-    def _table_partitions(self, name: str, s: TableSchema) -> set[tuple]:
-        """Partition values registered in the catalog (``SHOW PARTITIONS``: metadata, no scan)."""
-        types = s.types()
-        out = set()
-        for row in self.spark.sql(f"SHOW PARTITIONS {self.qualified(name)}").collect():
-            spec = dict(part.split("=", 1) for part in row[0].split("/"))
-            out.add(tuple(_from_partition_text(unquote(spec[c]), types[c]) for c in s.partition_by))
-        return out
-
-    def _switch_partitions(self, s: TableSchema, touched: list[tuple], rows: DataFrame,
-                           present: set[tuple] | None = None) -> None:
-        """Make ``rows`` the whole content of the ``touched`` partitions; others stay as they are.
-
-        ``present``: the touched partitions known to receive rows (computed when not given).
-        """
-        if not touched:
-            return
-        part = list(s.partition_by)
-        types = s.types()
-        if len(part) == 1 and isinstance(types[part[0]], IntegralType):
-            # An integer partition value (a hash bucket) names its own folder: no lookup, no escaping.
-            folder = {t: int(t[0]) for t in touched}
-            index = F.col(part[0]).cast("long")
-        else:
-            # Otherwise the folder is the partition's position in ``touched`` (bounded list).
-            folder = {t: i for i, t in enumerate(touched, start=1)}
-            specs = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(part, t)]) for t in touched]
-            index = F.array_position(F.array(*specs), F.struct(*[F.col(c) for c in part]))
-        rows = rows.withColumn("__part", index).drop(*part)
-        version = self._new_version(s.name)
-        if present is None:
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if present is None:
-                filled = {r["__part"] for r in rows.select("__part").distinct().collect()}
-            else:
-                filled = {folder[t] for t in touched if t in present}
-            rows.write.mode("errorifexists").partitionBy("__part").parquet(version)
-        finally:
-            rows.unpersist()
-        q = self.qualified(s.name)
-        for t in touched:
-            spec = ", ".join(f"`{c}` = {_sql_literal(v)}" for c, v in zip(part, t))
-            if folder[t] in filled:
-                location = f"{version}/__part={folder[t]}"
-                self.spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}'")
-                self.spark.sql(f"ALTER TABLE {q} PARTITION ({spec}) SET LOCATION '{location}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {q} DROP IF EXISTS PARTITION ({spec})")
-        self.spark.sql(f"REFRESH TABLE {q}")
-        self._changed(s.name)
-
-    # -- loads ---------------------------------------------------------------
+    # -- loads -------------------------------------------------------------------
     def insert(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
         s = self._schema(name)
         self.create_tables([s])
-        # The batch feeds the checks and the write: compute it once.
-        df = self._conform(df, s).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            stats = self.batch_stats(df, s)
-            if check_keys:
-                self.check_batch_keys(stats, s)
-                keys = list(s.primary_key)
-                clash = self.select_all(name).select(*keys).join(
-                    self._keys_for_probe(df, keys, stats), keys, "left_semi")
-                if clash.limit(1).count():
-                    raise KeyViolation(f"{name}: batch repeats keys already in the table")
-            elif any(v is None for t in stats.partitions for v in t):
-                raise KeyViolation(f"{name}: NULL in partition column(s) {s.partition_by}")
-            df.select(*s.table_order).write.insertInto(self.qualified(name))
-        finally:
-            df.unpersist()
-        self._changed(name)
+        m = self.manifests(name)
+        now = m.current()
+        staged, keys = self._staged(df, s, check_keys)
+        version, buckets = next(iter(staged.parts.items()), ("", []))
+        if check_keys and now.parts:
+            there = self._read(s, now.only(set(buckets))).select(*s.primary_key)
+            if not there.join(keys, list(s.primary_key), "left_semi").isEmpty():
+                self.files.delete(f"{self.root}/{name}/{version}")
+                raise KeyViolation(f"{name}: batch repeats keys already in the table")
+        m.commit(now, now.plus(version, buckets))
 
     def overwrite(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
         s = self._schema(name)
         self.create_tables([s])
-        df = self._conform(df, s).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            stats = self.batch_stats(df, s)
-            if check_keys:
-                self.check_batch_keys(stats, s)
-            elif any(v is None for t in stats.partitions for v in t):
-                raise KeyViolation(f"{name}: NULL in partition column(s) {s.partition_by}")
-            if s.partition_by:
-                # Every current partition is replaced; those without new rows are dropped.
-                touched = sorted(self._table_partitions(name, s) | set(stats.partitions), key=repr)
-                self._switch_partitions(s, touched, df, present=set(stats.partitions))
-            else:
-                self._switch(name, df)
-        finally:
-            df.unpersist()
+        m = self.manifests(name)
+        now = m.current()
+        staged, _ = self._staged(df, s, check_keys)
+        m.commit(now, Manifest(now.number, staged.parts, staged.whole))
 
     def upsert(self, df: DataFrame, name: str, on_duplicate: str = "error", order_by: str | None = None,
-               check_keys: bool = True, keys_stay_in_partition: bool = False) -> None:
-        """Target rows whose key is not in the batch, plus the batch.
+               check_keys: bool = True) -> None:
+        """Rows of the table whose key is not in the batch, plus the batch.
 
         ``check_keys=False`` skips the NULL-key check where the caller guarantees it.
-        ``keys_stay_in_partition=True`` (partitioned tables) skips the probe of the
-        other partitions for keys that moved; only for callers whose keys never
-        change partition, since a moved key would then exist twice.
         """
         s = self._schema(name)
-        self.create_tables([s])
-        keys = list(s.primary_key)
         if on_duplicate not in ("error", "keep_latest"):
             raise ValueError(f"unknown on_duplicate policy {on_duplicate!r}")
         latest = on_duplicate == "keep_latest"
         if latest and order_by is None:
             raise ValueError("keep_latest needs order_by")
+        self.create_tables([s])
+        m = self.manifests(name)
+        now = m.current()
         df = self._conform(df, s)
-        if latest:
-            # NULL keys survive as their own group, so the check below still sees them.
-            df = self._keep_latest(df, s.primary_key, order_by)
-        # The batch feeds the checks, the probe keys and the union: compute it once.
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            stats = self.batch_stats(df, s, keys_unique=latest)
-            if check_keys or not latest:
-                self.check_batch_keys(stats, s, allow_repeats=latest)
-            elif any(v is None for t in stats.partitions for v in t):
-                raise KeyViolation(f"{name}: NULL in partition column(s) {s.partition_by}")
-            batch_keys = self._keys_for_probe(df, keys, stats)
-            target = self._stored(name)
-            if not s.partition_by:
-                self._switch(name, target.join(batch_keys, keys, "left_anti").unionByName(df))
-                return
-            part = list(s.partition_by)
-            batch_parts = set(stats.partitions)
-            # Other partitions holding a batch key lose that row (it moves into the
-            # batch's partition). The batch's own partitions are rewritten anyway,
-            # so only the others are probed (pruned to key + partition columns).
-            others = target.where(~_in_partitions(s, sorted(batch_parts, key=repr))) if batch_parts else target
-            holding = set() if keys_stay_in_partition else {
-                tuple(r) for r in others.select(*keys, *part).join(batch_keys, keys, "left_semi")
-                .select(*part).distinct().collect()}
-            touched = sorted(batch_parts | holding, key=repr)
-            kept = target.where(_in_partitions(s, touched)).join(batch_keys, keys, "left_anti")
-            # Without moves every touched partition is a batch partition, so all get rows.
-            present = batch_parts if not holding else None
-            self._switch_partitions(s, touched, kept.unionByName(df), present=present)
-        finally:
-            df.unpersist()
+        staged, keys = self._staged(self._keep_latest(df, s, order_by) if latest else df, s, check_keys or not latest)
+        touched = staged.buckets()
+        after = now.without(touched)
+        old = now.only(touched)
+        if old.parts:
+            kept = self._read(s, old).join(keys, list(s.primary_key), "left_anti")
+            after = after.plus(*self._write(kept, s))
+        for version, buckets in staged.parts.items():
+            after = after.plus(version, buckets)
+        m.commit(now, after)
 
     def load(self, tables: Mapping[str, DataFrame], schemas: Mapping[str, TableSchema] | None = None,
              method: str = "overwrite", **kwargs) -> None:
@@ -387,30 +226,3 @@ class TableStore:
         for name, df in tables.items():
             self._schema(name)  # raises for a table without schema
             getattr(self, method)(df, name, **kwargs)
-
-
-def _in_partitions(s: TableSchema, touched: list[tuple]) -> Column:
-    """Predicate on the partition columns only, so the scan is pruned to ``touched``."""
-    part = list(s.partition_by)
-    if len(part) == 1:
-        return F.col(part[0]).isin([t[0] for t in touched])
-    types = s.types()
-    return F.struct(*[F.col(c) for c in part]).isin(
-        *[F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(part, t)]) for t in touched])
-
-
-def _sql_literal(v) -> str:
-    """A SQL literal for a partition value in DDL (strings quoted and escaped)."""
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    if isinstance(v, (int, float)):
-        return repr(v)
-    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{text}'"
-
-
-def _from_partition_text(text: str, dtype) -> object:
-    """A partition value as listed by ``SHOW PARTITIONS`` back to its Python value."""
-    if text == "__HIVE_DEFAULT_PARTITION__":
-        return None
-    return int(text) if isinstance(dtype, IntegralType) else text

@@ -1,0 +1,114 @@
+"""What a table consists of right now: one small JSON manifest, switched by one rename.
+
+A table is a folder with version folders (``v-...``, never changed once
+written, rows in ``__bucket=N`` sub-folders) and ``_manifests/<number>.json``.
+The manifest of the greatest number is the table: it lists the live buckets of
+each version. A load writes its version folders first and then renames a
+temporary file to the next number; a rename to a name that exists fails, so of
+two loads that started from the same manifest one is refused
+(``ConcurrentLoad``) and nothing is lost. Whatever stops a load earlier leaves
+files that no manifest names. Any process that knows the folder sees the table.
+
+All file access goes through Hadoop's FileSystem, so the folder can be on
+whatever store Spark writes to. The rename must be atomic there, as on HDFS
+and local disks (object stores need a committer that makes it so).
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+class ConcurrentLoad(RuntimeError):
+    pass
+
+
+class Files:
+    """The few file operations that need no job."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._jvm = spark._jvm
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._fs = self._path(root).getFileSystem(self._conf)
+
+    def _path(self, p: str):
+        return self._jvm.org.apache.hadoop.fs.Path(p)
+
+    def names(self, folder: str) -> list[str]:
+        if not self._fs.exists(self._path(folder)):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path(folder))]
+
+    def read(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create(self, path: str, text: str) -> bool:
+        """Writes a file whole under a new name; False if the name is taken."""
+        temporary = f"{path}.{uuid.uuid4().hex}.tmp"
+        out = self._fs.create(self._path(temporary), False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        target = self._path(path)
+        done = not self._fs.exists(target) and self._fs.rename(self._path(temporary), target)
+        if not done:
+            self._fs.delete(self._path(temporary), False)
+        return done
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
+
+class Manifest:
+    """``parts``: version folder -> its live buckets; ``whole``: the buckets each version was written with."""
+
+    def __init__(self, number: int, parts: dict[str, list[int]], whole: dict[str, list[int]], exists: bool = True):
+        self.number, self.parts, self.whole, self.exists = number, parts, whole, exists
+
+    def buckets(self) -> set[int]:
+        return {b for bs in self.parts.values() for b in bs}
+
+    def only(self, buckets: set[int]) -> "Manifest":
+        return Manifest(self.number, {v: k for v, bs in self.parts.items() if (k := sorted(set(bs) & buckets))}, self.whole)
+
+    def without(self, buckets: set[int]) -> "Manifest":
+        return self.only(self.buckets() - buckets)
+
+    def plus(self, version: str, buckets: list[int]) -> "Manifest":
+        parts, whole = dict(self.parts), dict(self.whole)
+        if buckets:
+            parts[version] = whole[version] = sorted(buckets)
+        return Manifest(self.number, parts, whole)
+
+    def text(self) -> str:
+        whole = {v: self.whole[v] for v in self.parts}
+        return json.dumps({"exists": self.exists, "parts": self.parts, "whole": whole}, sort_keys=True)
+
+
+class Manifests:
+    """The manifests of one table folder."""
+
+    def __init__(self, files: Files, folder: str):
+        self.files, self.folder = files, f"{folder}/_manifests"
+
+    def numbers(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in self.files.names(self.folder) if n.endswith(".json") and n[:-5].isdigit())
+
+    def read(self, number: int) -> Manifest:
+        x = json.loads(self.files.read(f"{self.folder}/{number:012d}.json"))
+        return Manifest(number, x["parts"], x["whole"], x["exists"])
+
+    def current(self) -> Manifest:
+        numbers = self.numbers()
+        return self.read(numbers[-1]) if numbers else Manifest(0, {}, {}, exists=False)
+
+    def commit(self, before: Manifest, after: Manifest) -> None:
+        """Makes ``after`` the table if ``before`` still is."""
+        if not self.files.create(f"{self.folder}/{before.number + 1:012d}.json", after.text()):
+            raise ConcurrentLoad(f"{self.folder}: another load came first (manifest {before.number + 1})")

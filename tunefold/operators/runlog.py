@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Callable
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -31,6 +32,9 @@ RUN_SUCCESS = "success"
 RUN_FAILURE = "fail"
 STATUSES = (RUN_START, RUN_SUCCESS, RUN_FAILURE)
 
+#: Appends after which the log's small files are rewritten as one version.
+COMPACT_AFTER = 64
+
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -39,20 +43,25 @@ def next_run_ids(log: DataFrame) -> DataFrame:
     return log.groupBy("pipeline_name").agg((F.max("run_id") + 1).cast("int").alias("next_run_id"))
 
 
+def next_run_id_of(log: DataFrame, pipeline_name: str) -> DataFrame:
+    """``(pipeline_name, next_run_id)`` of one job, 1 if it never ran; the name is filtered in the scan."""
+    return log.where(F.col("pipeline_name") == F.lit(pipeline_name)).agg(
+        F.lit(pipeline_name).alias("pipeline_name"),
+        (F.coalesce(F.max("run_id"), F.lit(0)) + 1).cast("int").alias("next_run_id"))
+
+
 class RunLog:
     def __init__(self, store: TableStore, table: str = RUN_LOG.name):
         self.store = store
         self.table = table
-        schema = RUN_LOG if table == RUN_LOG.name else type(RUN_LOG)(table, RUN_LOG.struct, RUN_LOG.primary_key)
+        schema = RUN_LOG if table == RUN_LOG.name else replace(RUN_LOG, name=table)
         store.create_tables([schema])
 
     def rows(self) -> DataFrame:
         return self.store.select_all(self.table)
 
     def next_run_id(self, pipeline_name: str) -> int:
-        row = (self.rows().where(F.col("pipeline_name") == F.lit(pipeline_name))
-               .agg(F.coalesce(F.max("run_id"), F.lit(0)).alias("m")).first())
-        return int(row["m"]) + 1
+        return int(next_run_id_of(self.rows(), pipeline_name).first()["next_run_id"])
 
     def next_run_ids(self) -> DataFrame:
         return next_run_ids(self.rows())
@@ -63,6 +72,9 @@ class RunLog:
         if bad:
             raise ValueError(f"status must be one of {STATUSES}")
         self.store.insert(rows, self.table)
+        if len(self.store.manifests(self.table).current().parts) > COMPACT_AFTER:
+            self.store.compact(self.table)
+            self.store.vacuum(self.table)
 
     def log(self, pipeline_name: str, run_id: int, status: str = RUN_START, timestamp: str | None = None,
             config: dict | str | None = None, logs: str | None = None) -> None:

@@ -13,12 +13,14 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.catalog import build_catalog
+from ..operators.catalog import build_from_items
 from ..operators.load import TableStore
+from ..operators.nested import flatten_items
 from ..operators.runlog import RunLog, run_job
 from ..schemas import CATALOG_SCHEMAS
+from ..session import written
 from ..sources.pages import check_pages_complete, read_artist_docs, read_playlist_pages
 from .views import publish_views
 
@@ -35,26 +37,30 @@ class JobConfig:
     replace_views: bool = False
 
 
+def load_items(store: TableStore, items: DataFrame, artist_docs: DataFrame, method: str) -> dict[str, int]:
+    """Loads the three tables from flattened items; returns the rejected-item count per reason."""
+    items = written(items, "items")  # the landing is parsed once, for all that follows
+    built = build_from_items(items, artist_docs)
+    store.create_tables(CATALOG_SCHEMAS)
+    log.info("loading tracks, albums, artists by %s into %s", method, store.root)
+    latest = {"on_duplicate": "keep_latest", "order_by": "track_added_at"} if method == "upsert" else {}
+    store.load({"tracks": built.tracks}, CATALOG_SCHEMAS, method, **latest)
+    store.load({"albums": built.albums, "artists": built.artists}, CATALOG_SCHEMAS, method)
+    rejected = {r["reason"]: r["count"] for r in built.rejected.groupBy("reason").count().collect()}
+    log.info("rejected items: %s", rejected or "none")
+    return rejected
+
+
 def load_catalog(spark: SparkSession, store: TableStore, cfg: JobConfig) -> dict[str, int]:
     """One run without the log: returns the rejected-item count per reason."""
     log.info("reading pages from %s", cfg.pages_path)
     pages = read_playlist_pages(spark, cfg.pages_path)
     check_pages_complete(pages)
     log.info("building the catalogue")
-    built = build_catalog(pages, read_artist_docs(spark, cfg.artist_docs_path))
-    store.create_tables(CATALOG_SCHEMAS)
-    log.info("loading tracks, albums, artists by %s into %s", cfg.load_method, store.database)
-    kwargs = {"on_duplicate": "keep_latest", "order_by": "track_added_at"} if cfg.load_method == "upsert" else {}
-    other = {"on_duplicate": "error"} if cfg.load_method == "upsert" else {}
-    with store.batch_changes():  # published views are rebuilt once, after all three loads
-        store.load({"tracks": built.tracks}, CATALOG_SCHEMAS, cfg.load_method, **kwargs)
-        store.load({"albums": built.albums, "artists": built.artists}, CATALOG_SCHEMAS, cfg.load_method, **other)
+    rejected = load_items(store, flatten_items(pages), read_artist_docs(spark, cfg.artist_docs_path), cfg.load_method)
     if cfg.publish_views:
         created = publish_views(spark, store, replace=cfg.replace_views)
         log.info("views created: %s", ", ".join(created) or "none (already present)")
-    rejected = {r["reason"]: r["n"] for r in built.rejected.groupBy("reason").count().withColumnRenamed(
-        "count", "n").collect()}
-    log.info("rejected items: %s", rejected or "none")
     return rejected
 
 

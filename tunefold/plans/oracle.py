@@ -169,9 +169,16 @@ history as (
 TRACK_COLS = ("track_id, track_name, track_popularity, track_duration_ms, track_added_at, album_id, "
               "artist_id, playlist_id, playlist_name, snapshot_id")
 
+# The tracks on an album, then those with a popularity upserted with one more.
+UPSERTED = """
+select track_id, track_name, track_popularity + 1 as track_popularity, track_duration_ms, track_added_at,
+       album_id, artist_id, playlist_id, playlist_name, snapshot_id
+from tracks where album_id is not null or track_popularity is not null"""
+
 OTHERS = {
     "read_playlist_pages": with_catalog("""
 select playlist_id as id, playlist_name as name, snapshot_id, count(*) as n_items,
+       cast(sum(count(*)) over (partition by playlist_id, snapshot_id) as bigint) as total,
        case when page_no < max(page_no) over (partition by playlist_id)
             then concat('playlists/', playlist_id, '/tracks?after=', cast(page_no as varchar)) end as next_page
 from (select *, cast(track_id as bigint) // 100 as page_no from tracks) p
@@ -222,18 +229,29 @@ from tracks"""),
 
     "load_overwrite": with_catalog(f"select {TRACK_COLS} from tracks where album_id is not null"),
 
-    "load_upsert": with_catalog("""
-select track_id, track_name, track_popularity + 1 as track_popularity, track_duration_ms, track_added_at,
-       album_id, artist_id, playlist_id, playlist_name, snapshot_id
-from tracks"""),
+    "load_upsert": with_catalog(UPSERTED),
+    "stream_upsert": with_catalog(UPSERTED),
+
+    "stream_albums": with_catalog("""
+select a.album_id, a.album_name, a.album_release_date, a.album_total_tracks from albums a
+where exists (select 1 from tracks t where t.album_id = a.album_id)"""),
 
-    "stream_upsert": with_catalog(f"select {TRACK_COLS} from tracks"),
+    "stream_artists": with_catalog(f"""
+select d.id as artist_id, d.name as artist_name, {ARRAY_TEXT} as artist_genres, d.popularity as artist_popularity
+from artist_docs d
+where d.id in (select unnest(string_to_array(t.artist_id, ', ')) from tracks t
+               where t.album_id is not null or t.track_popularity is not null)""", ARTIST_DOCS_CTE),
 
     "select_all": with_catalog(f"select {TRACK_COLS} from tracks"),
 
     "run_log_next_id": f"""with {RUN_HISTORY_CTE}
 select pipeline_name, cast(max(run_id) + 1 as integer) as next_run_id from history group by pipeline_name""",
 
+    "run_log_next_id_of_job": f"""with {RUN_HISTORY_CTE}
+select pipeline_name, cast(max(run_id) + 1 as integer) as next_run_id from history
+where pipeline_name = (select min(pipeline_name) from history) group by pipeline_name
+union all select 'never ran' as pipeline_name, cast(1 as integer) as next_run_id""",
+
     "run_log_append": f"""with {RUN_HISTORY_CTE}
 select * from history
 union all

@@ -21,7 +21,7 @@ from ..operators.catalog import build_catalog, enrich_artists
 from ..operators.load import TableStore
 from ..operators.nested import collect_artist_ids, distinct_artist_ids, flatten_items
 from ..operators.ranking import dense_rank_global, top_k_with_ties
-from ..operators.runlog import RUN_START, RunLog, next_run_ids
+from ..operators.runlog import RUN_START, RunLog, next_run_id_of, next_run_ids
 from ..schemas import CATALOG_SCHEMAS, RUN_LOG
 from ..session import scratch_path, shared_dir
 from ..sources.fixtures import derive_artist_docs, derive_run_history, materialized_catalog
@@ -32,7 +32,7 @@ from ..sources.pages import (
     read_artist_docs,
     read_playlist_pages,
 )
-from ..streaming.upsert_stream import stream_upsert
+from ..streaming.upsert_stream import stream_catalog
 from . import views as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +40,6 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 # Fixed values of the run-log append case.
 APPEND_TIMESTAMP = "2024-02-01 00:00:00"
 APPEND_CONFIG = '{"source": "events"}'
-STREAM_FILES = 5
 
 _LANDED: dict[tuple[str, str], tuple[str, str]] = {}
 
@@ -81,9 +80,9 @@ def _store(spark: SparkSession) -> TableStore:
 
 def q_read_playlist_pages(spark, sf_dir):
     p = _pages(spark, sf_dir)
-    check_pages_complete(p)  # one last page per playlist, as following `next` to the end would find
+    check_pages_complete(p)  # every pull landed whole
     return p.select("id", "name", "snapshot_id", F.size("tracks.items").cast("bigint").alias("n_items"),
-                    F.col("tracks.next").alias("next_page"))
+                    F.col("tracks.total").cast("bigint").alias("total"), F.col("tracks.next").alias("next_page"))
 
 
 def q_flatten_items(spark, sf_dir):
@@ -159,31 +158,57 @@ def q_load_overwrite(spark, sf_dir):
     return store.select_all("tracks")
 
 
+def _updates(tracks: DataFrame) -> DataFrame:
+    """The tracks with a popularity, one higher: on an album they exist already, others are new."""
+    rated = tracks.where(F.col("track_popularity").isNotNull())
+    return rated.withColumn("track_popularity", F.col("track_popularity") + 1)
+
+
 def q_load_upsert(spark, sf_dir):
-    # Target: tracks on an album. Batch: every track, popularity + 1, so existing
-    # keys are updated and the tracks without an album are inserted.
+    # Target: tracks on an album. Batch: tracks with a popularity. So some rows are
+    # kept (on an album, no popularity), some updated, some inserted.
     t = _cat(spark, sf_dir).tracks
     store = _store(spark)
     store.overwrite(t.where(F.col("album_id").isNotNull()), "tracks")
-    batch = t.withColumn("track_popularity", F.col("track_popularity") + 1)
-    store.upsert(batch, "tracks")
-    store.upsert(batch, "tracks")  # a second application changes nothing
+    store.upsert(_updates(t), "tracks")
+    store.upsert(_updates(t), "tracks")  # a second application changes nothing
     return store.select_all("tracks")
 
 
-def q_stream_upsert(spark, sf_dir):
+_STREAMED: dict[tuple[str, str], TableStore] = {}
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Two pulls, the second with changed and new tracks, each run through the stream."""
     c = _cat(spark, sf_dir)
-    landing_dir = scratch_path(spark, "stream-landing")
-    # One playlist per file, as a pull of one playlist lands: each micro-batch
-    # then upserts whole playlists and rewrites only their partition buckets.
-    land_pages(c.tracks, c.albums, landing_dir, files=STREAM_FILES, by="playlist")
-    store = _store(spark)
-    q = stream_upsert(spark, landing_dir, store, scratch_path(spark, "stream-checkpoint"),
-                      max_files_per_trigger=1)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return store.select_all("tracks")
+    docs = landing(spark, sf_dir)[1]
+    pages = scratch_path(spark, "stream-landing")
+    store, checkpoint = _store(spark), scratch_path(spark, "stream-checkpoint")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for pull, tracks in enumerate((c.tracks.where(F.col("album_id").isNotNull()), _updates(c.tracks))):
+        land_pages(tracks, c.albums, pages, files=files, append=pull > 0)
+        q = stream_catalog(spark, pages, docs, store, checkpoint, job_name="stream")
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    _STREAMED[spark.sparkContext.applicationId, sf_dir] = store
+    return store
+
+
+def _last_streamed(spark: SparkSession, sf_dir: str) -> TableStore:
+    return _STREAMED.get((spark.sparkContext.applicationId, sf_dir)) or _streamed(spark, sf_dir)
+
+
+def q_stream_upsert(spark, sf_dir):
+    return _streamed(spark, sf_dir).select_all("tracks")
+
+
+def q_stream_albums(spark, sf_dir):
+    return _last_streamed(spark, sf_dir).select_all("albums")
+
+
+def q_stream_artists(spark, sf_dir):
+    return _last_streamed(spark, sf_dir).select_all("artists")
 
 
 def q_select_all(spark, sf_dir):
@@ -198,6 +223,14 @@ def q_run_log_next_id(spark, sf_dir):
     return next_run_ids(derive_run_history(spark, sf_dir))
 
 
+def q_run_log_next_id_of_job(spark, sf_dir):
+    # One job of the log, and one that never ran.
+    log = derive_run_history(spark, sf_dir)
+    names = log.agg(F.min("pipeline_name")).first()[0], "never ran"
+    one, none = (next_run_id_of(log, n) for n in names)
+    return one.unionByName(none)
+
+
 def q_run_log_append(spark, sf_dir):
     store = TableStore(spark, scratch_path(spark, "runlog"))
     log = RunLog(store)
@@ -240,7 +273,8 @@ QUERY_KEYS = (
     "read_playlist_pages", "flatten_items", "collect_artist_ids", "distinct_artist_ids",
     "artist_enrichment", "unnest_track_artists", "unnest_artist_genres", "format_duration",
     "top_k_with_ties", "catalog_tracks", "catalog_albums", "catalog_artists", "load_insert",
-    "load_overwrite", "load_upsert", "stream_upsert", "select_all", "run_log_next_id", "run_log_append",
+    "load_overwrite", "load_upsert", "stream_upsert", "stream_albums", "stream_artists", "select_all",
+    "run_log_next_id", "run_log_next_id_of_job", "run_log_append",
     "most_popular_tracks_with_duration", "top_5_most_popular_artists_contribution",
     "track_popularity_trend_by_release_year_month", "album_track_popularity_comparison",
     "genre_track_and_artist_details", "dense_rank_global",

@@ -1,15 +1,16 @@
 """The five analytic views over ``tracks`` / ``albums`` / ``artists``.
 
 Each view is a function ``DataFrame... -> DataFrame``; ``register_views``
-publishes them by name (create-if-missing, like the warehouse setup step), and
-``publish_views`` also rebuilds them after every load of the store's tables.
+publishes them in a session, ``create_views`` records them beside the tables
+(create-if-missing, like the warehouse setup step) and ``read_view`` opens them.
+Building a view runs no job.
 
 Shape of every plan (see ``.explain`` / PLANS.md): no window without a
 partition, and no aggregate gathers a whole group into one task. The one
 exception is the finished name list of a genre, which is itself the output value.
 
-* Global dense ranks go through ``dense_rank_global`` (rank the distinct key
-  values, broadcast back under a checked size).
+* Global dense ranks go through ``dense_rank_global`` (range-partitioned ranks of
+  the distinct key values, joined back).
 * Window averages/counts per album or month are partial aggregates joined
   back: a hot album or month is combined map-side instead of sorted in one task.
 * The whole-relation average is a one-row scalar subquery.
@@ -23,7 +24,7 @@ exception is the finished name list of a genre, which is itself the output value
 
 from __future__ import annotations
 
-import weakref
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,9 @@ from ..functions.text import (
     round_half_away_int,
     year_month,
 )
-from ..operators.joins import checked_broadcast, left_join_spread_nulls
+from ..operators.joins import left_join_spread_nulls
 from ..operators.ranking import dense_rank_global, top_k_with_ties
+from ..schemas import CATALOG_SCHEMAS
 
 TOP_ARTISTS = 5
 
@@ -67,7 +69,7 @@ def top_5_most_popular_artists_contribution(tracks: DataFrame, artists: DataFram
     top = top_k_with_ties(artists.select("artist_id", "artist_name", "artist_popularity"),
                           "artist_popularity", k, "artist_popularity_rnk")
     ta = track_artists(tracks)
-    j = ta.join(checked_broadcast(top), "artist_id")
+    j = ta.join(top, "artist_id")
     out = j.groupBy("artist_name", "artist_popularity", "artist_popularity_rnk").agg(
         F.count_distinct("track_id").alias("total_tracks_contributed"))
     return out.orderBy("artist_popularity_rnk", "artist_name", "artist_popularity") if ordered else out
@@ -91,9 +93,7 @@ def track_popularity_trend_by_release_year_month(tracks: DataFrame, albums: Data
                          F.col("n").cast("bigint").alias("num_tracks_per_release_year_month")))
     rows = left_join_spread_nulls(t, a, "album_id", "track_id").select(
         "track_id", "album_name", "album_release_year_month")
-    # Not persisted: views are rebuilt after every load, and a cache per rebuild
-    # would pile up; the month totals are a light aggregate to compute twice.
-    m = checked_broadcast(per_month)
+    m = per_month
     j = rows.join(m, rows["album_release_year_month"].eqNullSafe(m["__ym"]), "left").drop("__ym")
     if ordered:
         j = j.orderBy(F.col("album_release_year_month").desc_nulls_first(), "track_id")
@@ -163,7 +163,7 @@ VIEW_NAMES = (
 
 
 def view_builders(tracks: DataFrame, albums: DataFrame, artists: DataFrame) -> dict:
-    """``name -> () -> DataFrame``; building a view runs its small planning jobs (rank sizes)."""
+    """``name -> () -> DataFrame``; building a view runs no job."""
     return {
         "top_5_most_popular_artists_contribution": lambda: top_5_most_popular_artists_contribution(tracks, artists),
         "most_popular_tracks_with_duration": lambda: most_popular_tracks_with_duration(tracks),
@@ -198,29 +198,39 @@ def register_views(spark: SparkSession, tracks: DataFrame, albums: DataFrame, ar
 
 
 CATALOG_TABLES = ("tracks", "albums", "artists")
-_PUBLISHED: "weakref.WeakSet" = weakref.WeakSet()
+
+
+def create_views(store, replace: bool = False) -> list[str]:
+    """Records the views beside the tables, each unless it exists; returns the new ones. No job runs.
+
+    What is recorded is a name: a view is built over the tables as they are when it is read.
+    """
+    created = []
+    for name in VIEW_NAMES:
+        path = f"{store.root}/_views/{name}.json"
+        if replace and f"{name}.json" in store.files.names(f"{store.root}/_views"):
+            store.files.delete(path)
+        if store.files.create(path, json.dumps({"view": name})):
+            created.append(name)
+    return created
+
+
+def read_view(store, name: str) -> DataFrame:
+    """A recorded view over the current tables, in any process that knows the store's folder."""
+    if f"{name}.json" not in store.files.names(f"{store.root}/_views"):
+        raise LookupError(f"no view {name!r} in {store.root}")
+    store.create_tables(CATALOG_SCHEMAS)
+    return view_builders(*(store.select_all(t) for t in CATALOG_TABLES))[name]()
 
 
 def publish_views(spark: SparkSession, store, replace: bool = False) -> list[str]:
-    """Register the views over ``store``'s tables and keep them current.
+    """Records the views (``create_views``) and points this session's temp views of their names at the current tables.
 
-    Views are created if missing (``replace`` re-creates them). A temp view
-    built from a DataFrame keeps the table version it was built on, so after
-    every committed load of ``tracks``/``albums``/``artists`` in ``store`` the
-    views published here are rebuilt over the new version (once per batch of
-    changes, see ``TableStore.batch_changes``).
+    A temp view stays on the table versions it was built on; the job calls this at
+    the end of every run, other callers when they want to see later loads.
     """
     if not all(store.table_exists(t) for t in CATALOG_TABLES):
         return []
-    created = register_views(spark, *(store.select_all(t) for t in CATALOG_TABLES), replace=replace)
-    if store in _PUBLISHED:
-        return created
-    _PUBLISHED.add(store)
-    owned = set(created)
-
-    def refresh(tables: set[str]) -> None:
-        if owned and tables & set(CATALOG_TABLES) and all(store.table_exists(t) for t in CATALOG_TABLES):
-            register_views(spark, *(store.select_all(t) for t in CATALOG_TABLES), replace=True, only=owned)
-
-    store.on_change(refresh)
+    created = create_views(store, replace)
+    register_views(spark, *(store.select_all(t) for t in CATALOG_TABLES), replace=True)
     return created

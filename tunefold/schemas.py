@@ -62,45 +62,21 @@ ARTIST_DOC = StructType([
 
 @dataclass(frozen=True)
 class TableSchema:
-    """A published table: column types, primary key, and optional partitioning.
+    """A published table: column types, primary key, and the number of key-hash buckets it is stored in.
 
-    ``derived`` columns ``(name, SQL expression)`` are computed on write and
-    stored as INT (a partition bucket, say); readers of ``columns`` never see them.
+    A load reads and rewrites whole buckets, so more of them make small loads into
+    a big table cheaper; a table whose batches are as big as itself needs few.
     """
 
     name: str
     struct: StructType
     primary_key: tuple[str, ...]
-    partition_by: tuple[str, ...] = ()
-    derived: tuple[tuple[str, str], ...] = ()
+    buckets: int = 16
 
     @property
     def columns(self) -> list[str]:
         return [f.name for f in self.struct.fields]
 
-    @property
-    def stored_columns(self) -> list[str]:
-        return self.columns + [n for n, _ in self.derived]
-
-    @property
-    def table_order(self) -> list[str]:
-        """Column order of the catalog table: data columns, then partition columns."""
-        return [c for c in self.stored_columns if c not in self.partition_by] + list(self.partition_by)
-
-    def types(self) -> dict[str, object]:
-        out = {f.name: f.dataType for f in self.struct.fields}
-        out.update({n: I for n, _ in self.derived})
-        return out
-
-    def ddl(self) -> str:
-        return ", ".join(f"`{n}` {t.simpleString()}" for n, t in self.types().items())
-
-
-# Hash buckets of playlist ids that partition ``tracks``: a one-playlist upsert
-# rewrites one bucket (about 1/1024 of the table), and the partition count stays
-# bounded however many playlists exist.
-TRACK_PARTITION_BUCKETS = 1024
-
 
 TRACKS = TableSchema("tracks", StructType([
     StructField("track_id", S, False),
@@ -113,8 +89,7 @@ TRACKS = TableSchema("tracks", StructType([
     StructField("playlist_id", S),
     StructField("playlist_name", S),
     StructField("snapshot_id", S),
-]), ("track_id",), partition_by=("playlist_bucket",),
-    derived=(("playlist_bucket", f"pmod(xxhash64(playlist_id), {TRACK_PARTITION_BUCKETS})"),))
+]), ("track_id",), buckets=64)
 
 ALBUMS = TableSchema("albums", StructType([
     StructField("album_id", S, False),
@@ -137,6 +112,6 @@ RUN_LOG = TableSchema("pipeline_logs", StructType([
     StructField("status", S, False),
     StructField("config", S),
     StructField("logs", S),
-]), ("pipeline_name", "run_id", "timestamp", "status"))
+]), ("pipeline_name", "run_id", "timestamp", "status"), buckets=4)
 
 CATALOG_SCHEMAS = {t.name: t for t in (TRACKS, ALBUMS, ARTISTS)}

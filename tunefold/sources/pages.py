@@ -6,7 +6,8 @@ big landing stays splittable and every file split is a task. A page line is
 
     {"id", "name", "snapshot_id", "tracks": {"items": [item, ...], "next"}}
 
-and the last page of each playlist has no ``next``. Reading many page files
+where ``tracks`` also has the playlist's ``total`` of items, and the last page of
+each pull has no ``next`` (NULL or empty, either ended the fetch loop). Reading many page files
 at once is the bag union of their items; the order of pages is not needed
 because no output depends on it.
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import int_div, split_list
-from ..operators.joins import checked_broadcast, left_join_spread_nulls
+from ..operators.joins import left_join_spread_nulls
 from ..schemas import ARTIST_DOC, PAGE
 
 PAGE_SIZE = 100
@@ -39,16 +40,31 @@ def read_playlist_pages(spark: SparkSession, path: str, fail_fast: bool = True)
     return reader.json(path)
 
 
+def is_last_page():
+    return F.coalesce(F.col("tracks.next"), F.lit("")) == ""
+
+
 def check_pages_complete(pages: DataFrame) -> None:
-    """Each playlist must have exactly one last page (NULL ``next``); one aggregate job."""
-    per = pages.groupBy("id").agg(F.sum(F.col("tracks.next").isNull().cast("int")).alias("last_pages"))
-    bad = per.where(F.col("last_pages") != 1).limit(5).collect()
+    """Every pull must have landed whole: as many items as its pages' ``total`` says, and one last page.
+
+    One aggregate job, a few numbers per (playlist, snapshot, total). A snapshot
+    that was pulled n times has n last pages and n times its items. A page without
+    ``total`` proves nothing and is refused.
+    """
+    items = F.coalesce(F.size("tracks.items"), F.lit(0))
+    per = pages.groupBy("id", "snapshot_id", F.col("tracks.total").alias("total")).agg(
+        F.sum(is_last_page().cast("int")).alias("last_pages"), F.sum(items).alias("n"))
+    whole = F.col("last_pages") * F.col("total") == F.col("n")
+    bad = per.where(~F.coalesce(whole & (F.col("last_pages") > 0), F.lit(False))).limit(5).collect()
     if bad:
-        raise IncompleteLanding(f"playlists without exactly one last page: {[(r['id'], r['last_pages']) for r in bad]}")
+        raise IncompleteLanding(f"pulls that did not land whole (items, last pages, total): "
+                                f"{[(r['id'], r['n'], r['last_pages'], r['total']) for r in bad]}")
 
 
 def read_artist_docs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ARTIST_DOC).option("mode", "FAILFAST").json(path)
+    """Documents, with the time their file landed: of repeated ids the latest counts."""
+    docs = spark.read.schema(ARTIST_DOC).option("mode", "FAILFAST").json(path)
+    return docs.select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
 def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -71,15 +87,16 @@ def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE)
     pages = items.groupBy("playlist_id", "playlist_name", "snapshot_id", "page_no").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("seq", "item"))), lambda s: s["item"]).alias("items"))
     # Last page per playlist, from the narrow key columns only (one row per playlist).
-    last = checked_broadcast(tracks.groupBy("playlist_id").agg(
-        F.max(int_div(F.col("track_id").cast("bigint"), page_size)).alias("last_page")))
+    last = tracks.groupBy("playlist_id").agg(
+        F.max(int_div(F.col("track_id").cast("bigint"), page_size)).alias("last_page"),
+        F.count("*").cast("int").alias("total"))
     pages = pages.join(last, "playlist_id")
     nxt = F.when(F.col("page_no") < F.col("last_page"),
                  F.concat(F.lit("playlists/"), F.col("playlist_id"), F.lit("/tracks?after="),
                           F.col("page_no").cast("string")))
     return pages.select(
         F.col("playlist_id").alias("id"), F.col("playlist_name").alias("name"), "snapshot_id", "page_no",
-        F.struct(F.col("items"), nxt.alias("next")).alias("tracks"))
+        F.struct(F.col("total"), F.col("items"), nxt.alias("next")).alias("tracks"))
 
 
 def land_pages(tracks: DataFrame, albums: DataFrame, path: str, files: int | None = None,

@@ -1,19 +1,22 @@
-"""Micro-batch load: landed page files -> flattened tracks -> keyed upsert.
+"""The recurring run as a stream: every new landing goes through the whole job.
 
-The warehouse job re-pulled the whole playlist on a timer and upserted it.
+The warehouse job re-pulled the playlist on a timer and loaded all its tables.
 Here new page files are picked up by a file stream, and every micro-batch is
-upserted through ``foreachBatch``:
+flattened once and upserted into ``tracks``, ``albums`` and ``artists`` through
+``foreachBatch``, with start / success / fail rows in the run log if a job name
+is given:
 
 * the file source records which files each batch read in the checkpoint
   (kept in the shared folder), so a restarted query resumes after the last
   committed batch and never reads a file twice;
 * a batch that is replayed after a failure is upserted again, which changes
-  nothing (an upsert is idempotent), so the table is exactly-once in effect;
+  nothing (an upsert is idempotent), so the tables are exactly-once in effect;
 * ``trigger(availableNow=True)`` drains what is landed and stops (a scheduled
   run); ``processingTime`` keeps polling (the timer loop).
 
-Within one batch, a key that appears on two pages is resolved by
-``on_duplicate`` (default: keep the row with the latest ``track_added_at``).
+Within one batch, a track that appears on two pages keeps the row with the
+latest ``track_added_at``, an album its latest tuple. Artist documents are read
+anew for every batch, so those that landed with it are found.
 """
 
 from __future__ import annotations
@@ -21,10 +24,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.catalog import catalog_tracks
 from ..operators.load import TableStore
 from ..operators.nested import flatten_items
-from ..schemas import PAGE, TRACKS
+from ..operators.runlog import RunLog, run_job
+from ..plans.job import load_items
+from ..schemas import CATALOG_SCHEMAS, PAGE
+from ..sources.pages import read_artist_docs
 
 
 def page_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,21 +39,23 @@ def page_stream(spark: SparkSession, landing: str, max_files_per_trigger: int |
     return reader.json(landing)
 
 
-def stream_upsert(spark: SparkSession, landing: str, store: TableStore, checkpoint: str,
-                  table: str = "tracks", on_duplicate: str = "keep_latest",
-                  max_files_per_trigger: int | None = None, processing_time: str | None = None,
-                  query_name: str | None = None) -> StreamingQuery:
+def stream_catalog(spark: SparkSession, landing: str, artist_docs: str, store: TableStore, checkpoint: str,
+                   job_name: str | None = None, max_files_per_trigger: int | None = None,
+                   processing_time: str | None = None, query_name: str | None = None) -> StreamingQuery:
     """Start the stream; with no ``processing_time`` it drains the landing and stops."""
-    store.create_tables([TRACKS])
-    tracks = catalog_tracks(flatten_items(page_stream(spark, landing, max_files_per_trigger)))
+    store.create_tables(CATALOG_SCHEMAS)
+    items = flatten_items(page_stream(spark, landing, max_files_per_trigger))
 
-    def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        # catalog_tracks drops NULL track ids, so keys are non-NULL by construction;
-        # the upsert computes the batch once (persisted) for its checks and write.
-        store.upsert(batch, table, on_duplicate=on_duplicate, order_by="track_added_at",
-                     check_keys=on_duplicate != "keep_latest")
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        def work() -> None:
+            load_items(store, batch, read_artist_docs(spark, artist_docs), "upsert")
 
-    writer = tracks.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
+        if job_name:
+            run_job(RunLog(store), job_name, work, config={"pages": landing, "artists": artist_docs, "batch": batch_id})
+        else:
+            work()
+
+    writer = items.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
