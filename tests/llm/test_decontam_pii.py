@@ -64,16 +64,16 @@ def test_slices_of_cells_give_the_same(monkeypatch):
 
 def test_decontamination_odd_rows(spark, docs_of):
     item = "Which of the two rivers is the longer one, and where does it reach the sea? It is the northern river, near Kalo."
-    near = item.replace("northern", "other")
+    near, other = item.replace("Which of", "What of"), item.replace("northern", "other")  # of the other, the answer differs
     bench = spark.createDataFrame([(1, item), (2, None), (None, "x"), (3, ""), (4, item), (5, "...")], "item_id long, text string")
     pad = " ".join(f"p{i}" for i in range(500))
     texts = [(1, f"{pad} {item.upper()} {pad}"), (2, None), (3, ""), (4, pad), (None, item), (6, near), (6, near)]
-    texts += [(7, "Which of the two rivers is the longer one, and where does it reach the sea?"), (8, "word " * 200_000 + item)]
+    texts += [(7, "Which of the two rivers is the longer one, and where does it reach the sea?"), (8, "word " * 200_000 + item), (9, other)]
     rows = decontam.matches(docs_of(texts, items="x"), bench).collect()
     got = sorted((r.doc_id or 0, r["items"]) for r in rows)
-    assert got == [(0, [1, 4]), (1, [1, 4]), (2, []), (3, []), (4, []), (6, [1, 4]), (6, [1, 4]), (7, []), (8, [1, 4])]
+    assert got == [(0, [1, 4]), (1, [1, 4]), (2, []), (3, []), (4, []), (6, [1, 4]), (6, [1, 4]), (7, []), (8, [1, 4]), (9, [])]
     kept = decontam.clean(docs_of(texts, items="x"), bench)
-    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 7] and "items" in kept.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 7, 9] and "items" in kept.columns
     assert decontam.matches(docs_of(texts), bench.limit(0)).where("contaminated").count() == 0
     assert decontam.matches(docs_of([]), bench).count() == 0
 
