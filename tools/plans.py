@@ -44,7 +44,7 @@ def main() -> None:
     out = ["# Physical plans (summary)", "",
            f"Generated by `tools/plans.py` on `{sf_dir}`, local[8], before execution.",
            "Single-partition exchanges only take a partial aggregate (one row per task),",
-           "the distinct rank keys (count-checked) or at most k top values.", ""]
+           "the sizes of the rank ranges (one row each) or at most k top values.", ""]
     for key in KEYS:
         df = qs[key](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
