@@ -2,8 +2,9 @@
 
 Documents are dealt by ranges of doc_id and sorted; each task tokenizes its
 range and writes one shard: an Arrow IPC file whose record batches have two
-columns of fixed-size lists, ``ids`` (uint32) and ``mask`` (uint8: 1 for an id,
-0 for the padding after a shard's last one). Sequence ``i`` of a shard is row
+columns of fixed-size lists, ``ids`` (uint16 where the vocabulary allows it, else
+uint32) and ``mask`` (bits: set for an id, not for the padding after a shard's
+last one). Sequence ``i`` of a shard is row
 ``i % ROWS`` of batch ``i // ROWS``, so a reader that maps the file gets any
 sequence and its mask as views of the mapped bytes, without copying. A second
 file beside it, of the same kind, lists the shard's documents with their start
@@ -46,8 +47,8 @@ MANIFEST = "path string, index string, first_doc long, n_docs long, n_tokens lon
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def _schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def _schema(length: int, dtype: np.dtype) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 def opened(path: str, write: bool = False):
@@ -62,13 +63,14 @@ def opened(path: str, write: bool = False):
 class ShardWriter:
     """Writes ids, of any number at a time, as equal sequences; holds less than one batch in memory."""
 
-    def __init__(self, sink, length: int = LENGTH, rows: int = ROWS):
+    def __init__(self, sink, length: int = LENGTH, rows: int = ROWS, dtype: type = np.uint32):
         self.length, self.rows, self.held, self.n = length, rows, [], 0
         self.total = self.sequences = 0
-        self.out = pa.ipc.new_file(sink, _schema(length))
+        self.schema, self.dtype = _schema(length, np.dtype(dtype)), dtype
+        self.out = pa.ipc.new_file(sink, self.schema)
 
     def write(self, ids: np.ndarray) -> None:
-        self.held.append(ids)
+        self.held.append(ids.astype(self.dtype))
         self.n += len(ids)
         self.total += len(ids)
         size = self.length * self.rows
@@ -80,16 +82,14 @@ class ShardWriter:
             self.n = len(self.held[0])
 
     def _batch(self, ids: np.ndarray, n: int) -> None:
-        mask = np.zeros(len(ids), np.uint8)
-        mask[:n] = 1
         of = lambda a: pa.FixedSizeListArray.from_arrays(pa.array(a), self.length)
-        self.out.write_batch(pa.record_batch([of(ids), of(mask)], schema=_schema(self.length)))
+        self.out.write_batch(pa.record_batch([of(ids), of(np.arange(len(ids)) < n)], schema=self.schema))
         self.sequences += len(ids) // self.length
 
     def close(self) -> None:
         if self.n:
             ids = np.concatenate(self.held)
-            self._batch(np.r_[ids, np.zeros(-len(ids) % self.length, np.uint32)].astype(np.uint32), len(ids))
+            self._batch(np.r_[ids, np.zeros(-len(ids) % self.length, self.dtype)].astype(self.dtype), len(ids))
         self.out.close()
 
 
@@ -101,13 +101,14 @@ class Shard:
         self.length = self.file.schema.field("ids").type.list_size
         self.rows = self.file.get_batch(0).num_rows if self.file.num_record_batches else 1
 
-    def _flat(self, batch: int, column: int) -> np.ndarray:
-        return self.file.get_batch(batch).column(column).flatten().to_numpy(zero_copy_only=True)
+    def _flat(self, batch: int) -> np.ndarray:
+        return self.file.get_batch(batch).column(0).flatten().to_numpy(zero_copy_only=True)
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``: views, not copies."""
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids (numpy) and mask (Arrow bits) of sequence ``i``: views, not copies."""
         b, r = divmod(i, self.rows)
-        return tuple(self._flat(b, c)[r * self.length : (r + 1) * self.length] for c in (0, 1))
+        mask = self.file.get_batch(b).column(1).flatten().slice(r * self.length, self.length)
+        return self._flat(b)[r * self.length : (r + 1) * self.length], mask
 
     def spans(self, starts_and_lengths) -> Iterator[np.ndarray]:
         """Ids of spans in ascending order; one batch is open at a time, and only a span over its end is copied."""
@@ -117,7 +118,7 @@ class Shard:
             while n > 0:
                 b, r = divmod(start, size)
                 if b != at:
-                    at, flat = b, self._flat(b, 0)
+                    at, flat = b, self._flat(b)
                 parts.append(flat[r : r + n])
                 n -= len(parts[-1])
                 start += len(parts[-1])
@@ -135,7 +136,8 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 1, lengt
         for b in batches(parts, 500_000):
             if out is None:
                 sink, index_sink = opened(f"{name}.arrow", True), opened(f"{name}.docs.arrow", True)
-                out, index = ShardWriter(sink, length), pa.ipc.new_file(index_sink, _INDEX)
+                dtype = np.uint16 if max(enc.tok.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
+                out, index = ShardWriter(sink, length, dtype=dtype), pa.ipc.new_file(index_sink, _INDEX)
                 first = b.column(0)[0].as_py()
             ids = [x + end for x in enc.encode([t or "" for t in b.column(1).to_pylist()])]
             starts = []
@@ -178,7 +180,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 for k in range(index.num_record_batches):
                     b = index.get_batch(k)
                     starts, counts = b.column(1).to_numpy(), b.column(2).to_numpy()
-                    crc = [zlib.crc32(np.ascontiguousarray(s, "<u4")) for s in shard.spans(zip(starts, counts))]
+                    crc = [zlib.crc32(s.astype("<u4")) for s in shard.spans(zip(starts, counts))]
                     yield pa.RecordBatch.from_arrays(
                         [b.column(0), pa.array(starts + m["shard_start"]), b.column(2), pa.array(crc, pa.int64())],
                         names=[c.split()[0] for c in schema.split(", ")],
