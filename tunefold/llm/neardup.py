@@ -8,15 +8,20 @@
 3. Representatives meet in bands of ``ROWS`` minima. The number of bands follows
    from the threshold so that a pair at it is missed with probability 1e-6.
    Within a band's bucket every member is compared with one hub, never all with
-   all. A compared pair is first checked on the signatures (five standard errors
-   below the threshold) and then on the full sets, exactly.
+   all; hubs differ between ``CHOICES`` classes of bands, so a member of a large
+   group meets several. A compared pair is first checked on the signatures (five
+   standard errors below the threshold) and then on the full sets, exactly.
 4. Components of the links are found by alternating large-star and small-star.
-5. A bucket whose members are then in several components is not finished: some
-   members become hubs in turn (``HUBS`` a round, chosen by hash among the
-   bucket's components), each compared with all members of other components, and
-   are then retired. Rounds go on until no bucket has active members of two
-   components. So no pair of a bucket in different components stays unchecked,
-   and there is no cap on buckets; each round's work is linear in its members.
+5. A bucket whose members are then in several components is not finished. What
+   no other open member shares of a member's set bounds its similarity to all of
+   them, exactly; members without a possible partner in their bucket leave it.
+   Of the members outside the bucket's largest component ``HUBS`` a round become
+   hubs, are compared on full sets with all members of other components that the
+   same bound allows, and leave. They are compared in blocks (a group is a bucket,
+   a block of hubs and a block of members, ``BLOCK`` bytes of sets each), of which
+   only the links come out. Rounds go on until no bucket has members of two
+   components: no pair of a bucket in different components stays unchecked, and
+   there is no cap on buckets.
 
 At scale: texts are read twice and never shuffled except the few that take part
 in a comparison. Hot buckets and hubs meet in sort-merge joins that AQE splits;
@@ -42,8 +47,10 @@ from pyspark.sql import functions as F
 
 from tunefold.llm.common import batches, shingles, utf8, word_hashes, written
 
-#: Minima of a band, hubs of a bucket and round, and the chance that bands miss a pair at the threshold.
-ROWS, HUBS, MISS = 5, 32, 1e-6
+#: Minima of a band, hubs a member meets at first, hubs of a bucket in later rounds, and the chance that bands miss a pair at the threshold.
+ROWS, CHOICES, HUBS, MISS = 5, 6, 256, 1e-6
+#: Members and bytes of sets of a block.
+MEMBERS, BLOCK = 1024, 4_000_000
 
 _RANDOM = np.random.default_rng(2023)
 _A = _RANDOM.integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,14 +110,21 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
     return both.select("u", "v", "sig_u", "sig_v").mapInArrow(run, "u long, v long")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union."""
+def _full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """Sorted set (as bytes) of each representative in ``ids``."""
 
     def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
             found = [s.tobytes() for s in sets(b.column(1), k)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["rep", "found"])
 
+    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi")
+    return rows.dropDuplicates(["rep", "text"]).mapInArrow(find, "rep long, found binary")
+
+
+def _linked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets have 100 * intersection >= percent * union."""
+
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
             keep = []
@@ -120,32 +134,73 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
                 keep.append(100 * both >= percent * (len(s) + len(t) - both))
             yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    ids = pairs.select(F.col("u").alias("rep")).union(pairs.select("v")).distinct()
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi")
-    rows = rows.dropDuplicates(["rep", "text"])
-    full = written(rows.mapInArrow(find, "rep long, found binary"), "near-sets")
     of = lambda x: full.select(F.col("rep").alias(x), F.col("found").alias(f"found_{x}"))
     both = pairs.join(of("v"), "v").join(of("u"), "u")
     return both.select("u", "v", "found_u", "found_v").mapInArrow(compare, "u long, v long")
 
 
+def _block_links(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """Links between hubs and members of a block and of different components.
+
+    ``members`` and ``hubs``: key, block, rep, n, s, c, found. A link is (u, v) as in ``_linked``.
+    """
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        u, v = [], []
+        if left.num_rows and right.num_rows:
+            rep, n, s, c = (left.column(x).to_numpy() for x in ("rep", "n", "s", "c"))
+            found = [np.frombuffer(x, np.uint64) for x in left.column("found").to_pylist()]
+            flat, at = np.concatenate(found), np.r_[0, np.cumsum([len(f) for f in found])[:-1]]
+            for h in right.rename_columns([x.removeprefix("hub_") for x in right.column_names]).to_pylist():
+                both = np.minimum(s, h["s"])
+                may = (c != h["c"]) & (100 * both >= percent * (n + np.maximum(h["n"], both) - both))
+                if not may.any():
+                    continue
+                mine = np.frombuffer(h["found"], np.uint64)
+                place = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+                both = np.add.reduceat((mine[place] == flat).astype(np.int64), at)
+                for r in rep[may & (100 * both >= percent * (n + len(mine) - both))].tolist():
+                    u.append(min(r, h["rep"]))
+                    v.append(max(r, h["rep"]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    others = hubs.select(*(F.col(x).alias(f"hub_{x}") for x in hubs.columns))
+    pairs = members.groupBy("key", "block").cogroup(others.groupBy("hub_key", "hub_block"))
+    return pairs.applyInArrow(compare, "u long, v long").distinct()
+
+
+def _own(full: DataFrame, ids: DataFrame) -> DataFrame:
+    """(rep, own): shingles of a representative that no other one in ``ids`` has; none, no row."""
+
+    def spread(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(parts):
+            found = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+            reps = np.repeat(b.column(0).to_numpy(), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(np.concatenate(found))], names=["rep", "shingle"])
+
+    rows = full.join(ids, "rep", "left_semi").mapInArrow(spread, "rep long, shingle long")
+    once = rows.groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).where("rep = last")
+    return once.groupBy("rep").agg(F.count("*").alias("own"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of the links (u, v): the smallest node reachable.
 
     Alternating large-star and small-star; each step is a minimum per node (a partial aggregate) joined back.
     """
-    edges = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "near-edges")
+    high, low_of = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
+    edges = written(links.where("u <> v").select(high, low_of).distinct(), "near-edges")
     state = None
     while True:
+        # large-star: the larger neighbours of a node move to its least one
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        large = written(large.where("u <> v").distinct(), "near-large")
-        # every edge now points from its larger end to its smaller one
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(low, "u")
-        moved = small.select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v")
-        edges = written(moved.union(low.select("u", "low")).distinct(), "near-small")
+        large = large.where("u <> v").distinct()
+        # small-star: every edge points from its larger end now; the smaller neighbours move to the least one
+        least = large.groupBy("u").agg(F.min("v").alias("low"))
+        moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v")
+        edges = written(moved.union(least.select("u", "low")).distinct(), "near-star")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -156,6 +211,19 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def _open(at: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component."""
+    per = at.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first < last")
+    return at.join(per.select("key"), "key", "left_semi")
+
+
+def _possible(s: str, t: str, n: str, m: str, percent: int):
+    """Whether two sets can reach the threshold, where the first has ``n`` shingles, ``s`` of them shared with anybody,
+    and the second has ``m`` or more, ``t`` of them or fewer shared."""
+    both = F.least(s, t)
+    return 100 * both >= percent * (F.col(n) + F.greatest(F.col(m), both) - both)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``.
 
@@ -172,41 +240,56 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sigs = sketch.where("n > 0").select(F.col("doc_id").alias("rep"), "n", "sig").join(reps, "rep", "left_semi")
     sigs = written(sigs.dropDuplicates(["rep"]), "near-signatures")
     key = lambda i: F.xxhash64(F.lit(i), F.substring("sig", 4 * ROWS * i + 1, 4 * ROWS))
-    member = sigs.select("rep", "n", F.explode(F.array(*(key(i) for i in range(bands)))).alias("key"))
-    hubs = member.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).where("m > 1")
-    shared = written(member.join(hubs, "key").select("key", "rep", "n", "hub"), "near-buckets")
-    pairs = shared.where("hub <> rep").select(F.col("hub").alias("u"), F.col("rep").alias("v")).distinct()
-    links = None
-    active = shared.where("hub <> rep").select("key", "rep", "n")  # the hub has met them all
-    turn = 0
+    member = sigs.select("rep", "n", F.posexplode(F.array(*(key(i) for i in range(bands)))).alias("band", "key"))
+    turn_of = F.xxhash64("rep", F.col("band") % CHOICES)
+    hubs = member.groupBy("key").agg(F.min_by("rep", turn_of).alias("hub"), F.count("*").alias("m")).where("m > 1")
+    shared = written(member.join(hubs.drop("m"), "key").select("key", "rep", "n", "hub"), "near-buckets")
+    full = written(_full_sets(docs, shared.select("rep").distinct(), k), "near-sets")
+    apart = shared.where("hub <> rep")
+    pairs = apart.select(F.least("hub", "rep").alias("u"), F.greatest("hub", "rep").alias("v")).distinct()
+    active = apart.select("key", "rep", "n").withColumn("s", F.col("n"))  # the hub has met them all
+    agreeing = written(_agreeing(pairs, sigs, least), "near-agreeing")
+    links, turn = written(_linked(agreeing, full, percent), "near-links"), 0
+    parts = written(components(links), "near-parts")
     while True:
-        agreeing = written(_agreeing(pairs, sigs, least), "near-agreeing")
-        new = written(_linked(agreeing, docs, k, percent), "near-links")
-        links = new if links is None else links.union(new)
-        if turn == 0 or not new.isEmpty():
-            parts = components(links)
-        # the component of every active member; a bucket of one component is finished
+        # open buckets: active members of several components
         at = active.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-        at = at.select("key", "rep", "n", F.coalesce("component", "rep").alias("c"))
-        at = written(at, "near-active")
-        by = at.groupBy("key", "c").agg(F.min("rep").alias("hub"), F.count("*").alias("m"))
-        per = by.groupBy("key").agg(F.count("*").alias("parts"), F.max("m").alias("most")).where("parts > 1")
-        open_ = written(by.join(per, "key"), "near-open")
-        if open_.isEmpty():
+        at = at.select("key", "rep", "n", "s", F.coalesce("component", "rep").alias("c"))
+        at = written(_open(at), "near-open")
+        if turn == 0:
+            own = _own(full, at.select("rep").distinct())
+            at = at.join(own, "rep", "left").withColumn("s", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+            at = written(at, "near-shares")
+        per = at.groupBy("key").agg(F.min("n").alias("low"), F.max("s").alias("high"))
+        at = at.join(per, "key").where(_possible("s", "high", "n", "low", percent)).drop("low", "high")
+        at = written(_open(at), "near-possible")
+        if at.isEmpty():
             break
-        # the largest component's members need no turn of their own while others can have it
-        chosen = open_.where(
-            f"(m < most or parts <= 2 or pmod(xxhash64(hub, {turn}), 2) = 0)"
-            f" and pmod(xxhash64(hub, key, {turn}), parts) < {HUBS}"
-        ).select("key", "hub", F.col("c").alias("hub_c"))
-        chosen = written(chosen, "near-hubs")
-        open_keys = open_.select("key").distinct()
-        active = written(at.join(open_keys, "key", "left_semi").drop("c"), "near-members")
-        sizes = sigs.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"))
-        meet = at.join(chosen, "key").where("c <> hub_c").select("hub", "rep", "n")
-        meet = meet.join(sizes, "hub").where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
-        pairs = meet.select(F.least("hub", "rep").alias("u"), F.greatest("hub", "rep").alias("v")).distinct()
-        active = active.join(chosen.select("key", F.col("hub").alias("rep")), ["key", "rep"], "left_anti")
+        # all but the largest component's members are to be hubs, some in every round
+        by = at.groupBy("key", "c").agg(F.count("*").alias("m"), F.sum("n").alias("size"))
+        per = by.groupBy("key").agg(
+            F.sum("m").alias("members"), F.sum("size").alias("size"), F.max(F.struct("m", "c")).alias("most")
+        )
+        left = F.col("members") - F.col("most.m")
+        per = per.select(
+            "key",
+            F.col("most.c").alias("most"),
+            F.greatest(F.ceil(left / HUBS), F.ceil(F.col("size") * 8 / BLOCK)).alias("rounds"),
+            F.greatest(F.ceil(F.col("members") / MEMBERS), F.ceil(F.col("size") * 8 / BLOCK)).alias("blocks"),
+        )
+        told = written(at.join(per, "key"), "near-told")
+        now = (F.col("c") != F.col("most")) & (F.pmod(F.xxhash64("rep", "key", F.lit(turn)), F.col("rounds")) == 0)
+        told = told.withColumn("hub", now)
+        sets_of = lambda df: df.join(full, "rep")
+        blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+        hubs = sets_of(told.where("hub")).withColumn("block", blocks)
+        members = sets_of(told).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        wanted = ["key", "block", "rep", "n", "s", "c", "found"]
+        new = written(_block_links(members.select(*wanted), hubs.select(*wanted), percent), "near-links")
+        if not new.isEmpty():
+            links = links.union(new)
+            parts = written(components(links), "near-parts")
+        active = told.where("not hub").select("key", "rep", "n", "s")
         turn += 1
     whole = groups.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     whole = whole.select("set_key", F.coalesce("component", "rep").alias("component"))
