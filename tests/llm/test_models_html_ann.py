@@ -185,3 +185,34 @@ def test_best_bin_first_visits_every_leaf_once():
     leaf = tree.assign(rows)
     assert all(tree.search(rows[i], 1) == [leaf[i]] for i in range(0, 3000, 100))
     assert 1 <= ann.calibrated(tree, rows, 10) <= tree.leaves
+
+
+LONG = " ".join(f"long{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # the only article is a teaser or a reader's comment
+        (f"<main><h1>T</h1><p>{LONG}</p></main><article><p>{P}</p></article>", f"T {LONG}"),
+        (f"<div><p>{LONG}</p></div><article><p>{P}</p></article>", LONG),
+        (f"<main><p>{P}</p><article class='comment'><p>{LONG}</p></article></main>", P),
+        (f"<div><p>{P}</p></div><article class='user-comment'><p>{LONG}</p></article>", P),
+        # names of wrappers that sound like no content
+        (f"<body class='social nav-open'><div class='page-with-sidebar'><h1>T</h1><p>{LONG}</p></div><footer>f</footer></body>", f"T {LONG}"),
+        (f"<form id='ad'><p>{LONG}</p><div class='sidebar'>{P}</div></form>", LONG),
+        (f"<nav>{LONG}</nav>", ""),
+    ],
+)
+def test_scan_decides_over_marks_and_wrappers(page, text):
+    assert mainhtml.main_text(page, PRIOR) == text
+
+
+def test_weights_of_kinds_are_learned_from_marked_pages(spark):
+    box = f"<div class='wrap'><div class='blurb'>{P}</div>"
+    pages = [(i, "u", f"{box}<article class='story'><p>{LONG}</p></article></div>") for i in range(20)]
+    pages += [(99, "u", f"{box}<div class='story'><p>{LONG}</p></div><div class='blurb'>{LONG}</div></div>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    scores = mainhtml.learned(df)
+    assert scores[".story"] > mainhtml.WORD and scores[".blurb"] < 0 and ".wrap" not in scores
+    assert {r.text for r in mainhtml.extract(df, scores).collect()} == {LONG}

@@ -1,20 +1,30 @@
 """Main text of web pages by a maximum-scoring subsequence (operator 4).
 
-A page is a sequence of words and tags. Words score positive, tags negative, and
-a linear scan finds the contiguous run of the greatest sum: the content region.
+A page is a sequence of words and tags. Words score by the kinds of the elements
+around them, tags negative, and a linear scan finds the contiguous run of the
+greatest sum: the content region.
 
-The weights come from labelled pages: a bounded sample (``SAMPLE`` pages of
-smallest hash) of pages whose own mark-up says where their article is (one
-``article`` or ``main`` element). For every kind of element (its name and the
+The scores come from labelled pages: a bounded sample (``SAMPLE`` pages of
+smallest hash) of pages on which the scan, with the prior scores, settles on the
+one ``article`` or ``main`` element. For every kind of element (its name and the
 words of its class, id and role) the words that it holds inside and outside the
 article are counted there, on top of fixed prior counts for elements that HTML
-defines as no content. A word under an element of mostly-outside kind does not
-score; the element's tag costs more the more words it holds, so no region can
-gain by taking it in. A word elsewhere scores ``WORD`` and a tag costs ``TAG``.
-
-Where a page marks its own article the region can't leave it; elements of
-outside kind within the region are left out. Text is that of the region's
-blocks: references decoded, white space to one space, blocks joined by one.
+defines as no content; elements around the article hold both and say nothing. A
+word under a kind of mostly-outside words costs; under a kind of even share it
+scores ``WORD``, as under kinds that nothing is known of, and up to ``MOST`` under
+a kind of mostly-inside words. The lowest of the kinds around a word counts.
+
+A page's only ``article`` or ``main`` is a mark if it is of no outside kind itself.
+If ``MARK`` times the sum of its best run reaches the best sum that the page has
+without its words, the region is that run; or else its words score nothing and the
+scan decides among the rest. So a teaser or a comment that is the only ``article``
+loses against the text of the page.
+
+Elements of outside kind within the region are left out. ``html`` and ``body`` are
+never of outside kind; nor is another element that holds most words of the page
+and a heading, ``main`` or ``nav``, or without which nothing would be left. Text is
+that of the region's blocks: references decoded, white space to one space, blocks
+joined by one.
 
 Every page is handled on its own in one pass (no shuffle); the model is a small
 dictionary. Rows: null, blank or text-free html gives the empty text; repeated
@@ -37,6 +47,8 @@ from tunefold.llm.common import batches
 
 #: Labelled pages at most; scores of a word and a tag; share of inside words under which an element is outside.
 SAMPLE, WORD, TAG, INSIDE = 2000, 1.0, -0.25, 0.2
+#: Share of inside words at which a word scores WORD; greatest score of a word; times that a marked word counts.
+EVEN, MOST, MARK = 0.5, 2.0, 3.0
 
 # Element names and class words of HTML pages.
 OUTSIDE = frozenset(
@@ -61,6 +73,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements that a block ends, and those that the next of their kind ends, as end tags may be left out.
 ENDED_BY_BLOCK = "p"
 OWN_END = frozenset("li dt dd tr td th option".split())
+#: Elements that can be around a whole page in spite of their kind, and what a page has once, so that its wrapper holds it.
+WRAPPERS = NEUTRAL - INLINE | {"form"}
+ONCE = frozenset("h1 main nav".split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
@@ -104,7 +119,7 @@ def parsed(page: str) -> list[tuple]:
 
 
 def walked(tokens: list[tuple]) -> Iterator[tuple]:
-    """Each token with the open elements around it (innermost last), end tags that are left out supplied."""
+    """Each token with the open elements around it (name and kinds, innermost last), end tags that are left out supplied."""
     stack: list[tuple] = []
     for t in tokens:
         if t[0] == "open" and t[1] not in VOID:
@@ -130,26 +145,107 @@ def walked(tokens: list[tuple]) -> Iterator[tuple]:
 _ARTICLE = ("article", "main")
 
 
-def _marked(tokens: list[tuple]) -> str | None:
-    """The one element by which a page marks its content, if it does."""
-    count = Counter(t[1] for t in tokens if t[0] == "open" and t[1] in _ARTICLE)
-    return next((n for n in _ARTICLE if count[n] == 1), None)
+class Page:
+    """A page's tokens and the tree of its elements, numbered as they open; number 0 stands for the page."""
+
+    def __init__(self, page: str):
+        self.tokens = parsed(page)
+        self.names, self.kinds, self.up = [""], [()], [0]
+        self.at: list[int] = []  # innermost element of each token
+        self.words = [len(t[1].split()) if t[0] == "text" else 0 for t in self.tokens]
+        path: list[int] = []
+        for t, stack in walked(self.tokens):
+            del path[len(stack) :]
+            if t[0] == "open" and t[1] not in VOID:  # may have ended elements as deep as itself
+                del path[len(stack) - 1 :]
+                self.up.append(path[-1] if path else 0)
+                self.names.append(t[1])
+                self.kinds.append(() if t[1] in ("html", "body") else t[2])
+                path.append(len(self.up) - 1)
+            self.at.append(path[-1] if path else 0)
+        m = len(self.up)
+        self.held, self.last, self.once = [0] * m, list(range(m)), [False] * m
+        for e, n in zip(self.at, self.words):
+            self.held[e] += n
+        for e in range(m - 1, 0, -1):
+            u = self.up[e]
+            self.held[u] += self.held[e]
+            self.last[u] = max(self.last[u], self.last[e])
+            self.once[u] |= self.once[e] or self.names[e] in ONCE
+
+    def scores(self, of: dict[str, float], left_out: frozenset[int] = frozenset()) -> tuple[list[float], frozenset[int]]:
+        """Score of a word in each element, and the wrappers that are of outside kind and hold most of the page's words.
+
+        Wrappers that hold what a page has once, and those in ``left_out``, are not judged.
+        """
+        out, large = [WORD], set()
+        for e in range(1, len(self.up)):
+            found = [of[k] for k in self.kinds[e] if k in of]
+            if found and min(found) < 0 and self.names[e] in WRAPPERS and 2 * self.held[e] > self.held[0]:
+                large.add(e)
+                if self.once[e] or e in left_out:
+                    found = []
+            found.append(out[self.up[e]])
+            low = min(found)
+            out.append(low if low < WORD else max(found))
+        return out, frozenset(large)
+
+    def marks(self, scores: list[float]) -> list[int]:
+        """The elements by which a page may mark its content."""
+        found = [[e for e, x in enumerate(self.names) if x == name] for name in _ARTICLE]
+        return [x[0] for x in found if len(x) == 1 and scores[x[0]] >= 0]
+
+    def region(self, scores: list[float], mark: int | None, dropped: list[int]) -> tuple[int, int, float]:
+        """First and last (exclusive) token of the best run, within the mark if there is one, and its sum.
+
+        Words in ``dropped`` elements score nothing.
+        """
+        best, best_at, total, start = 0.0, (0, 0), 0.0, 0
+        none = [(x, self.last[x]) for x in dropped]
+        for i, (e, n) in enumerate(zip(self.at, self.words)):
+            if mark is not None and not mark <= e <= self.last[mark]:
+                total, start = 0.0, i + 1
+                continue
+            s = scores[e]
+            if self.tokens[i][0] != "text":
+                total += TAG / 100 if mark is not None else TAG * max(0.0, 2 * WORD - s)
+            elif n and not any(x <= e <= y for x, y in none):
+                # words that don't count: their element costs more the more of them it holds, but not within a mark
+                total += s * n if s >= 0 else 0.0 if mark is not None else s * n - 4 * WORD
+            if total > best:
+                best, best_at = total, (start, i + 1)
+            if total <= 0:
+                total, start = 0.0, i + 1
+        return *best_at, best
+
+    def settled(self, scores: list[float]) -> tuple[int | None, int, int]:
+        """The mark that stands against the best run without it, if any, and the region."""
+        dropped: list[int] = []
+        for mark in self.marks(scores):
+            a, b, own = self.region(scores, mark, dropped)
+            if own and MARK * own >= self.region(scores, None, [*dropped, mark])[2]:
+                return mark, a, b
+            dropped.append(mark)
+        return None, *self.region(scores, None, dropped)[:2]
 
 
 def counted(page: str) -> dict[str, tuple[int, int]]:
-    """Words inside and outside the article under each kind of element; nothing if the page doesn't mark it."""
-    tokens = parsed(page)
-    mark = _marked(tokens)
+    """Words inside and outside the article under each kind of element; nothing if the page doesn't settle on a mark."""
+    p = Page(page)
+    mark = p.settled(p.scores(outside_kinds(prior()))[0])[0]
+    if mark is None:
+        return {}
+    around, e = set(), mark
+    while e:
+        e = p.up[e]
+        around.add(e)
+    above: list[frozenset[str]] = [frozenset()]  # kinds around each element's words
+    for e in range(1, len(p.up)):
+        above.append(above[p.up[e]] if e in around else above[p.up[e]].union(p.kinds[e]))
     found: dict[str, list[int]] = {}
-    for t, stack in walked(tokens) if mark else ():
-        if t[0] != "text":
-            continue
-        n = len(t[1].split())
-        names = [s[0] for s in stack]
-        inside = mark in names
-        above = stack[names.index(mark) + 1 :] if inside else stack
-        for kind in {k for s in above for k in s[1]} if n else ():
-            found.setdefault(kind, [0, 0])[not inside] += n
+    for e, n in zip(p.at, p.words):
+        for kind in above[e] if n else ():
+            found.setdefault(kind, [0, 0])[not mark <= e <= p.last[mark]] += n
     return {k: (a, b) for k, (a, b) in found.items()}
 
 
@@ -158,45 +254,33 @@ def prior() -> dict[str, tuple[float, float]]:
     return {k: (0, 5000) for k in OUTSIDE} | {f".{k}": (0, 5000) for k in OUTSIDE_WORDS}
 
 
-def outside_kinds(counts: dict[str, tuple[float, float]]) -> frozenset[str]:
-    """Kinds under which words are mostly outside articles; body and html hold both and say nothing."""
-    return frozenset(k for k, (a, b) in counts.items() if k not in NEUTRAL and a < INSIDE * (a + b + 1))
+def outside_kinds(counts: dict[str, tuple[float, float]]) -> dict[str, float]:
+    """Score of a word under each kind: below 0 if its words are mostly outside articles, WORD at an even share."""
+    share = {k: a / (a + b + 1) for k, (a, b) in counts.items() if k not in NEUTRAL}
+    return {k: min(MOST, WORD * (x - INSIDE) / (EVEN - INSIDE)) for k, x in share.items()}
 
 
-def main_text(page: str | None, outside: frozenset[str]) -> str:
-    """The text of the page's best region."""
+def main_text(page: str | None, outside: dict[str, float]) -> str:
+    """The text of the page's best region; ``outside`` has the scores of kinds."""
     if not page:
         return ""
-    tokens = parsed(page)
-    mark = _marked(tokens)
-    items: list[tuple[float, str]] = []  # score and text; the text of tags is the white space they stand for
-    for t, stack in walked(tokens):
-        if t[0] == "text":
-            n = len(t[1].split())
-            if not n:
-                items.append((0.0, t[1]))
-                continue
-            names = [s[0] for s in stack]
-            inside = mark in names
-            above = stack[names.index(mark) + 1 :] if inside else stack
-            bad = any(k in outside for s in above for k in s[1]) or mark is not None and not inside
-            # words that don't count: their element costs more the more of them it holds
-            items.append((TAG * n - 4 * WORD if bad and not inside else 0.0 if bad else WORD * n, "" if bad else t[1]))
-        else:
-            items.append((TAG if mark is None else TAG / 100, "" if t[1] in INLINE else " "))
-    best, best_at, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (score, _) in enumerate(items):
-        total += score
-        if total > best:
-            best, best_at = total, (start, i + 1)
-        if total <= 0:
-            total, start = 0.0, i + 1
-    region = "".join(text for _, text in items[best_at[0] : best_at[1]])
-    return " ".join(html.unescape(region).split())
+    p = Page(page)
+    scores, large = p.scores(outside)
+    _, a, b = p.settled(scores)
+    if a == b and large:  # nothing is left but what a wrapper holds
+        scores = p.scores(outside, large)[0]
+        _, a, b = p.settled(scores)
+    out = []
+    for t, e in zip(p.tokens[a:b], p.at[a:b]):
+        if t[0] != "text":
+            out.append("" if t[1] in INLINE else " ")  # the white space that tags stand for
+        elif scores[e] >= 0 or not t[1].strip():
+            out.append(t[1])
+    return " ".join(html.unescape("".join(out)).split())
 
 
-def learned(pages: DataFrame, sample: int = SAMPLE) -> frozenset[str]:
-    """Outside kinds, from labelled pages of the table."""
+def learned(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
+    """Scores of kinds, from labelled pages of the table."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, outside = Counter(), Counter()
@@ -222,7 +306,7 @@ def learned(pages: DataFrame, sample: int = SAMPLE) -> frozenset[str]:
     return outside_kinds(total)
 
 
-def extract(pages: DataFrame, outside: frozenset[str]) -> DataFrame:
+def extract(pages: DataFrame, outside: dict[str, float]) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
