@@ -161,3 +161,56 @@ def test_long_texts_are_handled_in_parts(monkeypatch):
     assert b"".join(spans.parts(text)) == text and len(spans.parts(text)) > 2
     assert spans.without(text, set())[0] == text
     assert np.concatenate([spans.Units([p]).one for p in spans.parts(text)]).size
+
+
+def _words(n, seed):
+    rng = random.Random(seed)
+    return [f"{rng.choice('bdfgklm')}{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def _dedup(texts):
+    """Removed words of each text, the first of which keeps all."""
+    found, gone, out = set(), set(), []
+    for t in texts:
+        u = spans.Units([t.encode()])
+        mine = set(zip(u.run_one.tolist(), u.run_two.tolist()))
+        out.append(spans.without(t.encode(), mine & found)[1])
+        found |= mine
+    return out
+
+
+def test_long_sentences_repeat_wherever_they_begin():
+    shared = _words(62, 1)
+    texts = [" ".join(shared) + ".", " ".join(["more", *shared]) + ".", " ".join([*_words(9, 2), *shared[5:], *_words(9, 3)])]
+    texts += [" ".join([*_words(30, 4), *shared[:30], "new", *shared[30:], *_words(30, 5)])]
+    removed = _dedup(texts)
+    assert removed[0] == 0 and all(n >= 36 for n in removed[1:3]) and removed[3] >= 20
+    rng = random.Random(6)
+    first = " ".join(_words(4000, 7))
+    w = first.split()
+    total = left = 0
+    for k in range(60):
+        a, n = rng.randrange(3900), 60 + k
+        n = min(n, 4000 - a)
+        left += n - min(n, _dedup([first, " ".join([*_words(rng.randrange(40), 100 + k), *w[a : a + n], *_words(20, 200 + k)])])[1])
+        total += n
+    assert left < 0.25 * total
+
+
+def test_quoted_and_other_scripts_sentences_end():
+    for stop in ('."', ".)", ".”", "?»", "。", "！", "।", "؟", "…)", ".'\")"):
+        t = f"one two{stop} three four five.6 six"
+        u = spans.Units([t.encode()])
+        assert u.unit.tolist() == [0, 2], stop
+    assert spans.Units(["a ) b” . c".encode()]).unit.tolist() == [0, 4]
+
+
+def test_runs_cross_the_edges_of_parts(monkeypatch):
+    text, passage = " ".join(_words(900, 1)), " ".join(_words(50, 2))
+    monkeypatch.setattr(spans, "PART", 2000)
+    for at in range(0, 2200, 97):
+        t = f"{text[:at]} {passage} {text[at:]}".encode()
+        assert spans.without(t, set())[0] == t
+        u = spans.Units([passage.encode()])
+        cut, words, _ = spans.without(t, set(zip(u.run_one.tolist(), u.run_two.tolist())))
+        assert words >= 30 and len(cut.split()) == 950 + (at > 0 and text[at - 1] != " " and text[at] != " ") - words, at
