@@ -78,6 +78,24 @@ def test_decontamination_odd_rows(spark, docs_of):
     assert decontam.matches(docs_of([]), bench).count() == 0
 
 
+def _items_of(bench, texts):
+    found = decontam.Index(list(enumerate(bench))).search(*word_hashes([t.encode() for t in texts], SIGNS))
+    return [sorted(f) for f in found]
+
+
+def test_edited_items_are_found():
+    """A changed word in the last sentence of an item that isn't a question with an answer leaves it a leak."""
+    last = ["in the harbour of Kalo", "and nobody saw the small grey boat again", "they came back late that night with a dozen fish in two old baskets"]
+    bench = [f"The northern river reaches the sea behind the dunes and the old lighthouse. It ends {x}." for x in last]
+    bench += ["Seven brown foxes crossed the frozen lake", "Where does the northern river, the longest of all rivers of the island, reach the sea? Near Kalo."]
+    pad = " ".join(f"p{i}" for i in range(100))
+    for n, (item, old) in enumerate(zip(bench[:3], ("harbour", "grey", "dozen"))):
+        assert item and n in _items_of(bench[n : n + 1] * (n + 1), [f"{pad} {item.replace(old, 'other')} {pad}"])[0]
+    assert _items_of(bench[3:4], [bench[3].replace("crossed", "passed"), "Seven brown foxes", "brown the lake, frozen foxes. Seven crossed"]) == [[0], [], []]
+    # of a question, the answer must be the same
+    assert _items_of(bench[4:], [bench[4], bench[4].replace("longest", "largest"), bench[4].replace("Near", "At")]) == [[0], [0], []]
+
+
 def test_more_shards_find_the_same(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")

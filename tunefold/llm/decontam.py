@@ -18,9 +18,13 @@ that block document-at-a-time: pivot by greatest impacts, shallow test by block
 maxima, then exact score. No passage is skipped whose score could reach a
 threshold.
 
-A retrieved item counts if its question and its answer both overlap the words
-around the passage: ``OVERLAP`` of the distinct runs of ``RUN`` words of each.
-The answer is the item's last sentence (its last third, if it has one sentence).
+A retrieved item counts if it overlaps the words around the passage: ``OVERLAP`` of
+its distinct runs of ``RUN`` words. Of an item that asks a question and goes on, the
+question and the answer (its last sentence) must both overlap. Parts of at most
+``FEW`` words have few runs, of which one changed word breaks many; they are judged
+by shorter runs (of 2 words, an answer's of 3), which must lie close together, and
+those of at most ``RUN`` words are looked for as they are. So an answer of some words
+to a question must be the same word for word but for its ends.
 
 At scale: documents are read once per shard and not shuffled.
 
@@ -51,6 +55,8 @@ CELL, ENTRY, BLOCK, SHARD_BYTES = 32, 32, 4, 4_000_000
 SHARE, RUN, OVERLAP = 0.7, 5, 0.6
 #: Terms in more than this share of entries only add to the bound; bounds (passages * blocks) that are held at once.
 COMMON, HELD = 0.4, 4_000_000
+#: Words of a part that is judged by shorter runs; words of its runs, and of those of an answer; runs by which it may be stretched.
+FEW, SHORT, EXACT, SLACK = 16, 2, 3, 3
 K1, B = 1.2, 0.75
 
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
@@ -66,8 +72,36 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(words[:cut] or words), " ".join(words[cut:])
 
 
-def runs(words: np.ndarray) -> np.ndarray:
-    return np.unique(shingles(words, RUN))
+_ASKS = re.compile(r"[?？؟]['\")\]”’»]*(?:\s|\Z)")
+
+
+def parts_of(text: str) -> tuple[str, ...]:
+    """What must be found of an item: question and answer, or all of an item that isn't a question with an answer."""
+    question, answer = question_and_answer(text)
+    return (question, answer) if _ASKS.search(question) else (text,)
+
+
+class Part:
+    """Distinct runs of a part's words."""
+
+    def __init__(self, words: np.ndarray, answer: bool):
+        self.words = len(words)
+        self.run = self.words if self.words <= RUN else RUN if self.words > FEW else EXACT if answer else SHORT
+        self.runs = np.unique(mix_of(words, self.run))
+
+    def overlap(self, near: np.ndarray, have: dict[int, np.ndarray]) -> float:
+        """Share of the runs among those of the words near; ``have`` holds these by their length."""
+        if not self.words:
+            return 0.0
+        if self.run not in have:
+            have[self.run] = mix_of(near, self.run)
+        found = have[self.run]
+        if self.words <= RUN or self.words > FEW:
+            return np.isin(self.runs, found).mean()
+        at = np.flatnonzero(np.isin(found, self.runs))
+        span = self.words - self.run + 1 + SLACK
+        most = max((len(set(found[at[i : np.searchsorted(at, p + span)]].tolist())) for i, p in enumerate(at)), default=0)
+        return most / len(self.runs)
 
 
 class Index:
@@ -75,11 +109,11 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.item, entries = [], []
-        self.parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.parts: dict[int, list[Part]] = {}
         self.ids = [i for i, _ in items]
         for n, (_, text) in enumerate(items):
-            halves = word_hashes([h.encode() for h in question_and_answer(text)], SIGNS)
-            self.parts[n] = tuple(runs(halves[0][a:b]) for a, b in zip(halves[1], halves[1][1:]))
+            found, at = word_hashes([h.encode() for h in parts_of(text)], SIGNS)
+            self.parts[n] = [Part(found[a:b], k > 0) for k, (a, b) in enumerate(zip(at, at[1:]))]
             words = word_hashes([text.encode()], SIGNS)[0]
             pieces = max(1, -(-len(words) // ENTRY))
             for piece in np.array_split(words, pieces) if len(words) else ():
@@ -218,28 +252,19 @@ class Index:
                 if n in found[d]:
                     found[d][n] = max(found[d][n], score)
                     continue
-                reach = max(len(self.parts[n][0]) + len(self.parts[n][1]), 2 * CELL) + 2 * RUN
+                reach = max(sum(p.words for p in self.parts[n]), 2 * CELL) + 2 * RUN
                 a = max(bounds[d], bounds[d] + (c - first[d]) * CELL - reach)
                 z = min(bounds[d + 1], bounds[d] + (c - first[d] + 2) * CELL + reach)
                 near = words[a:z]
-                have = {}
-                if all(self._overlap(p, near, have) >= OVERLAP for p in self.parts[n]):
+                have: dict[int, np.ndarray] = {}
+                if all(p.overlap(near, have) >= OVERLAP for p in self.parts[n]):
                     found[d][n] = score
         return found
 
-    @staticmethod
-    def _overlap(part: np.ndarray, near: np.ndarray, have: dict) -> float:
-        """Share of a part's runs among those of the words near; a part shorter than a run is looked for as it is."""
-        if not len(part):
-            return 0.0
-        if "all" not in have:
-            have["all"] = [mix_of(near, k) for k in range(1, RUN + 1)]
-        return max(np.isin(part, h).mean() for h in have["all"]) if len(part) == 1 else np.isin(part, have["all"][-1]).mean()
-
 
 def mix_of(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of ``k`` words."""
-    return shingles(words, k) if len(words) >= k else np.zeros(0, np.uint64)
+    return shingles(words, k) if len(words) >= k > 0 else np.zeros(0, np.uint64)
 
 
 def shards(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
