@@ -216,3 +216,15 @@ def test_weights_of_kinds_are_learned_from_marked_pages(spark):
     scores = mainhtml.learned(df)
     assert scores[".story"] > mainhtml.WORD and scores[".blurb"] < 0 and ".wrap" not in scores
     assert {r.text for r in mainhtml.extract(df, scores).collect()} == {LONG}
+
+
+def test_queries_in_tiny_leaves_get_all_their_rows(spark, monkeypatch):
+    """Tight clusters of fewer rows than are asked for, and one leaf to visit."""
+    rng = np.random.default_rng(3)
+    rows = [(100 * i + j, [float(x) for x in 50 * c + rng.normal(size=4)]) for i, c in enumerate(rng.normal(size=(60, 4))) for j in range(5)]
+    rows += [(0, rows[0][1])] * 4  # rows of its own don't fill a query's list
+    monkeypatch.setattr(ann, "calibrated", lambda *a, **b: 1)
+    monkeypatch.setattr(ann.Tree.__init__, "__defaults__", (8, 6))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.query_id: r["count"] for r in ann.nearest(df).groupBy("query_id").count().collect()}
+    assert got == {100 * i: 10 for i in range(60)}

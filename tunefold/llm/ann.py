@@ -10,7 +10,9 @@ A query walks the tree with a priority queue of branches by distance to their
 centres: it descends along the nearest child, queues the others, and takes the
 nearest queued branch next, one leaf after another. How many leaves are visited
 is calibrated: probes from the sample are searched in the sample, and the count
-is widened until ``RECALL`` of their true neighbours lie in visited leaves.
+is widened until ``RECALL`` of their true neighbours lie in visited leaves. A query
+goes on past that count until the leaves visited hold ``k`` rows besides its own, so
+it gets ``k`` rows wherever there are so many candidates.
 
 Leaves are packed into shards of about ``SHARD`` rows; a leaf of more rows (one
 very common vector) is dealt to several shards by hash. A query goes to the
@@ -96,10 +98,10 @@ class Tree:
             todo += [(c, at[near == j]) for j, c in enumerate(self.children[node]) if (near == j).any()]
         return out
 
-    def search(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves in best-bin-first order."""
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+    def search(self, query: np.ndarray, most: int, counts: np.ndarray | None = None, need: int = 0) -> list[int]:
+        """The first ``most`` leaves in best-bin-first order, and more until their ``counts`` of rows add up to ``need``."""
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or held < need):
             _, node = heapq.heappop(queue)
             while self.children[node]:
                 far = ((self.centres[node] - query) ** 2).sum(axis=1).tolist()
@@ -109,6 +111,7 @@ class Tree:
                         heapq.heappush(queue, (far[j], c))
                 node = self.children[node][best]
             out.append(self.leaf_of[node])
+            held += int(counts[out[-1]]) if counts is not None else 0
         return out
 
 
@@ -182,16 +185,16 @@ def nearest(vectors: DataFrame, is_query: str = "vec_id % 100 = 0", k: int = 10)
         if n > SHARD:
             shard, held = shard + int(parts_of[j]), 0
     place = F.create_map(*(F.lit(x) for j in range(tree.leaves) for x in (j, int(first[j]) * (1 << 20) + int(parts_of[j]))))
-    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"), F.count("*").alias("own"))
     queries = written(queries, "ann-queries")
     blocks = max(1, -(-queries.count() // QUERIES))
 
     def routed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
             out = []
-            for q, v, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _matrix(b.column(1))):
+            for q, v, x, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _matrix(b.column(1)), b.column(2).to_pylist()):
                 to: dict[int, list[int]] = {}
-                for j in tree.search(x, visits):
+                for j in tree.search(x, visits, counts, k + own):
                     for s in range(int(first[j]), int(first[j] + parts_of[j])):
                         to.setdefault(s, []).append(j)
                 out += [(s, q, v, sorted(at)) for s, at in to.items()]
