@@ -57,7 +57,7 @@ KINDS = {
 }
 PATTERN = "|".join(KINDS.values())
 #: A text without any of these can't hold a mention; the test is much cheaper than the search.
-_HINT = rf"[0-9@]|{_MALE}|{_FEMALE}"
+_HINT = rf"[0-9@]|(?:AKIA|ASIA)[A-Z]{{16}}|(?:ghp_|sk-)[A-Za-z]{{20}}|{_MALE}|{_FEMALE}"
 # Given names by script and gender, syllables of surnames by script, letters by script.
 GIVEN = {
     ("latin", "man"): "Adam Boris Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Martin Noah Oscar Paul".split(),
