@@ -96,6 +96,12 @@ def test_edited_items_are_found():
     assert _items_of(bench[4:], [bench[4], bench[4].replace("longest", "largest"), bench[4].replace("Near", "At")]) == [[0], [0], []]
 
 
+def test_items_with_a_part_of_signs_are_found():
+    bench = ["Which river is longer? ...", "Is the northern river the longest one? _____ .", "... ? A small boat", "... ? ..."]
+    assert _items_of(bench, [f"a b {x} c d" for x in bench]) == [[0], [1], [2], []]
+    assert _items_of(bench, ["Which river is shorter?"]) == [[]]
+
+
 def test_more_shards_find_the_same(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")

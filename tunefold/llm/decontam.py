@@ -23,7 +23,8 @@ its distinct runs of ``RUN`` words. Of an item that asks a question and goes on,
 question and the answer (its last sentence) must both overlap. Parts of at most
 ``FEW`` words have few runs, of which one changed word breaks many; they are judged
 by shorter runs (of 2 words, an answer's of 3), which must lie close together, and
-those of at most ``RUN`` words are looked for as they are. So an answer of some words
+those of at most ``RUN`` words are looked for as they are; one of signs only asks for
+nothing. So an answer of some words
 to a question must be the same word for word but for its ends.
 
 At scale: documents are read once per shard and not shuffled.
@@ -91,8 +92,6 @@ class Part:
 
     def overlap(self, near: np.ndarray, have: dict[int, np.ndarray]) -> float:
         """Share of the runs among those of the words near; ``have`` holds these by their length."""
-        if not self.words:
-            return 0.0
         if self.run not in have:
             have[self.run] = mix_of(near, self.run)
         found = have[self.run]
@@ -113,7 +112,7 @@ class Index:
         self.ids = [i for i, _ in items]
         for n, (_, text) in enumerate(items):
             found, at = word_hashes([h.encode() for h in parts_of(text)], SIGNS)
-            self.parts[n] = [Part(found[a:b], k > 0) for k, (a, b) in enumerate(zip(at, at[1:]))]
+            self.parts[n] = [Part(found[a:b], k > 0) for k, (a, b) in enumerate(zip(at, at[1:])) if a < b]
             words = word_hashes([text.encode()], SIGNS)[0]
             pieces = max(1, -(-len(words) // ENTRY))
             for piece in np.array_split(words, pieces) if len(words) else ():
