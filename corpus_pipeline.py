@@ -9,8 +9,9 @@
 5. packing: the remaining texts as sequences of at most 2048 tokens.
 
 Null texts, empty tables, repeated rows and extra columns: as the operators'
-docstrings say. A row without doc_id is kept by the second stage; rows that
-repeat a doc_id are one document there and one of them stays.
+docstrings say. A row without doc_id is kept by the second stage; of rows
+that repeat a doc_id and its text one stays there, and those of other texts stay
+unless they are near duplicates.
 """
 
 from __future__ import annotations
@@ -31,14 +32,15 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates."""
-    judged = written(neardup.near_duplicates(docs, k=5, percent=80), "stage-near")
-    gone = judged.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    out = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-    ids = judged.where("kept and doc_id is not null").groupBy("doc_id").count()
-    if ids.where("count > 1").isEmpty():
-        return out
-    once = out.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return once.unionByName(out.where("doc_id is null"))
+    judged = written(neardup.judged(docs, k=5, percent=80), "stage-near")
+    row = ["__id", "__hash"]
+    of = judged.where("doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "stays")
+    rows = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": neardup.text_hash()})
+    out = rows.join(of.where("not stays").select(*row).distinct(), row, "left_anti")
+    if of.where("stays").groupBy(*row).count().where("count > 1").isEmpty():
+        return out.drop(*row)
+    once = out.where("__id is not null").dropDuplicates(row)
+    return once.unionByName(out.where("__id is null")).drop(*row)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The pipeline's stages on planted cases, and the registered queries."""
 
+import hashlib
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from tunefold.llm import decontam
@@ -45,3 +47,12 @@ def test_near_duplicate_stage_on_odd_rows(spark, docs_of):
     rows = stage(spark, docs, "").collect()
     assert sorted((r.doc_id or 0) for r in rows) == [0, 1, 3, 4, 5]
     assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_texts_of_one_id_stay_unless_they_are_near_duplicates(docs_of):
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    text = [" ".join(f"{c}{i}" for i in range(80)) for c in "abcd"]
+    pairs = [(7, t) for t in text] + [(7, text[0] + " end"), (7, text[1]), (3, text[2] + " end"), (9, text[3] + " end")]
+    rows = sorted((r.doc_id, r.text) for r in stage(docs_of([]).sparkSession, docs_of(pairs), "").collect())
+    first = min(text[0], text[0] + " end", key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert rows == sorted([(7, first), (7, text[1]), (3, text[2] + " end"), (7, text[3])])

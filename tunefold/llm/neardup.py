@@ -29,9 +29,11 @@ nothing but the counts that end a loop comes to the driver. Every step's result
 is a written table in the shared folder.
 
 Rows: null or blank text has the empty set and is linked with nothing; a row
-without doc_id is linked with nothing and has no component (kept); rows that
-repeat a doc_id are one node; extra columns are ignored; an empty table gives
-no rows.
+without doc_id is linked with nothing and has no component (kept). A node is a set
+of shingles, numbered for the run: texts of one doc_id and different sets are nodes
+of their own, and rows of one doc_id and equal sets are kept or not together. A
+component is named by its least doc_id, and of that one's texts in it one set is
+kept. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -79,22 +81,27 @@ def sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
 
 
 def sketches(docs: DataFrame, k: int, hashes: int) -> DataFrame:
-    """doc_id, set size, key of the set and signature of every row."""
+    """doc_id, hash of the text, set size, key of the set and signature of every row."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
             size, key, sig = [], [], []
-            for s in sets(b.column(1), k):
+            for s in sets(b.column(2), k):
                 size.append(len(s))
                 key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 sig.append(minima(s, hashes).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())],
-                names=["doc_id", "n", "set_key", "sig"],
+                [b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())],
+                names=["doc_id", "text_hash", "n", "set_key", "sig"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n long, set_key binary, sig binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash string, n long, set_key binary, sig binary")
+
+
+def text_hash():
+    """A hash that tells texts apart; that of null is no text's."""
+    return F.coalesce(F.md5("text"), F.lit("null"))
 
 
 def _agreeing(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
@@ -111,15 +118,16 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """Sorted set (as bytes) of each representative in ``ids``."""
+    """Sorted set (as bytes) of each representative in ``ids`` (rep, doc_id, text_hash)."""
 
     def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
             found = [s.tobytes() for s in sets(b.column(1), k)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["rep", "found"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi")
-    return rows.dropDuplicates(["rep", "text"]).mapInArrow(find, "rep long, found binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
+    rows = rows.join(ids, ["doc_id", "text_hash"]).select("rep", "text")  # rows that repeat are of one text
+    return rows.dropDuplicates(["rep"]).mapInArrow(find, "rep long, found binary")
 
 
 def _linked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -225,8 +233,14 @@ def _possible(s: str, t: str, n: str, m: str, percent: int):
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs``.
+    """doc_id, n_shingles, component_id and kept of every row of ``docs``; parameters as for ``judged``."""
+    return judged(docs, k, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept and stays of every row of ``docs``.
 
+    ``stays``: the row is of the one text that stands for its component.
     ``k``: words of a shingle. ``percent``: documents link from this Jaccard similarity of their sets, in hundredths.
     """
     t = percent / 100
@@ -234,17 +248,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     hashes = bands * ROWS
     least = t - 5 * math.sqrt(t * (1 - t) / hashes)
     sketch = written(sketches(docs, k, hashes), "near-sketch")
-    groups = sketch.where("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    groups = written(groups, "near-groups")
-    reps = groups.select("rep").distinct()
-    sigs = sketch.where("n > 0").select(F.col("doc_id").alias("rep"), "n", "sig").join(reps, "rep", "left_semi")
+    groups = sketch.where("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("x"))
+    groups = written(groups.select("set_key", "x.*", F.monotonically_increasing_id().alias("rep")), "near-groups")
+    reps = groups.select("rep", "doc_id", "text_hash")
+    sigs = sketch.where("n > 0").join(reps, ["doc_id", "text_hash"]).select("rep", "n", "sig")
     sigs = written(sigs.dropDuplicates(["rep"]), "near-signatures")
     key = lambda i: F.xxhash64(F.lit(i), F.substring("sig", 4 * ROWS * i + 1, 4 * ROWS))
     member = sigs.select("rep", "n", F.posexplode(F.array(*(key(i) for i in range(bands)))).alias("band", "key"))
     turn_of = F.xxhash64("rep", F.col("band") % CHOICES)
     hubs = member.groupBy("key").agg(F.min_by("rep", turn_of).alias("hub"), F.count("*").alias("m")).where("m > 1")
     shared = written(member.join(hubs.drop("m"), "key").select("key", "rep", "n", "hub"), "near-buckets")
-    full = written(_full_sets(docs, shared.select("rep").distinct(), k), "near-sets")
+    full = written(_full_sets(docs, reps.join(shared.select("rep").distinct(), "rep"), k), "near-sets")
     apart = shared.where("hub <> rep")
     pairs = apart.select(F.least("hub", "rep").alias("u"), F.greatest("hub", "rep").alias("v")).distinct()
     active = apart.select("key", "rep", "n").withColumn("s", F.col("n"))  # the hub has met them all
@@ -292,13 +306,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         active = told.where("not hub").select("key", "rep", "n", "s")
         turn += 1
     whole = groups.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    whole = whole.select("set_key", F.coalesce("component", "rep").alias("component"))
-    out = sketch.select("doc_id", "n", "set_key").join(whole, "set_key", "left")
+    whole = whole.withColumn("c", F.coalesce("component", "rep")).select("set_key", "doc_id", "text_hash", "c")
+    lead = whole.groupBy("c").agg(F.min(F.struct("doc_id", "text_hash", "set_key")).alias("lead"))
+    whole = whole.join(lead, "c").select("set_key", "lead")
+    out = sketch.select("doc_id", "text_hash", "n", "set_key").join(whole, "set_key", "left")
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    component = F.when(linked, F.col("component")).otherwise(F.col("doc_id"))
+    component = F.when(linked, F.col("lead.doc_id")).otherwise(F.col("doc_id"))
+    kept = ~linked | (F.col("doc_id") == F.col("lead.doc_id")) & (F.col("set_key") == F.col("lead.set_key"))
     return out.select(
         "doc_id",
+        "text_hash",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
-        (component.isNull() | (component == F.col("doc_id"))).alias("kept"),
+        kept.alias("kept"),
+        (kept & (~linked | (F.col("text_hash") == F.col("lead.text_hash")))).alias("stays"),
     )
