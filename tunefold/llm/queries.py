@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunefold.llm import ann, decontam, mainhtml, neardup, packing, quality, spans, surrogates, tokenfile, toxicity
+from tunefold.llm import ann, decontam, mainhtml, neardup, packing, quality, spans, surrogates, tokenfile, toxicity, whitening
 from tunefold.llm.common import table
 
 
@@ -64,6 +64,10 @@ def op10_kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op13_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
     found = (
@@ -77,5 +81,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_arrow_token_files,
         op9_minhash_near_duplicates,
         op10_kmeans_tree_neighbours,
+        op13_polarised_whitening,
     )
     return {f.__name__: f for f in found}
