@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunefold.llm import ann, chat, decontam, mainhtml, neardup, packing, quality, spans, surrogates, tokenfile, toxicity, whitening
+from tunefold.llm import align, ann, chat, decontam, mainhtml, neardup, packing, quality, spans, surrogates, tokenfile, toxicity, whitening
 from tunefold.llm.common import table
 
 
@@ -64,6 +64,11 @@ def op10_kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op11_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return align.aligned(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_offset_aligned_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return chat.format_chats(rows.unionByName(chat.probe(spark)), tokenizer_path("byte_bpe_50k.json"))
@@ -86,6 +91,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_arrow_token_files,
         op9_minhash_near_duplicates,
         op10_kmeans_tree_neighbours,
+        op11_lockstep_alignment,
         op12_offset_aligned_chats,
         op13_polarised_whitening,
     )

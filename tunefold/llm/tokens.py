@@ -47,12 +47,16 @@ def _bytes(ids) -> bytes:
 
 
 class PieceEncoder:
-    """Ids of whole texts, through a dictionary of pieces that lives as long as the worker."""
+    """Ids of whole texts, through a dictionary of pieces that lives as long as the worker.
 
-    def __init__(self, path: str):
+    ``plain``: strings of special tokens inside texts are ordinary text.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = plain
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         # A file that drops white space gives a piece the same ids with and without a leading space.
