@@ -18,12 +18,16 @@ The runs of all documents meet by hash: the first document that has a run (least
 doc_id) keeps it; in all others, and at later places of the first one itself, the
 units that it covers are removed.
 
-At scale: a row per document and distinct run is shuffled, 96 bits of hash and
-the id; the least id per run is a partial aggregate, so a passage that stands in
-a third of all documents is a few rows there, and bringing it back to the
-documents is a join that AQE splits. The hashes to remove of one document, at
+At scale: a row per document and distinct run is shuffled once, 96 bits of hash and
+the id. What a task has seen in a lesser document of its own is no first one, so of
+a run only the least document of a task (of a batch, beyond ``MET`` remembered runs)
+goes to the other tasks' by hash; the rest are spread by document. So a passage that stands in
+a third of all documents is a few rows there. The hashes to remove of one document, at
 most its own runs, meet in its row.
 
+Repeats of under ``WORDS`` words stay, also if they are two short whole sentences:
+phrases of that length repeat in clean text.
+
 Rows: null, empty and one-unit texts stay as they are; so do rows without doc_id
 (they are neither first nor repeats); rows that repeat a doc_id are one document,
 each loses the same runs; a text over ``PART`` bytes is handled in parts that end
@@ -38,16 +42,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tunefold.llm.common import _SPACE, _hash_block, _powers, batches, mix, utf8
+from tunefold.llm.common import _SPACE, _hash_block, _powers, batches, fresh, mix, utf8
 
 #: Words of a unit at most, words of a run at least, bytes of a part.
 UNIT, WORDS, PART = 16, 20, 8_000_000
 #: Words on either side among which a cut's hash is the least; words of the neighbours that a part sees (more than a run has).
 AROUND, OVERLAP = 3, 80
+#: Repeated runs that a task remembers (20 bytes each).
+MET = 500_000
 
 # Signs that end a sentence, and those that may follow them.
 _STOPS = [c.encode() for c in "…。！？｡．।॥؟۔։።‼⁇⁈⁉"]
@@ -229,10 +235,41 @@ def _words_on(text: bytes, at: int) -> int:
     return size
 
 
+class Met:
+    """Runs that a task has met in several documents, and the least of these; a bounded number of runs."""
+
+    def __init__(self, most: int = MET):
+        self.most = most
+        self.one, self.two, self.doc = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def known(self, one: np.ndarray, two: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Whether the task has met each run in an earlier row of a lesser document."""
+        if not len(self.one) or not len(one):
+            return np.zeros(len(one), bool)
+        at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
+        same = (self.one[at] == one) & (self.two[at] == two)
+        np.minimum.at(self.doc, at[same], doc[same])
+        return same & (self.doc[at] < doc)
+
+    def add(self, one: np.ndarray, two: np.ndarray, doc: np.ndarray) -> None:
+        """Notes runs, of each the row that goes into the shuffle."""
+        if len(self.one) + len(one) > self.most:
+            self.one, self.two, self.doc = self.one[:0], self.two[:0], self.doc[:0]
+        one, two, doc = (np.r_[x, y] for x, y in ((self.one, one), (self.two, two), (self.doc, doc)))
+        order = np.argsort(one, kind="stable")
+        order = order[np.r_[True, one[order][1:] != one[order][:-1]]] if len(order) else order
+        self.one, self.two, self.doc = one[order], two[order], doc[order]
+
+
 def _run_rows(docs: DataFrame) -> DataFrame:
-    """(one, two, doc_id): the distinct runs of every document."""
+    """(one, two, doc_id, again): the distinct runs of every document.
+
+    ``again`` is null where the document may be the first that has the run, and else the
+    doc_id: a lesser document of the same task has it.
+    """
 
     def run(batch: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = Met()
         for b in batches(batch):
             texts, ids = [], []
             for i, t in zip(b.column(0).to_pylist(), utf8(b.column(1))):
@@ -242,12 +279,20 @@ def _run_rows(docs: DataFrame) -> DataFrame:
             own = u.owned(np.array([x[1] for x in texts]), np.array([x[2] for x in texts]))
             doc = np.array(ids, np.int64)[u.run_doc[own]]
             one, two = u.run_one[own], u.run_two[own]
-            order = np.lexsort((two, one, doc))
+            order = np.lexsort((doc, two, one))
             one, two, doc = one[order], two[order], doc[order]
-            new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (doc[1:] != doc[:-1])][: len(doc)]
-            yield pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (one, two, doc)], names=["one", "two", "doc_id"])
+            begins = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])][: len(doc)]
+            new = begins | np.r_[True, doc[1:] != doc[:-1]][: len(doc)]
+            one, two, doc, begins = one[new], two[new], doc[new], begins[new]
+            again = ~begins
+            again[begins] = met.known(one[begins], two[begins], doc[begins])
+            several = np.r_[~begins[1:], False][: len(doc)] & begins & ~again
+            met.add(one[several], two[several], doc[several])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one), pa.array(two), pa.array(doc), pa.array(doc, mask=~again)], names=["one", "two", "doc_id", "again"]
+            )
 
-    return docs.mapInArrow(run, "one long, two int, doc_id long")
+    return docs.mapInArrow(run, "one long, two int, doc_id long, again long")
 
 
 def without(text: bytes, gone: set[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -286,30 +331,32 @@ def repeating(texts: list[bytes]) -> list[bool]:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs``, all columns, without repeated passages, and ``removed_words``."""
+    """``docs``, all columns, without repeated passages, and ``removed_words`` (in place of an input column of that name)."""
+    names = [c for c in docs.columns if c != "removed_words"]
+    key, gone = fresh("doc"), fresh("gone")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    found = _run_rows(rows)
-    first = found.groupBy("one", "two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    again = found.join(first.drop("last"), ["one", "two"]).where("doc_id <> first")
-    lists = again.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set(F.struct("one", "two")).alias("__gone"))
-    names = docs.columns
+    # one exchange: rows that may be a run's first meet by run, those that are none already are dealt by document as well
+    first = F.min("doc_id").over(Window.partitionBy("one", "two", "again"))
+    found = _run_rows(rows).withColumn("first", first).where("again is not null or doc_id <> first")
+    lists = found.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set(F.struct("one", "two")).alias(gone))
 
     def run(batch: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(batch):
             at = b.schema.get_field_index("text")
             texts, counts = [], []
             own = repeating(utf8(b.column(at)))
-            for t, doc, gone, again in zip(b.column(at).to_pylist(), b.column("doc_id").to_pylist(), b.column("__gone").to_pylist(), own):
-                if t is None or doc is None or not gone and not again:
+            for t, doc, runs, again in zip(b.column(at).to_pylist(), b.column("doc_id").to_pylist(), b.column(gone).to_pylist(), own):
+                if t is None or doc is None or not runs and not again:
                     texts.append(t)
                     counts.append(0)
                     continue
-                x, words, _ = without(t.encode(), {(g["one"], g["two"]) for g in gone or ()})
+                x, words, _ = without(t.encode(), {(g["one"], g["two"]) for g in runs or ()})
                 texts.append(x.decode())
                 counts.append(words)
             columns = [pa.array(texts, b.schema.field(at).type) if k == at else b.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=[*names, "removed_words"])
 
-    schema = StructType([*(StructField(f.name, StringType()) if f.name == "text" else f for f in docs.schema.fields), StructField("removed_words", LongType())])
-    joined = docs.join(lists, F.col("doc_id").cast("long") == F.col("__doc"), "left").select(*names, "__gone")
+    fields = [docs.schema[n] for n in names]
+    schema = StructType([*(StructField(f.name, StringType()) if f.name == "text" else f for f in fields), StructField("removed_words", LongType())])
+    joined = docs.join(lists, F.col("doc_id").cast("long") == F.col(key), "left").select(*names, gone)
     return joined.mapInArrow(run, schema)
