@@ -48,7 +48,9 @@ from tunefold.llm.common import batches, utf8, written
 from tunefold.llm.tokens import PieceEncoder
 
 #: Bytes of a lane, bytes of text in a block, product of a group's sizes from which its ids are counted first.
-LANE, BLOCK_BYTES, WIDE = 4096, 6_000_000, 64
+LANE, BLOCK_BYTES, WIDE = 4096, 2_000_000, 64
+#: Pieces of texts that a worker keeps the A ids of (about 60 MB).
+MOST_PIECES = 300_000
 
 BLOCKS = (
     "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, sha string, pairs binary, times binary, "
@@ -61,11 +63,16 @@ ROWS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best lon
 
 
 class ByteLevel:
-    """Side A: a byte-level tokenizer file; the text gets a leading space, special tokens' strings are plain text."""
+    """Side A: a byte-level tokenizer file; the text gets a leading space, special tokens' strings are plain text.
+
+    A vocabulary that has a token for each byte (checked) gives every text back.
+    """
 
     def __init__(self, path: str):
-        self.enc = PieceEncoder(path, plain=True)
+        self.enc = PieceEncoder(path, plain=True, most=MOST_PIECES)
         self.bytes = token_bytes(path)
+        if len({t for t in self.bytes if len(t) == 1}) < 256:
+            raise ValueError(f"{path}: bytes without a token of their own")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(i, "<u4").astype(np.int64) for i in self.enc.encode([" " + t for t in texts])]
@@ -78,15 +85,30 @@ class Pieces:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.bytes = [self._of(i) for i in range(self.model.get_piece_size())]
-
-    def _of(self, i: int) -> bytes:
-        piece = self.model.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
+        words = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.bytes = [bytes([int(w[3:5], 16)]) if self.model.is_byte(i) else w.replace("▁", " ").encode() for i, w in enumerate(words)]
+        self.lengths = np.array(list(map(len, self.bytes)), np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.all = np.frombuffer(b"".join(self.bytes), np.uint8)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(i, np.int64) for i in self.model.encode(texts, num_threads=1)]
 
+    def gives_back(self, ids: list[np.ndarray], texts: list[bytes]) -> np.ndarray:
+        """Whether the ids' bytes are the space and the text, for texts that are not empty."""
+        sizes = np.array([int(self.lengths[i].sum()) for i in ids], np.int64)
+        same = sizes == [len(t) + 1 if t else -1 for t in texts]
+        at = np.flatnonzero(same)
+        if not len(at):
+            return same
+        flat = np.concatenate([ids[k] for k in at])
+        length = self.lengths[flat]
+        made = self.all[np.repeat(self.starts[flat] - (np.cumsum(length) - length), length) + np.arange(length.sum())]
+        want = np.frombuffer(b"".join(b" " + texts[k] for k in at), np.uint8)
+        wrong = np.searchsorted(np.cumsum(sizes[at]), np.flatnonzero(made != want), "right")
+        same[at[wrong]] = False
+        return same
+
 
 _SIDES: dict[tuple[str, str], tuple] = {}
 
@@ -170,18 +192,19 @@ def linked(ids_a: np.ndarray, ids_b: np.ndarray, groups: Groups, doc: np.ndarray
     wide = n_a * n_b > WIDE
     thin = ~wide
     owner, x, y = _all_pairs(ids_a, ids_b, groups.a[:-1][thin], n_a[thin], groups.b[:-1][thin], n_b[thin], doc[thin])
-    keys, times = [(owner, x * width + y)], [np.ones(len(x), np.int64)]
-    for g in np.flatnonzero(wide).tolist():
-        ua, ca = np.unique(ids_a[groups.a[g] : groups.a[g + 1]], return_counts=True)
-        ub, cb = np.unique(ids_b[groups.b[g] : groups.b[g + 1]], return_counts=True)
-        pairs = (ua[:, None] * width + ub).ravel()
-        keys.append((np.full(len(pairs), doc[g]), pairs))
-        times.append((ca[:, None] * cb).ravel())
-    docs, pairs, times = np.concatenate([k[0] for k in keys]), np.concatenate([k[1] for k in keys]), np.concatenate(times)
-    order = np.lexsort((pairs, docs))
-    docs, pairs, times = docs[order], pairs[order], times[order]
-    first = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (pairs[1:] != pairs[:-1])]) if len(docs) else np.zeros(0, np.int64)
-    return docs[first], pairs[first], np.add.reduceat(times, first) if len(first) else times
+    span = (int(ids_a.max(initial=0)) + 1) * width
+    keys, times = np.unique(owner * span + x * width + y, return_counts=True)
+    if wide.any():
+        more, again = [keys], [times]
+        for g in np.flatnonzero(wide).tolist():
+            ua, ca = np.unique(ids_a[groups.a[g] : groups.a[g + 1]], return_counts=True)
+            ub, cb = np.unique(ids_b[groups.b[g] : groups.b[g + 1]], return_counts=True)
+            more.append(doc[g] * span + (ua[:, None] * width + ub).ravel())
+            again.append((ca[:, None] * cb).ravel())
+        keys, place = np.unique(np.concatenate(more), return_inverse=True)
+        times = np.zeros(len(keys), np.int64)
+        np.add.at(times, place, np.concatenate(again))
+    return keys // span, keys % span, times
 
 
 def digests(ids_a, ids_b, groups: Groups, of_doc: np.ndarray, size_a: int, size_b: int, words: list[bytes]) -> list[str]:
@@ -205,17 +228,14 @@ def digests(ids_a, ids_b, groups: Groups, of_doc: np.ndarray, size_a: int, size_
 def block(doc_ids: list, texts: list[bytes], path_a: str, path_b: str) -> tuple[dict, dict]:
     """What is kept of a block: columns of a row per document, and of a row per distinct pair; see ``BLOCKS``."""
     side_a, side_b, length_a, length_b, words = _sides(path_a, path_b)
-    strings = [t.decode() for t in texts]
-    ids = side_a.encode(strings), side_b.encode(strings)
-    sound = []
-    for t, i, j in zip(texts, *ids):
-        want = b" " + t
-        sound.append(
-            bool(t)
-            and b"".join(map(side_a.bytes.__getitem__, i.tolist())) == want
-            and b"".join(map(side_b.bytes.__getitem__, j.tolist())) == want
-        )
-    kept = [[i if s else i[:0] for i, s in zip(side, sound)] for side in ids]
+    kept: tuple[list, list] = [], []
+    for some in _some(texts):
+        strings = [t.decode() for t in some]
+        ids_b = side_b.encode(strings)
+        sound = side_b.gives_back(ids_b, some)
+        for side, ids in zip(kept, (side_a.encode(strings), ids_b)):
+            side += [i if s else i[:0] for i, s in zip(ids, sound)]
+    sound = [len(i) > 0 for i in kept[0]]
     flat_a, flat_b = (np.concatenate(side) if side else np.zeros(0, np.int64) for side in kept)
     count_a, count_b = (np.array(list(map(len, side)), np.int64) for side in kept)
     sizes = np.array([len(t) + 1 if s else 0 for t, s in zip(texts, sound)], np.int64)
@@ -253,6 +273,14 @@ def block(doc_ids: list, texts: list[bytes], path_a: str, path_b: str) -> tuple[
     return per_document, per_pair
 
 
+def _some(texts: list[bytes], most: int = 250_000) -> Iterator[list[bytes]]:
+    """The texts in lists of about ``most`` bytes."""
+    at = np.cumsum([0, *map(len, texts)]) // most
+    for g in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(at[:-1])) + 1):
+        if len(g):
+            yield texts[g[0] : g[-1] + 1]
+
+
 def _narrow(times: np.ndarray) -> bytes:
     """Numbers in one byte each if they fit, else in eight."""
     return times.astype(np.uint8 if times.max(initial=0) < 256 else "<i8").tobytes()

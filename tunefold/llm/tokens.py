@@ -36,7 +36,7 @@ _UNSAFE = re.compile(r"[^\S \n]|[\x01\x1c-\x1f\x85\u200b\ufeff]")
 #: Only the pattern cuts these right.
 _RUNS = ("  ", "\n\n", " \n", "\n ")
 #: A comma or full stop that may belong to the piece before it.
-_NO_CUT = re.compile(r"[,.](?<![A-Za-z0-9À-ÖØ-öø-ɏ][,.])")
+_NO_CUT = re.compile(rf"[,.](?<![0-9{_LETTERS}][,.])")
 
 
 def _bytes(ids) -> bytes:
@@ -49,14 +49,15 @@ def _bytes(ids) -> bytes:
 class PieceEncoder:
     """Ids of whole texts, through a dictionary of pieces that lives as long as the worker.
 
-    ``plain``: strings of special tokens inside texts are ordinary text.
+    ``plain``: strings of special tokens inside texts are ordinary text. ``most``: entries of the dictionary.
     """
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, most: int = MAX_PIECES):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = plain
+        self.most = most
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         # A file that drops white space gives a piece the same ids with and without a leading space.
@@ -122,7 +123,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; texts of a call share one look at new words."""
-        if len(self.pieces) > MAX_PIECES:
+        if len(self.pieces) > self.most:
             self.pieces.clear()
             self.pieces[""] = b""
         get, out, again, new = self.pieces.get, [], [], set()
