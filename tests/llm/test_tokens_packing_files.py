@@ -118,3 +118,30 @@ def test_sequences_are_views_of_the_mapped_file(tmp_path):
     assert ids.tolist() == [28, 29, 0, 0] and mask.to_pylist() == [True, True, False, False] and not ids.flags.owndata
     assert pa.total_allocated_bytes() == before
     assert [s.tolist() for s in shard.spans([(2, 3), (10, 5), (29, 1)])] == [[2, 3, 4], [10, 11, 12, 13, 14], [29]]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_letters_before_every_sign(name):
+    """Letters of all kinds that count as safe, and U+0130, before each ASCII sign, digit and some others."""
+    signs = [chr(c) for c in range(33, 127) if not chr(c).isalpha()] + ["\u0307", "\u0301", "é", "x", " ", "\n"]
+    letters = "aZÀÿĀĳŉſƀǅǰɏİıİİ"
+    texts = [f"{w}{x}{s}{t}" for w in ("", "kitabı ", "TBMM") for x in letters for s in signs for t in ("", " Kaya", "y.")]
+    tok, enc = Tokenizer.from_file(tokenizer_path(name)), PieceEncoder(tokenizer_path(name))
+    want = [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert enc.encode(texts) == want
+
+
+def test_a_doc_id_with_a_third_of_all_rows_is_spread(spark, docs_of):
+    path = tokenizer_path("word_bpe_49k.json")
+    rng = random.Random(2)
+    texts = [(5, rng.choice(["same", f"text {i}", None])) for i in range(600)] + [(i, f"number {i}") for i in range(6, 1200)] + [(1, "a"), (None, "n")]
+    rng.shuffle(texts)
+    manifest = tokenfile.write_tokens(docs_of(texts), path, tokenfile.qualified(spark, tokenfile.scratch_path(spark, "tokens")))
+    assert max(r.n_docs for r in manifest.collect()) < 600
+    rows = sorted(tokenfile.read_tokens(manifest).collect(), key=lambda r: r.start)
+    assert [r.doc_id or 0 for r in rows] == sorted(i or 0 for i, _ in texts)
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:])) and rows[0].start == 0
+
+
+def test_addresses_without_scheme_are_the_default_file_systems(spark):
+    assert tokenfile.qualified(spark, "/tmp/x").startswith("file:/") and tokenfile.qualified(spark, "file:/tmp/x") == "file:/tmp/x"

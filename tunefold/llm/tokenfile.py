@@ -1,6 +1,6 @@
 """Token ids in Arrow files of fixed-size-list batches, written by tasks and read in place (operator 8).
 
-Documents are dealt by ranges of doc_id and sorted; each task tokenizes its
+Documents are dealt by ranges of (doc_id, start of the text, place) and sorted; each task tokenizes its
 range and writes one shard: an Arrow IPC file whose record batches have two
 columns of fixed-size lists, ``ids`` (uint16 where the vocabulary allows it, else
 uint32) and ``mask`` (bits: set for an id, not for the padding after a shard's
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +43,10 @@ from tunefold.llm.tokens import encoder
 
 #: Ids of a sequence and sequences of a record batch.
 LENGTH, ROWS = 2048, 64
+#: Characters of a text by which rows of one doc_id are dealt.
+PREFIX = 48
 
-MANIFEST = "path string, index string, first_doc long, n_docs long, n_tokens long, n_sequences long"
+MANIFEST = "path string, index string, part int, n_docs long, n_tokens long, n_sequences long"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -60,6 +63,12 @@ def opened(path: str, write: bool = False):
     return pa.memory_map(at) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(at)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The address of a folder; one without a scheme lies in Spark's default file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
 class ShardWriter:
     """Writes ids, of any number at a time, as equal sequences; holds less than one batch in memory."""
 
@@ -132,13 +141,13 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 1, lengt
         enc, end = encoder(path), np.array([end_id], "<u4").tobytes()
         name = f"{folder}/{uuid.uuid4().hex}"  # an attempt's own
         out = None
-        docs_n, first = 0, None
+        docs_n, part = 0, 0
         for b in batches(parts, 500_000):
             if out is None:
+                part = TaskContext.get().partitionId()
                 sink, index_sink = opened(f"{name}.arrow", True), opened(f"{name}.docs.arrow", True)
                 dtype = np.uint16 if max(enc.tok.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
                 out, index = ShardWriter(sink, length, dtype=dtype), pa.ipc.new_file(index_sink, _INDEX)
-                first = b.column(0)[0].as_py()
             ids = [x + end for x in enc.encode([t or "" for t in b.column(1).to_pylist()])]
             starts = []
             for x in ids:
@@ -149,23 +158,26 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 1, lengt
             docs_n += b.num_rows
         if out is not None:
             out.close(), sink.close(), index.close(), index_sink.close()
-            row = (f"{name}.arrow", f"{name}.docs.arrow", first, docs_n, out.total, out.sequences)
-            types = [pa.string()] * 2 + [pa.int64()] * 4
+            row = (f"{name}.arrow", f"{name}.docs.arrow", part, docs_n, out.total, out.sequences)
+            types = [pa.string()] * 2 + [pa.int32()] + [pa.int64()] * 3
             names = [c.split()[0] for c in MANIFEST.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # rows of one doc_id are cut by their texts, and equal ones by their place in the input
+    start, place = F.substring("text", 1, PREFIX), F.monotonically_increasing_id().alias("place")
+    dealt = rows.select("*", place).repartitionByRange(n, F.col("doc_id"), start, F.col("place"))
+    dealt = dealt.sortWithinPartitions("doc_id", "text").select("doc_id", "text")
     return written(dealt.mapInArrow(run, MANIFEST), "token-manifest")
 
 
 def placed(manifest: DataFrame) -> DataFrame:
     """The manifest with each shard's place among all ids; the window is over one row a shard.
 
-    Shards of one doc_id (more rows than a range holds) follow one another by path.
+    Ranges are numbered in ascending order, also those that a frequent doc_id is spread over.
     """
-    before = Window.orderBy(F.col("first_doc").asc_nulls_first(), "path").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("shard_start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
@@ -194,4 +206,4 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     """Writes a token file set into the shared folder and reads every document back from it."""
-    return read_tokens(write_tokens(docs, path, scratch_path(spark, "tokens")))
+    return read_tokens(write_tokens(docs, path, qualified(spark, scratch_path(spark, "tokens"))))

@@ -8,7 +8,7 @@ white space, commas and full stops, keeps the ids of the pieces it has met in a
 bounded dictionary, and hands new words to the library many at a time. Texts in
 which such a cut could change the library's own (other white space, runs of
 signs or spaces, strings that look like special tokens) are cut with a slower
-pattern or go to the library whole. ``tests/llm/test_tokens.py`` holds the
+pattern or go to the library whole. ``tests/llm/test_tokens_packing_files.py`` holds the
 results against the library.
 
 The encoder stays in the worker between tasks, so its dictionary fills once.
@@ -26,7 +26,8 @@ import numpy as np
 #: Entries after which the dictionary starts anew (about 200 MB).
 MAX_PIECES = 1_000_000
 
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+# Without U+0130: its lower case ends in a combining mark, which belongs to the signs after it.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 #: letters up to a safe end | ASCII signs up to white space | anything else up to white space
 _PIECE = re.compile(
     rf"[ \n]*[{_LETTERS}]+(?=[ \n!-&(-@\[-`{{-~]|\Z)|[!-&(-/:-@\[-`{{-~]+(?=[ \n]|\Z)|[ \n]*[^ \n]+|[ \n]+"
