@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from tunefold.llm import neardup, spans
 from tunefold.llm.queries import op9_minhash_near_duplicates
@@ -214,3 +215,47 @@ def test_runs_cross_the_edges_of_parts(monkeypatch):
         u = spans.Units([passage.encode()])
         cut, words, _ = spans.without(t, set(zip(u.run_one.tolist(), u.run_two.tolist())))
         assert words >= 30 and len(cut.split()) == 950 + (at > 0 and text[at - 1] != " " and text[at] != " ") - words, at
+
+
+def test_every_row_of_the_leading_id_is_kept(docs_of):
+    words = [f"w{i}" for i in range(200)]
+    near = " ".join([*words[:199], "other"])
+    rows = neardup.judged(docs_of([(7, " ".join(words)), (7, near), (9, near)]), k=3, percent=85).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in rows} == {(7, 7, True), (9, 7, False)}
+    assert sum(r.stays for r in rows) == 1
+
+
+def _check_dedup(docs_of, texts, **extra):
+    rows = spans.deduplicated(docs_of(texts.items(), **extra)).collect()
+    want = dict(zip(sorted(texts), _dedup([texts[i] for i in sorted(texts)])))
+    assert {r.doc_id: r.removed_words for r in rows} == want and len(rows) == len(texts)
+    return rows
+
+
+@pytest.mark.parametrize("met", [0, 40, 500_000])
+def test_a_passage_in_a_third_of_all_documents(docs_of, monkeypatch, met):
+    """Whatever a task remembers; documents in any order, several batches a task."""
+    monkeypatch.setattr(spans.Met.__init__, "__defaults__", (met,))
+    rng = random.Random(met)
+    texts = {i: f"{_own(30, i)} {PASSAGE if i % 3 == 1 else _own(25, i % 7)} {_own(20, 900 + i)}" for i in rng.sample(range(2000), 150)}
+    _check_dedup(docs_of, texts)
+
+
+def test_a_task_remembers_the_least_document():
+    one, two = np.array([5, 9], np.int64), np.array([1, 2], np.int32)
+    met = spans.Met(3)
+    assert met.known(one, two, np.array([4, 4])).tolist() == [False, False]
+    met.add(one, two, np.array([4, 4]))
+    assert met.known(one, np.array([1, 7], np.int32), np.array([6, 6])).tolist() == [True, False]
+    assert met.known(one, two, np.array([2, 4])).tolist() == [False, False]  # a lesser one, and the same one
+    assert met.known(one, two, np.array([3, 3])).tolist() == [True, False]
+    met.add(one + 1, two, np.array([1, 1]))  # over the bound: earlier runs are forgotten
+    assert met.known(one, two, np.array([9, 9])).tolist() == [False, False] and len(met.one) == 2
+
+
+def test_spans_run_on_their_own_output_and_clashing_names(docs_of):
+    texts = {i: f"{_own(30, i)} {PASSAGE}" for i in range(4)}
+    once = spans.deduplicated(docs_of(texts.items(), __doc=1, __gone="x", one=2, first=3))
+    again = spans.deduplicated(once).collect()
+    assert {(r.doc_id, r.text, r["__doc"], r["__gone"]) for r in again} == {(r.doc_id, r.text, 1, "x") for r in once.collect()}
+    assert [r.removed_words for r in again] == [0] * 4 and once.columns == spans.deduplicated(once).columns

@@ -31,9 +31,8 @@ is a written table in the shared folder.
 Rows: null or blank text has the empty set and is linked with nothing; a row
 without doc_id is linked with nothing and has no component (kept). A node is a set
 of shingles, numbered for the run: texts of one doc_id and different sets are nodes
-of their own, and rows of one doc_id and equal sets are kept or not together. A
-component is named by its least doc_id, and of that one's texts in it one set is
-kept. Extra columns are ignored; an empty table gives no rows.
+of their own. A component is named by its least doc_id; all rows of that id in it are
+``kept``, and of their texts one ``stays``. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -312,12 +311,13 @@ def judged(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     out = sketch.select("doc_id", "text_hash", "n", "set_key").join(whole, "set_key", "left")
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     component = F.when(linked, F.col("lead.doc_id")).otherwise(F.col("doc_id"))
-    kept = ~linked | (F.col("doc_id") == F.col("lead.doc_id")) & (F.col("set_key") == F.col("lead.set_key"))
+    kept = ~linked | (F.col("doc_id") == F.col("lead.doc_id"))
+    stays = ~linked | (F.struct("doc_id", "set_key", "text_hash") == F.struct("lead.doc_id", "lead.set_key", "lead.text_hash"))
     return out.select(
         "doc_id",
         "text_hash",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         kept.alias("kept"),
-        (kept & (~linked | (F.col("text_hash") == F.col("lead.text_hash")))).alias("stays"),
+        stays.alias("stays"),
     )
