@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tunefold.operators.load import KeyViolation, TableStore
-from tunefold.schemas import ALBUMS, CATALOG_SCHEMAS
+from tunefold.schemas import ALBUMS, CATALOG_SCHEMAS, TableSchema
 
 
 def _albums(spark, rows):
@@ -52,13 +53,14 @@ def test_upsert_keep_latest(spark, store):
     assert [tuple(r) for r in store.select_all("albums").collect()] == [("a", "new", "2021-01-01", 1)]
 
 
-def test_overwrite_replaces_and_old_readers_keep_their_version(spark, store):
-    store.overwrite(_albums(spark, [("a", "A", "2020", 1)]), "albums")
-    old = store.select_all("albums")
-    old_files = old.inputFiles()
-    store.overwrite(_albums(spark, [("z", "Z", "2020", 1)]), "albums")
+def test_overwrite_replaces_every_partition(spark, store):
+    store.overwrite(_albums(spark, [(f"k{i}", "A", "2020", 1) for i in range(50)]), "albums")
+    assert store.overwrite(_albums(spark, [("z", "Z", "2020", 1)]), "albums") == 1
     assert [r["album_id"] for r in store.select_all("albums").collect()] == ["z"]
-    assert [r["album_id"] for r in spark.read.parquet(*old_files).collect()] == ["a"]
+    assert len(store.select_all("albums").inputFiles()) == 1
+    assert spark.sql(f"show partitions {store.name('albums')}").count() == 1
+    store.overwrite(_albums(spark, []), "albums")
+    assert store.select_all("albums").collect() == []
 
 
 def test_load_dispatch_errors(spark, store):
@@ -88,20 +90,54 @@ def _got(store):
     return sorted((r["track_id"], r["track_popularity"], r["playlist_id"]) for r in store.select_all("tracks").collect())
 
 
-def test_upsert_reads_and_rewrites_only_the_batchs_buckets(spark, store):
+def test_upsert_reads_and_rewrites_only_the_batchs_partitions(spark, store):
     store.overwrite(_tracks(spark, [(f"k{i}", 1, "P1") for i in range(500)]), "tracks")
-    m = store.manifests("tracks")
-    before = m.current()
+    before = set(store.select_all("tracks").inputFiles())
     batch = _tracks(spark, [("k3", 2, "P2"), ("new", 2, "P1")])  # k3 moves to another playlist
-    store.upsert(batch, "tracks")
-    after = m.current()
-    (old, buckets), = before.parts.items()
-    touched = set(buckets) - set(after.parts[old])
-    assert 1 <= len(touched) <= 2 and len(buckets) > 50
+    assert store.upsert(batch, "tracks") == 2
+    after = set(store.select_all("tracks").inputFiles())
+    part = lambda f: f.split("key_part=")[1].split("/")[0]
+    touched = {part(f) for f in before - after}
+    assert 1 <= len(touched) <= 2 and touched == {part(f) for f in after - before} and len({part(f) for f in before}) == 16
     assert _got(store) == sorted([(f"k{i}", 1, "P1") for i in range(500) if i != 3] + [("k3", 2, "P2"), ("new", 2, "P1")])
     assert store.select_all("tracks").columns == store.schemas["tracks"].columns
 
 
+def _above_scans(plan: str, table: str) -> list[str]:
+    """The operators over each scan of a table, in the formatted plan's tree."""
+    lines = plan.split("\n\n")[0].splitlines()
+    out = []
+    for k, line in enumerate(lines):
+        if table in line and "Scan parquet" in line:
+            depth, above = len(line) - len(line.lstrip(" :+-")), []
+            for up in reversed(lines[:k]):
+                d = len(up) - len(up.lstrip(" :+-"))
+                if d < depth:
+                    above.append(up.strip(" :+-"))
+                    depth = d
+            out.append(" < ".join(above))
+    return out
+
+
+@pytest.mark.parametrize("broadcasts", ["10485760", "-1"])
+def test_an_upsert_moves_the_batch_and_not_the_table(spark, store, broadcasts):
+    """The stored side of the key match is read by buckets: no exchange over its scan."""
+    store.overwrite(_tracks(spark, [(f"k{i}", 1, "P1") for i in range(500)]), "tracks")
+    s = store.schemas["tracks"]
+    batch, _ = store._staged(_tracks(spark, [("k3", 2, "P2"), ("new", 2, "P1")]), s, True)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    try:
+        merged = store.merged(batch, s)
+        plan = merged._sc._jvm.PythonSQLUtils.explainString(merged._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    (above,) = _above_scans(plan, f"{store.database}.tracks")
+    assert "SortMergeJoin" in above and "Exchange" not in above, plan
+    assert plan.split("\n\n")[0].count("Exchange") == 1 and "Bucketed: true" in plan
+    assert "PartitionFilters" in plan
+
+
 def test_insert_after_upsert_and_null_playlist(spark, store):
     store.insert(_tracks(spark, [("a", 1, "it's"), ("n", 1, None)]), "tracks")
     store.upsert(_tracks(spark, [("a", 5, "it's"), ("b", 1, "x"), ("n", 2, None)]), "tracks")
@@ -109,58 +145,55 @@ def test_insert_after_upsert_and_null_playlist(spark, store):
     assert sorted(_got(store), key=repr) == sorted([("a", 5, "it's"), ("b", 1, "x"), ("c", 1, "P7"), ("n", 2, None)], key=repr)
 
 
-class Stopped(Exception):
-    pass
+@pytest.mark.parametrize("method", ["insert", "overwrite", "upsert"])
+def test_a_batch_that_fails_leaves_the_table_alone(spark, store, method):
+    old = [("x", 1, "P1"), ("y", 1, "P2")]
+    store.overwrite(_tracks(spark, old), "tracks")
+    bad = _tracks(spark, [("x", 2, "P9"), ("z", 2, "P1")]).withColumn(
+        "track_name", F.when(F.col("track_id") == "z", F.raise_error(F.lit("broken row"))).otherwise(F.col("track_name")))
+    with pytest.raises(Exception, match="broken row"):
+        getattr(store, method)(bad, "tracks")
+    assert _got(store) == sorted(old)
 
 
 @pytest.mark.parametrize("method", ["overwrite", "upsert"])
-def test_a_load_stopped_anywhere_leaves_the_old_table_or_the_new_one(spark, monkeypatch, method):
-    """The load is stopped before every file operation in turn, and after the last."""
-    from tunefold.operators import manifest
-
-    old = [("x", 1, "P1"), ("y", 1, "P2")]
-    batch = {"overwrite": [("z", 2, "P1")], "upsert": [("x", 2, "P9"), ("z", 2, "P1")]}[method]
-    new = {"overwrite": batch, "upsert": [("x", 2, "P9"), ("y", 1, "P2"), ("z", 2, "P1")]}[method]
-    real = {n: getattr(manifest.Files, n) for n in ("create", "names")}
-    outcomes = set()
-    for stop in range(40):
-        store = TableStore(spark)
-        store.create_tables(CATALOG_SCHEMAS)
-        store.overwrite(_tracks(spark, old), "tracks")
-        steps = iter(range(1000))
-
-        def step(name):
-            def f(self, *a):
-                if next(steps) == stop:
-                    raise Stopped
-                return real[name](self, *a)
-            return f
-
-        for n in real:
-            monkeypatch.setattr(manifest.Files, n, step(n))
-        try:
-            getattr(store, method)(_tracks(spark, batch), "tracks")
-            done = True
-        except Stopped:
-            done = False
-        monkeypatch.undo()
-        got = _got(store)
-        assert got in (sorted(old), sorted(new))
-        outcomes.add(tuple(got))
-        if done:
-            break
-    assert done and outcomes == {tuple(sorted(old)), tuple(sorted(new))}
-
-
-def test_of_two_loads_from_one_state_one_is_refused(spark, store):
-    from tunefold.operators.manifest import ConcurrentLoad
-
-    m = store.manifests("tracks")
-    now = m.current()
-    store.insert(_tracks(spark, [("a", 1, "P1")]), "tracks")
-    with pytest.raises(ConcurrentLoad):
-        m.commit(now, now)
-    assert _got(store) == [("a", 1, "P1")]
+def test_a_load_that_fails_while_the_table_is_written_leaves_it_alone(spark, store, monkeypatch, method):
+    """The partitions are replaced by Spark's commit at the end of the write, or not at all."""
+    store.overwrite(_tracks(spark, [(f"k{i}", 1, "P1") for i in range(40)]), "tracks")
+    want, real = _got(store), TableStore._replace
+    monkeypatch.setattr(TableStore, "_replace", lambda self, rows, s: real(self, rows.withColumn(
+        "track_name", F.when(F.col("track_id") == "k7", F.raise_error(F.lit("stopped"))).otherwise(F.col("track_name"))), s))
+    with pytest.raises(Exception, match="stopped"):
+        getattr(store, method)(_tracks(spark, [(f"k{i}", 2, "P2") for i in range(30)]), "tracks")
+    monkeypatch.undo()
+    assert _got(store) == want
+    getattr(store, method)(_tracks(spark, [(f"k{i}", 2, "P2") for i in range(30)]), "tracks")  # the load is repeated
+    kept = [(f"k{i}", 1, "P1") for i in range(30, 40)] if method == "upsert" else []
+    assert _got(store) == sorted([(f"k{i}", 2, "P2") for i in range(30)] + kept)
+
+
+def test_tables_partitioned_by_key_columns(spark, store):
+    """Quotes, signs and an overwrite that leaves a partition out."""
+    s = TableSchema("by_job", StructType([StructField("v", IntegerType()), StructField("job", StringType()), StructField("run", IntegerType())]),
+                    ("job", "run"), partition_by=("job",))
+    rows = lambda *r: spark.createDataFrame(r, "job string, run int, v int")
+    store.create_tables([s])
+    names = ["plain", "it's", "a/b=c %", "back\\slash"]
+    store.insert(rows(*((j, 1, 1) for j in names)), "by_job")
+    store.upsert(rows(("it's", 1, 5), ("it's", 2, 6), ("new", 1, 7)), "by_job")
+    got = lambda: sorted((r.job, r.run, r.v) for r in store.select_all("by_job").collect())
+    assert got() == sorted([("plain", 1, 1), ("it's", 1, 5), ("it's", 2, 6), ("a/b=c %", 1, 1), ("back\\slash", 1, 1), ("new", 1, 7)])
+    assert store.select_all("by_job").columns == ["v", "job", "run"]
+    store.overwrite(rows(("plain", 9, 9)), "by_job")
+    assert got() == [("plain", 9, 9)]
+    with pytest.raises(ValueError, match="only key columns"):
+        TableSchema("bad", s.struct, ("run",), partition_by=("job",))
+
+
+def test_layout_grows_with_the_table():
+    big = CATALOG_SCHEMAS["tracks"].laid_out(100 << 40)
+    assert big.parts * big.buckets * (512 << 20) >= 100 << 40 and big.parts >= 1600 and big.buckets >= 128
+    assert CATALOG_SCHEMAS["tracks"].laid_out(1) == CATALOG_SCHEMAS["tracks"]
 
 
 def test_many_playlists_load_as_few_files(spark, store):
@@ -168,18 +201,18 @@ def test_many_playlists_load_as_few_files(spark, store):
         "cast(id as string) track_id", "'n' track_name", "1 track_popularity", "1 track_duration_ms", "'2024' track_added_at",
         "'a' album_id", "'r' artist_id", "cast(id % 3000 as string) playlist_id", "'p' playlist_name", "'s' snapshot_id")
     store.overwrite(rows, "tracks")
-    assert len(store.select_all("tracks").inputFiles()) <= 2 * store.schemas["tracks"].buckets
+    s = store.schemas["tracks"]
+    assert len(store.select_all("tracks").inputFiles()) <= s.parts * s.buckets
     store.upsert(rows.where("playlist_id = '7'"), "tracks")
     assert store.select_all("tracks").count() == 15_000
 
 
-def test_vacuum_and_compact_keep_the_table(spark, store):
+def test_compact_keeps_the_table(spark, store):
     for i in range(4):
-        store.upsert(_tracks(spark, [(f"k{j}", i, "P") for j in range(i, 30)]), "tracks")
-    want = _got(store)
+        store.insert(_tracks(spark, [(f"k{j}", i, "P") for j in range(10 * i, 10 * i + 10)]), "tracks")
+    want, files = _got(store), len(store.select_all("tracks").inputFiles())
     store.compact("tracks")
-    assert _got(store) == want and len(store.manifests("tracks").current().parts) == 1
-    assert store.vacuum("tracks", keep=1) >= 3 and _got(store) == want
+    assert _got(store) == want and len(store.select_all("tracks").inputFiles()) < files
 
 
 def test_another_process_sees_tables_views_and_run_ids(spark, tmp_path):
@@ -200,6 +233,7 @@ store = TableStore(spark, sys.argv[1])
 store.create_tables(CATALOG_SCHEMAS)
 store.upsert(spark.createDataFrame([(sys.argv[2], 'n', 1, 61000, 'd', None, None, 'p', 'p', 's')], TRACKS.struct), 'tracks')
 create_views(store)
+assert not create_views(store)
 log = RunLog(store)
 run = log.next_run_id('job')
 log.log('job', run)

@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession
 from .operators.load import TableStore
 from .plans.job import JobConfig, run_catalog_job
 from .session import shared_dir
-from .plans.views import read_view
+from .plans.views import SQL_FOLDER, read_view
 from .streaming.upsert_stream import stream_catalog
 
 
@@ -35,6 +35,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--method", default="upsert", choices=("insert", "upsert", "overwrite"))
     p.add_argument("--database", default="tunefold")
     p.add_argument("--root", default=None, help="table folder (default: under spark.checkpoint.dir)")
+    p.add_argument("--sql-folder", default=str(SQL_FOLDER), help="folder of the views' SQL files (default: the five views)")
     p.add_argument("--job-name", default="catalog")
     p.add_argument("--poll-seconds", type=int, default=None,
                    help="keep the tables current from new page files, one micro-batch per interval")
@@ -51,9 +52,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     root = args.root or f"{shared_dir(spark)}/tunefold-tables/{args.database}"
     store = TableStore(spark, root)
     if args.show:
-        read_view(store, args.show).show(truncate=False)
+        read_view(store, args.show, args.sql_folder).show(truncate=False)
         return {}
-    cfg = JobConfig(args.pages, args.artists, load_method=args.method, job_name=args.job_name)
+    cfg = JobConfig(args.pages, args.artists, load_method=args.method, job_name=args.job_name, sql_folder=args.sql_folder)
     rejected = run_catalog_job(spark, store, cfg, raise_on_error=not args.no_raise)
     print(json.dumps({"database": args.database, "rejected": rejected}))
     if args.poll_seconds:

@@ -1,148 +1,143 @@
-"""Keyed loads into tables that last: insert, overwrite, upsert, plus select_all.
-
-Tables are parquet version folders named by a manifest (``manifest.py``). A
-load is one switch of it: readers and other processes see the table before the
-load or after it, whatever stops the load in between.
-
-Rows lie in buckets by a hash of the primary key, so a key never changes its
-bucket and only the buckets of a batch's keys are ever read or rewritten. Every
-version is written by a rebalance on the bucket: small buckets share a task,
-and a big bucket is split over several, whoever holds its rows.
-
-* ``insert``: adds the batch as a new version; fails on a NULL or repeated key in
-  the batch or a key already in the table.
-* ``overwrite``: the batch becomes the table.
-* ``upsert``: the batch, plus the rows of its buckets whose key is not in it,
-  rewritten as a second version; other buckets stay as they are. A key twice in
-  one batch is an error by default (as ``ON CONFLICT DO UPDATE`` refuses it);
-  ``on_duplicate="keep_latest"`` keeps the row with the greatest ``order_by``.
-
-The batch is written once and its keys are checked on the written key columns
-(one hash aggregate over them), so nothing is persisted. What comes to the
-driver are counts and the names of bucket folders (at most ``buckets`` of them).
+"""Keyed loads into catalogued tables: insert, overwrite, upsert, plus select_all.
+
+A table is a Parquet table of Spark's catalog, partitioned by a hash of its
+primary key (or by columns of the key that its schema names) and, within
+partitions, bucketed by the key. All writes go through Spark's own commit:
+
+* ``insert``: appends the batch; fails on a NULL or repeated key in the batch or a
+  key already in the table.
+* ``overwrite``: the batch becomes the table. Its partitions replace those of the
+  table by dynamic partition overwrite, then partitions without rows of the batch go.
+* ``upsert``: the partitions that hold a key of the batch are joined with it (full
+  outer, by key) and replaced by the result through dynamic partition overwrite;
+  other partitions are neither read nor written. A key twice in one batch is an error by
+  default (as ``ON CONFLICT DO UPDATE`` refuses it); ``on_duplicate="keep_latest"``
+  keeps the row with the greatest ``order_by``.
+
+The stored side of both key matches is read by buckets, so only the batch is
+shuffled, to as many partitions as there are buckets, and every task writes the
+files of its own bucket. A key never changes its partition, so loads of different
+keys never meet.
+
+The batch is written to the shared folder first; its keys are checked there, and
+an error in its plan leaves the table alone. The number of loaded rows is
+observed during that write. What comes to the driver are counts and the names of
+partitions (at most ``parts``, or one per value of the named columns in the batch).
+
+One writer at a time per table, as the warehouse assumed too; a load that is cut off
+in Spark's commit is repeated. A catalog that lasts (a metastore) has the
+tables in every session; with Spark's own in-memory one, ``create_tables`` finds
+the partitions that earlier sessions wrote into the store's folder.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
-from ..schemas import TableSchema
-from ..session import scratch_path
-from .manifest import Files, Manifest, Manifests
+from ..schemas import KEY_PART, TableSchema
+from ..session import scratch_path, written
 
 LOAD_METHODS = ("insert", "upsert", "overwrite")
-_BUCKET = "__bucket"
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 class KeyViolation(ValueError):
     pass
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrites replace the partitions they have rows of."""
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
+
+
 class TableStore:
-    """Keyed tables under one root folder; another store on the same folder sees the same tables."""
+    """Keyed tables of one database, whose folder is ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None):
         self.spark = spark
         self.root = (root or scratch_path(spark, "store")).rstrip("/")
-        self.files = Files(spark, self.root)
+        self.database = database or f"tunefold_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}"
         self.schemas: dict[str, TableSchema] = {}
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
 
     # -- tables --------------------------------------------------------------
-    def manifests(self, name: str) -> Manifests:
-        return Manifests(self.files, f"{self.root}/{name}")
+    def name(self, table: str) -> str:
+        """The table's (or view's) name for SQL."""
+        return f"`{self.database}`.`{table}`"
 
     def table_exists(self, name: str) -> bool:
-        return self.manifests(name).current().exists
+        return self.spark.catalog.tableExists(self.name(name))
 
     def create_tables(self, schemas: Mapping[str, TableSchema] | list[TableSchema]) -> None:
         """Create each table unless it exists (its schema is remembered either way)."""
         for s in schemas.values() if isinstance(schemas, Mapping) else schemas:
             self.schemas[s.name] = s
-            m = self.manifests(s.name)
-            now = m.current()
-            if not now.exists:
-                m.commit(now, Manifest(now.number, {}, {}))
+            if self.table_exists(s.name):
+                continue
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in s.stored.fields)
+            parts = ", ".join(f"`{c}`" for c in s.partition_columns)
+            keys = ", ".join(f"`{k}`" for k in s.bucket_columns)
+            clustered = f"CLUSTERED BY ({keys}) INTO {s.buckets} BUCKETS" if keys else ""
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.name(s.name)} ({columns}) USING parquet "
+                f"PARTITIONED BY ({parts}) {clustered} LOCATION '{self.root}/{s.name}'")
+            fs, at = self._folder(f"{self.root}/{s.name}")
+            if fs.exists(at):
+                self.spark.catalog.recoverPartitions(self.name(s.name))
 
     def drop_table(self, name: str) -> None:
-        """The table is gone; its version folders stay for readers still on them (see ``vacuum``)."""
-        m = self.manifests(name)
-        now = m.current()
-        if now.exists:
-            m.commit(now, Manifest(now.number, {}, {}, exists=False))
+        """The table and its rows are gone."""
+        if self.table_exists(name):
+            self.spark.sql(f"DROP TABLE {self.name(name)}")
+            self._delete(f"{self.root}/{name}")
 
     def select_all(self, name: str) -> DataFrame:
         """The whole table as it is now, declared columns in declared order."""
-        return self._read(self._schema(name), self.manifests(name).current())
-
-    def vacuum(self, name: str, keep: int = 2) -> int:
-        """Deletes version folders that none of the last ``keep`` manifests names; returns how many.
-
-        Not while a load is under way: its folders aren't named yet.
-        """
-        m = self.manifests(name)
-        live = {v for n in m.numbers()[-keep:] for v in m.read(n).parts}
-        dead = [v for v in self.files.names(f"{self.root}/{name}") if v.startswith("v-") and v not in live]
-        for v in dead:
-            self.files.delete(f"{self.root}/{name}/{v}")
-        return len(dead)
+        return self.spark.table(self.name(name)).select(*self._schema(name).columns)
 
     def compact(self, name: str) -> None:
-        """Rewrites the table as one version (many small inserts leave many small files)."""
-        s, m = self._schema(name), self.manifests(name)
-        now = m.current()
-        version, buckets = self._write(self._read(s, now), s)
-        m.commit(now, Manifest(now.number, {}, {}).plus(version, buckets))
+        """Rewrites every partition as one file per bucket (many small inserts leave many small files)."""
+        s = self._schema(name)
+        self._replace(self._by_bucket(self.spark.table(self.name(name)), s), s)
 
     def _schema(self, name: str) -> TableSchema:
         if name not in self.schemas:
             raise ValueError(f"no schema declared for table {name!r}")
         return self.schemas[name]
 
-    def _read(self, s: TableSchema, m: Manifest) -> DataFrame:
-        """The rows that a manifest names; a version of which every bucket is live is read by its folder."""
-        struct = StructType([StructField(f.name, f.dataType) for f in s.struct.fields])
-        base = f"{self.root}/{s.name}"
-        whole = [f"{base}/{v}" for v, bs in sorted(m.parts.items()) if bs == m.whole[v]]
-        some = [f"{base}/{v}/{_BUCKET}={b}" for v, bs in sorted(m.parts.items()) if bs != m.whole[v] for b in bs]
-        if not m.parts:
-            return self.spark.createDataFrame([], struct)
-        # The bucket is no column of the table: folders are looked through, not parsed.
-        return self.spark.read.schema(struct).option("recursiveFileLookup", "true").parquet(*whole, *some)
+    def _folder(self, path: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
-    # -- writing ---------------------------------------------------------------
-    def _conform(self, df: DataFrame, s: TableSchema) -> DataFrame:
+    def _delete(self, path: str) -> None:
+        fs, at = self._folder(path)
+        fs.delete(at, True)
+
+    # -- batches ---------------------------------------------------------------
+    def _staged(self, df: DataFrame, s: TableSchema, check: bool) -> tuple[DataFrame, int]:
+        """The batch with its partition column, written and checked, and its number of rows; the table doesn't have it yet."""
         missing = [c for c in s.columns if c not in df.columns]
         if missing:
             raise ValueError(f"{s.name}: batch lacks columns {missing}")
-        return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in s.struct.fields))
-
-    def _write(self, df: DataFrame, s: TableSchema) -> tuple[str, list[int]]:
-        """``df`` as a version folder that no manifest names yet, and the buckets it has."""
-        version = f"v-{uuid.uuid4().hex[:12]}"
-        folder = f"{self.root}/{s.name}/{version}"
-        bucket = F.pmod(F.xxhash64(*s.primary_key), F.lit(s.buckets)).cast("int")
-        rows = df.withColumn(_BUCKET, bucket).hint("rebalance", _BUCKET)
-        rows.write.mode("errorifexists").partitionBy(_BUCKET).parquet(folder)
-        found = [int(n.split("=")[1]) for n in self.files.names(folder) if n.startswith(f"{_BUCKET}=")]
-        return version, sorted(found)
-
-    def _staged(self, df: DataFrame, s: TableSchema, check_keys: bool) -> tuple[Manifest, DataFrame]:
-        """The batch as a version of its own, checked; nobody sees it yet."""
-        version, buckets = self._write(self._conform(df, s), s)
-        staged = Manifest(0, {}, {}).plus(version, buckets)
-        keys = self._read(s, staged).select(*s.primary_key)
-        try:
-            if check_keys:
-                self.check_keys(keys, s)
-        except KeyViolation:
-            self.files.delete(f"{self.root}/{s.name}/{version}")
-            raise
-        return staged, keys
+        rows = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in s.struct.fields))
+        if KEY_PART in s.partition_columns:
+            rows = rows.withColumn(KEY_PART, F.pmod(F.xxhash64(*s.primary_key), F.lit(s.parts)).cast("int"))
+        seen = Observation(f"{s.name} batch")
+        staged = written(rows.select(*s.stored.names).observe(seen, F.count(F.lit(1)).alias("rows")), f"batch-{s.name}")
+        if check:
+            self.check_keys(staged.select(*s.primary_key), s)
+        return staged, seen.get.get("rows", 0)
 
     @staticmethod
     def check_keys(keys: DataFrame, s: TableSchema) -> None:
@@ -161,36 +156,85 @@ class TableStore:
         The aggregate holds a row per key, so Spark sorts by key instead of
         hashing; repeats of a hot key are still combined before the shuffle.
         """
-        row = F.struct(*df.columns)
+        row = F.struct(*s.columns)
         rank = F.struct(F.col(order_by).isNotNull(), F.col(order_by), row)
         return df.groupBy(*s.primary_key).agg(F.max_by(row, rank).alias("__row")).select("__row.*")
 
+    # -- writing ---------------------------------------------------------------
+    @staticmethod
+    def _by_bucket(rows: DataFrame, s: TableSchema) -> DataFrame:
+        """Rows dealt as the table's buckets are, so that a task writes one file per partition at most."""
+        return rows.repartition(s.buckets, *s.bucket_columns) if s.bucket_columns else rows.repartition(*s.partition_columns)
+
+    def _append(self, rows: DataFrame, s: TableSchema) -> None:
+        rows.write.mode("append").insertInto(self.name(s.name))
+
+    def _replace(self, rows: DataFrame, s: TableSchema) -> None:
+        with _dynamic_overwrite(self.spark):
+            rows.write.mode("overwrite").insertInto(self.name(s.name))
+
+    def _touched(self, batch: DataFrame, s: TableSchema) -> tuple[DataFrame, Column]:
+        """The table's partitions that the batch has rows of, and the condition that picks them (on literals, so others aren't listed)."""
+        values = [tuple(r) for r in batch.select(*s.partition_columns).distinct().collect()]
+        if len(s.partition_columns) == 1:
+            picked = F.col(s.partition_columns[0]).isin([v for v, in values])
+        else:
+            picked = F.lit(False)
+            for v in values:
+                each = F.lit(True)
+                for c, x in zip(s.partition_columns, v):
+                    each = each & (F.col(c) == F.lit(x))
+                picked = picked | each
+        return self.spark.table(self.name(s.name)).where(picked), picked
+
+    def merged(self, batch: DataFrame, s: TableSchema) -> DataFrame:
+        """The partitions of the table that an upsert of ``batch`` (staged rows) replaces, as they are afterwards."""
+        old, _ = self._touched(batch, s)
+        new = batch.select(*(F.col(k).alias(f"__{k}") for k in s.primary_key), F.struct(*s.stored.names).alias("__new"))
+        if s.bucket_columns:
+            new = new.repartition(s.buckets, *(f"__{k}" for k in s.bucket_columns))
+        same = [old[k] == new[f"__{k}"] for k in s.primary_key]
+        both = old.join(new.hint("merge"), same, "full_outer")
+        row = (F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) for c in s.stored.names)
+        return both.select(*row)
+
     # -- loads -------------------------------------------------------------------
-    def insert(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
+    def insert(self, df: DataFrame, name: str, check_keys: bool = True) -> int:
+        """Appends; returns the number of rows."""
         s = self._schema(name)
         self.create_tables([s])
-        m = self.manifests(name)
-        now = m.current()
-        staged, keys = self._staged(df, s, check_keys)
-        version, buckets = next(iter(staged.parts.items()), ("", []))
-        if check_keys and now.parts:
-            there = self._read(s, now.only(set(buckets))).select(*s.primary_key)
-            if not there.join(keys, list(s.primary_key), "left_semi").isEmpty():
-                self.files.delete(f"{self.root}/{name}/{version}")
+        batch, rows = self._staged(df, s, check_keys)
+        batch = self._by_bucket(batch, s)
+        if check_keys:
+            there, _ = self._touched(batch, s)
+            if not there.select(*s.primary_key).join(batch.select(*s.primary_key).hint("merge"), list(s.primary_key), "left_semi").isEmpty():
                 raise KeyViolation(f"{name}: batch repeats keys already in the table")
-        m.commit(now, now.plus(version, buckets))
+        self._append(batch, s)
+        return rows
 
-    def overwrite(self, df: DataFrame, name: str, check_keys: bool = True) -> None:
+    def overwrite(self, df: DataFrame, name: str, check_keys: bool = True) -> int:
+        """Replaces the table; returns the number of rows."""
         s = self._schema(name)
         self.create_tables([s])
-        m = self.manifests(name)
-        now = m.current()
-        staged, _ = self._staged(df, s, check_keys)
-        m.commit(now, Manifest(now.number, staged.parts, staged.whole))
+        batch, rows = self._staged(df, s, check_keys)
+        self._replace(self._by_bucket(batch, s), s)
+        _, live = self._touched(batch, s)
+        stale = self.spark.table(self.name(name)).where(~F.coalesce(live, F.lit(False))).select(*s.partition_columns).distinct()
+        for r in stale.collect():
+            self._drop_partition(s, r.asDict())
+        return rows
+
+    def _drop_partition(self, s: TableSchema, values: dict) -> None:
+        spec = ", ".join(f"`{c}` = {v!r}" if isinstance(v, int) else "`{}` = '{}'".format(c, v.replace("\\", "\\\\").replace("'", "\\'"))
+                         for c, v in values.items())
+        found = self.spark.sql(f"DESCRIBE EXTENDED {self.name(s.name)} PARTITION ({spec})")
+        at = found.where("col_name = 'Location'").first()["data_type"]
+        self.spark.sql(f"ALTER TABLE {self.name(s.name)} DROP IF EXISTS PARTITION ({spec})")
+        self._delete(at)
 
     def upsert(self, df: DataFrame, name: str, on_duplicate: str = "error", order_by: str | None = None,
-               check_keys: bool = True) -> None:
-        """Rows of the table whose key is not in the batch, plus the batch.
+               check_keys: bool = True) -> int:
+        """Rows of the table whose key is not in the batch, plus the batch; returns the number of rows of the batch.
 
         ``check_keys=False`` skips the NULL-key check where the caller guarantees it.
         """
@@ -201,28 +245,18 @@ class TableStore:
         if latest and order_by is None:
             raise ValueError("keep_latest needs order_by")
         self.create_tables([s])
-        m = self.manifests(name)
-        now = m.current()
-        df = self._conform(df, s)
-        staged, keys = self._staged(self._keep_latest(df, s, order_by) if latest else df, s, check_keys or not latest)
-        touched = staged.buckets()
-        after = now.without(touched)
-        old = now.only(touched)
-        if old.parts:
-            kept = self._read(s, old).join(keys, list(s.primary_key), "left_anti")
-            after = after.plus(*self._write(kept, s))
-        for version, buckets in staged.parts.items():
-            after = after.plus(version, buckets)
-        m.commit(now, after)
+        batch, rows = self._staged(self._keep_latest(df, s, order_by) if latest else df, s, check_keys or not latest)
+        self._replace(self.merged(batch, s), s)
+        return rows
 
     def load(self, tables: Mapping[str, DataFrame], schemas: Mapping[str, TableSchema] | None = None,
-             method: str = "overwrite", **kwargs) -> None:
-        """Load each named frame with one method; each table is its own atomic step."""
+             method: str = "overwrite", **kwargs) -> dict[str, int]:
+        """Load each named frame with one method; returns the rows of each."""
         if method not in LOAD_METHODS:
             raise ValueError(f"unknown load method {method!r}: use one of {', '.join(LOAD_METHODS)}")
         if schemas:
             for s in schemas.values():
                 self.schemas.setdefault(s.name, s)
-        for name, df in tables.items():
+        for name in tables:
             self._schema(name)  # raises for a table without schema
-            getattr(self, method)(df, name, **kwargs)
+        return {name: getattr(self, method)(df, name, **kwargs) for name, df in tables.items()}

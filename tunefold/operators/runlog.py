@@ -1,11 +1,11 @@
 """Append-only run log: ``(pipeline_name, run_id, timestamp, status, config, logs)``.
 
 * ``next_run_id(name)``: ``max(run_id) + 1`` for that job, or 1; one filtered
-  aggregate (the filter reaches the parquet scan as a pushed predicate).
+  aggregate. The log is partitioned by job, so only that job's files are read.
 * ``next_run_ids()``: the same for every job at once, a grouped aggregate.
 * ``log(...)``: append one row; the timestamp defaults to now as
   ``yyyy-MM-dd HH:mm:ss`` (session time zone), taken by Spark, not Python.
-* ``append(rows)``: append many rows in one write.
+* ``append(rows)``: append many rows in one write (``TableStore.compact`` joins small files, between runs).
 * ``run_job(...)``: log ``start``, run the work, log ``success`` or ``fail``.
 
 Run ids assume one writer per job name at a time, as the warehouse version
@@ -32,9 +32,6 @@ RUN_SUCCESS = "success"
 RUN_FAILURE = "fail"
 STATUSES = (RUN_START, RUN_SUCCESS, RUN_FAILURE)
 
-#: Appends after which the log's small files are rewritten as one version.
-COMPACT_AFTER = 64
-
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -72,9 +69,6 @@ class RunLog:
         if bad:
             raise ValueError(f"status must be one of {STATUSES}")
         self.store.insert(rows, self.table)
-        if len(self.store.manifests(self.table).current().parts) > COMPACT_AFTER:
-            self.store.compact(self.table)
-            self.store.vacuum(self.table)
 
     def log(self, pipeline_name: str, run_id: int, status: str = RUN_START, timestamp: str | None = None,
             config: dict | str | None = None, logs: str | None = None) -> None:

@@ -3,7 +3,7 @@
     read pages + artist documents
       -> build_catalog (flatten, enrich, reject NULL tracks / albums)
       -> load each table (insert | upsert | overwrite)
-      -> register the five views (create if missing)
+      -> create the views of the SQL folder (if missing)
 
 wrapped in the run log (start / success / fail).
 """
@@ -13,7 +13,8 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.catalog import build_from_items
 from ..operators.load import TableStore
@@ -22,7 +23,7 @@ from ..operators.runlog import RunLog, run_job
 from ..schemas import CATALOG_SCHEMAS
 from ..session import written
 from ..sources.pages import check_pages_complete, read_artist_docs, read_playlist_pages
-from .views import publish_views
+from .views import SQL_FOLDER, publish_views
 
 log = logging.getLogger("tunefold.job")
 
@@ -35,19 +36,26 @@ class JobConfig:
     job_name: str = "catalog"
     publish_views: bool = True
     replace_views: bool = False
+    sql_folder: str | None = None  # the views' SQL files; default: the five that come with the package
 
 
 def load_items(store: TableStore, items: DataFrame, artist_docs: DataFrame, method: str) -> dict[str, int]:
     """Loads the three tables from flattened items; returns the rejected-item count per reason."""
-    items = written(items, "items")  # the landing is parsed once, for all that follows
+    # the landing is parsed once, for all that follows, and its figures come with that write
+    seen = Observation("items")
+    no_track = F.col("track_id").isNull()
+    items = written(items.observe(
+        seen, F.count(F.lit(1)).alias("items"), F.count_if(no_track).alias("null track"),
+        F.count_if(~no_track & F.col("track_album_id").isNull()).alias("null album")), "items")
+    found = seen.get
+    rejected = {reason: found[reason] for reason in ("null track", "null album") if found.get(reason)}
+    log.info("read %s items, rejected items: %s", found.get("items", 0), rejected or "none")
     built = build_from_items(items, artist_docs)
     store.create_tables(CATALOG_SCHEMAS)
-    log.info("loading tracks, albums, artists by %s into %s", method, store.root)
     latest = {"on_duplicate": "keep_latest", "order_by": "track_added_at"} if method == "upsert" else {}
-    store.load({"tracks": built.tracks}, CATALOG_SCHEMAS, method, **latest)
-    store.load({"albums": built.albums, "artists": built.artists}, CATALOG_SCHEMAS, method)
-    rejected = {r["reason"]: r["count"] for r in built.rejected.groupBy("reason").count().collect()}
-    log.info("rejected items: %s", rejected or "none")
+    rows = store.load({"tracks": built.tracks}, CATALOG_SCHEMAS, method, **latest)
+    rows |= store.load({"albums": built.albums, "artists": built.artists}, CATALOG_SCHEMAS, method)
+    log.info("loaded by %s into %s: %s", method, store.root, ", ".join(f"{n} {t}" for t, n in rows.items()))
     return rejected
 
 
@@ -59,7 +67,7 @@ def load_catalog(spark: SparkSession, store: TableStore, cfg: JobConfig) -> dict
     log.info("building the catalogue")
     rejected = load_items(store, flatten_items(pages), read_artist_docs(spark, cfg.artist_docs_path), cfg.load_method)
     if cfg.publish_views:
-        created = publish_views(spark, store, replace=cfg.replace_views)
+        created = publish_views(spark, store, cfg.replace_views, cfg.sql_folder or SQL_FOLDER)
         log.info("views created: %s", ", ".join(created) or "none (already present)")
     return rejected
 

@@ -1,9 +1,9 @@
 """The five analytic views over ``tracks`` / ``albums`` / ``artists``.
 
 Each view is a function ``DataFrame... -> DataFrame``; ``register_views``
-publishes them in a session, ``create_views`` records them beside the tables
-(create-if-missing, like the warehouse setup step) and ``read_view`` opens them.
-Building a view runs no job.
+publishes them in a session. ``create_views`` creates views of the catalog from a
+folder of SQL files (create-if-missing, like the warehouse setup step): the five in
+``tunefold/sql``, for popularities from 0 to 100, or a user's own. Building a view runs no job.
 
 Shape of every plan (see ``.explain`` / PLANS.md): no window without a
 partition, and no aggregate gathers a whole group into one task. The one
@@ -24,7 +24,7 @@ exception is the finished name list of a genre, which is itself the output value
 
 from __future__ import annotations
 
-import json
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -198,39 +198,46 @@ def register_views(spark: SparkSession, tracks: DataFrame, albums: DataFrame, ar
 
 
 CATALOG_TABLES = ("tracks", "albums", "artists")
+#: The views' SQL files; a file's name without ``.sql`` is the view's.
+SQL_FOLDER = Path(__file__).resolve().parent.parent / "sql"
 
 
-def create_views(store, replace: bool = False) -> list[str]:
-    """Records the views beside the tables, each unless it exists; returns the new ones. No job runs.
+def sql_views(folder: str | Path = SQL_FOLDER) -> dict[str, str]:
+    """View name -> query text, for every ``.sql`` file of a folder on the driver."""
+    return {f.stem: f.read_text(encoding="utf-8").strip().rstrip(";") for f in sorted(Path(folder).glob("*.sql"))}
 
-    What is recorded is a name: a view is built over the tables as they are when it is read.
+
+def create_views(store, folder: str | Path = SQL_FOLDER, replace: bool = False) -> list[str]:
+    """Creates a view of the store's database for each SQL file of the folder, unless it exists; returns the new ones.
+
+    A query names the catalogue's tables by parameters (``IDENTIFIER(:tracks)``), so it holds for any
+    database. No job runs; a view shows the tables as they are when it is read. An existing
+    view stays as it is, whatever its file says now, unless ``replace``.
     """
+    tables = {t: store.name(t) for t in store.schemas}
     created = []
-    for name in VIEW_NAMES:
-        path = f"{store.root}/_views/{name}.json"
-        if replace and f"{name}.json" in store.files.names(f"{store.root}/_views"):
-            store.files.delete(path)
-        if store.files.create(path, json.dumps({"view": name})):
-            created.append(name)
+    for name, query in sql_views(folder).items():
+        if not replace and store.table_exists(name):
+            continue
+        store.spark.sql(f"CREATE OR REPLACE VIEW {store.name(name)} AS {query}", args=tables)
+        created.append(name)
     return created
 
 
-def read_view(store, name: str) -> DataFrame:
-    """A recorded view over the current tables, in any process that knows the store's folder."""
-    if f"{name}.json" not in store.files.names(f"{store.root}/_views"):
-        raise LookupError(f"no view {name!r} in {store.root}")
+def read_view(store, name: str, folder: str | Path = SQL_FOLDER) -> DataFrame:
+    """A view over the current tables; one that only has a file is created."""
     store.create_tables(CATALOG_SCHEMAS)
-    return view_builders(*(store.select_all(t) for t in CATALOG_TABLES))[name]()
-
+    if not store.table_exists(name) and name in sql_views(folder):
+        create_views(store, folder)
+    if not store.table_exists(name):
+        raise LookupError(f"no view {name!r} in {store.database} or {folder}")
+    return store.spark.table(store.name(name))
 
-def publish_views(spark: SparkSession, store, replace: bool = False) -> list[str]:
-    """Records the views (``create_views``) and points this session's temp views of their names at the current tables.
 
-    A temp view stays on the table versions it was built on; the job calls this at
-    the end of every run, other callers when they want to see later loads.
-    """
+def publish_views(spark: SparkSession, store, replace: bool = False, folder: str | Path = SQL_FOLDER) -> list[str]:
+    """Creates the folder's views (``create_views``) and points this session's temp views of the five names at the current tables."""
     if not all(store.table_exists(t) for t in CATALOG_TABLES):
         return []
-    created = create_views(store, replace)
+    created = create_views(store, folder, replace)
     register_views(spark, *(store.select_all(t) for t in CATALOG_TABLES), replace=True)
     return created

@@ -6,7 +6,7 @@ the page schema is declared and integers are read as ``int`` directly.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql.types import (
     ArrayType,
@@ -60,23 +60,53 @@ ARTIST_DOC = StructType([
 ])
 
 
+#: The partition column of tables that are partitioned by a hash of their key.
+KEY_PART = "key_part"
+
+
 @dataclass(frozen=True)
 class TableSchema:
-    """A published table: column types, primary key, and the number of key-hash buckets it is stored in.
+    """A published table: column types, primary key, and how it is laid out.
 
-    A load reads and rewrites whole buckets, so more of them make small loads into
-    a big table cheaper; a table whose batches are as big as itself needs few.
+    ``parts``: partitions by a hash of the key; a load reads and replaces whole ones, so more of
+    them make small loads into a big table cheaper. ``buckets``: buckets by key within a partition,
+    the tasks of a key match. ``partition_by``: columns of the key to partition by instead (no buckets then).
     """
 
     name: str
     struct: StructType
     primary_key: tuple[str, ...]
-    buckets: int = 16
+    parts: int = 8
+    buckets: int = 4
+    partition_by: tuple[str, ...] = ()
+
+    def __post_init__(self):
+        if not set(self.partition_by) <= set(self.primary_key):
+            raise ValueError(f"{self.name}: only key columns can partition a table, a key must stay in its partition")
 
     @property
     def columns(self) -> list[str]:
         return [f.name for f in self.struct.fields]
 
+    @property
+    def partition_columns(self) -> tuple[str, ...]:
+        return self.partition_by or (KEY_PART,)
+
+    @property
+    def bucket_columns(self) -> tuple[str, ...]:
+        return () if self.partition_by else self.primary_key
+
+    @property
+    def stored(self) -> StructType:
+        """Columns in the order of the stored table: partition columns last."""
+        last = [self.struct[c] for c in self.partition_by] or [StructField(KEY_PART, I)]
+        return StructType([f for f in self.struct.fields if f.name not in self.partition_by] + last)
+
+    def laid_out(self, table_bytes: int, file_bytes: int = 512 << 20, part_bytes: int = 64 << 30) -> TableSchema:
+        """The same table with partitions and files of about the given sizes, for a table of ``table_bytes``."""
+        parts = max(self.parts, -(-table_bytes // part_bytes))
+        return replace(self, parts=parts, buckets=max(self.buckets, -(-table_bytes // (parts * file_bytes))))
+
 
 TRACKS = TableSchema("tracks", StructType([
     StructField("track_id", S, False),
@@ -89,7 +119,7 @@ TRACKS = TableSchema("tracks", StructType([
     StructField("playlist_id", S),
     StructField("playlist_name", S),
     StructField("snapshot_id", S),
-]), ("track_id",), buckets=64)
+]), ("track_id",), parts=16)
 
 ALBUMS = TableSchema("albums", StructType([
     StructField("album_id", S, False),
@@ -112,6 +142,6 @@ RUN_LOG = TableSchema("pipeline_logs", StructType([
     StructField("status", S, False),
     StructField("config", S),
     StructField("logs", S),
-]), ("pipeline_name", "run_id", "timestamp", "status"), buckets=4)
+]), ("pipeline_name", "run_id", "timestamp", "status"), partition_by=("pipeline_name",))
 
 CATALOG_SCHEMAS = {t.name: t for t in (TRACKS, ALBUMS, ARTISTS)}

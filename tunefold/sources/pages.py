@@ -18,7 +18,7 @@ consecutive track keys per playlist, so every page holds a bounded array.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import int_div, split_list
@@ -32,7 +32,7 @@ class IncompleteLanding(ValueError):
     pass
 
 
-def read_playlist_pages(spark: SparkSession, path: str, fail_fast: bool = True) -> DataFrame:
+def read_playlist_pages(spark: SparkSession, path: str | list[str], fail_fast: bool = True) -> DataFrame:
     """Pages with the declared schema; a malformed line fails the read (``FAILFAST``)."""
     reader = spark.read.schema(PAGE)
     if fail_fast:
@@ -100,14 +100,17 @@ def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE)
 
 
 def land_pages(tracks: DataFrame, albums: DataFrame, path: str, files: int | None = None,
-               page_size: int = PAGE_SIZE, append: bool = False, by: str = "page") -> str:
+               page_size: int = PAGE_SIZE, append: bool = False, by: str = "page", only: Column | None = None) -> str:
     """Write page rows as JSON lines under ``path``.
 
     ``files`` output files, pages hashed to them by page (``by="page"``) or by
     playlist (``by="playlist"``: every file holds whole playlists, as one pull of
-    one playlist would land). ``append`` adds files to an existing landing.
+    one playlist would land). ``append`` adds files to an existing landing; ``only``: the
+    pages that land now, by a condition on page rows.
     """
     pages = page_rows(tracks, albums, page_size)
+    if only is not None:
+        pages = pages.where(only)
     if files:
         keys = ("id", "page_no") if by == "page" else ("id",)
         pages = pages.repartition(files, *keys)
