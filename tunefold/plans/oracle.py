@@ -261,5 +261,35 @@ from history group by pipeline_name""",
 }
 
 
+PLAYLISTS = with_catalog("""
+select playlist_id, count(*) as num_tracks, count(distinct album_id) as num_albums,
+       cast(sum(track_duration_ms) // count(track_duration_ms) as bigint) as mean_duration_ms
+from tracks group by playlist_id""")
+
+FOLDER = {
+    "load_drop_recreate": OTHERS["load_overwrite"],
+    "stream_half_landed_pull": with_catalog("""
+select 1 as step, track_id, track_popularity, playlist_id from tracks
+where playlist_id > (select min(playlist_id) from tracks)
+union all select 2 as step, track_id, track_popularity, playlist_id from tracks"""),
+    "run_job_log": f"""with {RUN_HISTORY_CTE},
+job as (select pipeline_name, max(run_id) as last from history
+        where pipeline_name = (select min(pipeline_name) from history) group by pipeline_name),
+later as (select * from (values (1, 'start', '', false), (1, 'success', (select count(*) from orders) || ' tracks', false),
+                                (2, 'start', '', false), (2, 'fail', '', true)) v(k, status, said, names_error))
+select pipeline_name, run_id, status, true as is_time, config, '' as said, false as names_error from history
+union all
+select j.pipeline_name, cast(j.last + l.k as integer) as run_id, l.status, true as is_time,
+       case when l.k = 1 then '{{"source": "events"}}' end as config,
+       case when l.status = 'start' then null else l.said end as said,
+       case when l.status = 'start' then null else l.names_error end as names_error
+from job j cross join later l""",
+    "sql_playlists": PLAYLISTS,
+    "sql_folder_views": "\nunion all\n".join(
+        f"select '{name}' as view_name, count(*) as num_rows from ({query}) q"
+        for name, query in {**VIEWS, "playlists": PLAYLISTS}.items()),
+}
+
+
 def oracle_statements() -> dict[str, str]:
-    return {**OTHERS, **VIEWS}
+    return {**OTHERS, **VIEWS, **FOLDER, **{f"sql_{name}": query for name, query in VIEWS.items()}}

@@ -11,7 +11,11 @@ of the table sees afterwards.
 from __future__ import annotations
 
 import hashlib
+import logging
+import tempfile
 from collections.abc import Callable
+from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +25,13 @@ from ..operators.catalog import build_catalog, enrich_artists
 from ..operators.load import TableStore
 from ..operators.nested import collect_artist_ids, distinct_artist_ids, flatten_items
 from ..operators.ranking import dense_rank_global, top_k_with_ties
-from ..operators.runlog import RUN_START, RunLog, next_run_id_of, next_run_ids
+from ..operators.runlog import RUN_START, RunLog, next_run_id_of, next_run_ids, run_job
 from ..schemas import CATALOG_SCHEMAS, RUN_LOG
-from ..session import scratch_path, shared_dir
+from ..session import scratch_path, shared_dir, written
 from ..sources.fixtures import derive_artist_docs, derive_run_history, materialized_catalog
 from ..sources.pages import (
     check_pages_complete,
+    is_last_page,
     land_artist_docs,
     land_pages,
     read_artist_docs,
@@ -175,6 +180,17 @@ def q_load_upsert(spark, sf_dir):
     return store.select_all("tracks")
 
 
+def q_load_drop_recreate(spark, sf_dir):
+    # A dropped table's rows are gone when a table of its name is created again.
+    t = _cat(spark, sf_dir).tracks
+    store = _store(spark)
+    store.overwrite(t.where(F.col("track_popularity").isNotNull()), "tracks")
+    store.drop_table("tracks")
+    store.create_tables(CATALOG_SCHEMAS)
+    store.insert(t.where(F.col("album_id").isNotNull()), "tracks")
+    return store.select_all("tracks")
+
+
 _STREAMED: dict[tuple[str, str], TableStore] = {}
 
 
@@ -211,6 +227,26 @@ def q_stream_artists(spark, sf_dir):
     return _last_streamed(spark, sf_dir).select_all("artists")
 
 
+def q_stream_half_landed_pull(spark, sf_dir):
+    # First all pages but the last one of a playlist, then that one: the playlist's tracks come with it, at once.
+    c = _cat(spark, sf_dir)
+    docs = landing(spark, sf_dir)[1]
+    pages = scratch_path(spark, "half-landing")
+    store, checkpoint = _store(spark), scratch_path(spark, "half-checkpoint")
+    held = c.tracks.agg(F.min("playlist_id")).first()[0]
+    late = (F.col("id") == held) & is_last_page()
+    states = []
+    for step, only in enumerate((~late, late), 1):
+        land_pages(c.tracks, c.albums, pages, append=step > 1, only=only)
+        q = stream_catalog(spark, pages, docs, store, checkpoint)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        rows = store.select_all("tracks").select(F.lit(step).alias("step"), "track_id", "track_popularity", "playlist_id")
+        states.append(written(rows, "half-state"))
+    return states[0].unionByName(states[1])
+
+
 def q_select_all(spark, sf_dir):
     store = _store(spark)
     store.load({"tracks": _cat(spark, sf_dir).tracks}, method="overwrite")
@@ -243,6 +279,66 @@ def q_run_log_append(spark, sf_dir):
     return log.rows()
 
 
+def q_run_job_log(spark, sf_dir):
+    # A job of the history runs again twice, once well and once not; the log's own columns as a reader checks them.
+    store = TableStore(spark, scratch_path(spark, "runjob"))
+    log = RunLog(store)
+    store.overwrite(derive_run_history(spark, sf_dir), RUN_LOG.name)
+    job = log.rows().agg(F.min("pipeline_name")).first()[0]
+    tracks = _cat(spark, sf_dir).tracks
+
+    def fails():
+        raise LookupError("no artist document")
+
+    run_job(log, job, lambda: logging.getLogger("tunefold.job").info("%s tracks", tracks.count()), config={"source": "events"})
+    run_job(log, job, fails, raise_on_error=False)
+    return log.rows().select(
+        "pipeline_name", "run_id", "status", F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$").alias("is_time"),
+        "config", F.regexp_extract("logs", r"INFO tunefold\.job: (\d+ tracks)", 1).alias("said"),
+        F.col("logs").contains("LookupError: no artist document").alias("names_error"))
+
+
+# -- views from SQL files ------------------------------------------------------------
+
+# A user's own file, beside the five that come with the package.
+PLAYLISTS_SQL = """
+-- Tracks, albums and mean duration of every playlist.
+SELECT playlist_id, count(*) AS num_tracks, count(DISTINCT album_id) AS num_albums,
+       CAST(sum(track_duration_ms) DIV count(track_duration_ms) AS bigint) AS mean_duration_ms
+FROM IDENTIFIER(:tracks) GROUP BY playlist_id;
+"""
+_FOLDERS: dict[tuple[str, str], TableStore] = {}
+
+
+def _sql_store(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Loaded tables with the views of the package's folder and of a folder with one more file, made once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _FOLDERS:
+        c, store = _cat(spark, sf_dir), _store(spark)
+        store.load({"tracks": c.tracks, "albums": c.albums, "artists": c.artists}, method="overwrite")
+        V.create_views(store)
+        with tempfile.TemporaryDirectory() as folder:
+            (Path(folder) / "playlists.sql").write_text(PLAYLISTS_SQL, encoding="utf-8")
+            V.create_views(store, folder)
+        _FOLDERS[key] = store
+    return _FOLDERS[key]
+
+
+def q_sql_folder_views(spark, sf_dir):
+    store = _sql_store(spark, sf_dir)
+    names = [r["viewName"] for r in spark.sql(f"SHOW VIEWS IN `{store.database}`").where("not isTemporary").collect()]
+    counts = [V.read_view(store, n).agg(F.lit(n).alias("view_name"), F.count("*").alias("num_rows")) for n in names]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def q_sql_playlists(spark, sf_dir):
+    return V.read_view(_sql_store(spark, sf_dir), "playlists")
+
+
+def _sql_view(name: str) -> QueryFn:
+    return lambda spark, sf_dir: V.read_view(_sql_store(spark, sf_dir), name)
+
+
 # -- views -------------------------------------------------------------------------
 
 def q_most_popular_tracks_with_duration(spark, sf_dir):
@@ -278,10 +374,11 @@ QUERY_KEYS = (
     "most_popular_tracks_with_duration", "top_5_most_popular_artists_contribution",
     "track_popularity_trend_by_release_year_month", "album_track_popularity_comparison",
     "genre_track_and_artist_details", "dense_rank_global",
+    "load_drop_recreate", "stream_half_landed_pull", "run_job_log", "sql_folder_views", "sql_playlists",
 )
 
 
 def all_queries() -> dict[str, QueryFn]:
     g = globals()
-    return {k: g[f"q_{k}"] for k in QUERY_KEYS}
+    return {k: g[f"q_{k}"] for k in QUERY_KEYS} | {f"sql_{n}": _sql_view(n) for n in V.VIEW_NAMES}
 

@@ -62,7 +62,10 @@ def stream_catalog(spark: SparkSession, landing: str, artist_docs: str, store: T
     """Start the stream; with no ``processing_time`` it drains the landing and stops.
 
     ``patience_seconds``: a pull that is incomplete for longer is reported in the log of the run that notices it.
+    It needs a polling stream: timers make a run of every interval, and one that drains would never end.
     """
+    if patience_seconds is not None and processing_time is None:
+        raise ValueError("patience_seconds needs processing_time")
     store.create_tables(CATALOG_SCHEMAS)
     pulls = complete_pulls(page_stream(spark, landing, max_files_per_trigger), patience_seconds)
 
@@ -79,6 +82,8 @@ def stream_catalog(spark: SparkSession, landing: str, artist_docs: str, store: T
             else:
                 log.info("no pull became whole")
 
+        if patience_seconds is not None and not found:
+            return  # an interval without a landing, or one that completes nothing
         if job_name:
             run_job(RunLog(store), job_name, work, config={"pages": landing, "artists": artist_docs, "batch": batch_id})
         else:
