@@ -11,7 +11,7 @@ from tunefold.llm.queries import llm_queries
 def test_stages_and_queries_are_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "surrogates", "packing"]
     names = entry.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 14))
     assert set(llm_queries()) <= set(names) and set(entry.oracle_sql()) <= set(names)
 
 
@@ -56,3 +56,17 @@ def test_texts_of_one_id_stay_unless_they_are_near_duplicates(docs_of):
     rows = sorted((r.doc_id, r.text) for r in stage(docs_of([]).sparkSession, docs_of(pairs), "").collect())
     first = min(text[0], text[0] + " end", key=lambda t: hashlib.md5(t.encode()).hexdigest())
     assert rows == sorted([(7, first), (7, text[1]), (3, text[2] + " end"), (7, text[3])])
+
+
+def test_stages_keep_columns_of_internal_names(spark, docs_of):
+    """Names that stages and operators use, or used, inside, as extra columns of their input."""
+    sf = "/root/testdata/sf0.001"
+    names = ["__id", "__hash", "__text", "__selected", "__items", "__before", "__mentions", "__key", "__to", "__doc", "__gone", "items", "to", "rep", "c"]
+    long = " ".join(f"w{i}" for i in range(80))
+    texts = [(1, long), (2, long + " end"), (3, "write to jane@example.org now"), (4, None)]
+    docs = docs_of(texts, **{n: f"own {n}" for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        assert all(r[n] == f"own {n}" for r in out.collect() for n in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == 4

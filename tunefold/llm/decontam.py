@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tunefold.llm.common import SIGNS, batches, mix, shingles, utf8, word_hashes
+from tunefold.llm.common import SIGNS, batches, fresh, mix, shingles, utf8, word_hashes
 
 #: Words of half a passage, of an entry; entries of a block; bytes of items in a shard.
 CELL, ENTRY, BLOCK, SHARD_BYTES = 32, 32, 4, 4_000_000
@@ -276,43 +276,45 @@ def shards(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield [(r.item_id, r.text) for r in part.collect()]
 
 
-def _judged(docs: DataFrame, index: Index, keep: list[str]) -> DataFrame:
-    """``keep`` columns and ``__items``: ids of the verified items of this shard."""
+def _judged(docs: DataFrame, index: Index, keep: list[str], name: str) -> DataFrame:
+    """``keep`` columns and column ``name``: ids of the verified items of this shard."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
             words, bounds = word_hashes(utf8(b.column(b.num_columns - 1)), SIGNS)
             items = [sorted({index.ids[n] for n in f}) for f in index.search(words, bounds)]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(items, pa.list_(pa.int64()))], names=[*keep, "__items"]
+                [*b.columns[:-1], pa.array(items, pa.list_(pa.int64()))], names=[*keep, name]
             )
 
-    rows = docs.select(*keep, F.col("text").alias("__text"))
-    schema = StructType([*docs.select(*keep).schema.fields, StructField("__items", ArrayType(LongType()))])
+    rows = docs.select(*keep, F.col("text").alias(fresh("text")))
+    schema = StructType([*docs.select(*keep).schema.fields, StructField(name, ArrayType(LongType()))])
     return rows.mapInArrow(run, schema)
 
 
-def judged(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns of every row and ``__items``, its verified benchmark items in ascending order."""
-    out, held = docs.withColumn("__items", F.array().cast("array<long>")), None
+def judged(docs: DataFrame, benchmark: DataFrame, keep: list[str], name: str) -> DataFrame:
+    """``keep`` columns of every row and column ``name``, its verified benchmark items in ascending order."""
+    out, held = docs.withColumn(name, F.array().cast("array<long>")), None
     for shard in shards(benchmark):
         if held is not None:
-            out = _with_shard(out, held, list(dict.fromkeys([*keep, "text"])))
+            out = _with_shard(out, held, list(dict.fromkeys([*keep, "text"])), name)
         held = Index(shard)
-    return _with_shard(out, held, keep) if held is not None else out.select(*keep, "__items")
+    return _with_shard(out, held, keep, name) if held is not None else out.select(*keep, name)
 
 
-def _with_shard(docs: DataFrame, index: Index, keep: list[str]) -> DataFrame:
-    rows = _judged(docs.withColumnRenamed("__items", "__before"), index, [*keep, "__before"])
-    return rows.withColumn("__items", F.array_sort(F.array_union("__before", "__items"))).drop("__before")
+def _with_shard(docs: DataFrame, index: Index, keep: list[str], name: str) -> DataFrame:
+    before = fresh("before")
+    rows = _judged(docs.withColumnRenamed(name, before), index, [*keep, before], name)
+    return rows.withColumn(name, F.array_sort(F.array_union(before, name))).drop(before)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated and items (ids of the verified benchmark items) of every row."""
-    rows = judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, ["doc_id"])
-    return rows.select("doc_id", (F.size("__items") > 0).alias("contaminated"), F.col("__items").alias("items"))
+    rows = judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, ["doc_id"], "items")
+    return rows.select("doc_id", (F.size("items") > 0).alias("contaminated"), "items")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a verified benchmark item."""
-    return judged(docs, benchmark, docs.columns).where(F.size("__items") == 0).drop("__items")
+    items = fresh("items")
+    return judged(docs, benchmark, docs.columns, items).where(F.size(items) == 0).drop(items)

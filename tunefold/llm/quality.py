@@ -22,6 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tunefold.llm.common import fresh
 from tunefold.llm.training import back, dots, full_weights, held_out, matrix, sampled, scored, screened
 
 #: Sample bound, steps, step size, weight decay.
@@ -94,13 +95,13 @@ def rate(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], least_grade: int
 def select(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], least_grade: int = 1, p: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, whose tail probability is at least ``p``; texts are not shuffled."""
     weights, at = model
-    names = docs.columns
+    names, chosen = docs.columns, fresh("selected")
 
     def outputs(s: np.ndarray) -> dict[str, np.ndarray]:
-        return {"__selected": _sigmoid(s - at[min(least_grade, len(at)) - 1]) >= p}
+        return {chosen: _sigmoid(s - at[min(least_grade, len(at)) - 1]) >= p}
 
     from pyspark.sql.types import BooleanType, StructField, StructType
 
-    schema = StructType([*docs.schema.fields, StructField("__selected", BooleanType())])
+    schema = StructType([*docs.schema.fields, StructField(chosen, BooleanType())])
     rows = scored(docs, "marks", weights, names, schema, outputs)
-    return rows.where("__selected").select(*names)
+    return rows.where(F.col(chosen)).select(*names)

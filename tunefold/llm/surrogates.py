@@ -27,8 +27,7 @@ surrogates to texts is one that AQE splits. Nothing is collected but counts.
 
 Rows: null and empty texts stay; null and repeated doc_ids and repeated rows stay
 row by row; extra columns are kept; ``n_chars``, if there, is set to the new
-length of changed texts; an empty table gives no rows. Input that already holds
-``__`` columns of this module's names is not supported.
+length of changed texts; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunefold.llm.common import written
+from tunefold.llm.common import fresh, written
 
 # What is looked for, in order of precedence.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -194,11 +193,12 @@ def resolved(forms: DataFrame, key: str) -> DataFrame:
 
 def replaced(docs: DataFrame, key: str = "surrogate-key-1") -> DataFrame:
     """``docs``, all columns, with every detected mention replaced; ``key`` is the secret that the surrogates hang on."""
+    held, digest, made_of = fresh("mentions"), fresh("key"), fresh("to")
     may = F.col("text").isNotNull() & F.col("text").rlike(_HINT)
     mentions = F.regexp_extract_all(F.col("text"), F.lit(PATTERN), F.lit(0))
-    found = docs.withColumn("__mentions", F.when(may, mentions)).where(F.size("__mentions") > 0)
-    found = written(found.withColumn("__key", F.md5("text")), "pii-texts")
-    at = found.dropDuplicates(["__key"]).select("__key", F.posexplode("__mentions").alias("place", "mention"))
+    found = docs.withColumn(held, F.when(may, mentions)).where(F.size(held) > 0)
+    found = written(found.withColumn(digest, F.md5("text")), "pii-texts")
+    at = found.dropDuplicates([digest]).select(digest, F.posexplode(held).alias("place", "mention"))
     at = written(at, "pii-mentions")
     spelled = at.select("mention").distinct().withColumn("kind", _kind(F.col("mention"))).where("kind is not null")
     spelled = written(spelled.withColumn("forms", _forms(F.col("kind"), F.col("mention"))), "pii-spellings")
@@ -216,11 +216,11 @@ def replaced(docs: DataFrame, key: str = "surrogate-key-1") -> DataFrame:
     title = F.when(F.col("kind").rlike("^(surname|given .*)$"), F.regexp_extract("mention", r"^\S+ ", 0)).otherwise("")
     by_mention = by_mention.select("mention", F.concat(title, F.array_join(F.col("parts.to"), " ")).alias("to"))
     by_mention = written(by_mention, "pii-surrogates")
-    known = at.join(by_mention, "mention", "left").select("__key", "place", F.coalesce("to", "mention").alias("to"))
-    lists = known.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("place", "to"))).alias("__to"))
+    known = at.join(by_mention, "mention", "left").select(digest, "place", F.coalesce("to", "mention").alias("to"))
+    lists = known.groupBy(digest).agg(F.array_sort(F.collect_list(F.struct("place", "to"))).alias(made_of))
     pieces = F.split(F.col("text"), PATTERN, -1)
-    joined = F.flatten(F.zip_with(pieces, F.col("__to.to"), lambda p, s: F.array(p, F.coalesce(s, F.lit("")))))
-    changed = found.drop("__mentions").join(lists, "__key").withColumn("text", F.array_join(joined, ""))
+    joined = F.flatten(F.zip_with(pieces, F.col(made_of)["to"], lambda p, s: F.array(p, F.coalesce(s, F.lit("")))))
+    changed = found.drop(held).join(lists, digest).withColumn("text", F.array_join(joined, ""))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     rest = docs.where(~F.coalesce(may & F.col("text").rlike(PATTERN), F.lit(False)))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunefold.llm.common import batches, utf8, written
+from tunefold.llm.common import batches, fresh, utf8, written
 from tunefold.llm.features import BUCKETS, Features
 
 #: Partitions of a sample, features that are kept, their least difference in standard errors (of 262,144
@@ -107,4 +107,4 @@ def scored(docs: DataFrame, style: str, weights: np.ndarray, columns: list[str],
             found = outputs(s)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *map(pa.array, found.values())], names=[*columns, *found])
 
-    return docs.select(*columns, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*columns, F.col("text").alias(fresh("text"))).mapInArrow(run, schema)
