@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunefold.llm import decontam, neardup, packing, quality, surrogates
-from tunefold.llm.common import table, written
+from tunefold.llm.common import fresh, table, written
 from tunefold.llm.queries import tokenizer_path
 
 
@@ -33,14 +33,14 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates."""
     judged = written(neardup.judged(docs, k=5, percent=80), "stage-near")
-    row = ["__id", "__hash"]
-    of = judged.where("doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "stays")
-    rows = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": neardup.text_hash()})
+    row = [fresh("id"), fresh("hash")]
+    of = judged.where("doc_id is not null").select(F.col("doc_id").alias(row[0]), F.col("text_hash").alias(row[1]), "stays")
+    rows = docs.withColumns({row[0]: F.col("doc_id").cast("long"), row[1]: neardup.text_hash()})
     out = rows.join(of.where("not stays").select(*row).distinct(), row, "left_anti")
     if of.where("stays").groupBy(*row).count().where("count > 1").isEmpty():
         return out.drop(*row)
-    once = out.where("__id is not null").dropDuplicates(row)
-    return once.unionByName(out.where("__id is null")).drop(*row)
+    once = out.where(F.col(row[0]).isNotNull()).dropDuplicates(row)
+    return once.unionByName(out.where(F.col(row[0]).isNull())).drop(*row)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
