@@ -7,7 +7,7 @@ big table out of single-partition exchanges and read only needed columns.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tunefold.functions.agg import sorted_distinct_join
+from tunefold.functions.agg import sorted_distinct_chunks, sorted_distinct_join
 from tunefold.operators.load import TableStore
 from tunefold.operators.ranking import dense_rank_global
 from tunefold.plans import views as V
@@ -15,6 +15,7 @@ from tunefold.schemas import TRACKS
 from tunefold.sources.fixtures import materialized_catalog
 
 from .conftest import SF_SMALL
+from .plan_shape import executed
 
 N = 6000
 
@@ -114,3 +115,48 @@ def test_key_check_and_fixture_plans(spark):
     Store.check_keys(tracks.select("track_id"), TRACKS)
     plan = _plan(tracks)
     assert plan.count("hashpartitioning(l_orderkey") == 1
+
+
+def test_views_read_their_tables_once(spark):
+    """With shuffled joins, as for large tables: scans of the executed plans; an exchange that is reused reads nothing."""
+    c = materialized_catalog(spark, SF_SMALL)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        trend = executed(V.track_popularity_trend_by_release_year_month(c.tracks, c.albums))
+        albums = executed(V.album_track_popularity_comparison(c.tracks, c.albums))
+        genres = executed(V.genre_track_and_artist_details(c.tracks, c.artists))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        if adaptive is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive)
+    assert trend["FileSourceScanExec"] == 2, trend
+    assert albums["FileSourceScanExec"] == 2, albums
+    assert genres["FileSourceScanExec"] <= 4, genres
+
+
+def test_long_form_of_names_joins_to_the_lists(spark):
+    """Chunks in order are the view's list, also where one genre holds nearly all names and a name is NULL or repeated."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 9 == 0, F.lit("rare")).otherwise(F.lit("hot")).alias("genre"),
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("n"), (F.col("id") % 1100).cast("string"))).alias("name"))
+    chunks = sorted_distinct_chunks(rows, ["genre"], "name", n_chunks=8).collect()
+    lists = {r["genre"]: r["names"] for r in sorted_distinct_join(rows, ["genre"], "name", "names", n_chunks=8).collect()}
+    for genre in ("hot", "rare"):
+        own = sorted((r for r in chunks if r["genre"] == genre), key=lambda r: r["chunk"])
+        want = sorted({r["name"] for r in rows.where(F.col("genre") == genre).collect()} - {None})
+        assert ", ".join(r["text"] for r in own) == ", ".join(want) == lists[genre]
+        assert sum(r["num_values"] for r in own) == len(want)
+        assert (own[0]["first"], own[-1]["last"]) == (want[0], want[-1])
+    assert len([r for r in chunks if r["genre"] == "hot"]) > 1  # a hot list is in several tasks
+
+
+def test_long_form_of_nothing_and_of_nulls_is_empty(spark):
+    nulls = spark.createDataFrame([("g", None)], "genre string, name string")
+    assert sorted_distinct_chunks(nulls, ["genre"], "name").count() == 0
+    assert sorted_distinct_chunks(nulls.limit(0), ["genre"], "name").count() == 0
+    assert sorted_distinct_join(nulls, ["genre"], "name", "names").count() == 0

@@ -12,8 +12,8 @@ group into one task and sort it there. Here the work is spread out instead:
    sorted chunks of bounded size; each chunk is joined into one string in its
    own task (``spark_partition_id`` names the chunk: it is fixed by the range
    bounds, so recomputed tasks build the same chunks);
-3. per group, the chunks are ordered by their first value and joined. That
-   last step holds only the finished output value of the group.
+3. per group, the chunks are ordered and joined. That last step holds only the
+   finished output value of the group; ``sorted_distinct_chunks`` stops before it.
 """
 
 from __future__ import annotations
@@ -26,19 +26,30 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def sorted_distinct_chunks(df: DataFrame, group_cols: list[str], value, sep: str = ", ",
+                           n_chunks: int | None = None) -> DataFrame:
+    """The sorted distinct non-NULL values of every group in chunks: ``group_cols..., chunk, first, last, num_values, text``.
+
+    A group's chunks in order of ``chunk`` (not dense), joined by ``sep``, are its whole list. A chunk holds what
+    one task holds, so a writer can stream a list of any length that no single value could hold.
+    """
+    if n_chunks is None:
+        n_chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    v = "__v"
+    # NULL values go after the aggregate: a filter here would be pushed below an exchange that others read too.
+    pairs = df.select(*group_cols, _c(value).alias(v)).distinct()
+    return (pairs.repartitionByRange(n_chunks, *group_cols, v)
+            .withColumn("chunk", F.spark_partition_id())
+            .groupBy(*group_cols, "chunk")
+            .agg(F.min(v).alias("first"), F.max(v).alias("last"), F.count(v).alias("num_values"),
+                 F.array_join(F.array_sort(F.collect_list(v)), sep).alias("text"))
+            .where(F.col("num_values") > 0))
+
+
 def sorted_distinct_join(df: DataFrame, group_cols: list[str], value, out: str, sep: str = ", ",
                          n_chunks: int | None = None) -> DataFrame:
     """One row per group with at least one non-NULL value: ``group_cols..., out``."""
-    spark = df.sparkSession
-    if n_chunks is None:
-        n_chunks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = "__v"
-    pairs = df.select(*group_cols, _c(value).alias(v)).where(F.col(v).isNotNull()).distinct()
-    chunks = (pairs.repartitionByRange(n_chunks, *group_cols, v)
-              .withColumn("__chunk", F.spark_partition_id())
-              .groupBy(*group_cols, "__chunk")
-              .agg(F.min(v).alias("__first"),
-                   F.array_join(F.array_sort(F.collect_list(v)), sep).alias("__part")))
-    ordered = F.array_sort(F.collect_list(F.struct("__first", "__part")))
+    chunks = sorted_distinct_chunks(df, group_cols, value, sep, n_chunks)
+    ordered = F.array_sort(F.collect_list(F.struct("chunk", "text")))
     return chunks.groupBy(*group_cols).agg(
-        F.array_join(F.transform(ordered, lambda s: s["__part"]), sep).alias(out))
+        F.array_join(F.transform(ordered, lambda s: s["text"]), sep).alias(out))

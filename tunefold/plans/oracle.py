@@ -61,6 +61,12 @@ pairs as (
   select t.track_id, t.track_name, x.artist_id
   from tracks t, unnest(string_to_array(nullif(t.artist_id, ''), ', ')) as x(artist_id)
 )"""
+GENRES_CTE = """,
+genres as (
+  select a.artist_id, a.artist_name, x.genre
+  from artists a,
+       unnest(string_to_array(nullif(regexp_replace(a.artist_genres, '[{}"]', '', 'g'), ''), ',')) as x(genre)
+)"""
 
 VIEWS = {
     "most_popular_tracks_with_duration": with_catalog(f"""
@@ -126,12 +132,15 @@ select g.genre,
 from pairs p
 join genres g on g.artist_id = p.artist_id
 group by g.genre
-order by num_tracks desc, num_artists desc""", PAIRS_CTE + """,
-genres as (
-  select a.artist_id, a.artist_name, x.genre
-  from artists a,
-       unnest(string_to_array(nullif(regexp_replace(a.artist_genres, '[{}"]', '', 'g'), ''), ',')) as x(genre)
-)"""),
+order by num_tracks desc, num_artists desc""", PAIRS_CTE + GENRES_CTE),
+    "genre_names": with_catalog("""
+select genre, kind, count(distinct name) as num_names, min(name) as first_name, max(name) as last_name,
+       cast(length(string_agg(distinct name, ', ')) as bigint) as num_chars
+from (select g.genre, 't' as kind, p.track_name as name from pairs p join genres g on g.artist_id = p.artist_id
+      union all
+      select g.genre, 'a', g.artist_name from pairs p join genres g on g.artist_id = p.artist_id)
+where name is not null
+group by genre, kind""", PAIRS_CTE + GENRES_CTE),
 }
 
 

@@ -365,6 +365,14 @@ def q_genre_track_and_artist_details(spark, sf_dir):
     return V.genre_track_and_artist_details(c.tracks, c.artists)
 
 
+def q_genre_names(spark, sf_dir):
+    """What a writer of the long form would stream, by list: never a whole list in one value."""
+    c = _cat(spark, sf_dir)
+    return V.genre_names(c.tracks, c.artists).groupBy("genre", "kind").agg(
+        F.sum("num_values").alias("num_names"), F.min("first").alias("first_name"), F.max("last").alias("last_name"),
+        (F.sum(F.length("text")) + 2 * (F.count("text") - 1)).cast("bigint").alias("num_chars"))
+
+
 QUERY_KEYS = (
     "read_playlist_pages", "flatten_items", "collect_artist_ids", "distinct_artist_ids",
     "artist_enrichment", "unnest_track_artists", "unnest_artist_genres", "format_duration",
@@ -375,6 +383,7 @@ QUERY_KEYS = (
     "track_popularity_trend_by_release_year_month", "album_track_popularity_comparison",
     "genre_track_and_artist_details", "dense_rank_global",
     "load_drop_recreate", "stream_half_landed_pull", "run_job_log", "sql_folder_views", "sql_playlists",
+    "genre_names",
 )
 
 

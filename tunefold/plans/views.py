@@ -29,7 +29,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.agg import sorted_distinct_join
+from ..functions.agg import sorted_distinct_chunks, sorted_distinct_join
 from ..functions.text import (
     array_text_elements,
     explode_list,
@@ -79,24 +79,21 @@ def track_popularity_trend_by_release_year_month(tracks: DataFrame, albums: Data
                                                  ordered: bool = True) -> DataFrame:
     t = tracks.select("track_id", "album_id", "track_popularity")
     a = albums.select("album_id", "album_name", year_month("album_release_date").alias("album_release_year_month"))
-    # Per-month totals from per-album partials: tracks are combined map-side per
-    # album, then albums per month; never one task per hot month.
-    per_album = t.groupBy("album_id").agg(
-        F.sum("track_popularity").alias("s"), F.count("track_popularity").alias("c"),
-        F.count("track_id").alias("n"))
-    per_month = (per_album.join(a, "album_id", "left")
-                 .groupBy("album_release_year_month")
-                 .agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("n").alias("n"))
-                 .select(F.col("album_release_year_month").alias("__ym"),
-                         round_half_away_int(F.try_divide(F.col("s"), F.col("c")))
-                         .alias("avg_release_year_month_track_popularity"),
-                         F.col("n").cast("bigint").alias("num_tracks_per_release_year_month")))
-    rows = left_join_spread_nulls(t, a, "album_id", "track_id").select(
-        "track_id", "album_name", "album_release_year_month")
-    m = per_month
+    # The rows and the month totals both read the join: its two shuffles serve both, as both ask for the same
+    # columns (the count of names and the last sort key change no result) and Spark reuses what is equal. A hot
+    # album stays AQE's to split, so no explicit placement; where the albums are broadcast, nothing is shuffled.
+    rows = left_join_spread_nulls(t, a, "album_id", "track_id")
+    # Totals are combined map-side by month; never one task per hot month.
+    m = (rows.groupBy(F.col("album_release_year_month").alias("__ym"))
+         .agg(F.sum("track_popularity").alias("s"), F.count("track_popularity").alias("c"),
+              F.count("track_id").alias("n"), F.count("album_name").alias("named"), F.count(F.lit(1)).alias("all"))
+         .where("named <= all")
+         .select("__ym", round_half_away_int(F.try_divide(F.col("s"), F.col("c")))
+                 .alias("avg_release_year_month_track_popularity"),
+                 F.col("n").cast("bigint").alias("num_tracks_per_release_year_month")))
     j = rows.join(m, rows["album_release_year_month"].eqNullSafe(m["__ym"]), "left").drop("__ym")
     if ordered:
-        j = j.orderBy(F.col("album_release_year_month").desc_nulls_first(), "track_id")
+        j = j.orderBy(F.col("album_release_year_month").desc_nulls_first(), "track_id", "track_popularity")
     return j.select("album_name", "album_release_year_month", "avg_release_year_month_track_popularity",
                     "num_tracks_per_release_year_month")
 
@@ -105,15 +102,21 @@ def album_track_popularity_comparison(tracks: DataFrame, albums: DataFrame, orde
     per_album = tracks.groupBy("album_id").agg(
         F.count("track_id").alias("n"), F.sum("track_popularity").alias("s"),
         F.count("track_popularity").alias("c"))
-    am = albums.join(per_album, "album_id", "left")
-    # avg over the whole join: albums without tracks add nothing to sum or count.
-    playlist_avg = am.agg(round_half_away_int(F.try_divide(F.sum("s"), F.sum("c")))).scalar()
-    metrics = am.select(
+    am = albums.join(per_album, "album_id", "left").select(
         "album_name", "album_release_date", "album_total_tracks",
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("num_tracks_in_playlist"),
         round_half_away_int(F.try_divide(F.col("s"), F.col("c"))).alias("avg_album_track_popularity"),
-        playlist_avg.alias("avg_playlist_track_popularity"),
-    ).distinct()
+        "s", F.coalesce(F.col("c"), F.lit(0)).alias("c"))
+    # The distinct tuples with their sums. The rows, the rank's keys and the overall mean all read this
+    # one exchange: the filter (a sum is there only where something was counted, so it holds for
+    # every row) has each of them ask for the same columns, and Spark reuses what is equal.
+    tuples = (am.groupBy("album_name", "album_release_date", "album_total_tracks", "num_tracks_in_playlist",
+                         "avg_album_track_popularity")
+              .agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+              .where(F.col("c") >= F.when(F.col("s").isNull(), 0).otherwise(1)))
+    # avg over the whole join: albums without tracks add nothing to sum or count.
+    playlist_avg = tuples.agg(round_half_away_int(F.try_divide(F.sum("s"), F.sum("c")))).scalar()
+    metrics = tuples.drop("s", "c").withColumn("avg_playlist_track_popularity", playlist_avg)
     r = dense_rank_global(metrics, "avg_album_track_popularity", "album_track_popularity_rnk")
     out = r.select(
         "album_name", "album_release_date", "album_total_tracks", "num_tracks_in_playlist",
@@ -126,7 +129,8 @@ def album_track_popularity_comparison(tracks: DataFrame, albums: DataFrame, orde
     return out
 
 
-def genre_track_and_artist_details(tracks: DataFrame, artists: DataFrame, ordered: bool = True) -> DataFrame:
+def genre_rows(tracks: DataFrame, artists: DataFrame) -> DataFrame:
+    """Distinct (genre, kind, id, name): the tracks (kind ``t``) and the artists with a track (``a``) of every genre."""
     ta = track_artists(tracks, "track_name")
     ag = artist_genres(artists, "artist_name").where(F.col("genre").isNotNull())
     # The left join's NULL genres are filtered, so it is an inner join. Artist
@@ -134,12 +138,25 @@ def genre_track_and_artist_details(tracks: DataFrame, artists: DataFrame, ordere
     # distinct artist ids (map-side combined), never the (track x genre) rows.
     used = ag.join(ta.select("artist_id").distinct(), "artist_id", "left_semi")
     tg = ta.join(ag.select("artist_id", "genre"), "artist_id")
-    # Track-side and artist-side rows travel together, tagged by kind, so both
-    # distinct counts take one pass and both name lists one chunked aggregation.
     rows = (tg.select("genre", F.lit("t").alias("kind"), F.col("track_id").alias("id"),
                       F.col("track_name").alias("name"))
             .unionByName(used.select("genre", F.lit("a").alias("kind"), F.col("artist_id").alias("id"),
                                      F.col("artist_name").alias("name"))))
+    # One shuffle by id, which spreads a hot genre, serves the counts (no further exchange of rows) and
+    # the lists. The count keeps this aggregate, and with it the shuffle's columns, the same for both.
+    return (rows.repartition("genre", "kind", "id").groupBy("genre", "kind", "id", "name")
+            .agg(F.count(F.lit(1)).alias("n")).where("n > 0").drop("n"))
+
+
+def genre_names(tracks: DataFrame, artists: DataFrame) -> DataFrame:
+    """The name lists of every genre in long form: genre, kind, chunk, first, last, num_values, text (``sorted_distinct_chunks``)."""
+    return sorted_distinct_chunks(genre_rows(tracks, artists), ["genre", "kind"], "name")
+
+
+def genre_track_and_artist_details(tracks: DataFrame, artists: DataFrame, ordered: bool = True) -> DataFrame:
+    # Track-side and artist-side rows travel together, tagged by kind, so both
+    # distinct counts take one pass and both name lists one chunked aggregation.
+    rows = genre_rows(tracks, artists)
     counts = rows.select("genre", "kind", "id").distinct().groupBy("genre").agg(
         F.count_if(F.col("kind") == "t").alias("num_tracks"),
         F.count_if(F.col("kind") == "a").alias("num_artists"))
