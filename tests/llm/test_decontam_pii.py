@@ -181,3 +181,12 @@ def test_keys_of_letters_only_are_replaced(docs_of):
     for i, x in enumerate(keys):
         m = re.fullmatch(r"the key (AKIA|ASIA|ghp_|sk-)([A-Za-z]+) leaks", rows[i])
         assert m and x.startswith(m[1]) and len(m[1] + m[2]) == len(x) and m[1] + m[2] != x
+
+
+def test_one_index_at_a_time_however_many_shards(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    monkeypatch.setattr(decontam, "SHARD_BYTES", 3000)
+    assert len(list(decontam.shards(bench))) >= 3
+    plan = decontam.matches(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1, plan

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tunefold.llm.common import SIGNS, batches, fresh, mix, shingles, utf8, word_hashes
+from tunefold.llm.common import SIGNS, batches, fresh, mix, shingles, utf8, word_hashes, written
 
 #: Words of half a passage, of an entry; entries of a block; bytes of items in a shard.
 CELL, ENTRY, BLOCK, SHARD_BYTES = 32, 32, 4, 4_000_000
@@ -293,11 +293,15 @@ def _judged(docs: DataFrame, index: Index, keep: list[str], name: str) -> DataFr
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, keep: list[str], name: str) -> DataFrame:
-    """``keep`` columns of every row and column ``name``, its verified benchmark items in ascending order."""
+    """``keep`` columns of every row and column ``name``, its verified benchmark items in ascending order.
+
+    One shard's index at a time: with more shards, what the rows have found is written after each, so
+    neither a plan nor a task ever carries two indexes.
+    """
     out, held = docs.withColumn(name, F.array().cast("array<long>")), None
     for shard in shards(benchmark):
         if held is not None:
-            out = _with_shard(out, held, list(dict.fromkeys([*keep, "text"])), name)
+            out = written(_with_shard(out, held, list(dict.fromkeys([*keep, "text"])), name), "judged")
         held = Index(shard)
     return _with_shard(out, held, keep, name) if held is not None else out.select(*keep, name)
 
