@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tunefold.llm import ann, features, mainhtml, quality, toxicity
+from tunefold.llm import ann, features, mainhtml, quality, toxicity, training
 from tunefold.llm.queries import op4_max_subsequence_html, op10_kmeans_tree_neighbours
 
 SF = "/root/testdata/sf0.01"
@@ -228,3 +228,20 @@ def test_queries_in_tiny_leaves_get_all_their_rows(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {r.query_id: r["count"] for r in ann.nearest(df).groupBy("query_id").count().collect()}
     assert got == {100 * i: 10 for i in range(60)}
+
+
+def test_samples_are_bounded_in_rows_where_ids_repeat(spark, monkeypatch):
+    """A third of all rows share one id: a sample still has one row an id, the smallest text of it."""
+    docs = spark.range(3000).selectExpr(
+        "case when id % 3 = 0 then 5 else id end as doc_id",
+        "case when id % 3 = 0 then concat('hot ', id) when id % 50 = 1 then null else concat('row ', id) end as text")
+    ids = spark.createDataFrame([(5, 1), (5, 0), (1, 1), (7, 0), (99999, 1)], "doc_id long, target int")
+    got = sorted((r["text"] or "", r["target"]) for r in training.sampled(docs, ids, "sample-test").collect())
+    # id 5 has the rows 'hot 0', 'hot 3', ... and 'row 5'; 'hot 0' is the smallest
+    assert got == [("", 1), ("hot 0", 0), ("hot 0", 1), ("row 7", 0)]
+    monkeypatch.setattr(quality, "RATED", 40)
+    counts = []
+    monkeypatch.setattr(quality, "matrix", lambda sample, *a: counts.append(sample.count()) or training.matrix(sample, *a))
+    rated = docs.selectExpr("doc_id", "cast(doc_id % 3 as int) as rating")
+    quality.train(docs, rated)
+    assert counts and counts[0] <= 40

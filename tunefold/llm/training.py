@@ -31,9 +31,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def sampled(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """Text and target of the rows whose ``doc_id`` is in ``ids`` (doc_id, target; bounded by the caller's limit)."""
+    """Text and target of one row for each of ``ids`` (doc_id, target; bounded by the caller's limit).
+
+    An id of many rows gives its smallest text that is not null, so the bound is one of rows, and a
+    hot id is combined map-side.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
-    return written(rows.select("text", "target").repartition(PARTS), name)
+    one = rows.groupBy("doc_id", "target").agg(F.min("text").alias("text"))
+    return written(one.select("text", "target").repartition(PARTS), name)
 
 
 def screened(sample: DataFrame, style: str, top: int = TOP) -> np.ndarray:
