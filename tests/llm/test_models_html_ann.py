@@ -208,6 +208,71 @@ def test_scan_decides_over_marks_and_wrappers(page, text):
     assert mainhtml.main_text(page, PRIOR) == text
 
 
+@pytest.mark.parametrize(
+    "inner, text",
+    [
+        ("<figure><img src=x><figcaption>a caption</figcaption></figure>", "a caption"),
+        ("<p>press <label>the label</label> now</p>", "press the label now"),
+        ("<p>so <math><mi>x</mi><mo>+</mo><mn>1</mn></math> holds</p>", "so x+1 holds"),
+        ("<p class='share-price'>up</p>", "up"),
+        ("<p id='comment-on-budget'>kept</p>", "kept"),
+        ("<h2 class='section-header'>kept</h2>", "kept"),
+        ("<h2 id='skip-lists'>kept</h2>", "kept"),
+        ("<h2 id=menu>kept</h2>", "kept"),
+        ("<p id='widget-design'>kept</p>", "kept"),
+        ("<section id='social-history'><p>kept</p></section>", "kept"),
+        ("<section id='history-of-the-menu'><p>kept</p></section>", "kept"),
+        ("<p data-id='comment' aria-role='nav'>kept</p>", "kept"),
+        ("<div class='user-comment'>gone</div>", ""),
+        ("<div class='comment-list'>gone</div>", ""),
+        ("<ul id='comments_2'><li>gone</ul>", ""),
+        ("<div class='share-buttons'>gone</div>", ""),
+        ("<div class='box ad-slot-3'>gone</div>", ""),
+        ("<p class='cookie-notice'>gone</p>", ""),
+        ("<form><label>gone</label></form>", ""),
+        ("<div role=navigation>gone</div>", ""),
+    ],
+)
+def test_what_an_article_keeps(inner, text):
+    assert mainhtml.main_text(f"<article><p>{P}</p>{inner}<p>{P}</p></article>", PRIOR) == " ".join(f"{P} {text} {P}".split())
+
+
+def test_learned_scores_change_the_region(spark):
+    """'notice' is a word of the list, yet the labelled pages use it for the text of their articles, and 'shelf' for what is none."""
+    page = f"<div class='shelf'>{P} {P}</div><article><div class='notice'><p>{LONG}</p></div><p>{P}</p></article>"
+    pages = [(i, "u", page) for i in range(400)]
+    odd = f"<div><div class='notice'><p>{LONG}</p></div><div class='shelf'>{LONG.replace('long', 'shelved')}</div></div>"
+    df = spark.createDataFrame([*pages, (999, "u", odd)], "page_id long, url string, html string")
+    scores = mainhtml.learned(df)
+    assert scores[".notice"] > 0 > scores[".shelf"] and PRIOR[".notice"] < 0
+    assert mainhtml.main_text(odd, PRIOR) != LONG and mainhtml.main_text(odd, scores) == LONG
+    assert mainhtml.main_text(page, PRIOR) == P and mainhtml.main_text(page, scores) == f"{LONG} {P}"
+
+
+def _counted(page):
+    """As ``counted``, word by word with the set of kinds around each."""
+    p = mainhtml.Page(page)
+    mark = p.settled(p.scores(PRIOR)[0])[0]
+    found = {}
+    for e, n in zip(p.at, p.words) if mark is not None else ():
+        above, x = set(), e
+        while x and not x <= mark <= p.last[x] or x == mark:
+            above.update(p.kinds[x])
+            x = p.up[x]
+        for kind in above if n else ():
+            found.setdefault(kind, [0, 0])[not mark <= e <= p.last[mark]] += n
+    return {k: tuple(v) for k, v in found.items()}
+
+
+def test_counts_of_kinds_equal_those_word_by_word(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").limit(40).collect()]
+    pages.append(f"<div class=a><div class='a b'>one <div class=b>two</div></div></div><article class=a>{LONG}<p class=a>x</p></article>")
+    for page in pages:
+        assert mainhtml.counted(page) == _counted(page)
+    deep = "".join(f"<div class=c{i}>" for i in range(4000))
+    assert mainhtml.counted(f"<article>{LONG}{deep}x</article>")[".c3999"] == (1, 0)
+
+
 def test_weights_of_kinds_are_learned_from_marked_pages(spark):
     box = f"<div class='wrap'><div class='blurb'>{P}</div>"
     pages = [(i, "u", f"{box}<article class='story'><p>{LONG}</p></article></div>") for i in range(20)]

@@ -6,10 +6,16 @@ greatest sum: the content region.
 
 The scores come from labelled pages: a bounded sample (``SAMPLE`` pages of
 smallest hash) of pages on which the scan, with the prior scores, settles on the
-one ``article`` or ``main`` element. For every kind of element (its name and the
-words of its class, id and role) the words that it holds inside and outside the
+one ``article`` or ``main`` element. For every kind of element (its name and its
+classes, id and role, each as a whole) the words that it holds inside and outside the
 article are counted there, on top of fixed prior counts for elements that HTML
-defines as no content; elements around the article hold both and say nothing. A
+defines as no content; elements around the article hold both and say nothing. Of the
+kinds counted, the ``KINDS`` with most words are used, from ``EVIDENCE`` words on. A
+compound name (``user-comment``, ``share-buttons``) also is of the kind that its
+last part names, or the one before parts such as ``list`` or ``box``; so
+``share-price`` is no sharing, and ``comment-on-budget`` no comment. Headings are
+not judged by their id, nor paragraphs and the like by a compound one: such ids
+are words of the text. A
 word under a kind of mostly-outside words costs; under a kind of even share it
 scores ``WORD``, as under kinds that nothing is known of, and up to ``MOST`` under
 a kind of mostly-inside words. The lowest of the kinds around a word counts.
@@ -45,6 +51,8 @@ from pyspark.sql import functions as F
 
 from tunefold.llm.common import batches
 
+#: Learned kinds at most, and the words of sampled pages that a kind needs to be one.
+KINDS, EVIDENCE = 5000, 50
 #: Labelled pages at most; scores of a word and a tag; share of inside words under which an element is outside.
 SAMPLE, WORD, TAG, INSIDE = 2000, 1.0, -0.25, 0.2
 #: Share of inside words at which a word scores WORD; greatest score of a word; times that a marked word counts.
@@ -52,7 +60,7 @@ EVEN, MOST, MARK = 0.5, 2.0, 3.0
 
 # Element names and class words of HTML pages.
 OUTSIDE = frozenset(
-    "nav aside footer header form menu button select textarea label option fieldset dialog figcaption".split()
+    "nav aside footer header form menu button select textarea option fieldset dialog".split()
 )
 OUTSIDE_WORDS = frozenset(
     """ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies
@@ -60,15 +68,28 @@ OUTSIDE_WORDS = frozenset(
     pagination popup promo promoted related recommended share sharing sidebar signup skip social sponsor sponsored
     subscribe toolbar widget complementary contentinfo""".split()
 )
+#: Last parts of compound names that leave the meaning to the part before them.
+HOLDERS = frozenset(
+    """area bar block body bottom box btn button buttons card col column container content desktop entry feed frame group
+    holder icon icons inner item items label left link links list main message mobile module outer overlay pane panel
+    placeholder post posts region right root row section slot strip text title top unit wrap wrapper zone""".split()
+)
+#: Parts by which a compound name is a phrase ("history-of-the-menu") or a state ("page-with-sidebar").
+PHRASE = frozenset("a an and as at by for from has how in is no not of on or the to vs what when why with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements of running text, and the words that name no outside kind on a heading.
+TEXTUAL = HEADINGS | frozenset("p li dt dd td th blockquote pre figcaption caption".split())
+HEADS = frozenset("banner header masthead".split())
 INLINE = frozenset(
-    """a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong
-    sub sup time tt u var wbr nobr""".split()
+    """a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong
+    sub sup time tt u var wbr nobr math mfrac mi mn mo mover mroot mrow ms msqrt mstyle msub msubsup msup mtext munder
+    munderover semantics""".split()
 )
 NEUTRAL = INLINE | frozenset(
     """html head body div section article main p table thead tbody tr td th ul ol li dl dt dd blockquote pre figure
-    center h1 h2 h3 h4 h5 h6""".split()
+    figcaption caption center h1 h2 h3 h4 h5 h6""".split()
 )
-RAW = "script|style|noscript|template|iframe|svg|math|object|canvas|audio|video|title"
+RAW = "script|style|noscript|template|iframe|svg|object|canvas|audio|video|title|annotation-xml|annotation"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that a block ends, and those that the next of their kind ends, as end tags may be left out.
 ENDED_BY_BLOCK = "p"
@@ -83,18 +104,35 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)[^>]*>",
     re.S | re.I,
 )
-_ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTR = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 
 
+def named(value: str, name: str) -> str | None:
+    """The outside word that a compound class, id or role is named after, if any."""
+    parts = [w for w in _PART.findall(value) if not w.isdigit()]
+    if len(parts) < 2 and value in parts or PHRASE.intersection(parts):
+        return None
+    while len(parts) > 1 and parts[-1] in HOLDERS:
+        parts.pop()
+    word = parts[-1] if parts else ""
+    return word if word in OUTSIDE_WORDS and not (name in HEADINGS and word in HEADS) else None
+
+
 def kinds(name: str, attrs: str) -> tuple[str, ...]:
-    """What is known of an element: its name, and the words of its class, id and role."""
+    """What is known of an element: its name, its classes, id and role, and the outside words that these are named after."""
     found = [name]
     if attrs and "=" in attrs:
         for m in _ATTR.findall(attrs):
-            value = (m[0] or m[1] or m[2]).lower()
-            found += [f".{w}" for w in _PART.findall(value)]
-            found += [f".{w}" for w in value.split() if "-" in w or "_" in w]
+            of = m[0].lower()
+            if of == "id" and name in HEADINGS:
+                continue
+            for value in (m[1] or m[2] or m[3]).lower().split():
+                if not (name in HEADINGS and value in HEADS):
+                    found.append(f".{value}")
+                if not (of == "id" and name in TEXTUAL):
+                    word = named(value, name)
+                    found += [f".{word}"] if word else []
     return tuple(dict.fromkeys(found))
 
 
@@ -239,13 +277,13 @@ def counted(page: str) -> dict[str, tuple[int, int]]:
     while e:
         e = p.up[e]
         around.add(e)
-    above: list[frozenset[str]] = [frozenset()]  # kinds around each element's words
-    for e in range(1, len(p.up)):
-        above.append(above[p.up[e]] if e in around else above[p.up[e]].union(p.kinds[e]))
     found: dict[str, list[int]] = {}
-    for e, n in zip(p.at, p.words):
-        for kind in above[e] if n else ():
-            found.setdefault(kind, [0, 0])[not mark <= e <= p.last[mark]] += n
+    until: dict[str, int] = {}  # last element within the outermost one of each kind
+    for e in range(1, len(p.up)):
+        for kind in p.kinds[e] if p.held[e] and e not in around else ():
+            if e > until.get(kind, 0):  # words under several of a kind count once
+                until[kind] = p.last[e]
+                found.setdefault(kind, [0, 0])[not mark <= e <= p.last[mark]] += p.held[e]
     return {k: (a, b) for k, (a, b) in found.items()}
 
 
@@ -298,7 +336,7 @@ def learned(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     rows = pages.join(ids, F.col("page_id").eqNullSafe(F.col("p")) & F.col("url").eqNullSafe(F.col("u")), "left_semi")
     counts = rows.select("html").mapInArrow(run, "kind string, inside long, outside long")
     counts = counts.groupBy("kind").agg(F.sum("inside").alias("a"), F.sum("outside").alias("b"))
-    counts = counts.where("a + b >= 50").orderBy(F.desc(F.col("a") + F.col("b")), "kind").limit(5000)
+    counts = counts.where(F.col("a") + F.col("b") >= EVIDENCE).orderBy(F.desc(F.col("a") + F.col("b")), "kind").limit(KINDS)
     total = prior()
     for r in counts.collect():
         a, b = total.get(r.kind, (0, 0))
