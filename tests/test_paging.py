@@ -1,0 +1,100 @@
+import json
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from tunefold.schemas import PAGE
+from tunefold.session import scratch_path
+from tunefold.sources.pages import IncompleteLanding
+from tunefold.sources.paging import Landing, land_numbered, read_paged, stream_paged
+
+
+def _page(pull, page, last, extra=None):
+    items = [{"added_at": "2020-05-01", "track": {"id": f"{pull}.{page}.{i}"}} for i in range(2)]
+    tracks = {"total": 2, "items": items, "next": ("" if page % 2 else None) if last else f"after={page}"}
+    return pull, page, json.dumps({"id": f"pl{pull}", "name": "Slate", "snapshot_id": "s", "tracks": tracks, **(extra or {})})
+
+
+def _land(spark, path, pages):
+    """As another writer would: the raw JSON of each page."""
+    rows = spark.createDataFrame(pages, "pull long, page long, value string")
+    rows.repartition("pull", "page").write.mode("append").partitionBy("pull", "page").text(path)
+
+
+def _run(spark, path, out, checkpoint):
+    def keep(batch, batch_id):
+        batch.select("pull", "page").write.mode("overwrite").parquet(f"{out}/step={batch_id}")
+
+    q = stream_paged(spark, path, pages_per_task=2).writeStream.foreachBatch(keep)
+    q = q.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert q.exception() is None
+    return sorted((r.step, r.pull, r.page) for r in spark.read.parquet(out).collect())
+
+
+def test_batch_reads_all_pages_or_fails(spark):
+    path = scratch_path(spark, "paged-batch")
+    whole = [_page(0, n, n == 4) for n in range(5)] + [_page(1, 0, True)]
+    _land(spark, path, whole)
+    got = read_paged(spark, path, pages_per_task=2)
+    assert got.columns == ["pull", "page", *PAGE.fieldNames()]
+    assert got.rdd.getNumPartitions() == 4  # two, two and one page of the first pull, one of the second
+    assert sorted((r.pull, r.page, r.id, len(r.tracks["items"])) for r in got.collect()) == [
+        (p, n, f"pl{p}", 2) for p, n in [(0, 0), (0, 1), (0, 2), (0, 3), (0, 4), (1, 0)]]
+    _land(spark, path, [_page(3, 0, True)])  # pull 2 never landed
+    with pytest.raises(Exception, match="pull 2 did not land whole"):
+        read_paged(spark, path).count()
+    _land(spark, path, [_page(2, 0, False)])
+    with pytest.raises(Exception, match="page 1 is missing"):
+        read_paged(spark, path).count()
+    assert issubclass(IncompleteLanding, ValueError)
+
+
+def test_stream_waits_for_a_missing_page_and_resumes_there(spark):
+    path, out, checkpoint = (scratch_path(spark, f"paged-{x}") for x in ("s", "out", "ck"))
+    _land(spark, path, [_page(0, 0, False), _page(0, 2, True), _page(1, 0, True)])
+    assert _run(spark, path, out, checkpoint) == [(0, 0, 0)]
+    assert _run(spark, path, out, checkpoint) == [(0, 0, 0)]  # nothing new: no batch
+    _land(spark, path, [_page(0, 1, False), _page(2, 0, False)])
+    second = [(0, 0, 0), (1, 0, 1), (1, 0, 2), (1, 1, 0), (1, 2, 0)]
+    assert _run(spark, path, out, checkpoint) == second
+    _land(spark, path, [_page(2, 1, True)])
+    assert _run(spark, path, out, checkpoint) == [*second, (2, 2, 1)]
+
+
+def test_odd_pages(spark):
+    path = scratch_path(spark, "paged-odd")
+    assert read_paged(spark, path).count() == 0  # nothing landed
+    # keys that the schema doesn't name, no tracks at all, white space signs within strings
+    _land(spark, path, [_page(0, 0, False, {"owner": {"name": "Zoë\u2028 B"}}), (0, 1, json.dumps({"id": "x"}))])
+    rows = read_paged(spark, path, document=True).select(
+        "page", "tracks.total", F.variant_get("document", "$.owner.name", "string").alias("owner")).orderBy("page").collect()
+    assert [tuple(r) for r in rows] == [(0, 2, "Zoë\u2028 B"), (1, None, None)]
+    _land(spark, path, [_page(0, 1, True)])  # a page that landed twice
+    with pytest.raises(Exception, match="several files"):
+        read_paged(spark, path).count()
+    bad = scratch_path(spark, "paged-bad")
+    _land(spark, bad, [(0, 0, '{"id": "x", "tracks": 5}')])
+    with pytest.raises(Exception):  # noqa: B017
+        read_paged(spark, bad).collect()
+
+
+def test_written_pages_read_the_same(spark):
+    path, again = scratch_path(spark, "paged-a"), scratch_path(spark, "paged-b")
+    _land(spark, path, [_page(0, n, n == 2) for n in range(3)])
+    first = read_paged(spark, path)
+    land_numbered(first, again, F.col("pull"), F.col("page"))
+    key = lambda r: (r["pull"], r["page"])
+    assert sorted(read_paged(spark, again).collect(), key=key) == sorted(first.collect(), key=key)
+
+
+def test_positions_list_only_what_is_needed(spark, monkeypatch):
+    path = scratch_path(spark, "paged-list")
+    _land(spark, path, [_page(p, n, n == 2) for p in range(3) for n in range(3)])
+    landing, listed, opened = Landing(path if "://" in path else f"file://{path}"), [], []
+    monkeypatch.setattr(Landing, "pages", lambda self, p, of=Landing.pages: listed.append(p) or of(self, p))
+    monkeypatch.setattr(Landing, "text", lambda self, f, of=Landing.text: opened.append(f) or of(self, f))
+    assert landing.reached() == (3, 0) and listed == [0, 1, 2, 3] and len(opened) == 3  # one page a pull
+    assert landing.reached(3, 0) == (3, 0) and listed[4:] == [3]
+    assert [(p.pull, [n for n, _ in p.files]) for p in landing.between((0, 1), (2, 1), 2)] == [(0, [1, 2]), (1, [0, 1]), (1, [2]), (2, [0])]

@@ -275,7 +275,21 @@ select playlist_id, count(*) as num_tracks, count(distinct album_id) as num_albu
        cast(sum(track_duration_ms) // count(track_duration_ms) as bigint) as mean_duration_ms
 from tracks group by playlist_id""")
 
+PAGED_CTE = """
+paged as (
+  select cast(dense_rank() over (order by playlist_id) - 1 as bigint) as pull,
+         cast(row_number() over (partition by playlist_id order by page_no) - 1 as bigint) as page,
+         playlist_id as id, count(*) as n_items,
+         cast(sum(count(*)) over (partition by playlist_id) as bigint) as total,
+         case when page_no < max(page_no) over (partition by playlist_id)
+              then concat('playlists/', playlist_id, '/tracks?after=', cast(page_no as varchar)) end as next_page
+  from (select *, cast(track_id as bigint) // 100 as page_no from tracks) p
+  group by playlist_id, page_no)"""
+
 FOLDER = {
+    "read_paged_source": with_catalog("select * from paged", PAGED_CTE),
+    "stream_paged_source": with_catalog(
+        "select case when pull = 0 or (pull = 1 and page = 0) then 1 else 2 end as step, * from paged", PAGED_CTE),
     "load_drop_recreate": OTHERS["load_overwrite"],
     "stream_half_landed_pull": with_catalog("""
 select 1 as step, track_id, track_popularity, playlist_id from tracks

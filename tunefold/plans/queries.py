@@ -24,7 +24,7 @@ from ..functions.text import format_duration
 from ..operators.catalog import build_catalog, enrich_artists
 from ..operators.load import TableStore
 from ..operators.nested import collect_artist_ids, distinct_artist_ids, flatten_items
-from ..operators.ranking import dense_rank_global, top_k_with_ties
+from ..operators.ranking import dense_rank_global, ranked_keys, top_k_with_ties
 from ..operators.runlog import RUN_START, RunLog, next_run_id_of, next_run_ids, run_job
 from ..schemas import CATALOG_SCHEMAS, RUN_LOG
 from ..session import scratch_path, shared_dir, written
@@ -34,9 +34,11 @@ from ..sources.pages import (
     is_last_page,
     land_artist_docs,
     land_pages,
+    page_rows,
     read_artist_docs,
     read_playlist_pages,
 )
+from ..sources.paging import land_numbered, read_paged, stream_paged
 from ..streaming.upsert_stream import stream_catalog
 from . import views as V
 
@@ -90,6 +92,49 @@ def q_read_playlist_pages(spark, sf_dir):
                     F.col("tracks.total").cast("bigint").alias("total"), F.col("tracks.next").alias("next_page"))
 
 
+def _numbered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with the number of their pull (one a playlist, by id) and their number in it, both from 0."""
+    c = _cat(spark, sf_dir)
+    pages = written(page_rows(c.tracks, c.albums), "numbered-pages")
+    keys = pages.select("id", F.struct("id", "page_no").alias("at"))
+    in_order = written(ranked_keys(keys, "at", "n", descending=False).toDF("at", "n"), "page-order")
+    pulls = written(ranked_keys(keys, "id", "n", descending=False).toDF("id", "pull_no"), "pull-order")
+    first = in_order.groupBy("at.id").agg(F.min("n").alias("first")).join(pulls, "id")
+    numbers = in_order.join(first, F.col("at.id") == first["id"]).select(
+        F.col("at.id").alias("id"), F.col("at.page_no").alias("page_no"),
+        (F.col("pull_no") - 1).alias("pull"), (F.col("n") - F.col("first")).alias("page"))
+    return pages.join(numbers, ["id", "page_no"])
+
+
+def _page_columns() -> list:
+    return [F.col("pull"), F.col("page"), F.col("id"), F.size("tracks.items").cast("bigint").alias("n_items"),
+            F.col("tracks.total").cast("bigint").alias("total"), F.col("tracks.next").alias("next_page")]
+
+
+def q_read_paged_source(spark, sf_dir):
+    path = land_numbered(_numbered_pages(spark, sf_dir), scratch_path(spark, "paged"), F.col("pull"), F.col("page"))
+    return read_paged(spark, path).select(*_page_columns())
+
+
+def q_stream_paged_source(spark, sf_dir):
+    # Page 1 of pull 1 lands last: the first run stops before it, the second one goes on there.
+    pages = written(_numbered_pages(spark, sf_dir), "numbered")
+    path, out, checkpoint = (scratch_path(spark, f"paged-{x}") for x in ("landing", "out", "checkpoint"))
+    late = (F.col("pull") == 1) & (F.col("page") == 1)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/step={batch_id + 1}")  # a batch run again replaces itself
+
+    for only in (~late, late):
+        land_numbered(pages.where(only), path, F.col("pull"), F.col("page"))
+        q = stream_paged(spark, path).select(*_page_columns()).writeStream.foreachBatch(keep)
+        q = q.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return spark.read.parquet(out)
+
+
 def q_flatten_items(spark, sf_dir):
     return flatten_items(_pages(spark, sf_dir)).drop("track_artists")
 
@@ -383,7 +428,7 @@ QUERY_KEYS = (
     "track_popularity_trend_by_release_year_month", "album_track_popularity_comparison",
     "genre_track_and_artist_details", "dense_rank_global",
     "load_drop_recreate", "stream_half_landed_pull", "run_job_log", "sql_folder_views", "sql_playlists",
-    "genre_names",
+    "genre_names", "read_paged_source", "stream_paged_source",
 )
 
 
