@@ -183,6 +183,38 @@ def test_keys_of_letters_only_are_replaced(docs_of):
         assert m and x.startswith(m[1]) and len(m[1] + m[2]) == len(x) and m[1] + m[2] != x
 
 
+def test_numbers_that_are_nobodys_stay(docs_of):
+    texts = ["run 20240131123456 done", "isbn 9780306406157 and 9783161484100", "version 10.2.3.4", "Release 1.2.3.4 is out", "deadbeef" * 4]
+    rows = {r.doc_id: r.text for r in surrogates.replaced(docs_of(list(enumerate(texts)))).collect()}
+    assert [rows[i] for i in range(len(texts))] == texts
+
+
+def test_more_kinds_of_secrets_and_phones(docs_of):
+    token = "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeKKF-_"
+    upper = "0123456789ABCDEF" * 2
+    texts = [f"t {token} e", f"t {upper} and {upper.lower()} e", "call 020 7946 0958 now", "card 378282246310005 e"]
+    rows = {r.doc_id: r.text for r in surrogates.replaced(docs_of(list(enumerate(texts)))).collect()}
+    m = re.fullmatch(r"t (eyJ[\w-]+\.[\w-]{12}\.[\w-]+) e", rows[0])
+    assert m and m[1] != token and len(m[1]) == len(token)
+    m = re.fullmatch(r"t ([0-9A-F]{32}) and ([0-9a-f]{32}) e", rows[1])
+    assert m and m[1].lower() == m[2] != upper.lower()
+    assert re.fullmatch(r"call \d{3} \d{4} \d{4} now", rows[2]) and rows[2] != texts[2]
+    assert re.fullmatch(r"card 3\d{14} e", rows[3]) and rows[3] != texts[3]
+
+
+def test_kinds_of_fixed_length_have_room_at_last(spark, monkeypatch):
+    """Surrogates that all meet up to the attempt from which they grow."""
+    from pyspark.sql import functions as F
+
+    mapped = surrogates._mapped
+    monkeypatch.setattr(surrogates, "LONGER", 2)
+    monkeypatch.setattr(surrogates, "_mapped", lambda text, *a: F.regexp_replace(text, "[0-9]", "7") if text is not None else mapped(text, *a))
+    forms = spark.createDataFrame([("ssn", f"12345678{i}", f"123-45-678{i}") for i in range(5)], "kind string, form string, sample string")
+    rows = surrogates.resolved(forms, "k")
+    to = [r.to for r in rows.select(surrogates._surrogate(F.col("sample"), F.col("kind"), "k", F.col("attempt"), F.col("form")).alias("to")).collect()]
+    assert len(set(to)) == 5 and {len(t) for t in to} == {11, 17}
+
+
 def test_one_index_at_a_time_however_many_shards(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")

@@ -1,8 +1,9 @@
 """Keyed surrogates for personal data, with DataFrame functions only (operator 2).
 
-Detected: e-mail addresses, IPv4 addresses, phone numbers, card numbers, social
-security numbers, bank accounts (IBAN), access keys, hexadecimal secrets, and
-persons named after a title.
+Detected: e-mail addresses, IPv4 addresses (no numbers of a version or release), phone
+numbers, card numbers (in fours, bare ones of 16 digits, or bare ones of other lengths with a right
+check digit that are no book numbers), social security numbers, bank accounts (IBAN), access keys
+and signed tokens, hexadecimal secrets, and persons named after a title.
 
 * A mention is reduced to its canonical form (digits of a phone, lower case of an
   address, each word of a name), so all its spellings get one surrogate
@@ -16,7 +17,8 @@ persons named after a title.
 * Collision checks over the whole table of canonical forms: where two forms of a
   kind meet in one surrogate, all but the least take the next attempt, and so
   does any whose surrogate is itself a form that occurs. That is repeated until
-  there is none (from the third attempt on, surrogates grow by letters or digits,
+  there is none (from the third attempt on, surrogates of addresses, phones and names grow
+  by letters or digits, from the ``LONGER``-th the others do too, at the cost of their format,
   so there is always room). So different entities stay different, and no surrogate
   is somebody's real datum.
 
@@ -43,20 +45,27 @@ _MALE = r"(?:Mr|Herr|Señor|Monsieur|Signor|Mister|г-н|господин|κύρ
 _FEMALE = r"(?:Mrs|Ms|Miss|Frau|Señora|Señorita|Madame|Mademoiselle|Signora|г-жа|госпожа|κυρία)"
 KINDS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
+    "ip": rf"(?<![0-9.])(?<!ersion )(?<!elease ){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?:ghp_|sk-)[A-Za-z0-9]{20,}\b",
-    "hex": r"\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{32,64}\b",
+    "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?:ghp_|sk-)[A-Za-z0-9]{20,}\b"
+    r"|\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "hex": r"\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{32,64}\b"
+    r"|\b(?=[0-9A-F]*[A-F])(?=[0-9A-F]*[0-9])[0-9A-F]{32,64}\b",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9])|(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
-    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
+    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z.,+-])(?<![0-9] )0[1-9][0-9]{1,3} [0-9]{3,4} [0-9]{3,4}(?! ?[0-9])",
     "man": rf"(?<![\p{{L}}]){_MALE}\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
     "woman": rf"(?<![\p{{L}}]){_FEMALE}\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
 }
 PATTERN = "|".join(KINDS.values())
+#: A bare number of such a length is a card's if its check digit is right (of 16 digits, any), and no book number.
+_BARE, _BOOK = "^(?:[0-9]{13,15}|[0-9]{17,19})$", "^97[89][0-9]{10}$"
+#: The attempt from which surrogates of kinds of fixed length grow as well.
+LONGER, FIXED = 20, ("ip", "ssn", "card", "hex", "key", "iban")
 #: A text without any of these can't hold a mention; the test is much cheaper than the search.
-_HINT = rf"[0-9@]|(?:AKIA|ASIA)[A-Z]{{16}}|(?:ghp_|sk-)[A-Za-z]{{20}}|{_MALE}|{_FEMALE}"
+_HINT = rf"[0-9@]|(?:AKIA|ASIA)[A-Z]{{16}}|(?:ghp_|sk-)[A-Za-z]{{20}}|eyJ|{_MALE}|{_FEMALE}"
 # Given names by script and gender, syllables of surnames by script, letters by script.
 GIVEN = {
     ("latin", "man"): "Adam Boris Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Martin Noah Oscar Paul".split(),
@@ -87,7 +96,8 @@ def _kind(mention: Column) -> Column:
     out = F.lit(None).cast("string")
     for name, pattern in reversed(KINDS.items()):
         out = F.when(mention.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(out)
-    return out
+    number = mention.rlike(_BARE) & (mention.rlike(_BOOK) | ~F.call_function("luhn_check", F.when(mention.rlike(_BARE), mention).otherwise("0")))
+    return F.when(~number, out)
 
 
 def _script(word: Column) -> Column:
@@ -124,6 +134,7 @@ def _mapped(text: Column, kind: Column, key: str, attempt: Column, form: Column)
         return (
             F.when(c.rlike("[0-9]"), (n % 10).cast("string"))
             .when((kind == "hex") & c.rlike("[a-f]"), F.char((n % 6 + 97).cast("int")))
+            .when((kind == "hex") & c.rlike("[A-F]"), F.char((n % 6 + 65).cast("int")))
             .when(c.rlike("[a-z]"), letter)
             .when(c.rlike("[A-Z]"), F.upper(letter))
             .otherwise(c)
@@ -149,7 +160,7 @@ def _surrogate(text: Column, kind: Column, key: str, attempt: Column, form: Colu
     sums = F.transform(F.array(*(F.lit(str(d)) for d in range(10))), lambda d: F.concat(stem, d))
     sums_right = lambda x: F.call_function("luhn_check", F.regexp_replace(x, "[^0-9]", ""))
     card = F.element_at(F.filter(sums, lambda x: sums_right(x) == sums_right(text)), 1)
-    prefix = F.regexp_extract(text, "^(AKIA|ASIA|ghp_|sk-|[A-Z]{2}(?=[0-9]{2}))", 0)
+    prefix = F.regexp_extract(text, "^(AKIA|ASIA|ghp_|sk-|eyJ|[A-Z]{2}(?=[0-9]{2}))", 0)
     kept = F.concat(prefix, F.substring(mapped, F.length(prefix) + 1, F.length(text)))
     out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card)
     out = out.when(kind.isin("key", "iban"), kept)
@@ -162,7 +173,9 @@ def _surrogate(text: Column, kind: Column, key: str, attempt: Column, form: Colu
         for g in ("man", "woman"):
             given = F.concat(_pick(GIVEN[s, g], n), F.when(attempt > 0, F.concat(syllable(1), more)).otherwise(""))
             out = out.when((kind == f"given {g}") & (script == s), given)
-    return out.otherwise(mapped)
+    out = out.otherwise(mapped)
+    tail = F.concat(F.when(kind == "ip", ".").otherwise(""), F.lpad((_number(key, kind, attempt.cast("string"), form, "tail") % 10**6).cast("string"), 6, "0"))
+    return F.when(kind.isin(*FIXED) & (attempt >= LONGER), F.concat(out, tail)).otherwise(out)
 
 
 def _canonical(kind: Column, text: Column) -> Column:
