@@ -98,3 +98,26 @@ def test_positions_list_only_what_is_needed(spark, monkeypatch):
     assert landing.reached() == (3, 0) and listed == [0, 1, 2, 3] and len(opened) == 3  # one page a pull
     assert landing.reached(3, 0) == (3, 0) and listed[4:] == [3]
     assert [(p.pull, [n for n, _ in p.files]) for p in landing.between((0, 1), (2, 1), 2)] == [(0, [1, 2]), (1, [0, 1]), (1, [2]), (2, [0])]
+
+
+def test_pages_that_follow_one_another_share_files(spark):
+    """Not a file a page: two million pages would be as many folders."""
+    path = scratch_path(spark, "paged-runs")
+    pages = [_page(0, n, n == 599) for n in range(600) if n != 300] + [_page(1, 0, True)]
+    rows = spark.createDataFrame(pages, "pull long, page long, value string").repartition(7)
+    rows = rows.select("pull", "page", F.from_json("value", PAGE).alias("p")).select("pull", "page", "p.*")
+    land_numbered(rows, path, F.col("pull"), F.col("page"), per_file=100)
+    landing = Landing(path if "://" in path else f"file://{path}")
+    files = landing.pages(0)
+    assert len(set(files.values())) == 6 and sorted(files) == [n for n in range(600) if n != 300]
+    assert landing.reached() == (0, 300)
+    out, checkpoint = (scratch_path(spark, f"paged-{x}") for x in ("out", "ck"))
+    assert _run(spark, path, out, checkpoint) == [(0, 0, n) for n in range(300)]
+    late = spark.createDataFrame([_page(0, 300, False)], "pull long, page long, value string")
+    late = late.select("pull", "page", F.from_json("value", PAGE).alias("p")).select("pull", "page", "p.*")
+    land_numbered(late, path, F.col("pull"), F.col("page"), per_file=100)
+    assert _run(spark, path, out, checkpoint) == [(0, 0, n) for n in range(300)] + [(1, 0, n) for n in range(300, 600)] + [(1, 1, 0)]
+    got = read_paged(spark, path).selectExpr("pull", "page", "tracks.items[1].track.id as id", "tracks.next as next").collect()
+    assert len(got) == 601 and all(r["id"] == f"{r.pull}.{r.page}.1" for r in got)
+    # positions inside a file
+    assert [[x[1] for x in landing.rows(p)] for p in landing.between((0, 98), (0, 102), 1)] == [[98, 99], [100, 101]]

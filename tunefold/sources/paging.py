@@ -1,9 +1,11 @@
 """A paged pull as a Spark source: ``spark.read.format("playlist_pages")`` and ``readStream`` over numbered pages.
 
 The warehouse loader asked for page after page and followed ``tracks.next``. Here
-a pull lands as numbered pages, one file each, in the shared folder:
+a pull lands as numbered pages in the shared folder, one file each or one file for pages
+that follow one another, in order:
 
     <path>/pull=<0, 1, ...>/page=<0, 1, ...>/<one file of one JSON line>
+    <path>/pull=<0, 1, ...>/pages=<first>-<last>/<one file of a JSON line per page>
 
 and the source reads them as rows (``pull``, ``page``, ``raw``), ``raw`` being the
 page's JSON as it landed. A position is ``(pull, page)``, the next page to read. It moves
@@ -16,8 +18,8 @@ over landed pages in order, and to the next pull after a page without
 * a stream gives the pages up to the first missing one, keeps its position in the
   checkpoint, and resumes there.
 
-The driver lists names of files and opens one page a pull (the last one in line, for
-its ``next``); pages are read by tasks, ``pagesPerTask`` of them each, one in memory at a time.
+The driver lists names of files and opens one file a pull (that of the last page in line, for
+its ``next``); pages are read by tasks, ``pagesPerTask`` of them each or those of one file, one file in memory at a time.
 ``path`` must have an address that ``pyarrow.fs`` knows (file, hdfs, s3, gs).
 
 ``read_paged`` and ``stream_paged`` parse ``raw`` by the declared page schema within Spark (a
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
@@ -42,15 +44,24 @@ from .pages import IncompleteLanding
 
 FORMAT = "playlist_pages"
 PAGES_PER_TASK = 32
-_PAGE_FILE = re.compile(r"/page=(\d+)/[^/._][^/]*$")
+#: Pages that ``land_numbered`` puts into a file at most.
+PAGES_PER_FILE = 256
+_PAGE_FILE = re.compile(r"/page(?:=(\d+)|s=(\d+)-(\d+))/[^/._][^/]*$")
+
+
+def _numbers(file: str) -> range | None:
+    """The numbers of the pages in a file, by its name."""
+    m = _PAGE_FILE.search(file)
+    return m and (range(int(m[1]), int(m[1]) + 1) if m[1] else range(int(m[2]), int(m[3]) + 1))
 
 
 @dataclass
 class PageRange(InputPartition):
-    """Pages of one pull that a task reads: number and file of each."""
+    """Pages of one pull that a task reads: the files with the first number to read of each, and the number to stop before."""
 
     pull: int
     files: list[tuple[int, str]]
+    until: int
 
 
 class Landing:
@@ -68,9 +79,9 @@ class Landing:
         fs, at = self._open()
         found: dict[int, str] = {}
         for info in fs.get_file_info(pafs.FileSelector(f"{at}/pull={pull}", allow_not_found=True, recursive=True)):
-            m = _PAGE_FILE.search(info.path) if info.is_file else None
-            if m and found.setdefault(int(m[1]), info.path) != info.path:
-                raise ValueError(f"page {m[1]} of pull {pull} has several files")
+            for n in (_numbers(info.path) if info.is_file else None) or ():
+                if found.setdefault(n, info.path) != info.path:
+                    raise ValueError(f"page {n} of pull {pull} has several files")
         return found
 
     def pulls(self) -> int:
@@ -82,14 +93,18 @@ class Landing:
     def text(self, file: str) -> str:
         fs, _ = self._open()
         with fs.open_input_stream(file, compression=None) as f:
-            lines = f.read().decode("utf-8").strip().split("\n")
-        if len(lines) != 1 or not lines[0]:
-            raise ValueError(f"{file} is not one page")
-        return lines[0]
+            return f.read().decode("utf-8")
 
-    def is_last(self, file: str) -> bool:
-        """If a page has no ``next`` (none, null or empty)."""
-        return not (json.loads(self.text(file)).get("tracks") or {}).get("next")
+    def lines(self, file: str) -> dict[int, str]:
+        """The pages of a file by number."""
+        lines, numbers = self.text(file).strip().split("\n"), _numbers(file)
+        if len(lines) != len(numbers) or not all(lines):
+            raise ValueError(f"{file} is not one page" if len(numbers) == 1 else f"{file} is not {len(numbers)} pages")
+        return dict(zip(numbers, lines, strict=True))
+
+    def is_last(self, file: str, page: int) -> bool:
+        """If a page of a file has no ``next`` (none, null or empty)."""
+        return not (json.loads(self.lines(file)[page]).get("tracks") or {}).get("next")
 
     def reached(self, pull: int = 0, page: int = 0) -> tuple[int, int]:
         """The position after all pages that follow one another from ``(pull, page)``."""
@@ -97,27 +112,33 @@ class Landing:
             files = self.pages(pull)
             while page in files:
                 page += 1
-            if not page or page - 1 not in files or not self.is_last(files[page - 1]):
+            if not page or page - 1 not in files or not self.is_last(files[page - 1], page - 1):
                 return pull, page
             pull, page = pull + 1, 0
 
     def between(self, start: tuple[int, int], end: tuple[int, int], per_task: int) -> list[PageRange]:
-        """The pages from one position up to another, in ranges of ``per_task``."""
+        """The pages from one position up to another, in ranges of whole files with ``per_task`` pages, or one file with more."""
         out = []
         for pull in range(start[0], end[0] + 1):
-            files, rows = self.pages(pull), []
+            files, part, first = self.pages(pull), [], 0
             number, until = start[1] if pull == start[0] else 0, end[1] if pull == end[0] else None
             while number in files and number != until:
-                rows.append((number, files[number]))
-                number += 1
+                after = _numbers(files[number]).stop if until is None else min(_numbers(files[number]).stop, until)
+                if part and after - first > per_task:
+                    out.append(PageRange(pull, part, number))
+                    part = []
+                first = first if part else number
+                part.append((number, files[number]))
+                number = after
             if until is not None and number != until:
                 raise FileNotFoundError(f"page {number} of pull {pull} is gone")
-            out += [PageRange(pull, rows[i : i + per_task]) for i in range(0, len(rows), per_task)]
+            if part:
+                out.append(PageRange(pull, part, number))
         return out
 
     def rows(self, part: PageRange | None) -> Iterator[tuple[int, int, str]]:
-        for number, file in part.files if part else ():  # Spark makes one task without a range if there are none
-            yield part.pull, number, self.text(file)
+        for first, file in part.files if part else ():  # Spark makes one task without a range if there are none
+            yield from ((part.pull, n, line) for n, line in self.lines(file).items() if first <= n < part.until)
 
 
 class PageReader(DataSourceReader):
@@ -204,9 +225,18 @@ def stream_paged(spark: SparkSession, path: str, document: bool = False, pages_p
     return _parsed(reader.load(), document)
 
 
-def land_numbered(pages: DataFrame, path: str, pull: Column, page: Column) -> str:
-    """Write pages (the columns of ``PAGE`` that there are) as the numbered files of ``path``; each page is one file of one task."""
+def land_numbered(pages: DataFrame, path: str, pull: Column, page: Column, per_file: int = PAGES_PER_FILE) -> str:
+    """Write pages (the columns of ``PAGE`` that there are) as numbered files of ``path``.
+
+    Pages that follow one another share a file, ``per_file`` of them at most; a file is written by one task.
+    """
     fields = [c for c in PAGE.fieldNames() if c in pages.columns]
-    rows = pages.select(pull.alias("pull"), page.alias("page"), F.to_json(F.struct(*fields)).alias("value"))
-    rows.repartition("pull", "page").write.mode("append").partitionBy("pull", "page").text(path)
+    rows = pages.select(pull.alias("pull"), page.alias("page"), F.to_json(F.struct(*fields)).alias("value"),
+                        F.floor(page / per_file).alias("block"))
+    block = Window.partitionBy("pull", "block")
+    rows = rows.withColumn("run", F.col("page") - F.row_number().over(block.orderBy("page")))
+    ends = Window.partitionBy("pull", "block", "run")  # within the block's task: a gap in the numbers parts two runs
+    rows = rows.withColumn("pages", F.concat_ws("-", F.min("page").over(ends), F.max("page").over(ends)))
+    rows = rows.sortWithinPartitions("pull", "pages", "page").select("pull", "pages", "value")
+    rows.write.mode("append").partitionBy("pull", "pages").text(path)
     return path
