@@ -246,3 +246,41 @@ print('SAW', run, sorted(r.track_id for r in store.select_all('tracks').collect(
         out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "store"), key], env=env, capture_output=True, text=True)
         said += [line for line in out.stdout.splitlines() if line.startswith("SAW")] or [out.stderr[-500:]]
     assert said == ["SAW 1 ['t1'] ['1:01']", "SAW 2 ['t1', 't2'] ['1:01', '1:01']"]
+
+
+def test_a_large_load_has_more_tasks_than_buckets(spark, store, monkeypatch):
+    """A task has one bucket of some partitions: what it sorts does not grow with the whole table."""
+    from tunefold.operators import load
+
+    monkeypatch.setattr(load, "ROWS_PER_TASK", 10)
+    s = store.schemas["tracks"]
+    store.overwrite(_tracks(spark, [(f"k{i}", 1, "P1") for i in range(700)]), "tracks")
+    assert len(store.select_all("tracks").inputFiles()) <= s.parts * s.buckets
+    new = _tracks(spark, [(f"k{i}", 2, "P2") for i in range(500, 900)])
+    batch, n = store._staged(new, s, True, by_part=True)
+    assert n == 400 and store.merged(batch, s, n).rdd.getNumPartitions() == 10 * s.buckets
+    assert store._by_bucket(batch, s, n).rdd.getNumPartitions() == 10 * s.buckets
+    store.upsert(new, "tracks")
+    assert _got(store) == sorted([(f"k{i}", 1, "P1") for i in range(500)] + [(f"k{i}", 2, "P2") for i in range(500, 900)])
+    assert len(store.select_all("tracks").inputFiles()) <= s.parts * s.buckets
+    with pytest.raises(KeyViolation):
+        store.insert(_tracks(spark, [(f"k{i}", 3, "P1") for i in range(899, 1300)]), "tracks")
+    store.insert(_tracks(spark, [(f"k{i}", 3, "P1") for i in range(900, 1300)]), "tracks")
+    assert store.select_all("tracks").count() == 1300
+
+
+def test_a_kept_log_may_repeat_its_keys(spark, store, monkeypatch):
+    """Two messages of one run, second and status are two rows of a history; a NULL key is still refused."""
+    from tunefold.operators import load
+    from tunefold.operators.runlog import RunLog
+
+    monkeypatch.setattr(load, "ROWS_PER_TASK", 10)
+    log = RunLog(store)
+    row = lambda job, text: (job, 1, "2024-01-01 00:00:00", "start", None, text)
+    history = spark.createDataFrame([row("a", str(i)) for i in range(30)] + [row("b", "x")], store.schemas[log.table].struct)
+    with pytest.raises(KeyViolation, match="repeated"):
+        store.overwrite(history, log.table)
+    store.overwrite(history, log.table, repeats=True)
+    assert log.rows().count() == 31 and log.next_run_id("a") == 2
+    with pytest.raises(KeyViolation, match="NULL"):
+        store.overwrite(history.withColumn("status", F.lit(None).cast("string")), log.table, repeats=True)
