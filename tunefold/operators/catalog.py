@@ -57,8 +57,8 @@ def catalog_albums(items: DataFrame) -> DataFrame:
         F.col("track_album_total_tracks").alias("album_total_tracks"),
     ).agg(F.max("added_at").alias("__at"))  # a row per tuple, combined map-side
     row = F.struct(*ALBUMS.columns)
-    rank = F.struct(F.col("__at").isNotNull(), "__at", row)
-    return tuples.groupBy("album_id").agg(F.max_by(row, rank).alias("__row")).select("__row.*")
+    rank = F.struct(F.col("__at").isNotNull(), "__at", row.alias("row"))
+    return tuples.groupBy("album_id").agg(F.max(rank).alias("__best")).select("__best.row.*")
 
 
 def enrich_artists(ids: DataFrame, artist_docs: DataFrame, check: bool = True) -> DataFrame:
@@ -69,7 +69,8 @@ def enrich_artists(ids: DataFrame, artist_docs: DataFrame, check: bool = True) -
         array_to_text("genres").alias("artist_genres"), F.col("popularity").alias("artist_popularity"),
         landed.alias("__at"))
     row = F.struct(*ARTISTS.columns)
-    latest = docs.groupBy("artist_id").agg(F.max_by(row, F.struct(F.col("__at").isNotNull(), "__at", row)).alias("__row"))
+    best = F.max(F.struct(F.col("__at").isNotNull(), "__at", row.alias("row")))
+    latest = docs.groupBy("artist_id").agg(best.alias("__best")).select("artist_id", F.col("__best.row").alias("__row"))
     joined = ids.join(latest, "artist_id", "left")
     found = F.col("__row")
     if check:

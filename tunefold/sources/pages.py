@@ -1,8 +1,8 @@
 """Landed playlist pages and artist documents (JSON lines) as DataFrames.
 
 The warehouse loader fetched pages over HTTP, one request per page, following
-``tracks.next``. Here pages are landed files: one JSON page per line, so a
-big landing stays splittable and every file split is a task. A page line is
+``tracks.next``. Here pages are landed files: one JSON page per line. Plain
+files are split into tasks; of gzipped ones each is a task. A page line is
 
     {"id", "name", "snapshot_id", "tracks": {"items": [item, ...], "next"}}
 
@@ -67,8 +67,8 @@ def read_artist_docs(spark: SparkSession, path: str) -> DataFrame:
     return docs.select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
-def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Page rows (``PAGE`` layout plus ``page_no``) from flat catalogue tables."""
+def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE, files: int | None = None) -> DataFrame:
+    """Page rows (``PAGE`` layout plus ``page_no``) from flat catalogue tables; ``files``: dealt by page to so many partitions."""
     a = albums.select("album_id", "album_name", "album_release_date", "album_total_tracks")
     t = left_join_spread_nulls(tracks, a, "album_id", "track_id")
     album = F.when(F.col("album_id").isNotNull(), F.struct(
@@ -83,6 +83,8 @@ def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE)
     seq = F.col("track_id").cast("bigint")
     items = t.select("playlist_id", "playlist_name", "snapshot_id",
                      int_div(seq, page_size).alias("page_no"), seq.alias("seq"), item.alias("item"))
+    if files:  # the items travel once, to where their page is written
+        items = items.repartition(files, "playlist_id", "page_no")
     # At most page_size items per page: a bounded collect per group.
     pages = items.groupBy("playlist_id", "playlist_name", "snapshot_id", "page_no").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("seq", "item"))), lambda s: s["item"]).alias("items"))
@@ -101,20 +103,20 @@ def page_rows(tracks: DataFrame, albums: DataFrame, page_size: int = PAGE_SIZE)
 
 def land_pages(tracks: DataFrame, albums: DataFrame, path: str, files: int | None = None,
                page_size: int = PAGE_SIZE, append: bool = False, by: str = "page", only: Column | None = None) -> str:
-    """Write page rows as JSON lines under ``path``.
+    """Write page rows as gzipped JSON lines under ``path``.
 
     ``files`` output files, pages hashed to them by page (``by="page"``) or by
     playlist (``by="playlist"``: every file holds whole playlists, as one pull of
-    one playlist would land). ``append`` adds files to an existing landing; ``only``: the
+    one playlist would land). A file is read by one task, so ``files`` should grow with the
+    landing. ``append`` adds files to an existing landing; ``only``: the
     pages that land now, by a condition on page rows.
     """
-    pages = page_rows(tracks, albums, page_size)
+    pages = page_rows(tracks, albums, page_size, files if by == "page" else None)
     if only is not None:
         pages = pages.where(only)
-    if files:
-        keys = ("id", "page_no") if by == "page" else ("id",)
-        pages = pages.repartition(files, *keys)
-    pages.drop("page_no").write.mode("append" if append else "errorifexists").json(path)
+    if files and by != "page":
+        pages = pages.repartition(files, "id")
+    pages.drop("page_no").write.mode("append" if append else "errorifexists").json(path, compression="gzip")
     return path
 
 
