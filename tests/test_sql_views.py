@@ -1,16 +1,19 @@
 """Views from a folder of SQL files, and the keyed state of streamed pulls."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from tunefold import schemas
 from tunefold.operators.load import TableStore
 from tunefold.operators.runlog import RunLog
+from tunefold.plans import queries as Q
 from tunefold.plans import views as V
 from tunefold.schemas import CATALOG_SCHEMAS
 from tunefold.session import scratch_path
-from tunefold.sources.fixtures import materialized_catalog
+from tunefold.sources.fixtures import Catalog, materialized_catalog
 from tunefold.streaming.upsert_stream import stream_catalog
 
 from .conftest import SF_SMALL, rows
@@ -54,6 +57,30 @@ def test_a_sixth_file_becomes_a_view_without_a_job(spark, store, tmp_path):
         V.read_view(store, "absent", tmp_path)
 
 
+def test_joins_of_the_views_have_more_tasks_where_the_tables_have_more_rows(spark, monkeypatch):
+    tracks = [(f"t{i}", f"n{i}", i % 100, 61_000, "2024", f"al{i % 40}" if i % 10 else None, "ar1, ar2", "p", "p", "s") for i in range(900)]
+    albums = [(f"al{i}", f"a{i}", f"20{i % 9 + 10}-01-01", 3) for i in range(40)]
+    artists = [("ar1", "one", '{pop,"hip hop"}', 5), ("ar2", "two", "{pop}", 6)]
+    frames = {n: spark.createDataFrame(r, CATALOG_SCHEMAS[n].struct) for n, r in (("tracks", tracks), ("albums", albums), ("artists", artists))}
+    monkeypatch.setattr(schemas, "ROWS_PER_BUCKET", 100, raising=False)
+    monkeypatch.setattr(Q, "_FOLDERS", {})
+    monkeypatch.setattr(Q, "_cat", lambda *_: Catalog(**frames))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large for it
+    try:
+        store = Q._sql_store(spark, "a test's own rows")
+        for name, key in (("track_popularity_trend_by_release_year_month", "album_id"), ("genre_track_and_artist_details", "artist_id")):
+            view = V.read_view(store, name)
+            plan = spark._jvm.PythonSQLUtils.explainString(view._jdf.queryExecution(), "simple")
+            assert re.search(rf"hashpartitioning\({key}#\d+, 9\)", plan), plan
+            assert not re.search(rf"hashpartitioning\({key}#\d+, 4\)", plan), plan
+            assert rows(view) == rows(V.build_views(*frames.values())[name]), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(store.select_all("tracks").inputFiles()) <= 64 and store.select_all("tracks").count() == 900
+    assert store.schemas["tracks"].buckets == 9  # reading a view leaves the layout as it is
+
+
 def test_a_view_shows_later_loads(spark):
     s = TableStore(spark)
     s.create_tables(CATALOG_SCHEMAS)
