@@ -81,6 +81,30 @@ def test_joins_of_the_views_have_more_tasks_where_the_tables_have_more_rows(spar
     assert store.schemas["tracks"].buckets == 9  # reading a view leaves the layout as it is
 
 
+def test_a_view_with_sets_beside_distinct_counts_has_more_partitions_where_there_are_more_rows(spark):
+    names = "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"
+    artists = [("ar1", "one", '{pop,"hip hop"}', 5), ("ar2", "two", "{pop}", 6), ("ar3", None, None, None)]
+    before = {n: spark.conf.get(n) for n in names}
+    for number in (100, 10_000):
+        tracks = [(f"t{i}", f"n{i % 7000}" if i % 9 else None, 1, 61_000, "2024", None, "ar1, ar2" if i % 5 else "ar3", "p", "p", "s") for i in range(number)]
+        frames = {n: spark.createDataFrame(r, CATALOG_SCHEMAS[n].struct) for n, r in (("tracks", tracks), ("albums", []), ("artists", artists))}
+        store = TableStore(spark)
+        store.create_tables(CATALOG_SCHEMAS)
+        store.load(frames, method="overwrite")
+        spark.conf.set(names[-1], "1b")  # what the caller set holds for the view too
+        try:
+            view = V.read_view(store, "genre_track_and_artist_details")
+        finally:
+            spark.conf.set(names[-1], before[names[-1]])
+        assert view.sparkSession.conf.get(names[-1]) == "1b"
+        plan = spark._jvm.PythonSQLUtils.explainString(view._jdf.queryExecution(), "simple")
+        partitions = {int(n) for n in re.findall(r"hashpartitioning\(genre#\d+, [^)]*gid#\d+, (\d+)\)", plan)}
+        assert partitions == {max(int(before[names[0]]), int((number / 4) ** 0.5))}, plan
+        assert rows(view) == rows(V.build_views(*frames.values())["genre_track_and_artist_details"])
+        assert [r.num_tracks for r in view.collect()] == [number * 4 // 5] * 2  # in order, both genres
+    assert {n: spark.conf.get(n) for n in names} == before  # the caller's session is as it was
+
+
 def test_a_view_shows_later_loads(spark):
     s = TableStore(spark)
     s.create_tables(CATALOG_SCHEMAS)
